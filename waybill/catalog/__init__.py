@@ -2,6 +2,10 @@
 
 from waybill.catalog import (  # noqa: F401
     gold,
+    kpis,
+    messages,
+    reports,
+    star,
 )
 from waybill.catalog.base import QUERIES, SQL, runnable  # noqa: F401
 

@@ -229,10 +229,15 @@ def _(t):
 
 
 @query("gld_10_transit_by_day", views="s_shipments", sql=f"""
-SELECT {DAY.format('actual_ship_date')} AS ship_day, sap_system, count(*) AS in_transit_count,
+SELECT {DAY.format('actual_ship_date')} AS ship_day, sap_system, count(*) AS total_shipments,
   sum(total_weight_kg)::DOUBLE AS total_weight_kg,
   {avg(f"date_diff('hour', actual_ship_date, {NOW})")} AS avg_transit_hours,
-  {cnt(f'planned_delivery_date < {NOW}')} AS delayed_shipments
+  max(date_diff('hour', actual_ship_date, {NOW})) AS max_transit_hours,
+  {cnt(f'planned_delivery_date < {NOW}')} AS delayed_shipments,
+  {cnt(f'planned_delivery_date >= {NOW}')} AS on_time_shipments,
+  count(DISTINCT carrier_id) AS unique_carriers,
+  count(DISTINCT origin_country) AS unique_origins,
+  count(DISTINCT destination_country) AS unique_destinations
 FROM s_shipments WHERE {TRANSIT} GROUP BY ALL""")
 def _(t):
     return gold.transit_by_day(t.shipments, as_of=t.as_of)
@@ -425,20 +430,55 @@ def _(t):
     return gold.revenue_by_month(t.invoices)
 
 
-@query("gld_18_urgent_orders", views="s_orders", sql=f"""
+@query("gld_18_orders_volume", views="s_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, count(*) AS total_orders,
-  {total('total_c')} AS total_value, {avg('total_c', cents=2)} AS avg_order_value,
-  {HIGH} AS urgent_orders, {cnt('is_delayed')} AS delayed_orders
+  {total('total_c')} AS total_order_value, {avg('total_c', cents=2)} AS avg_order_value,
+  {money('max(total_amount)')} AS max_order_value, {HIGH} AS urgent_orders,
+  count(DISTINCT customer_id) AS unique_customers
+FROM s_orders GROUP BY ALL""")
+def _(t):
+    return gold.orders_volume(t.orders)
+
+
+@query("gld_18_sla_overview", views="s_orders", sql=f"""
+SELECT {ORDER_DAY} AS performance_day, sap_system, count(*) AS total_orders,
+  {cnt("sla_status = 'Good'")} AS sla_good, {cnt("sla_status = 'At Risk'")} AS sla_at_risk,
+  {cnt("sla_status = 'Breached'")} AS sla_breached,
+  {pct(cnt("sla_status = 'Good'"), 'count(*)')} AS sla_compliance_pct,
+  {avg('order_age_hours')} AS avg_order_age_hours, max(order_age_hours) AS max_order_age_hours
 FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.urgent_orders_daily(t.orders)
+    return gold.sla_overview(t.orders)
+
+
+@query("gld_18_warehouse_throughput", views="s_warehouse", sql=f"""
+SELECT {MOVE_DAY} AS movement_day, sap_system, count(*) AS total_movements,
+  sum(quantity)::DOUBLE AS total_quantity, sum(weight_kg)::DOUBLE AS total_weight_kg,
+  {avg('processing_time_minutes')} AS avg_processing_minutes,
+  max(processing_time_minutes) AS max_processing_minutes,
+  {cnt('exception_flag')} AS exception_count,
+  {cnt('inspection_required')} AS inspection_required_count,
+  count(DISTINCT operator_id) AS unique_operators,
+  count(DISTINCT material_id) AS unique_materials,
+  count(DISTINCT warehouse_id) AS unique_warehouses,
+  {kind('GR')} AS inbound_movements, {kind('GI')} AS outbound_movements
+FROM s_warehouse GROUP BY ALL""")
+def _(t):
+    return gold.warehouse_throughput(t.warehouse)
 
 
 @query("gld_18_revenue_split", views="s_invoices", sql=f"""
 SELECT {INV_DAY} AS invoice_day, sap_system, count(*) AS total_invoices,
-  {total('total_c')} AS total_revenue, {total('paid_c')} AS paid_amount,
-  {total('due_c')} AS due_amount, {cnt('is_disputed')} AS disputed_invoices,
-  {cnt('is_overdue')} AS overdue_invoices FROM s_invoices GROUP BY ALL""")
+  {total('total_c')} AS total_revenue,
+  coalesce(sum(total_c) FILTER (WHERE payment_status = 'Paid'), 0)::DOUBLE / 100 AS total_paid,
+  coalesce(sum(total_c) FILTER (WHERE payment_status <> 'Paid'), 0)::DOUBLE / 100 AS total_due,
+  {avg('total_c', cents=2)} AS avg_invoice_amount,
+  {money('max(total_amount)')} AS max_invoice_amount, {pay('Overdue')} AS overdue_invoices,
+  {pay('Paid')} AS paid_invoices, {pay('Pending')} AS pending_invoices,
+  {cnt('is_disputed')} AS disputed_invoices,
+  count(DISTINCT customer_id) AS unique_customers,
+  {avg('payment_efficiency')} AS avg_payment_efficiency
+FROM s_invoices GROUP BY ALL""")
 def _(t):
     return gold.revenue_paid_and_due(t.invoices)
 

@@ -114,14 +114,29 @@ def orders_by_sla(orders: DataFrame, by: Sequence[str] = ("sap_system", "sla_sta
     )
 
 
-def urgent_orders_daily(orders: DataFrame) -> DataFrame:
-    """Daily order counts with urgent orders and average value."""
+def orders_volume(orders: DataFrame) -> DataFrame:
+    """Daily order volume and value with urgent orders and customers."""
     return orders.groupBy(F.to_date("order_date").alias("order_day"), "sap_system").agg(
         F.count("*").alias("total_orders"),
-        F.sum("total_amount").alias("total_value"),
+        F.sum("total_amount").alias("total_order_value"),
         average(C("total_amount")).alias("avg_order_value"),
+        F.max("total_amount").alias("max_order_value"),
         n_if(_is("priority", "High")).alias("urgent_orders"),
-        n_if(C("is_delayed")).alias("delayed_orders"),
+        F.count_distinct(C("customer_id")).alias("unique_customers"),
+    )
+
+
+def sla_overview(orders: DataFrame) -> DataFrame:
+    """Service-level class counts, compliance and order age per day and system."""
+    good = n_if(_is("sla_status", "Good"))
+    return orders.groupBy(F.to_date("order_date").alias("performance_day"), "sap_system").agg(
+        F.count("*").alias("total_orders"),
+        good.alias("sla_good"),
+        n_if(_is("sla_status", "At Risk")).alias("sla_at_risk"),
+        n_if(_is("sla_status", "Breached")).alias("sla_breached"),
+        pct(good, F.count("*")).alias("sla_compliance_pct"),
+        average(C("order_age_hours")).alias("avg_order_age_hours"),
+        F.max("order_age_hours").alias("max_order_age_hours"),
     )
 
 
@@ -299,15 +314,20 @@ def transit_delays(shipments: DataFrame, *, as_of, high_value: int = 10000,
 
 
 def transit_by_day(shipments: DataFrame, *, as_of) -> DataFrame:
-    """Shipments in transit per ship day and system."""
+    """Shipments in transit per ship day and system: load, hours on the way, delays, spread."""
     overdue = C("planned_delivery_date") < as_ts(as_of)
     hours = diff_boundary("hour", as_ts(as_of), C("actual_ship_date"))
     return in_transit(shipments).groupBy(F.to_date("actual_ship_date").alias("ship_day"),
                                          "sap_system").agg(
-        F.count("*").alias("in_transit_count"),
+        F.count("*").alias("total_shipments"),
         F.sum("total_weight_kg").alias("total_weight_kg"),
         average(hours).alias("avg_transit_hours"),
+        F.max(hours).alias("max_transit_hours"),
         n_if(overdue).alias("delayed_shipments"),
+        n_if(~overdue).alias("on_time_shipments"),
+        F.count_distinct(C("carrier_id")).alias("unique_carriers"),
+        F.count_distinct(C("origin_country")).alias("unique_origins"),
+        F.count_distinct(C("destination_country")).alias("unique_destinations"),
     )
 
 
@@ -410,6 +430,25 @@ def warehouse_productivity(moves: DataFrame, *, shift_hours: int = 8, target: in
     })
 
 
+def warehouse_throughput(moves: DataFrame) -> DataFrame:
+    """Movements per day and system over all warehouses."""
+    return moves.groupBy(F.to_date("movement_timestamp").alias("movement_day"),
+                         "sap_system").agg(
+        F.count("*").alias("total_movements"),
+        F.sum("quantity").alias("total_quantity"),
+        F.sum("weight_kg").alias("total_weight_kg"),
+        average(C("processing_time_minutes")).alias("avg_processing_minutes"),
+        F.max("processing_time_minutes").alias("max_processing_minutes"),
+        n_if(C("exception_flag")).alias("exception_count"),
+        n_if(C("inspection_required")).alias("inspection_required_count"),
+        F.count_distinct(C("operator_id")).alias("unique_operators"),
+        F.count_distinct(C("material_id")).alias("unique_materials"),
+        F.count_distinct(C("warehouse_id")).alias("unique_warehouses"),
+        n_if(_is("movement_type", "GR")).alias("inbound_movements"),
+        n_if(_is("movement_type", "GI")).alias("outbound_movements"),
+    )
+
+
 def warehouse_labour(moves: DataFrame) -> DataFrame:
     """Movements per day and warehouse with labour hours and movements per labour hour."""
     minutes = F.sum("processing_time_minutes")
@@ -536,12 +575,19 @@ def revenue_by_month(invoices: DataFrame) -> DataFrame:
 
 
 def revenue_paid_and_due(invoices: DataFrame) -> DataFrame:
-    """Revenue per day and system split into paid, due and disputed."""
+    """Revenue per day and system split by whether the invoice is paid."""
+    paid = _is("payment_status", "Paid")
+    zero = F.lit(0)
     return invoices.groupBy(F.to_date("invoice_date").alias("invoice_day"), "sap_system").agg(
         F.count("*").alias("total_invoices"),
         F.sum("total_amount").alias("total_revenue"),
-        F.sum("amount_paid").alias("paid_amount"),
-        F.sum("amount_due").alias("due_amount"),
+        F.coalesce(sum_if(C("total_amount"), paid), zero).alias("total_paid"),
+        F.coalesce(sum_if(C("total_amount"), ~paid), zero).alias("total_due"),
+        average(C("total_amount")).alias("avg_invoice_amount"),
+        F.max("total_amount").alias("max_invoice_amount"),
+        *[n_if(_is("payment_status", s)).alias(f"{s.lower()}_invoices")
+          for s in ("Overdue", "Paid", "Pending")],
         n_if(C("is_disputed")).alias("disputed_invoices"),
-        n_if(C("is_overdue")).alias("overdue_invoices"),
+        F.count_distinct(C("customer_id")).alias("unique_customers"),
+        average(C("payment_efficiency")).alias("avg_payment_efficiency"),
     )

@@ -15,8 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # only the partitions present in the written frame are replaced
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # read zone-less parquet timestamps as UTC instants, so time filters reach the scan
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
 
 

@@ -78,7 +78,8 @@ class Tables:
             idoc_type.alias("idoc_type"),
             _pick(F.col("user_id"), "PRD", "QAS", "DEV").alias("sap_system"),
             status.alias("status"),
-            F.struct(docnum.alias("docnum"), status.alias("status")).alias("control"),
+            F.struct(docnum.alias("docnum"), status.alias("status"),
+                     F.date_format(ts, "yyyyMMdd").alias("credat")).alias("control"),
             ts.alias("timestamp"),
             (ts + F.make_dt_interval(secs=(F.col("event_id") % 400).cast("int")))
             .alias("ingestion_time"),

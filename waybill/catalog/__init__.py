@@ -4,6 +4,7 @@ from waybill.catalog import (  # noqa: F401
     gold,
     kpis,
     messages,
+    quality,
     reports,
     star,
 )

@@ -1,6 +1,7 @@
 """All registered queries. Importing the modules fills the registry."""
 
 from waybill.catalog import (  # noqa: F401
+    access,
     gold,
     kpis,
     messages,

@@ -2,6 +2,7 @@
 
 from waybill.catalog import (  # noqa: F401
     access,
+    extraction,
     gold,
     kpis,
     messages,

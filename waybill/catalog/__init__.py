@@ -2,8 +2,10 @@
 
 from waybill.catalog import (  # noqa: F401
     access,
+    entities,
     extraction,
     gold,
+    jobs,
     kpis,
     messages,
     quality,

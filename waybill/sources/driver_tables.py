@@ -59,9 +59,22 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """The table's file as a stream source."""
+        return (self.spark.readStream.schema(self.table(name).schema)
+                .option("pathGlobFilter", f"{name}.parquet").parquet(self.folder))
+
     @cached_property
     def raw(self) -> DataFrame:
         """Raw messages from the event table."""
+        return self.as_messages(self.table("events"))
+
+    @cached_property
+    def raw_stream(self) -> DataFrame:
+        return self.as_messages(self.stream("events"))
+
+    @staticmethod
+    def as_messages(events: DataFrame) -> DataFrame:
         kind = F.col("event_type")
         message_type = (F.when(kind == "purchase", "ORDERS").when(kind == "click", "WHSCON")
                         .when(kind == "view", "SHPMNT").when(kind == "signup", "INVOIC")
@@ -72,7 +85,7 @@ class Tables:
         ts = F.col("ts").cast("timestamp")
         status = F.when((kind == "error") & (F.col("event_id") % 2 == 0), "51").otherwise("03")
         docnum = F.col("event_id").cast("string")
-        return self.table("events").select(
+        return events.select(
             docnum.alias("docnum"),
             message_type.alias("message_type"),
             idoc_type.alias("idoc_type"),

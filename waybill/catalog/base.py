@@ -42,9 +42,20 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+_TABLES: dict[tuple[str, int, str], Tables] = {}
+
+
+def tables_of(spark: SparkSession, folder: str) -> Tables:
+    """The frames of a folder; they are lazy, so queries of one session share their plans."""
+    key = (spark.sparkContext.applicationId, id(spark), folder)
+    if key not in _TABLES:
+        _TABLES[key] = Tables(spark, folder)
+    return _TABLES[key]
+
+
 def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(QUERIES[name](Tables(spark, sf_dir)))
+        return present(QUERIES[name](tables_of(spark, sf_dir)))
 
     run.__name__ = name
     return run

@@ -29,8 +29,7 @@ def purge(spark: SparkSession, path: str, partition: str, keep_days: int, *, as_
     table = spark.read.parquet(path)
     old = storage.partition_values(table.filter(expired(table, partition, keep_days, as_of=as_of)),
                                    partition)
-    for value in old:
-        storage.remove(spark, storage._folder(path, partition, value))
+    storage._drop(spark, path, partition, old)
     return sorted(old)
 
 
@@ -57,7 +56,7 @@ def erase(spark: SparkSession, path: str, partition: str, subjects: DataFrame, k
     touched = storage.partition_values(held, partition)
     if touched:
         some = table.filter(storage._in(partition, touched))
-        storage._replace(anonymised(some, subjects, key, columns), path, partition, touched)
+        storage._overwrite(anonymised(some, subjects, key, columns), path, partition)
     return touched
 
 

@@ -1,7 +1,8 @@
 """Partitioned Parquet tables: create, upsert, refresh, quarantine, compaction.
 
-One writer per table. A rewrite goes to a staging folder first and replaces only the partitions it
-holds, so a lost executor or a repeated run never leaves a mix of old and half-written rows.
+One writer per table. Rewrites use dynamic partition overwrite: Spark writes the new files aside
+and moves whole partitions into place when the job commits, so a lost executor or a failed job
+leaves the old partitions as they were, and the job may read the table it replaces.
 """
 
 from __future__ import annotations
@@ -35,9 +36,19 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _packed(df: DataFrame, partition: str | None) -> DataFrame:
+    """Brings the rows of a partition together, so it gets few files.
+
+    The rebalance hint lets adaptive execution split a partition that holds much of the data and
+    merge small ones, where a plain repartition would put each into one task.
+    """
+    return df.hint("rebalance", C(partition)) if partition else df
+
+
 def create_or_replace(df: DataFrame, path: str, partition: str | None = None) -> None:
     """Writes the whole table anew."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = _packed(df, partition).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
@@ -51,7 +62,7 @@ def snapshot(df: DataFrame, path: str) -> None:
 
 
 def append(df: DataFrame, path: str, partition: str | None = None) -> None:
-    writer = df.write.mode("append")
+    writer = _packed(df, partition).write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
@@ -81,19 +92,15 @@ def _in(partition: str, values: Sequence) -> Column:
     return cond | C(partition).isNull() if len(known) < len(values) else cond
 
 
-def _replace(rows: DataFrame, path: str, partition: str, touched: Sequence) -> None:
-    """Stages ``rows`` and makes them the whole content of the ``touched`` partitions."""
-    spark = rows.sparkSession
-    staging = _staging(path)
-    rows.write.partitionBy(partition).parquet(staging)
-    staged = spark.read.schema(rows.schema).parquet(staging)
-    left = set(partition_values(staged, partition))
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite(rows: DataFrame, path: str, partition: str) -> None:
+    """Replaces the partitions that occur in ``rows``."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
-    for value in touched:
-        if value not in left:
-            remove(spark, _folder(path, partition, value))
-    remove(spark, staging)
+
+
+def _drop(spark: SparkSession, path: str, partition: str, values: Sequence) -> None:
+    for value in values:
+        remove(spark, _folder(path, partition, value))
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -102,24 +109,49 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"several rows share the key {list(keys)}")
 
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
-    """Inserts new keys and replaces known ones, also when a row moves to another partition.
+def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *,
+           version: str | None = None, moves: bool = True) -> None:
+    """Inserts new keys and replaces known ones.
 
-    Only partitions that receive a row or hold an old version of one are read and rewritten.
+    The updates are computed once, into a staging folder, and read from there. Only partitions
+    that receive a row or hold an old version of one are rewritten. With ``version`` a stored row
+    with a later version stays. ``moves=False`` promises that a key never changes its partition,
+    so the search for old versions opens only the partitions of the updates.
     """
     spark = updates.sparkSession
-    check_unique(updates, keys)
-    if not exists(spark, path):
-        append(updates, path, partition)
-        return
-    target = spark.read.parquet(path)
-    held = target.join(updates.select(*keys), list(keys), "left_semi")
-    touched = list(dict.fromkeys([*partition_values(updates, partition),
-                                  *partition_values(held, partition)]))
-    current = target.filter(_in(partition, touched))
-    kept = current.join(updates.select(*keys), list(keys), "left_anti")
-    _replace(kept.unionByName(updates, allowMissingColumns=True).select(*target.columns, *[
-        c for c in updates.columns if c not in target.columns]), path, partition, touched)
+    keys = list(keys)
+    staging = _staging(path)
+    _packed(updates, partition).write.partitionBy(partition).parquet(staging)
+    try:
+        staged = spark.read.schema(updates.schema).parquet(staging)
+        check_unique(staged, keys)
+        incoming = partition_values(staged, partition)
+        if not incoming:
+            return
+        if not exists(spark, path):
+            append(staged, path, partition)
+            return
+        target = spark.read.parquet(path)
+        searched = target if moves else target.filter(_in(partition, incoming))
+        held = searched.select(*keys, C(partition).alias("_at"),
+                               *([C(version).alias("_held")] if version else []))
+        if version:
+            staged = staged.join(held.drop("_at"), keys, "left").filter(
+                C("_held").isNull() | (C("_held") <= C(version))).drop("_held")
+        touched = incoming
+        if moves:
+            found = partition_values(held.join(staged.select(*keys), keys, "left_semi"), "_at")
+            touched = list(dict.fromkeys([*incoming, *found]))
+        kept = target.filter(_in(partition, touched)).join(staged.select(*keys), keys, "left_anti")
+        merged = kept.unionByName(staged, allowMissingColumns=True)
+        emptied = []
+        if len(touched) > len(incoming):
+            left = partition_values(merged.select(partition), partition)
+            emptied = [v for v in touched if v not in left]
+        _overwrite(_packed(merged, partition), path, partition)
+        _drop(spark, path, partition, emptied)
+    finally:
+        remove(spark, staging)
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str,
@@ -128,7 +160,11 @@ def replace_partitions(df: DataFrame, path: str, partition: str,
 
     ``touched`` names partitions to replace even where ``df`` has no row for them.
     """
-    _replace(df, path, partition, touched or [])
+    spark = df.sparkSession
+    _overwrite(_packed(df, partition), path, partition)
+    if touched:
+        left = partition_values(df.select(partition), partition)
+        _drop(spark, path, partition, [v for v in touched if v not in left])
 
 
 def refresh(compute, source: DataFrame, path: str, day: str, partition: str,
@@ -180,7 +216,7 @@ def compact(spark: SparkSession, path: str, cluster_by: Sequence[str],
         return
     some = table if values is None else table.filter(_in(partition, values))
     order = [partition, *cluster_by]
-    _replace(some.repartitionByRange(*order).sortWithinPartitions(*order), path, partition, [])
+    _overwrite(some.repartitionByRange(*order).sortWithinPartitions(*order), path, partition)
 
 
 def run_steps(steps: dict, retries: int = 2) -> list[dict]:

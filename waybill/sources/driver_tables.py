@@ -29,6 +29,22 @@ ENTITY_AS_OF = "2001-08-01 23:00:00"
 MESSAGE_AS_OF = "2024-01-31 00:00:00"
 
 MONEY = "decimal(18,2)"
+# Declared columns, so reading a table needs no look into its files first.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    "events": "event_id long, ts timestamp, user_id long, event_type string, value double, "
+              "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 
@@ -57,11 +73,11 @@ class Tables:
         self.message_as_of = message_as_of
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def stream(self, name: str) -> DataFrame:
         """The table's file as a stream source."""
-        return (self.spark.readStream.schema(self.table(name).schema)
+        return (self.spark.readStream.schema(SCHEMAS[name])
                 .option("pathGlobFilter", f"{name}.parquet").parquet(self.folder))
 
     @cached_property
@@ -82,7 +98,7 @@ class Tables:
         idoc_type = (F.when(kind == "purchase", "ORDERS05").when(kind == "click", "WHSCON01")
                      .when(kind == "view", "SHPMNT05").when(kind == "signup", "INVOIC02")
                      .otherwise("DESADV01"))
-        ts = F.col("ts").cast("timestamp")
+        ts = F.col("ts")
         status = F.when((kind == "error") & (F.col("event_id") % 2 == 0), "51").otherwise("03")
         docnum = F.col("event_id").cast("string")
         return events.select(
@@ -106,7 +122,7 @@ class Tables:
     def _orders_timed(self) -> DataFrame:
         key, cust = F.col("o_orderkey"), F.col("o_custkey")
         out = self.table("orders").withColumn(
-            "order_date", _plus(F.col("o_orderdate").cast("timestamp"), hours=key % 24))
+            "order_date", _plus(F.col("o_orderdate"), hours=key % 24))
         return out.select(
             "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice",
             "order_date",
@@ -257,7 +273,7 @@ class Tables:
             F.when(number >= 3, F.concat(F.lit("PARTNER-"), warehouse_id)).otherwise("")
             .alias("warehouse_partner_id"),
             _pick(line, "GR", "GI", "TR", "CC").alias("movement_type"),
-            _plus(F.col("l_shipdate").cast("timestamp"), hours=part % 24)
+            _plus(F.col("l_shipdate"), hours=part % 24)
             .alias("movement_timestamp"),
             F.col("l_quantity").cast("decimal(15,3)").alias("quantity"),
             F.col("l_quantity").cast("decimal(15,3)").alias("weight_kg"),
@@ -294,7 +310,7 @@ class Tables:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         key = F.col("o_orderkey")
         base = orders.join(sums, key == F.col("l_orderkey")).withColumns({
-            "invoice_date": F.col("o_orderdate").cast("timestamp"),
+            "invoice_date": F.col("o_orderdate"),
             "shipping_charges": F.lit(0).cast(MONEY),
             "total_amount": (F.col("subtotal_amount") + F.col("tax_amount")
                              - F.col("discount_amount")).cast(MONEY),

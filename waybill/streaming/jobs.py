@@ -36,7 +36,8 @@ def _start(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: s
 class Route:
     """How one kind of message becomes a silver table.
 
-    ``version`` orders several versions of one key; the latest one is stored.
+    ``version`` orders several versions of one key; the latest one is stored. ``moves=False``
+    promises that a key keeps its day, which spares the search of other days.
     """
 
     extract: Callable[[DataFrame], DataFrame]
@@ -44,6 +45,7 @@ class Route:
     keys: tuple[str, ...]
     version: str
     day: str
+    moves: bool = True
 
 
 def to_silver(bronze: DataFrame, routes: Mapping[tuple[str, ...], Route], checkpoint: str, *,
@@ -71,24 +73,14 @@ def to_silver(bronze: DataFrame, routes: Mapping[tuple[str, ...], Route], checkp
                                                f"{quarantine}/{'_'.join(kinds)}", "batch_id",
                                                [batch_id])
                 newest = dedupe_latest(good, list(route.keys), [route.version])
-                store(newest, route)
+                storage.upsert(newest, route.path, route.keys, "silver_day",
+                               version=route.version, moves=route.moves)
         finally:
             rows.unpersist()
 
     return _start(bronze, batch, checkpoint, available_now)
 
 
-def store(newest: DataFrame, route: Route) -> None:
-    """Upserts rows unless the table already holds a later version of their key."""
-    spark = newest.sparkSession
-    if storage.exists(spark, route.path):
-        held = spark.read.parquet(route.path).select(
-            *route.keys, C(route.version).alias("_held"))
-        newest = newest.join(held, list(route.keys), "left").filter(
-            C("_held").isNull() | (C("_held") <= C(route.version))).drop("_held")
-    storage.upsert(newest, route.path, route.keys, "silver_day")
-
-
 def deduplicated(stream: DataFrame, keys: tuple[str, ...] = ("sap_system", "docnum"),
                  ts: str = "timestamp", delay: str = "1 hour") -> DataFrame:
     """First row of each key; keys are remembered for the watermark delay only."""
@@ -238,8 +230,9 @@ def latest_state(stream: DataFrame, target: str, checkpoint: str,
     def batch(rows: DataFrame, _id: int) -> None:
         newest = dedupe_latest(rows.filter(C(version).isNotNull()), list(keys), [version])
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        route = Route(lambda df: df, target, keys, version, version)
-        store(newest.withColumn("silver_day", bucket), route)
+        # a key never changes its bucket, so only the buckets of the batch are opened
+        storage.upsert(newest.withColumn("bucket", bucket), target, keys, "bucket",
+                       version=version, moves=False)
 
     return _start(stream, batch, checkpoint, available_now)
 

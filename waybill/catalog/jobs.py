@@ -258,18 +258,18 @@ def _(t):
     union_all([made.orders, made.invoices]).write.parquet(f"{path}/bronze")
     stream = t.spark.readStream.schema(made.orders.schema).parquet(f"{path}/bronze")
 
-    def month(extracted, ts):
-        return extracted.withColumn("month", F.trunc(ts, "month"))
+    def yearly(extracted, ts):
+        return extracted.withColumn("year_start", F.trunc(ts, "year"))
 
     routes = {
-        ("ORDERS",): jobs.Route(lambda r: month(extract.extract_orders(r, as_of=t.as_of),
+        ("ORDERS",): jobs.Route(lambda r: yearly(extract.extract_orders(r, as_of=t.as_of),
                                                 "order_date"),
                                 f"{path}/orders", ("order_number", "sap_system"),
-                                "message_timestamp", "month"),
-        ("INVOIC",): jobs.Route(lambda r: month(extract.extract_invoices(r, as_of=t.as_of),
+                                "message_timestamp", "year_start"),
+        ("INVOIC",): jobs.Route(lambda r: yearly(extract.extract_invoices(r, as_of=t.as_of),
                                                 "invoice_date"),
                                 f"{path}/invoices", ("invoice_number", "sap_system"),
-                                "message_timestamp", "month"),
+                                "message_timestamp", "year_start"),
     }
     # the second run meets only rows that are stored already
     for run in ("first", "again"):

@@ -16,23 +16,35 @@ from waybill.functions.scalars import first_filled
 C = F.col
 
 
-def parsed(raw: DataFrame) -> DataFrame:
-    """Adds ``_c`` and ``_d``: control record and payload as VARIANT; bad JSON gives null."""
-    return raw.withColumns({"_c": F.try_parse_json("control"), "_d": F.try_parse_json("data")})
-
-
-def segments(name: str, payload: Column | str = "_d") -> Column:
-    """All entries of a segment as an array; empty when the segment is missing."""
-    v = C(payload) if isinstance(payload, str) else payload
-    one = F.try_variant_get(v, f"$.{name}", "variant")
-    many = F.try_variant_get(v, f"$.{name}", "array<variant>")
+def _entries(name: str) -> Column:
+    """Entries of a segment as an array; empty when the segment is missing."""
+    one = F.try_variant_get("_d", f"$.{name}", "variant")
+    many = F.try_variant_get("_d", f"$.{name}", "array<variant>")
     none = F.array().cast("array<variant>")
     return F.coalesce(many, F.when(one.isNotNull() & ~F.is_variant_null(one), F.array(one)), none)
 
 
-def head(name: str, payload: Column | str = "_d") -> Column:
-    """First entry of a segment."""
-    return F.get(segments(name, payload), F.lit(0))
+def parsed(raw: DataFrame, *names: str) -> DataFrame:
+    """Adds control record and payload as VARIANT (``_c``, ``_d``) and the named segments.
+
+    Each segment becomes an array column, and its first entry a column of its own, in separate
+    steps: every field is then read from an entry that was located once. Bad JSON gives null.
+    """
+    out = raw.withColumns({"_c": F.try_parse_json("control"), "_d": F.try_parse_json("data")})
+    if not names:
+        return out
+    out = out.withColumns({f"_s_{n}": _entries(n) for n in names})
+    return out.withColumns({f"_h_{n}": F.get(f"_s_{n}", F.lit(0)) for n in names})
+
+
+def segments(name: str) -> Column:
+    """All entries of a segment named in ``parsed``."""
+    return C(f"_s_{name}")
+
+
+def head(name: str) -> Column:
+    """First entry of a segment named in ``parsed``."""
+    return C(f"_h_{name}")
 
 
 def field(entry: Column, name: str) -> Column:
@@ -40,14 +52,14 @@ def field(entry: Column, name: str) -> Column:
     return F.try_variant_get(entry, f"$.{name}", "string")
 
 
-def pick(name: str, key: str, value: str, payload: Column | str = "_d") -> Column:
+def pick(name: str, key: str, value: str) -> Column:
     """First entry of a segment whose ``key`` has ``value``."""
-    return F.get(F.filter(segments(name, payload), lambda s: field(s, key) == value), F.lit(0))
+    return F.get(F.filter(segments(name), lambda s: field(s, key) == value), F.lit(0))
 
 
-def only(name: str, segment: str, payload: Column | str = "_d") -> Column:
+def only(name: str, segment: str) -> Column:
     """Entries of one kind from an array that mixes a segment with its children."""
-    return F.filter(segments(name, payload), lambda s: field(s, "segnam") == segment)
+    return F.filter(segments(name), lambda s: field(s, "segnam") == segment)
 
 
 def number(text: Column, kind: str = "decimal(18,2)") -> Column:

@@ -50,8 +50,10 @@ def _control(name: str) -> Column:
     return field(C("_c"), name)
 
 
-def _of(raw: DataFrame, *kinds: str) -> DataFrame:
-    return parsed(raw.filter(C("message_type").isin(*kinds)))
+def _of(raw: DataFrame, kinds: str | tuple[str, ...], *names: str) -> DataFrame:
+    """Messages of the given kinds, parsed, with the named segments located."""
+    wanted = (kinds,) if isinstance(kinds, str) else kinds
+    return parsed(raw.filter(C("message_type").isin(*wanted)), *names)
 
 
 def _meta() -> list[Column]:
@@ -79,11 +81,9 @@ def message_summary(raw: DataFrame) -> DataFrame:
                               header(C("_c")).alias("header"))
 
 
-def access_scope() -> Column:
-    """Scope from the message, or the default of its type; unknown types have none."""
-    given = any_field((head("E1SHP00"), "partner_access_scope"),
-                      (head("E1EDK01"), "partner_access_scope"),
-                      (head("E1WHC00"), "partner_access_scope"), default=None)
+def access_scope(*names: str) -> Column:
+    """Scope from the header segments, or the default of the type; unknown types have none."""
+    given = any_field(*[(head(n), "partner_access_scope") for n in names], default=None)
     known = lookup(DEFAULT_SCOPES, C("message_type"))
     return F.when(known.isNull(), "").otherwise(F.coalesce(given, known))
 
@@ -91,7 +91,7 @@ def access_scope() -> Column:
 def partner_summary(raw: DataFrame) -> DataFrame:
     """Message summary with carrier, customer, warehouse partner and access scope."""
     ship, doc, whs = head("E1SHP00"), head("E1EDK01"), head("E1WHC00")
-    return parsed(raw).select(
+    return parsed(raw, "E1SHP00", "E1EDK01", "E1WHC00").select(
         "timestamp", "idoc_type", "message_type", "sap_system",
         _control("docnum").alias("idoc_number"), header(C("_c")).alias("header"),
         any_field((ship, "carrier_id"), (ship, "tdlnr"), (doc, "carrier_id")).alias("carrier_id"),
@@ -100,7 +100,7 @@ def partner_summary(raw: DataFrame) -> DataFrame:
         any_field((ship, "customer_name"), (doc, "customer_name")).alias("customer_name"),
         any_field((whs, "warehouse_partner_id")).alias("warehouse_partner_id"),
         any_field((whs, "warehouse_partner_name")).alias("warehouse_partner_name"),
-        access_scope().alias("partner_access_scope"))
+        access_scope("E1SHP00", "E1EDK01", "E1WHC00").alias("partner_access_scope"))
 
 
 # ---------------------------------------------------------------- orders
@@ -148,10 +148,10 @@ HEAD_ORDER = {
 
 def extract_orders_header(raw: DataFrame) -> DataFrame:
     """Orders with partner columns, from the header segment only."""
-    return _of(raw, "ORDERS").select(
+    return _of(raw, "ORDERS", "E1EDK01").select(
         _control("docnum").alias("order_number"), F.lit("").alias("ship_to_party"),
         *columns(take(head("E1EDK01"), HEAD_ORDER)),
-        access_scope().alias("partner_access_scope"), *_meta())
+        access_scope("E1EDK01").alias("partner_access_scope"), *_meta())
 
 
 ADDRESS = {"ship_to_name": ("name1", "text"), "ship_to_street": ("stras", "text"),
@@ -172,7 +172,8 @@ def extract_orders(raw: DataFrame, *, as_of, sla: SlaPolicy = SLA_PRESETS["defau
     now = as_ts(as_of)
     doc = head("E1EDK01")
     ordered, wanted = pick("E1EDK03", "iddat", "012"), pick("E1EDK03", "iddat", "002")
-    base = _of(raw, "ORDERS").withColumns({
+    base = _of(raw, "ORDERS", "E1EDK01", "E1EDK03", "E1EDS01", "E1EDKA1", "E1EDP01").withColumns({
+        "_ship_to": pick("E1EDKA1", "parvw", "WE"),
         "order_date": moment(field(ordered, "datum"), field(ordered, "uzeit")),
         "total_amount": number(field(pick("E1EDS01", "sumid", "001"), "summe")),
         "tax_amount": number(field(pick("E1EDS01", "sumid", "011"), "summe")),
@@ -192,11 +193,11 @@ def extract_orders(raw: DataFrame, *, as_of, sla: SlaPolicy = SLA_PRESETS["defau
         age.alias("order_age_hours"), (age > sla.limit).alias("is_delayed"),
         F.lit(sla_hours).alias("sla_target_hours"),
         sla_class(C("order_date"), None, now, sla).alias("sla_status"),
-        *columns(take(pick("E1EDKA1", "parvw", "WE"), ADDRESS)),
+        *columns(take(C("_ship_to"), ADDRESS)),
         F.size(only("E1EDP01", "E1EDP01")).alias("total_lines"),
         _item_sum("E1EDP01", "E1EDP01", "menge").alias("total_quantity"),
         number(field(doc, "ntgew"), "decimal(15,3)").alias("total_weight_kg"),
-        access_scope().alias("partner_access_scope"), *_meta())
+        access_scope("E1EDK01").alias("partner_access_scope"), *_meta())
 
 
 ITEM = {"item_number": ("posex", "text"), "material_id": ("matnr", "text"),
@@ -207,7 +208,7 @@ ITEM = {"item_number": ("posex", "text"), "material_id": ("matnr", "text"),
 
 def extract_order_items(raw: DataFrame) -> DataFrame:
     """One row per order line; child segments in the same array are left out."""
-    items = _of(raw, "ORDERS").select(
+    items = _of(raw, "ORDERS", "E1EDK01", "E1EDP01").select(
         field(head("E1EDK01"), "belnr").alias("order_number"), "sap_system",
         F.posexplode(only("E1EDP01", "E1EDP01")).alias("position", "_item"))
     return items.select("order_number", "sap_system", (C("position") + 1).alias("position"),
@@ -289,7 +290,7 @@ FLAT_SHIPMENT = {
 
 def extract_shipments_flat(raw: DataFrame) -> DataFrame:
     """Shipments and deliveries from payloads without segments."""
-    return _of(raw, "SHPMNT", "DESADV").select(
+    return _of(raw, ("SHPMNT", "DESADV")).select(
         _control("docnum").alias("shipment_number"), *columns(take(C("_d"), FLAT_SHIPMENT)),
         *_meta(), C("control").alias("raw_control"), C("data").alias("raw_data"),
     ).withColumns(_shipment_facts())
@@ -306,7 +307,8 @@ def extract_shipments(raw: DataFrame,
     started = moment(field(ship, "datbg"), field(ship, "uatbg"))
     ended = moment(field(ship, "daten"), field(ship, "uaten"))
     planned_ship = moment(any_field((ship, "planned_ship_date"), (doc, "bldat"), default=None))
-    return _of(raw, "SHPMNT", "DESADV").select(
+    return _of(raw, ("SHPMNT", "DESADV"), "E1SHP00", "E1EDK01", "E1SHP01", "E1SHP02", "E1EDK14",
+               "E1EDKA1").select(
         any_field((ship, "tknum"), (C("_c"), "docnum")).alias("shipment_number"),
         any_field((ship, "signi"), (doc, "traid")).alias("tracking_number"),
         any_field((ship, "order_id")).alias("order_number"),
@@ -322,7 +324,7 @@ def extract_shipments(raw: DataFrame,
         field(ship, "vsart").alias("transport_mode"),
         any_field((ship, "customer_id"), (doc, "customer_id")).alias("customer_id"),
         any_field((ship, "customer_name"), (doc, "customer_name")).alias("customer_name"),
-        access_scope().alias("partner_access_scope"),
+        access_scope("E1SHP00", "E1EDK01").alias("partner_access_scope"),
         F.coalesce(planned_ship, started).alias("planned_ship_date"),
         F.coalesce(moment(field(ship, "actual_ship_date")), started).alias("actual_ship_date"),
         F.coalesce(moment(field(ship, "planned_delivery_date")), ended)
@@ -347,7 +349,7 @@ EVENT = {"event_type": ("tstyp", "text"), "status_code": ("tsrst", "text"),
 
 def extract_tracking_events(raw: DataFrame) -> DataFrame:
     """One row per tracking event with its sequence number and time."""
-    events = _of(raw, "SHPMNT").select(
+    events = _of(raw, "SHPMNT", "E1SHP00", "E1SHP10").select(
         field(head("E1SHP00"), "tknum").alias("shipment_number"), "sap_system",
         F.posexplode(segments("E1SHP10")).alias("_pos", "_event"))
     return events.select(
@@ -366,7 +368,7 @@ def extract_deliveries(raw: DataFrame) -> DataFrame:
     def count_of(kind: str) -> Column:
         return F.size(F.filter(units, lambda s: F.upper(field(s, "vhilm")) == kind))
 
-    return _of(raw, "DESADV").select(
+    return _of(raw, "DESADV", "E1EDK01", "E1EDK03", "E1EDK14", "E1EDL20", "E1EDL37").select(
         field(doc, "belnr").alias("delivery_number"),
         F.coalesce(moment(field(date, "datum"), field(date, "uzeit")), moment(field(doc, "bldat")))
         .alias("delivery_date"),
@@ -383,7 +385,7 @@ def extract_deliveries(raw: DataFrame) -> DataFrame:
         F.size(segments("E1EDL20")).alias("item_count"),
         _item_sum("E1EDL20", "E1EDL20", "lfimg").alias("total_quantity"),
         count_of("PALLET").alias("total_pallets"), count_of("CARTON").alias("total_cartons"),
-        access_scope().alias("partner_access_scope"), *_meta())
+        access_scope("E1EDK01").alias("partner_access_scope"), *_meta())
 
 
 # ---------------------------------------------------------------- warehouse
@@ -438,14 +440,14 @@ def _movement_time() -> Column:
 def extract_warehouse_header(raw: DataFrame) -> DataFrame:
     """Movements with partner columns, from the header segment only."""
     h = head("E1WHC00")
-    return _of(raw, "WHSCON").select(
+    return _of(raw, "WHSCON", "E1WHC00").select(
         *columns(take(h, HEAD_MOVEMENT)), field(h, "matnr").alias("material_id"),
         number(field(h, "menge"), "int").alias("quantity"),
         field(h, "meins").alias("unit_of_measure"),
         number(field(h, "brgew"), "decimal(15,3)").alias("weight_kg"),
         _movement_time().alias("movement_timestamp"),
         moment(field(h, "confdat")).alias("confirmation_date"),
-        access_scope().alias("partner_access_scope"), *_meta())
+        access_scope("E1WHC00").alias("partner_access_scope"), *_meta())
 
 
 MOVED_ITEM = {
@@ -465,7 +467,7 @@ def extract_warehouse_items(raw: DataFrame, *, keep_empty: bool = False) -> Data
     ``keep_empty`` keeps movements without items as one row.
     """
     h = head("E1WHC00")
-    base = _of(raw, "WHSCON")
+    base = _of(raw, "WHSCON", "E1WHC00", "E1WHC01", "E1WHC10", "E1WHC20", "E1WHC30", "E1WHC40")
     explode = F.explode_outer if keep_empty else F.explode
     items = base.select("*", explode(only("E1WHC10", "E1WHC10")).alias("_item"))
     no = field(C("_item"), "itemno")
@@ -477,8 +479,9 @@ def extract_warehouse_items(raw: DataFrame, *, keep_empty: bool = False) -> Data
         return F.get(F.filter(segments("E1WHC20"), lambda s: field(s, "restype") == kind),
                      F.lit(0))
 
-    bins, serials = children("E1WHC13"), children("E1WHC11")
-    faults = children("E1WHC40", "E1WHC40")
+    items = items.withColumns({"_bin": F.get(children("E1WHC13"), F.lit(0)),
+                               "_faults": children("E1WHC40", "E1WHC40")})
+    serials, bins, faults = children("E1WHC11"), C("_bin"), C("_faults")
     fault = F.get(faults, F.lit(0))
     partner = any_field((h, "warehouse_partner_id"))
     seconds = number(field(head("E1WHC01"), "duration"), "decimal(15,3)")
@@ -487,9 +490,9 @@ def extract_warehouse_items(raw: DataFrame, *, keep_empty: bool = False) -> Data
         _movement_time().alias("movement_timestamp"), *columns(take(C("_item"), MOVED_ITEM)),
         F.nullif(F.array_join(F.transform(serials, lambda s: field(s, "sernr")), ","), F.lit(""))
         .alias("serial_numbers"),
-        field(F.get(bins, F.lit(0)), "lgpla").alias("source_bin"),
-        field(F.get(bins, F.lit(0)), "nlpla").alias("destination_bin"),
-        field(F.get(bins, F.lit(0)), "lgtyp").alias("storage_type"),
+        field(bins, "lgpla").alias("source_bin"),
+        field(bins, "nlpla").alias("destination_bin"),
+        field(bins, "lgtyp").alias("storage_type"),
         F.round(seconds / 60, 2).alias("processing_time_minutes"),
         field(resource("EQUIPMENT"), "resid").alias("equipment_id"),
         number(field(resource("LABOR"), "efficiency"), "decimal(5,2)")
@@ -498,12 +501,12 @@ def extract_warehouse_items(raw: DataFrame, *, keep_empty: bool = False) -> Data
         (F.size(faults) > 0).alias("has_exception"),
         field(fault, "excptype").alias("exception_type"),
         field(fault, "reason").alias("exception_reason"),
-        access_scope().alias("partner_access_scope"), *_meta())
+        access_scope("E1WHC00").alias("partner_access_scope"), *_meta())
 
 
 def movements_without_items(raw: DataFrame) -> DataFrame:
     """Movements the item explosion leaves out, to be counted."""
-    return _of(raw, "WHSCON").filter(F.size(only("E1WHC10", "E1WHC10")) == 0).select(
+    return _of(raw, "WHSCON", "E1WHC10").filter(F.size(only("E1WHC10", "E1WHC10")) == 0).select(
         _control("docnum").alias("idoc_number"), "sap_system")
 
 
@@ -563,8 +566,8 @@ HEAD_INVOICE = {
 
 def extract_invoices_header(raw: DataFrame) -> DataFrame:
     """Invoices with partner columns, from the header segment only."""
-    return _of(raw, "INVOIC").select(*columns(take(head("E1EDK01"), HEAD_INVOICE)),
-                                     access_scope().alias("partner_access_scope"), *_meta())
+    return _of(raw, "INVOIC", "E1EDK01").select(*columns(take(head("E1EDK01"), HEAD_INVOICE)),
+                                                access_scope("E1EDK01").alias("partner_access_scope"), *_meta())
 
 
 def extract_invoices(raw: DataFrame, *, as_of, payments: DataFrame | None = None,
@@ -580,7 +583,7 @@ def extract_invoices(raw: DataFrame, *, as_of, payments: DataFrame | None = None
     def amount(kind: str) -> Column:
         return number(field(pick("E1EDS01", "sumid", kind), "summe"))
 
-    base = _of(raw, "INVOIC").select(
+    base = _of(raw, "INVOIC", "E1EDK01", "E1EDK03", "E1EDK14", "E1EDS01").select(
         field(doc, "belnr").alias("invoice_number"),
         F.coalesce(moment(field(issued, "datum"), field(issued, "uzeit")),
                    moment(field(doc, "bldat"))).alias("invoice_date"),
@@ -591,7 +594,7 @@ def extract_invoices(raw: DataFrame, *, as_of, payments: DataFrame | None = None
         amount("001").alias("total_amount"), field(doc, "curcy").alias("currency"),
         field(doc, "zterm").alias("payment_terms"),
         moment(field(due, "datum"), field(due, "uzeit")).alias("due_date"),
-        access_scope().alias("partner_access_scope"), *_meta())
+        access_scope("E1EDK01").alias("partner_access_scope"), *_meta())
     if payments is None:
         base = base.withColumns({"amount_paid": F.lit(0).cast("decimal(18,2)"),
                                  "payment_date": F.lit(None).cast("timestamp")})

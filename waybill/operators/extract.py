@@ -472,15 +472,17 @@ def extract_warehouse_items(raw: DataFrame, *, keep_empty: bool = False) -> Data
     items = base.select("*", explode(only("E1WHC10", "E1WHC10")).alias("_item"))
     no = field(C("_item"), "itemno")
 
-    def children(segment: str, array: str = "E1WHC10") -> Column:
-        return F.filter(only(array, segment), lambda s: field(s, "itemno") == no)
+    def children(segment: str) -> Column:
+        return F.filter(only("E1WHC10", segment), lambda s: field(s, "itemno") == no)
 
     def resource(kind: str) -> Column:
         return F.get(F.filter(segments("E1WHC20"), lambda s: field(s, "restype") == kind),
                      F.lit(0))
 
     items = items.withColumns({"_bin": F.get(children("E1WHC13"), F.lit(0)),
-                               "_faults": children("E1WHC40", "E1WHC40")})
+                               # exceptions have an array of their own
+                               "_faults": F.filter(segments("E1WHC40"),
+                                                   lambda s: field(s, "itemno") == no)})
     serials, bins, faults = children("E1WHC11"), C("_bin"), C("_faults")
     fault = F.get(faults, F.lit(0))
     partner = any_field((h, "warehouse_partner_id"))

@@ -74,10 +74,10 @@ def moment(date: Column, time: Column | None = None) -> Column:
     """Timestamp from yyyyMMdd with optional HHmmss, or from ISO text; bad text gives null."""
     clock = F.coalesce(F.nullif(time, F.lit("")), F.lit("000000")) if time is not None \
         else F.lit("000000")
-    compact = date.rlike("^[0-9]{8}$")
-    joined = F.when(compact, F.concat(date, clock)).when(date.rlike("^[0-9]{14}$"), date)
-    iso = F.when(joined.isNull(), date.try_cast("timestamp"))
-    return F.coalesce(F.try_to_timestamp(joined, F.lit("yyyyMMddHHmmss")), iso)
+    size = F.length(date)
+    joined = F.when(size == 8, F.concat(date, clock)).when(size == 14, date)
+    return F.coalesce(F.try_to_timestamp(joined, F.lit("yyyyMMddHHmmss")),
+                      date.try_cast("timestamp"))
 
 
 CONVERT = {

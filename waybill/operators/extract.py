@@ -34,6 +34,7 @@ from waybill.functions.payload import (
     pick,
     segments,
     take,
+    with_flat,
 )
 from waybill.functions.policies import (
     DEFAULT_SCOPES,
@@ -56,6 +57,12 @@ def _of(raw: DataFrame, kinds: str | tuple[str, ...], *names: str) -> DataFrame:
     return parsed(raw.filter(C("message_type").isin(*wanted)), *names)
 
 
+def _flat(raw: DataFrame, kinds: str | tuple[str, ...], spec: Mapping[str, tuple[str, str]],
+          *more: str) -> DataFrame:
+    """Messages of the given kinds with the top-level fields of ``spec`` and ``more``."""
+    return with_flat(_of(raw, kinds), [*(path for path, _ in spec.values()), *more])
+
+
 def _meta() -> list[Column]:
     return [C("sap_system"), C("idoc_type"), _control("docnum").alias("idoc_number"),
             C("timestamp").alias("message_timestamp")]
@@ -123,10 +130,10 @@ def extract_orders_flat(raw: DataFrame, *, as_of,
     now = as_ts(as_of)
     created = moment(_control("credat"), _control("cretim"))
     age = diff_boundary("hour", now, C("order_date"))
-    base = _of(raw, "ORDERS").withColumn("order_date", created)
+    base = _flat(raw, "ORDERS", FLAT_ORDER).withColumn("order_date", created)
     return base.select(
         _control("docnum").alias("order_number"), F.lit(1).alias("order_version"), "order_date",
-        *columns(take(C("_d"), FLAT_ORDER)), _control("status").alias("order_status"),
+        *columns(take(C("_f"), FLAT_ORDER)), _control("status").alias("order_status"),
         now.alias("last_modified"), age.cast("double").alias("order_age_hours"),
         (age > sla.limit).alias("is_delayed"),
         sla_class(C("order_date"), None, now, sla).alias("sla_status"),
@@ -290,8 +297,8 @@ FLAT_SHIPMENT = {
 
 def extract_shipments_flat(raw: DataFrame) -> DataFrame:
     """Shipments and deliveries from payloads without segments."""
-    return _of(raw, ("SHPMNT", "DESADV")).select(
-        _control("docnum").alias("shipment_number"), *columns(take(C("_d"), FLAT_SHIPMENT)),
+    return _flat(raw, ("SHPMNT", "DESADV"), FLAT_SHIPMENT).select(
+        _control("docnum").alias("shipment_number"), *columns(take(C("_f"), FLAT_SHIPMENT)),
         *_meta(), C("control").alias("raw_control"), C("data").alias("raw_data"),
     ).withColumns(_shipment_facts())
 
@@ -412,12 +419,12 @@ FLAT_MOVEMENT = {
 def extract_warehouse_flat(raw: DataFrame) -> DataFrame:
     """Movements from payloads without segments, with processing minutes and exception flag."""
     started = moment(_control("credat"), _control("cretim"))
-    done = moment(field(C("_d"), "completed_time"))
-    flagged = (F.coalesce(field(C("_d"), "exception_flag") == "X", F.lit(False))
+    done = moment(field(C("_f"), "completed_time"))
+    flagged = (F.coalesce(field(C("_f"), "exception_flag") == "X", F.lit(False))
                | F.coalesce(_control("status") != "03", F.lit(True)))
-    return _of(raw, "WHSCON").select(
+    return _flat(raw, "WHSCON", FLAT_MOVEMENT, "completed_time", "exception_flag").select(
         _control("docnum").alias("movement_id"), started.alias("movement_timestamp"),
-        _control("status").alias("movement_status"), *columns(take(C("_d"), FLAT_MOVEMENT)),
+        _control("status").alias("movement_status"), *columns(take(C("_f"), FLAT_MOVEMENT)),
         diff_boundary("minute", done, started).alias("processing_time_minutes"),
         flagged.alias("exception_flag"), *_meta(), C("control").alias("raw_control"),
         C("data").alias("raw_data"))
@@ -540,8 +547,8 @@ def extract_invoices_flat(raw: DataFrame, *, as_of, efficiency: str = "binary")
     zero = F.lit(0).cast("decimal(18,2)")
     total = (C("subtotal_amount") + C("tax_amount") - F.coalesce("discount_amount", zero)
              + F.coalesce("shipping_charges", zero)).cast("decimal(18,2)")
-    base = _of(raw, "INVOIC").select(
-        _control("docnum").alias("invoice_id"), *columns(take(C("_d"), FLAT_INVOICE)), *_meta())
+    base = _flat(raw, "INVOIC", FLAT_INVOICE).select(
+        _control("docnum").alias("invoice_id"), *columns(take(C("_f"), FLAT_INVOICE)), *_meta())
     base = base.withColumn("total_amount", total).withColumns({
         "amount_due": (C("total_amount") - F.coalesce("amount_paid", zero)).cast("decimal(18,2)"),
         "days_to_due": diff_boundary("day", C("due_date"), now),

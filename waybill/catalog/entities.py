@@ -358,3 +358,40 @@ def _(t):
     return access_without_partner(log, "partner", as_of=t.message_as_of).drop("partner")
 
 
+
+
+RUNS = """runs AS (SELECT sap_system AS rule_id, d::TIMESTAMP AS checked_at,
+  CASE WHEN count(*) FILTER (WHERE event_type = 'error') * 100 > count(*) * 20 THEN 'Fail'
+    ELSE 'Pass' END AS status
+  FROM (SELECT CASE user_id % 3 WHEN 0 THEN 'PRD' WHEN 1 THEN 'QAS' ELSE 'DEV' END AS sap_system,
+    event_type, ts::DATE AS d FROM events) GROUP BY 1, 2)"""
+
+
+def _scored(cond: str) -> str:
+    return pct(cnt(f"status = 'Pass' AND {cond}"), cnt(cond))
+
+
+WEEK = f"checked_at > {MNOW} - INTERVAL 7 DAY"
+WEEK_BEFORE = f"checked_at BETWEEN {MNOW} - INTERVAL 14 DAY AND {MNOW} - INTERVAL 7 DAY"
+
+
+@query("gov_8_weekly_report", sql=f"""
+WITH {RUNS}, s AS (SELECT {_scored(WEEK)} AS now, {_scored(WEEK_BEFORE)} AS before FROM runs),
+  n AS (SELECT rule_id, max_by(status, checked_at) AS last,
+    bool_or({WEEK_BEFORE} AND status = 'Fail') AS failed FROM runs
+    WHERE checked_at > {MNOW} - INTERVAL 14 DAY GROUP BY 1),
+  a AS (SELECT * FROM events WHERE ts > {MNOW} - INTERVAL 7 DAY)
+SELECT CAST({MNOW} AS DATE)::VARCHAR AS report_date, now AS quality_score,
+  (round(now * 100) - round(before * 100)) / 100 AS score_change,
+  (SELECT {cnt("last = 'Fail'")} FROM n) AS open_issues,
+  (SELECT {cnt("last = 'Pass' AND failed")} FROM n) AS resolved_issues,
+  (SELECT count(*) FROM a) AS api_calls, (SELECT count(DISTINCT user_id) FROM a) AS unique_users,
+  (SELECT {cnt("event_type = 'error'")} FROM a) AS access_violations FROM s""")
+def _(t):
+    bad = F.count_if(C("message_type") == "DESADV")
+    results = t.raw.groupBy(C("sap_system").alias("rule_id"),
+                            F.to_date("timestamp").cast("timestamp").alias("checked_at")).agg(
+        F.when(bad * 100 > F.count("*") * 20, "Fail").otherwise("Pass").alias("status"))
+    access = t.raw.select(C("timestamp").alias("ts"), C("sender").alias("user"),
+                          F.when(C("message_type") != "DESADV", C("sap_system")).alias("partner"))
+    return gov.weekly_report(results, access, as_of=t.message_as_of)

@@ -550,3 +550,94 @@ def _(t):
 def _(t):
     return q.failure_counts(gold.sla_daily(t.orders), {
         "score_range": ~C("overall_performance_score").between(0, 100)})
+
+
+# ---------------------------------------------------------------- locations, freshness, contract
+
+def located(t):
+    """Movements with a four-part location; movements with an exception lack the bin."""
+    return t.warehouse.withColumns({
+        "aisle": C("location_code"), "shelf": C("equipment_id"),
+        "bin_location": F.when(C("exception_flag"), "").otherwise(C("operator_id"))})
+
+
+def single(rule: q.Rule, source: str, bad: str) -> str:
+    BAD[rule.id] = (source, bad)
+    return rule_sql(rule)
+
+
+@query("dq_whs_003", views="s_warehouse",
+       sql=single(q.LOCATION_RULE, "s_warehouse", "exception_flag"))
+def _(t):
+    return q.run_rules({"warehouse": located(t)}, [q.LOCATION_RULE], as_of=t.as_of)
+
+
+@query("dq_gld_001", views="raw", sql=single(
+    q.GOLD_FRESH_RULE, "(SELECT sap_system, message_type, max(ingestion_time) AS newest FROM raw "
+    "GROUP BY 1, 2)", f"date_diff('minute', newest, {MNOW}) > 5"))
+def _(t):
+    status = t.raw.groupBy("sap_system", "message_type").agg(
+        F.max("ingestion_time").alias("processed_timestamp"))
+    return q.run_rules({"gold_status": status}, [q.GOLD_FRESH_RULE], as_of=t.message_as_of)
+
+
+MESSAGE_RESULTS = " UNION ALL ".join(rule_sql(r) for r in q.MESSAGE_RULES)
+ORDER_RESULTS = " UNION ALL ".join(rule_sql(r) for r in q.ORDER_RULES)
+
+
+@query("dqa_3_trend", views="raw s_orders", sql=f"""
+WITH runs AS (SELECT '2024-01-30' AS day, {pct(cnt("status = 'Pass'"), 'count(*)')} AS s
+    FROM ({MESSAGE_RESULTS})
+  UNION ALL SELECT '2024-01-30', {pct(cnt("status = 'Pass'"), 'count(*)')} FROM ({ORDER_RESULTS})
+  UNION ALL SELECT '2024-01-31', {pct(cnt("status = 'Pass'"), 'count(*)')}
+    FROM ({MESSAGE_RESULTS} UNION ALL {ORDER_RESULTS}))
+SELECT day, round(avg(s), 2) AS quality_score, min(s) AS min_score, max(s) AS max_score,
+  count(*) AS runs FROM runs GROUP BY day""")
+def _(t):
+    def run(rules, at):
+        return q.run_rules(Frames(t), rules, as_of=t.as_of).withColumn(
+            "checked_at", F.lit(at).cast("timestamp"))
+
+    history = run(q.MESSAGE_RULES, "2024-01-30 01:00:00").unionByName(
+        run(q.ORDER_RULES, "2024-01-30 02:00:00")).unionByName(
+        run((*q.MESSAGE_RULES, *q.ORDER_RULES), "2024-01-31 01:00:00"))
+    return q.trend(history, "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+
+
+CONTRACT = (
+    q.Field("shipment_number", "string", required=True, unique=True),
+    q.Field("carrier_id", "string", required=True,
+            values=tuple(f"CARRIER-{i}" for i in range(19))),
+    q.Field("actual_ship_date", "timestamp", required=True, future_allowed=False),
+    q.Field("total_weight_kg", "double"),
+    q.Field("weight_unit", "string", required=True))
+
+
+@query("dq_ctr_contract", views="s_shipments", sql=f"""
+WITH m AS (SELECT {pct('count(shipment_number)', 'count(*)')} AS c1,
+    {pct('count(carrier_id)', 'count(*)')} AS c2, {pct('count(actual_ship_date)', 'count(*)')} AS c3,
+    {pct('count(DISTINCT shipment_number)', 'count(*)')} AS u1,
+    {pct(cnt("carrier_id <> 'CARRIER-19'"), 'count(carrier_id)')} AS v1,
+    {cnt(f'actual_ship_date > {NOW}')} AS f1,
+    {pct('count(*) - ' + cnt('actual_delivery_date < actual_ship_date'), 'count(*)')} AS a1,
+    {pct(cnt('total_weight_kg > 1'), 'count(*)')} AS a2,
+    date_diff('minute', max(actual_ship_date), {NOW}) AS fresh FROM s_shipments)
+SELECT v.* FROM m, LATERAL (VALUES
+  ('schema', 'shipment_number', 'Pass'), ('schema', 'carrier_id', 'Pass'),
+  ('schema', 'actual_ship_date', 'Pass'), ('schema', 'total_weight_kg', 'Fail'),
+  ('schema', 'weight_unit', 'Fail'),
+  ('completeness', 'shipment_number', CASE WHEN c1 >= 99.5 THEN 'Pass' ELSE 'Fail' END),
+  ('completeness', 'carrier_id', CASE WHEN c2 >= 99.5 THEN 'Pass' ELSE 'Fail' END),
+  ('completeness', 'actual_ship_date', CASE WHEN c3 >= 99.5 THEN 'Pass' ELSE 'Fail' END),
+  ('uniqueness', 'shipment_number', CASE WHEN u1 >= 100 THEN 'Pass' ELSE 'Fail' END),
+  ('values', 'carrier_id', CASE WHEN v1 >= 100 THEN 'Pass' ELSE 'Fail' END),
+  ('future', 'actual_ship_date', CASE WHEN f1 <= 0 THEN 'Pass' ELSE 'Fail' END),
+  ('accuracy', 'delivery after ship', CASE WHEN a1 >= 99 THEN 'Pass' ELSE 'Fail' END),
+  ('accuracy', 'weight above one', CASE WHEN a2 >= 99 THEN 'Pass' ELSE 'Fail' END),
+  ('freshness', 'actual_ship_date', CASE WHEN fresh <= 5 THEN 'Pass' ELSE 'Fail' END))
+  AS v(part, subject, status)""")
+def _(t):
+    return q.check_contract(t.shipments, CONTRACT, {
+        "delivery after ship": C("actual_delivery_date") >= C("actual_ship_date"),
+        "weight above one": C("total_weight_kg") > 1}, as_of=t.as_of,
+        fresh=("actual_ship_date", 5)).select("part", "subject", "status")

@@ -462,7 +462,7 @@ SELECT order_day, sap_system, sla_status, total_orders, total_revenue, avg_order
 FROM (SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA}
       FROM s_orders GROUP BY ALL) WHERE total_revenue > 1000000""")
 def _(t):
-    daily = gold.orders_by_sla(t.orders)
+    daily = gold.orders_by_sla(t.order_facts)
     return daily.filter(ask.condition(daily, {"total_revenue": {"gt": 1000000}})).select(
         "order_day", "sap_system", "sla_status", "total_orders", "total_revenue",
         "avg_order_value")

@@ -67,14 +67,14 @@ BY_SLA = f"""count(*) AS total_orders, {stat('Delivered')} AS delivered_orders,
 SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA}
 FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_by_sla(t.orders)
+    return gold.orders_by_sla(t.order_facts)
 
 
 @query("gld_2_orders_by_scope", views="s_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, partner_access_scope, {BY_SLA}
 FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_by_sla(t.orders, ("sap_system", "sla_status", "partner_access_scope"))
+    return gold.orders_by_sla(t.order_facts, ("sap_system", "sla_status", "partner_access_scope"))
 
 
 @query("gld_3_orders_lab", views="s_orders", sql=f"""
@@ -83,7 +83,7 @@ SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA},
   {pct(stat('Pending'), 'count(*)')} AS pending_rate_pct
 FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_by_sla(t.orders, shipped_and_pending=True)
+    return gold.orders_by_sla(t.order_facts, shipped_and_pending=True)
 
 
 @query("gld_4_orders_by_customer", views="s_orders", sql=f"""
@@ -127,7 +127,7 @@ FROM s_orders GROUP BY ALL)"""
 
 @query("gld_5_sla_daily", views="s_orders", sql=SLA_DAILY)
 def _(t):
-    return gold.sla_daily(t.orders)
+    return gold.sla_daily(t.order_facts)
 
 
 def avg_h(column: str) -> str:
@@ -148,7 +148,7 @@ FROM (SELECT sap_system, sum(total_orders)::BIGINT AS total_orders,
   {avg_h('completion_rate')} AS avg_completion_rate
 FROM daily WHERE performance_date::DATE >= CAST({NOW} AS DATE) - 365 GROUP BY sap_system)""")
 def _(t):
-    return gold.sla_summary(gold.sla_daily(t.orders), 365, as_of=t.as_of)
+    return gold.sla_summary(gold.sla_daily(t.order_facts), 365, as_of=t.as_of)
 
 
 PER_ORDER = f"""
@@ -174,7 +174,7 @@ FROM (SELECT o.*, s.carrier_name, s.last_delivery,
 
 @query("gld_7_sla_per_order", views="s_orders s_shipments", sql=PER_ORDER)
 def _(t):
-    return gold.sla_per_order(t.orders, t.shipments, as_of=t.as_of)
+    return gold.sla_per_order(t.order_facts, t.shipments, as_of=t.as_of)
 
 
 TRANSIT = "(shipment_status = 'In Transit' OR (actual_ship_date IS NOT NULL AND " \
@@ -437,7 +437,7 @@ SELECT {ORDER_DAY} AS order_day, sap_system, count(*) AS total_orders,
   count(DISTINCT customer_id) AS unique_customers
 FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_volume(t.orders)
+    return gold.orders_volume(t.order_facts)
 
 
 @query("gld_18_sla_overview", views="s_orders", sql=f"""
@@ -448,7 +448,7 @@ SELECT {ORDER_DAY} AS performance_day, sap_system, count(*) AS total_orders,
   {avg('order_age_hours')} AS avg_order_age_hours, max(order_age_hours) AS max_order_age_hours
 FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.sla_overview(t.orders)
+    return gold.sla_overview(t.order_facts)
 
 
 @query("gld_18_warehouse_throughput", views="s_warehouse", sql=f"""
@@ -488,7 +488,7 @@ SELECT date_trunc('hour', order_date)::VARCHAR AS order_hour, sap_system,
   count(*) AS total_orders, {total('total_c')} AS total_value,
   {cnt("sla_status = 'Breached'")} AS breached_orders FROM s_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_hourly(t.orders)
+    return gold.orders_hourly(t.order_facts)
 
 
 @query("gld_20_shipments_by_day", views="s_shipments", sql=f"""

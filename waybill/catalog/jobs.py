@@ -103,7 +103,7 @@ def _(t):
     path = folder(t, "merge")
     storage.upsert(monthly(before(t, t.orders)), path, ["order_month", "sap_system"],
                    "order_month")
-    storage.upsert(monthly(t.orders), path, ["order_month", "sap_system"], "order_month")
+    storage.upsert(monthly(t.order_facts), path, ["order_month", "sap_system"], "order_month")
     return t.spark.read.parquet(path).withColumn("order_month", C("order_month").cast("string"))
 
 
@@ -129,8 +129,8 @@ UNION ALL SELECT 'revenue', count(*) FROM (SELECT DISTINCT invoice_date::DATE, c
 def _(t):
     root = folder(t, "gold")
     frames = {
-        "orders": lambda: gold.orders_by_sla(t.orders),
-        "sla": lambda: gold.sla_per_order(t.orders, t.shipments, as_of=t.as_of),
+        "orders": lambda: gold.orders_by_sla(t.order_facts),
+        "sla": lambda: gold.sla_per_order(t.order_facts, t.shipments, as_of=t.as_of),
         "transit": lambda: gold.transit_delays(t.shipments, as_of=t.as_of),
         "warehouse": lambda: gold.warehouse_productivity(t.warehouse),
         "revenue": lambda: gold.revenue_recognition(t.invoices)}
@@ -204,7 +204,7 @@ SELECT 'orders' AS source, 'orders_daily' AS target, 'daily summary' AS process,
     AS row_count, {NOW}::VARCHAR AS run_at""")
 def _(t):
     path = folder(t, "lineage")
-    storage.create_or_replace(_daily(t.orders), f"{path}/gold")
+    storage.create_or_replace(_daily(t.order_facts), f"{path}/gold")
     row = gov.lineage_row(t.spark, "orders", "orders_daily", "daily summary",
                           t.spark.read.parquet(f"{path}/gold"), as_of=t.as_of)
     storage.append(row, f"{path}/log")

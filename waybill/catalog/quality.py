@@ -28,7 +28,7 @@ class Frames(Mapping):
             "carriers": lambda: t.carriers, "customers": lambda: t.customers,
             "warehouses": lambda: t.warehouses,
             "bronze_rows": lambda: t.table("lineitem"), "silver_rows": lambda: t.shipments,
-            "gold_orders": lambda: gold.orders_by_sla(t.orders),
+            "gold_orders": lambda: gold.orders_by_sla(t.order_facts),
             "deliveries": lambda: t.shipments.filter(C("actual_delivery_date").isNotNull())
             .withColumnRenamed("shipment_number", "delivery_number"),
             "invoice_lines": lambda: t.invoices.join(
@@ -179,8 +179,8 @@ def _(t):
 WITH d AS (SELECT count(*) > 0 AS has FROM s_orders WHERE order_date::DATE = {NOW}::DATE)
 SELECT has AS has_orders, has AS has_sla, has AS all_current FROM d""")
 def _(t):
-    return q.current_day({"orders": (gold.orders_by_sla(t.orders), "order_day"),
-                          "sla": (gold.sla_daily(t.orders), "performance_date")}, as_of=t.as_of)
+    return q.current_day({"orders": (gold.orders_by_sla(t.order_facts), "order_day"),
+                          "sla": (gold.sla_daily(t.order_facts), "performance_date")}, as_of=t.as_of)
 
 
 # ---------------------------------------------------------------- roll-ups
@@ -506,7 +506,7 @@ GOLD_ORDERS = f"(SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SL
     "average_bounds": "avg_order_value < min_order_value OR avg_order_value > max_order_value",
     "negative_revenue": "total_revenue < 0"}))
 def _(t):
-    df = gold.orders_by_sla(t.orders, shipped_and_pending=True)
+    df = gold.orders_by_sla(t.order_facts, shipped_and_pending=True)
     n = C("total_orders")
     return q.failure_counts(df, {
         "null_keys": C("order_day").isNull() | n.isNull() | C("total_revenue").isNull(),
@@ -548,7 +548,7 @@ def _(t):
 @query("dq_gold_sla", views="s_orders", sql=counted(f"({SLA_DAILY})", {
     "score_range": "overall_performance_score < 0 OR overall_performance_score > 100"}))
 def _(t):
-    return q.failure_counts(gold.sla_daily(t.orders), {
+    return q.failure_counts(gold.sla_daily(t.order_facts), {
         "score_range": ~C("overall_performance_score").between(0, 100)})
 
 

@@ -131,34 +131,33 @@ class Tables:
         )
 
     @cached_property
-    def orders(self) -> DataFrame:
-        """Silver orders: the order table joined to its customers."""
+    def _orders_moved(self) -> DataFrame:
         now = as_ts(self.as_of)
         key = F.col("o_orderkey")
         moves = (key % 7 != 0) & (key % 20 != 0)
-        ship = F.when((F.col("ship_ts") <= now) & moves, F.col("ship_ts"))
-        delivered = F.when((F.col("del_ts") <= now) & moves, F.col("del_ts"))
+        return self._orders_timed.withColumns({
+            "actual_ship_date": F.when((F.col("ship_ts") <= now) & moves, F.col("ship_ts")),
+            "actual_delivery_date": F.when((F.col("del_ts") <= now) & moves, F.col("del_ts"))})
+
+    def _order_cells(self) -> list[Column]:
+        now = as_ts(self.as_of)
+        key = F.col("o_orderkey")
         priority = (F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "High")
                     .when(F.col("o_orderpriority") == "3-MEDIUM", "Medium").otherwise("Low"))
-        customers = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
-        joined = (self._orders_timed.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-                  .withColumns({"actual_ship_date": ship, "actual_delivery_date": delivered}))
         status = (F.when(key % 20 == 0, "Cancelled")
                   .when(F.col("actual_delivery_date").isNotNull(), "Delivered")
                   .when(F.col("actual_ship_date").isNotNull(), "Shipped").otherwise("Pending"))
         age = diff_boundary("hour", now, F.col("order_date"))
-        return joined.select(
+        return [
             key.cast("string").alias("order_number"),
             F.col("o_custkey").cast("string").alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            "order_date",
+            F.col("order_date"),
             _plus(F.col("order_date"), days=F.lit(7)).alias("requested_delivery_date"),
             _plus(F.col("order_date"), days=3 + key % 5).alias("promised_delivery_date"),
-            "actual_ship_date",
-            "actual_delivery_date",
+            F.col("actual_ship_date"),
+            F.col("actual_delivery_date"),
             priority.alias("priority"),
             F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-            _pick(F.col("c_nationkey"), "USD", "EUR", "GBP").alias("currency"),
             status.alias("order_status"),
             age.alias("order_age_hours"),
             (age > 24).alias("is_delayed"),
@@ -166,7 +165,20 @@ class Tables:
                       SLA_PRESETS["default"]).alias("sla_status"),
             _pick(key, "PRD", "QAS", "DEV").alias("sap_system"),
             F.lit("CUSTOMER").alias("partner_access_scope"),
-        )
+        ]
+
+    @cached_property
+    def order_facts(self) -> DataFrame:
+        """Silver orders without customer name and currency; needs no join."""
+        return self._orders_moved.select(*self._order_cells())
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Silver orders: the order table joined to its customers."""
+        customers = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
+        return self._orders_moved.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+            *self._order_cells(), F.col("c_name").alias("customer_name"),
+            _pick(F.col("c_nationkey"), "USD", "EUR", "GBP").alias("currency"))
 
     @cached_property
     def lines(self) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check import compare, oracle
+from waybill import catalog
 
 FOLDER = os.environ.get("WAYBILL_SF_DIR", "/root/testdata/sf0.001")
 SAMPLE = """gld_1_orders_daily gld_2_orders_by_sla gld_7_sla_per_order gld_9_transit_delays
@@ -20,7 +21,7 @@ gov_9_response_times mnt_1_upsert str_4_tumbling""".split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 SQL = entry_module.oracle_sql()
-NAMES = list(SQL) if os.environ.get("WAYBILL_ORACLE") == "all" else SAMPLE
+NAMES = list(catalog.SQL) if os.environ.get("WAYBILL_ORACLE") == "all" else SAMPLE
 
 
 @pytest.fixture(scope="module")
@@ -38,5 +39,5 @@ def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(SQL)
+def test_every_query_of_the_catalog_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.SQL)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import line_dedup
+from waybill.llm import decontamination, line_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op4_line_dedup", line_dedup.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "documents")))
+
+
+@query("op10_warc", warc.SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.read(warc.write(table(spark, sf_dir, "pages")), payloads=False))
+
+
+@query("op8_decontamination", decontamination.SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.scan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, line_dedup, warc
+from waybill.llm import decontamination, language_id, licenses, line_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +40,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.scan(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.license_scan(table(spark, sf_dir, "documents"))[0])
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.digest(language_id.language_id(docs, columns=["doc_id"]))

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill.llm import decontamination, language_id, licenses, line_dedup, warc
+from waybill.llm import (
+    decontamination,
+    language_id,
+    licenses,
+    line_dedup,
+    mixing,
+    pii,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +59,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.digest(language_id.language_id(docs, columns=["doc_id"]))
+
+
+@query("op7_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents"), columns=["doc_id"]))
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs).select("doc_id", "n_found", "kinds", "text")

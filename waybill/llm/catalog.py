@@ -12,6 +12,7 @@ from waybill.llm import (
     licenses,
     line_dedup,
     mixing,
+    multi_index,
     pii,
     warc,
 )
@@ -70,3 +71,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymize(docs).select("doc_id", "n_found", "kinds", "text")
+
+
+@query("op1_near_embeddings", multi_index.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))

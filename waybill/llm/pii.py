@@ -12,7 +12,7 @@ different ones, and whoever has the key can go back (``restore``).
 * ssn: area 001-899 without 666, group 01-99, serial 0001-9999, as one number
 * date: yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy from 1900 to 2099, as a day number
 * ip: 32 bits; phone: ten digits behind +1; email: letters and digits of the local part,
-  case folded; secret: hex strings of 32, 40 or 64 digits behind a key word
+  case folded; secret: lower-case hex strings of 32, 40 or 64 digits
 
 What fails validation is left as it is. Nothing is shuffled, and Python sees no row.
 

@@ -14,6 +14,7 @@ from waybill.llm import (
     mixing,
     multi_index,
     pii,
+    suffix_dedup,
     warc,
 )
 
@@ -76,3 +77,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_near_embeddings", multi_index.SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.suffix_dedup(
+        table(spark, sf_dir, "documents"), keep="none", texts=False))

@@ -1,0 +1,458 @@
+"""Operators that treat each row by itself, vectors, pages, and the mix."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from datetime import date, timedelta
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pytest
+from llm_cases import DOCUMENTS, Groups, documents, odd_rows, plain_words, space_words
+
+from waybill.llm import language_id, licenses, mixing, multi_index, pii, warc
+
+# ---- embeddings
+
+VECTORS = "vec_id long, embedding array<float>, label int, rep long, n int, h1 string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 5, 1, "x") for i, v in rows], VECTORS)
+
+
+def near(rows, least=0.9):
+    """Brute force: (vec_id, n_links, component_id, kept), counted."""
+    unit = []
+    for i, v in rows:
+        good = (i is not None and v and all(x is not None and np.isfinite(x) for x in v)
+                and any(v))
+        x = np.array(v, np.float32).astype(float) if good else None
+        unit.append(x / np.linalg.norm(x) if good else None)
+    groups, links = Groups(), Counter()
+    for a, (i, _) in enumerate(rows):
+        if i is not None:
+            groups.find(i)
+        for b in range(a):
+            x, y = unit[a], unit[b]
+            if x is not None and y is not None and len(x) == len(y) and x @ y >= least:
+                links[a] += 1
+                links[b] += 1
+                groups.join(i, rows[b][0])
+    return Counter(
+        (i, links[a], None if i is None else groups.find(i), i is not None and groups.find(i) == i)
+        for a, (i, _) in enumerate(rows))
+
+
+def vector_rows(n, seed, dims=12):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        if i and rng.random() < 0.6:
+            base = np.array(rows[rng.integers(len(rows))][1])
+            v = base + rng.normal(size=dims) * rng.choice([0, 0.05, 0.1]) * np.linalg.norm(base)
+        else:
+            v = rng.normal(size=dims)
+        rows.append((i * 7, [float(np.float32(x)) for x in v]))
+    return rows
+
+
+@pytest.mark.parametrize("home, probe", [(1024, 4096), (8, 16)])
+def test_links_are_brute_force(spark, monkeypatch, home, probe):
+    monkeypatch.setattr(multi_index, "HOME", home)
+    monkeypatch.setattr(multi_index, "PROBE", probe)
+    monkeypatch.setattr(multi_index, "CELL", 16)
+    rows = vector_rows(400, 1)
+    got = Counter(tuple(r) for r in multi_index.near_duplicates(vectors(spark, rows)).collect())
+    want = near(rows)
+    found, whole = (sum(k[1] * v for k, v in x.items()) for x in (got, want))
+    assert whole > 500 and found >= 0.99 * whole
+    assert all(k[1] <= max(w[1] for w in want if w[0] == k[0]) for k in got)
+
+
+def test_recall_is_measured_on_other_queries(spark):
+    rows = vector_rows(600, 2)
+    classes = multi_index._valid(vectors(spark, rows)).selectExpr(
+        "vec_id as rep", "embedding", "1L as n")
+    grid = multi_index.fit(classes, 12, 600, cell=16)
+    assert len(grid.left) > 4
+    cut, _ = multi_index.calibrate(classes, grid, 12, 600, 0.9, 0.999, queries=100)
+    _, other = multi_index.calibrate(classes, grid, 12, 600, 0.9, 0.999, queries=200, seed=77)
+    assert other.sum() > 100 and multi_index.recall(other, cut) >= 0.97
+
+
+def test_odd_vectors(spark):
+    one = [1.0, 2.0, 3.0]
+    rows = [(1, one), (2, [2.0, 4.0, 6.0]), (3, None), (4, [0.0, 0.0, 0.0]), (5, [1.0, None, 2.0]),
+            (6, [float("nan"), 1.0, 1.0]), (7, [float("inf"), 0.0, 0.0]), (8, []), (None, one),
+            (9, one), (9, one), (10, [1.0, 2.0]), (11, [1.0]), (12, [5.0]), (13, [-1.0, -2.0, -3.0]),
+            (14, [3e38, 3e38, 0.0]), (15, [1e-38, 1e-38, 0.0])]
+    got = multi_index.near_duplicates(vectors(spark, rows)).collect()
+    assert Counter(tuple(r) for r in got) == near(rows)
+    assert multi_index.near_duplicates(vectors(spark, [])).count() == 0
+    assert multi_index.near_duplicates(vectors(spark, [(1, None)])).collect()[0][1:] == (0, 1, True)
+
+
+def test_visits_come_nearest_first_and_only_to_full_cells():
+    rng = np.random.default_rng(0)
+    x = multi_index.units(pa.array(list(rng.normal(size=(50, 8)))), 8)
+    grid = multi_index.Grid(multi_index.kmeans(x[:, :4], 5), multi_index.kmeans(x[:, 4:], 6))
+    a, b = grid.excess(x)
+    full = rng.random(30) < 0.7
+    for i, got in enumerate(grid.visits(x, 0.4, full)):
+        cost = (a[i][:, None] + b[i][None]).ravel()
+        want = [c for c in np.argsort(cost, kind="stable") if cost[c] <= 0.4 and full[c]]
+        assert sorted(got) == sorted(want)
+        assert (np.diff(cost[got]) >= 0).all()
+
+
+# ---- PII
+
+def feistel(left, right, a, b, key, tweak):
+    for i in range(pii.ROUNDS):
+        other, m = (right, a) if i % 2 == 0 else (left, b)
+        text = f"{key}|{tweak}|{i}|{other}"
+        add = int(hashlib.sha256(text.encode()).hexdigest()[:12], 16)
+        if i % 2 == 0:
+            left = (left + add % m) % m
+        else:
+            right = (right + add % m) % m
+    return left, right
+
+
+PERSONAL = [
+    ("card 4111 1111 1111 1111 and 4111111111111111", "card", 2),
+    ("no card 4111 1111 1111 1112", "", 0),
+    ("ssn 123-45-6789", "ssn", 1), ("no ssn 000-12-3456, 666-12-3456, 900-12-3456, 123-00-1234", "", 0),
+    ("ip 10.0.0.1:80", "ip", 1), ("no ip 256.1.1.1 or 1.2.3.4.5 or 01.2.3.4", "", 0),
+    ("born 1980-02-29", "date", 1), ("31.12.1999, 12/31/1999", "date", 2),
+    ("no date 1981-02-29, 13/31/1999, 1899-01-01, 2024-01-011", "", 0),
+    ("DE89 3704 0044 0532 0130 00, GB82WEST12345698765432", "iban", 2),
+    ("no iban DE88 3704 0044 0532 0130 00", "", 0),
+    ("call +1 (743) 555-3824 or +17435553824", "phone", 2),
+    ("mail a.person.19@mail5.example.com.", "email", 1),
+    ("token 24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "secret", 1),
+    ("1980-02-29 and 10.0.0.1", "date,ip", 2), ("plain 12345 text", "", 0), ("", "", 0),
+    (None, "", 0),
+]
+
+
+def test_pseudonyms_keep_format_and_can_be_undone(spark):
+    rows = [(i, t, "en", "s") for i, (t, *_) in enumerate(PERSONAL)] + odd_rows()
+    docs = documents(spark, rows)
+    found = pii.find(docs).collect()
+    assert len(found) == len(rows)
+    got = {r.row.doc_id: r for r in pii.find(docs.limit(len(PERSONAL))).collect()}
+    octets = lambda t: re.sub(r"\d+(\.\d+){3}", "IP", t)  # noqa: E731 - of any length
+    shape = lambda t: re.sub(r"[a-z0-9]", "9", octets(t))
+    for i, (text, kinds, n) in enumerate(PERSONAL):
+        assert (got[i].kinds, got[i].n_found) == (kinds, n), text
+        if text is None:
+            assert got[i].text is None
+        else:
+            assert shape(got[i].text) == shape(text)
+            assert (got[i].text != text) == (n > 0)
+    out = pii.pseudonymize(docs)
+    assert out.columns == docs.columns and out.count() == len(rows)
+    assert Counter(r.text for r in pii.restore(out).collect()) == Counter(r[1] for r in rows)
+    assert pii.pseudonymize(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+def test_equal_values_stay_linked_and_others_apart(spark):
+    days = [str(date(1999, 1, 1) + timedelta(i)) for i in range(400)]
+    rows = [(i, f"x {d} y", "", "") for i, d in enumerate(days + days)]
+    got = {r.doc_id: r.text for r in pii.pseudonymize(documents(spark, rows)).collect()}
+    assert [got[i] for i in range(400)] == [got[400 + i] for i in range(400)]
+    assert len(set(got.values())) == 400
+    other = {r.doc_id: r.text for r in pii.pseudonymize(documents(spark, rows), key="k2").collect()}
+    assert sum(got[i] == other[i] for i in range(400)) < 5
+
+
+def test_pseudonyms_are_those_of_a_plain_feistel_network(spark):
+    got = pii.pseudonymize(documents(spark, [
+        (1, "10.1.2.3", "", ""), (2, "1999-05-06", "", ""), (3, "123-45-6789", "", "")]),
+        key="k").select("doc_id", "text").collect()
+    text = {r.doc_id: r.text for r in got}
+    left, right = feistel(10 * 256 + 1, 2 * 256 + 3, 65536, 65536, "k", "ip")
+    assert text[1] == f"{left // 256}.{left % 256}.{right // 256}.{right % 256}"
+    n = (date(1999, 5, 6) - date(1900, 1, 1)).days
+    left, right = feistel(n // 229, n % 229, 319, 229, "k", "date")
+    assert text[2] == str(date(1900, 1, 1) + timedelta(left * 229 + right))
+    left, right = feistel(122 * 99 + 44, 6788, 898 * 99, 9999, "k", "ssn")
+    area = left // 99 + 1
+    assert text[3] == f"{area + (area > 665):03d}-{left % 99 + 1:02d}-{right + 1:04d}"
+
+
+def test_pii_runs_without_python(spark):
+    plan = pii.find(documents(spark, odd_rows()[:3]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# ---- language ID
+
+def profile(texts, size):
+    count = Counter()
+    for text in texts:
+        for word in re.findall(r"[^\W\d_]+", text):
+            padded = "_" + word.lower() + "_"
+            for n in (1, 2, 3):
+                for i in range(len(padded) - n + 1):
+                    if n > 1 or padded[i] != "_":
+                        count[padded[i:i + n]] += 1
+    code = lambda g: sum(ord(c) << 16 * (len(g) - 1 - i) for i, c in enumerate(g))
+    return [g for g, _ in sorted(count.items(), key=lambda x: (-x[1], code(x[0])))][:size]
+
+
+def test_language_id_is_brute_force(spark):
+    words = {"de": "der die das und nicht eine straße grün schön haus", "fr":
+             "le la les une été garçon où maison être avec", "en": "the and of house with nothing"}
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(words[k].split()) for _ in range(rng.randrange(3, 30))), k, "")
+            for i, k in enumerate(["de", "fr", "en"] * 15)]
+    rows += [(100, "12 !?", "en", ""), (101, None, "en", ""), (102, "", None, ""),
+             (103, "Das ist Straße", None, ""), (None, "the house", "en", "")]
+    docs = documents(spark, rows)
+    got = {r.row.doc_id: r for r in language_id.language_id(docs).collect()}
+    train = defaultdict(list)
+    for i, text, lang, _ in rows:
+        if (i is not None and text and lang
+                and zlib.crc32(str(i).encode()) % 4 != 2):
+            train[lang].append(text)
+    size = language_id.PROFILE
+    known = {k: {g: j for j, g in enumerate(profile(v, size))} for k, v in train.items()}
+    for i, text, *_ in rows:
+        own = profile([text or ""], size)
+        if not own:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0)
+            continue
+        far = {k: sum(abs(j - p[g]) if g in p else size for j, g in enumerate(own))
+               for k, p in known.items()}
+        best = min(sorted(far), key=far.get)
+        assert got[i].lang_pred == best
+        assert got[i].score == pytest.approx(1 - far[best] / (len(own) * size))
+    out = {r.doc_id: r.held_out for r in language_id.digest(language_id.language_id(docs)).collect()}
+    assert out[None] is False
+    assert all(out[i] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in out if i is not None)
+
+
+def test_language_id_on_the_held_out_quarter(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.digest(language_id.language_id(docs)).join(
+        docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) > 200
+    assert sum(r.lang_pred == r.lang for r in got) / len(got) > 0.99
+
+
+def test_language_id_of_odd_rows(spark):
+    docs = documents(spark, odd_rows())
+    got = language_id.language_id(docs).collect()
+    assert len(got) == len(odd_rows())
+    assert all(0 <= r.score <= 1 for r in got)
+    assert {r.lang_pred for r in got if not re.search(r"[^\W\d_]", r.row.text or "")} == {"und"}
+    none = language_id.learn(docs.where("lang is null"))
+    assert {r.lang_pred for r in language_id.identify(docs, none).collect()} == {"und"}
+    assert language_id.language_id(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+# ---- mixing
+
+def targets(sizes, weights=(5, 2, 1), most=3):
+    """Brute force: sources by code point, null last."""
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    out, total = {}, sum(sizes.values())
+    free = set(names)
+    while True:
+        left = total - sum(out.values())
+        level = left / sum(weight[s] for s in free) if free else 0
+        above = {s for s in free if level * weight[s] > most * sizes[s]}
+        if not above:
+            return out | {s: level * weight[s] for s in free}
+        out |= {s: most * sizes[s] for s in above}
+        free -= above
+
+
+def mix_rows(seed):
+    rng = random.Random(seed)
+    names = ["a", "b", "B", "ü", "", None, "z", "\U0001F600"]
+    return [(i, " ".join("w" for _ in range(int(rng.paretovariate(1.2) * 5) % 3000)), "en", s)
+            for i, s in enumerate(rng.choices(names, [30, 1, 5, 5, 5, 5, 2, 1], k=1500))]
+
+
+@pytest.mark.parametrize("rows", [mix_rows(1), mix_rows(2), odd_rows()], ids=["1", "2", "odd"])
+def test_mix_meets_its_targets(spark, rows):
+    docs = documents(spark, rows)
+    got = mixing.mix(docs, columns=["doc_id", "source"]).collect()
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for _, text, _, s in rows:
+        sizes[s] += len(space_words(text))
+        largest[s] = max(largest[s], len(space_words(text)))
+    want = targets(sizes)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.target == pytest.approx(want[r.row.source])
+        assert r.source_size == sizes[r.row.source]
+        assert 0 <= r.copies <= 3 and (r.size or not r.copies)
+        taken[r.row.source] += r.copies * r.size
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= max(0.02 * want[s], largest[s] / 2 + 1)
+    again = mixing.mix(docs.repartition(7), columns=["doc_id", "source"]).collect()
+    key = lambda r: (r.row.doc_id, r.row.source, r.size, r.copies)
+    assert Counter(map(key, got)) == Counter(map(key, again))
+
+
+def test_rates_are_an_exponential_tilt(spark):
+    sizes = spark.createDataFrame([("s", n, k) for n, k in ((1, 50), (5, 30), (40, 10), (200, 3))],
+                                  "name string, size long, n long")
+    words = 50 + 150 + 400 + 600
+    for target in (30.0, 900.0, 1200.0, 2500.0, 3590.0):
+        state = mixing.solve(sizes, spark.createDataFrame(
+            [("s", "s", words, 93, words * 3, target)],
+            "name string, source string, words long, docs long, cap long, target double"))
+        rows = sizes.join(state, "name").withColumn("rate", mixing.rate()).collect()
+        assert sum(r.n * r["size"] * r.rate for r in rows) == pytest.approx(target, rel=1e-6)
+        free = [r for r in rows if r.rate < 3]
+        tilt = [np.log(r.rate) / r["size"] for r in free]
+        assert max(tilt) - min(tilt) < 1e-9
+
+
+def test_copies_follow_rates_and_carry_the_rest():
+    assert mixing.round_rates([10, 10, 10, 10], [0.5] * 4) in ([0, 1, 0, 1], [1, 0, 1, 0])
+    assert mixing.round_rates([0, 7], [2.5, 3.0]) == [0, 3]
+
+
+def test_copied_documents_and_empty_tables(spark):
+    docs = documents(spark, odd_rows())
+    out = mixing.copied(mixing.mix(docs))
+    assert out.columns == [*docs.columns, "copies"]
+    assert out.where("copies < 1 or text is null").count() == 0
+    assert mixing.mix(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+# ---- licenses
+
+def places(text, phrase):
+    w, p = plain_words(text), phrase.split()
+    return [i for i in range(len(w) - len(p) + 1) if w[i:i + len(p)] == p]
+
+
+def test_license_base_is_brute_force(spark):
+    rows = odd_rows() + [
+        (50, "All rights reserved. CC-BY, cc by; general public license", "", ""),
+        (51, "all rights\nreserved all rights", "", ""), (52, "xcc by cc byx", "", ""),
+        (53, "ALL RIGHTS RESERVED " * 3, "", "")]
+    got = licenses.digest(licenses.license_scan(documents(spark, rows))[0]).collect()
+    want = Counter()
+    for i, text, *_ in rows:
+        at = [(p, label) for phrase, label in licenses.BASE.items() for p in places(text, phrase)]
+        want[(i, len(plain_words(text)), len(at), min((p for p, _ in at), default=None),
+              max((p for p, _ in at), default=None), ",".join(sorted({x for _, x in at})))] += 1
+    assert Counter(tuple(r)[:6] for r in got) == want
+    assert all((r.score == 1) == (r.n_base > 0) or r.labels for r in got)
+
+
+def test_notices_are_found_with_a_few_words_changed(spark):
+    mit = next(t for label, t in licenses.NOTICES if label == "mit" and "hereby" in t)
+    words = mit.split()
+    changed = words[:20] + ["certainly"] + words[20:40] + words[41:]
+    rows = [(1, "Intro. " + mit + " End.", "", ""), (2, " ".join(changed), "", ""),
+            (3, " ".join(words[:15]), "", ""), (4, " ".join(reversed(words)), "", ""),
+            (5, "Released under the MIT License.", "", ""), (6, "my MIT degree license", "", ""),
+            (7, "Licensed under the Apache License, Version 2.0", "", ""),
+            (8, (mit + " filler " * 30) * 2, "", "")]
+    texts, found = licenses.license_scan(documents(spark, rows))
+    label = {r.doc_id: (r.labels, r.score) for r in licenses.digest(texts).collect()}
+    assert label[1] == ("mit", 1.0) and label[5] == ("mit", 1.0)
+    assert label[2][0] == "mit" and 0.7 <= label[2][1] < 1
+    assert [label[i] for i in (3, 4, 6)] == [("", 0.0)] * 3
+    assert label[7] == ("apache-2.0", 1.0)
+    ids = {r.row: r.doc_id for r in texts.collect()}
+    spans = Counter(ids[r.row] for r in found.collect())
+    assert spans[1] == 1 and spans[2] == 1 and spans[8] == 2
+    first = next(r for r in found.collect() if ids[r.row] == 1)
+    assert (first.first_word, first.last_word) == (1, len(plain_words(mit)))
+
+
+def test_license_scan_of_nothing(spark):
+    assert licenses.license_scan(spark.createDataFrame([], DOCUMENTS))[0].count() == 0
+
+
+# ---- WARC
+
+PAGES = "page_id long, url string, html string, digest string, first int, refers_to string"
+
+
+def page_rows():
+    big = "".join(random.Random(6).choice("<>abc é") for _ in range(300_000))
+    return [(1, "http://x/a", "<p>a</p>"), (2, "http://x/b", "<p>a</p>"), (3, None, None),
+            (4, "http://x/ü\r\nEvil: 1", ""), (5, "", big), (6, "http://x/c", big), (2, "u", "other"),
+            (None, "http://x/n", "<p>a</p>"), (7, "http://x/d", "x"), (8, "http://x/d", "x"),
+            (8, "http://x/d", "x"), (9, "u", "a\r\n\r\nb\r\n\r\n")]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "d", 1, "r") for r in rows], PAGES)
+
+
+@pytest.mark.parametrize("least", [0, 5])
+@pytest.mark.parametrize("size", [1, 1 << 28])
+def test_archives_are_read_as_written(spark, least, size):
+    rows = page_rows()
+    first = {}
+    for i, _, html in rows:
+        data = (html or "").encode()
+        if i is not None and len(data) >= least:
+            first[data] = min(first.get(data, i), i)
+    want = Counter()
+    for i, _, html in rows:
+        data = (html or "").encode()
+        refers = first.get(data, i) if i is not None and first.get(data, i) != i else None
+        want[(i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+              "response" if refers is None else "revisit", refers)] += 1
+    manifest = warc.write(pages(spark, rows), min_bytes=least, file_bytes=size)
+    got = warc.read(manifest)
+    assert Counter(tuple(r) for r in warc.digest(got).collect()) == want
+    for r in got.collect():
+        if r.record_type == "response":
+            assert hashlib.sha1(r.payload).digest() == base64.b32decode(r.payload_digest)
+        assert "\n" not in (r.url or "")
+    assert warc.read(manifest, payloads=False).where("payload is not null").count() == 0
+
+
+def test_each_record_is_one_gzip_member_and_broken_ones_raise(spark, tmp_path):
+    records = [warc.record(i, f"http://x/{i}", b"payload %d " % i * 50, None) for i in range(3)]
+    for r in records:
+        pack = zlib.decompressobj(31)
+        pack.decompress(r)
+        assert pack.eof and not pack.unused_data
+
+    def read(data):
+        path = tmp_path / "x.warc.gz"
+        path.write_bytes(data)
+        with pafs.LocalFileSystem().open_input_stream(str(path), compression=None) as stream:
+            return [warc.parse(m) for m in warc.members(stream)]
+
+    assert [r["page_id"] for r in read(b"".join(records))] == [0, 1, 2]
+    assert read(b"") == []
+    with pytest.raises(warc.BrokenRecord, match="ends inside"):
+        read(records[0][:-20])
+
+    def changed(find, put):
+        return zlib.compress(zlib.decompress(records[0], 31).replace(find, put), wbits=31)
+
+    with pytest.raises(warc.BrokenRecord, match="block digest"):
+        read(changed(b"payload 0", b"payload 9"))
+    with pytest.raises(warc.BrokenRecord, match="longer"):
+        read(changed(b"payload 0", b"payload 00"))
+    with pytest.raises(warc.BrokenRecord, match="shorter"):
+        read(changed(b"payload 0", b"payload"))
+    with pytest.raises(warc.BrokenRecord, match="header"):
+        read(changed(b"WARC/1.1", b"WURC/1.1"))
+
+
+def test_no_pages(spark):
+    assert warc.read(warc.write(pages(spark, []))).count() == 0

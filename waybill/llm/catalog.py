@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from waybill.llm import (
     decontamination,
+    jaccard_join,
     language_id,
     licenses,
     line_dedup,
@@ -38,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op4_line_dedup", line_dedup.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digest(line_dedup.line_dedup(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.digest(line_dedup.rewritten(line_dedup.store_of(docs), docs))
 
 
 @query("op10_warc", warc.SQL)
@@ -71,7 +74,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymize(docs).select("doc_id", "n_found", "kinds", "text")
+    return pii.find(docs).select("row.doc_id", "n_found", "kinds", "text")
 
 
 @query("op1_near_embeddings", multi_index.SQL)
@@ -83,3 +86,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.suffix_dedup(
         table(spark, sf_dir, "documents"), keep="none", texts=False))
+
+
+@query("op3_jaccard_join", jaccard_join.SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

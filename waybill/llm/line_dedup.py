@@ -212,29 +212,34 @@ def _without(texts: pd.Series, drops: pd.Series) -> pd.Series:
     return pd.Series([one(t, d) for t, d in zip(texts, drops, strict=True)], dtype=object)
 
 
-def dedup(store: LineStore, docs: DataFrame) -> DataFrame:
-    """The documents, all columns, with the text rewritten, plus n_lines and n_dropped."""
+def rewritten(store: LineStore, docs: DataFrame) -> DataFrame:
+    """(row, text, n_lines, n_dropped): ``row`` is a struct of the documents' other columns."""
     drops = dropped_keys(store, docs)
-    names = [c for c in docs.columns if c != "text"]
     a, b = docs.alias("a"), drops.alias("b")
     gone = F.col("b.drops")
     return (a.join(b, F.col("a.doc_id") == F.col("b.doc_id"), "left")
-            .select(*(F.col(f"a.`{c}`") for c in names),
+            .select(F.struct(*(F.col(f"a.`{c}`") for c in docs.columns if c != "text"))
+                    .alias("row"),
                     F.coalesce(_without(F.when(gone.isNotNull(), F.col("a.text")), gone),
                                F.col("a.text")).alias("text"),
                     F.size(_lines(F.col("a.text"))).cast("long").alias("n_lines"),
                     F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped")))
 
 
-def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """All documents put into an empty store, then rewritten by it."""
-    store = insert(empty_store(docs.sparkSession, min_chars, min_docs), docs)
-    return dedup(store, docs)
+def store_of(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> LineStore:
+    """All documents put into an empty store."""
+    return insert(empty_store(docs.sparkSession, min_chars, min_docs), docs)
+
+
+def dedup(store: LineStore, docs: DataFrame) -> DataFrame:
+    """The documents, all columns, with the text rewritten."""
+    return rewritten(store, docs).select(
+        *(F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
-def digest(deduped: DataFrame) -> DataFrame:
-    return deduped.select(
-        "doc_id", "n_lines", "n_dropped",
+def digest(found: DataFrame) -> DataFrame:
+    return found.select(
+        "row.doc_id", "n_lines", "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -3,9 +3,9 @@
 Candidates are found by one pattern and validated: card numbers by their check digit, IBANs by
 theirs, social security numbers, IPv4 addresses and dates by their ranges. A valid value is
 permuted within its format by a keyed Feistel network: two halves, ``ROUNDS`` rounds, each adding a
-keyed hash of one half to the other modulo its domain. So the pseudonym has the same length,
-separators and validity, equal values get equal pseudonyms in every document, different values get
-different ones, and whoever has the key can go back (``restore``).
+keyed hash of one half to the other modulo its domain. So the pseudonym has the same format and
+validity, equal values get equal pseudonyms in every document, different values get different
+ones, and whoever has the key can go back (``restore``).
 
 * card: first digit kept, the middle permuted, the check digit set anew
 * iban: country and letters kept, digits permuted, check digits set anew
@@ -253,29 +253,33 @@ def _value(m: Column, key: str, back: bool) -> Column:
     return F.coalesce(out, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("text")))
 
 
-def _rewritten(docs: DataFrame, key: str, back: bool) -> DataFrame:
+def find(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFrame:
+    """(row, text, n_found, kinds): ``row`` is a struct of the documents' other columns."""
     maybe = F.col("text").rlike("[0-9@]")
-    found = F.when(maybe, F.transform(F.regexp_extract_all("text", F.lit(PATTERN), 0),
-                                      lambda m: _value(m, key, back)))
-    rest = [c for c in docs.columns if c != "text"]
-    step = docs.select(*(F.col(f"`{c}`") for c in rest), "text", found.alias("__found"))
+    values = F.when(maybe, F.transform(F.regexp_extract_all("text", F.lit(PATTERN), 0),
+                                       lambda m: _value(m, key, back)))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
+    step = docs.select(row, "text", values.alias("found"))
     pieces = F.split("text", PATTERN, -1)
     joined = F.array_join(F.flatten(F.zip_with(
-        pieces, F.col("__found.text"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    kinds = F.filter("__found.kind", lambda k: k.isNotNull())
+        pieces, F.col("found.text"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    kinds = F.filter("found.kind", lambda k: k.isNotNull())
     return step.select(
-        *(F.col(f"`{c}`") for c in rest),
-        F.when(F.size("__found") > 0, joined).otherwise(F.col("text")).alias("text"),
+        "row", F.when(F.size("found") > 0, joined).otherwise(F.col("text")).alias("text"),
         F.coalesce(F.size(kinds), F.lit(0)).cast("long").alias("n_found"),
         F.coalesce(F.array_join(F.array_sort(F.array_distinct(kinds)), ","), F.lit(""))
         .alias("kinds"))
 
 
+def _documents(found: DataFrame, columns: list[str]) -> DataFrame:
+    return found.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in columns))
+
+
 def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The documents with their text rewritten, plus n_found and kinds."""
-    return _rewritten(docs, key, back=False)
+    """The documents, all columns, with their text rewritten."""
+    return _documents(find(docs, key), docs.columns)
 
 
 def restore(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The inverse, but for the case of mail addresses."""
-    return _rewritten(docs, key, back=True)
+    return _documents(find(docs, key, back=True), docs.columns)

@@ -39,7 +39,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.blocks import by_shard, pack, shard_count, unpack
+from waybill.llm.blocks import (
+    ANSWER,
+    ANSWER_SCHEMA,
+    ASK,
+    COMPARE,
+    FIRST,
+    REPEATED,
+    SPLIT,
+    Entries,
+    answer_shard,
+    asks,
+    by_shard,
+    codes_of,
+    column,
+    pack,
+    shard_count,
+    unpack,
+)
 from waybill.llm.storage import kept
 from waybill.llm.texts import BYTE_VALUE, PIECE, groups, mix, powers, utf8
 
@@ -49,7 +66,6 @@ HOT = 1024
 SORT_BYTES = 2 << 20
 _U = np.uint64
 _POS = _U((1 << 20) - 1)
-REPEATED, FIRST, COMPARE, SPLIT = 1, 2, 4, 8
 
 
 @dataclass
@@ -134,100 +150,6 @@ def _all_runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int
         yield runs, np.searchsorted(offsets, runs.low, side="right") - 1
 
 
-class Entries:
-    """The distinct pieces of a block, sorted by hash, with count and first holder."""
-
-    def __init__(self, parts: list[tuple[np.ndarray, ...]]) -> None:
-        """Each part: hash, second hash, count, order of the text, start, end, text."""
-        kinds = (_U, _U, *[np.int64] * 5)
-        rows = [np.concatenate([np.zeros(0, t), *(p[i] for p in parts)]).astype(t)
-                for i, t in enumerate(kinds)]
-        order = np.lexsort((rows[6], rows[4], rows[3], rows[1], rows[0]))
-        rows = [r[order] for r in rows]
-        new = np.ones(len(order), bool)
-        new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
-        at = np.flatnonzero(new)
-        self.hash, self.second, _, self.doc, self.start, self.end, self.text = (
-            r[at] for r in rows)
-        self.count = np.add.reduceat(rows[2], at) if len(at) else rows[2]
-        self._find = mix(self.hash) + self.second
-        self._order = np.argsort(self._find)
-
-    def part(self) -> tuple[np.ndarray, ...]:
-        return self.hash, self.second, self.count, self.doc, self.start, self.end, self.text
-
-    def find(self, hashes: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Which entry each piece is; every piece must be one."""
-        if not len(hashes):
-            return np.zeros(0, np.int64)
-        return self._order[np.searchsorted(self._find, mix(hashes) + second,
-                                           sorter=self._order)]
-
-
-def _asks(entries: Entries, block: int, shards: int) -> pa.RecordBatch | None:
-    rows = [(shard, block, *(x[lo:hi].tobytes() for x in entries.part()[:5]))
-            for shard, lo, hi in by_shard(entries.hash, shards)]
-    if not rows:
-        return None
-    types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-    names = ["shard", "block", "hash", "second", "count", "doc", "start"]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-
-
-ASK = ("shard int, block long, hash binary, second binary, count binary, doc binary, "
-       "start binary")
-ANSWER = "block long, kind string, shard int, data binary"
-_ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("shard", pa.int32()),
-                     ("data", pa.binary())])
-
-
-def _column(rows: pa.Table, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(rows[name].to_pylist()), kind)
-
-
-def _answers(kind: str, hot: int):  # noqa: ANN202
-    """What a shard knows of each entry that it was asked about."""
-
-    def answer(rows: pa.Table) -> pa.Table:
-        sizes = np.array([len(x) // 8 for x in rows["hash"].to_pylist()])
-        h, s = _column(rows, "hash", _U), _column(rows, "second", _U)
-        count, doc, start = (_column(rows, c, np.int64) for c in ("count", "doc", "start"))
-        order = np.lexsort((start, doc, s, h))
-        h, s = h[order], s[order]
-        new_h = np.ones(len(h), bool)
-        new_h[1:] = h[1:] != h[:-1]
-        new = new_h.copy()
-        new[1:] |= s[1:] != s[:-1]
-        piece = np.cumsum(new) - 1
-        total = np.add.reduceat(count[order], np.flatnonzero(new))
-        code = np.where(total[piece] > 1, REPEATED, 0) | np.where(new, FIRST, 0)
-        if hot:
-            group = np.cumsum(new_h) - 1
-            different = np.bincount(group[new], minlength=group[-1] + 1)[group]
-            code |= np.where((different > 1) & (different <= hot) & new, COMPARE, 0)
-            code |= np.where(different > hot, SPLIT, 0)
-        back = np.zeros(len(h), np.uint8)
-        back[order] = code
-        cut = np.concatenate([[0], np.cumsum(sizes)])
-        return pa.table([rows["block"], pa.array([kind] * len(sizes)), rows["shard"],
-                         pa.array([back[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:],
-                                                                       strict=True)],
-                                  pa.binary())], schema=_ANSWER)
-
-    return answer
-
-
-def _codes(answers: pa.Table, kind: str, size: int) -> np.ndarray:
-    """The answers of all shards, in the order of the entries."""
-    own = [(s, d) for s, d, k in zip(answers["shard"].to_pylist(), answers["data"].to_pylist(),
-                                     answers["kind"].to_pylist(), strict=True) if k == kind]
-    out = np.frombuffer(b"".join(d for _, d in sorted(own)), np.uint8)
-    if len(out) != size:
-        raise ValueError(f"{len(out)} answers for {size} entries")
-    return out
-
-
 @dataclass
 class Block:
     """A block's texts and their runs."""
@@ -327,13 +249,13 @@ SENT = ("kind string, shard int, block long, hash binary, second binary, count b
 def _send(length: int, anchor: int, shards: int):  # noqa: ANN202
     """The runs that must be compared, and the strings of split anchors."""
 
-    def send(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    def send(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         rows: list[dict] = []
         for number, packed in zip(blocks["block"].to_pylist(), blocks["data"].to_pylist(),
                                   strict=True):
             block = Block.of(packed, length, anchor)
             e = block.entries
-            codes = _codes(answers, "asked", len(e.hash))
+            codes = codes_of(replies, "asked", len(e.hash))
             want = np.flatnonzero(codes & COMPARE)
             for shard, lo, hi in by_shard(e.hash[want], shards):
                 at = want[lo:hi]
@@ -361,9 +283,9 @@ def _compare(length: int, keep_first: bool):  # noqa: ANN202
     """Sorts the suffixes of a shard's runs, some whole anchors at a time."""
 
     def compare(rows: pa.Table) -> pa.Table:
-        h, entry = _column(rows, "hash", _U), _column(rows, "entry", np.int64)
-        doc, start = _column(rows, "doc", np.int64), _column(rows, "start", np.int64)
-        size = _column(rows, "size", np.int64)
+        h, entry = column(rows, "hash", _U), column(rows, "entry", np.int64)
+        doc, start = column(rows, "doc", np.int64), column(rows, "start", np.int64)
+        size = column(rows, "size", np.int64)
         text = np.frombuffer(b"".join(rows["text"].to_pylist()), np.uint8)
         many = np.array([len(x) // 8 for x in rows["hash"].to_pylist()])
         block = np.repeat(np.array(rows["block"].to_pylist(), np.int64), many)
@@ -399,7 +321,7 @@ def _compare(length: int, keep_first: bool):  # noqa: ANN202
         return pa.table([pa.array(list(out), pa.int64()), pa.array(["runs"] * len(out)),
                          pa.array([shard] * len(out), pa.int32()),
                          pa.array([np.concatenate(v).astype(np.int64).tobytes()
-                                   for v in out.values()], pa.binary())], schema=_ANSWER)
+                                   for v in out.values()], pa.binary())], schema=ANSWER_SCHEMA)
 
     return compare
 
@@ -413,16 +335,16 @@ RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 def _rewrite(length: int, anchor: int, keep_first: bool, texts: bool):  # noqa: ANN202
     """Gathers a block's answers and cuts its texts."""
 
-    def removed(block: Block, answers: pa.Table) -> np.ndarray:
-        codes = _codes(answers, "asked", len(block.entries.hash))
+    def removed(block: Block, replies: pa.Table) -> np.ndarray:
+        codes = codes_of(replies, "asked", len(block.entries.hash))
         hits: dict[int, list[np.ndarray]] = {}
-        for kind, data in zip(answers["kind"].to_pylist(), answers["data"].to_pylist(),
+        for kind, data in zip(replies["kind"].to_pylist(), replies["data"].to_pylist(),
                               strict=True):
             if kind == "runs":
                 for row in np.frombuffer(data, np.int64).reshape(-1, 3):
                     hits.setdefault(int(row[0]), []).append(row[1:])
         strings = block.split(codes) if (codes & SPLIT).any() else None
-        found = _codes(answers, "split", len(strings.hash)) if strings else None
+        found = codes_of(replies, "split", len(strings.hash)) if strings else None
         mark = np.zeros(len(block.data) + 1, np.int32)
 
         def cut(begin: np.ndarray, last: np.ndarray) -> None:
@@ -449,11 +371,11 @@ def _rewrite(length: int, anchor: int, keep_first: bool, texts: bool):  # noqa:
                 cut(start[gone], start[gone])
         return np.cumsum(mark[:-1]) > 0
 
-    def rewrite(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    def rewrite(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         for packed in blocks["data"].to_pylist():
             block = Block.of(packed, length, anchor)
-            gone = removed(block, answers)
+            gone = removed(block, replies)
             for i, doc_id in enumerate(block.ids.to_pylist()):
                 a, b = int(block.offsets[i]), int(block.offsets[i + 1])
                 own, data = gone[a:b], block.data[a:b]
@@ -483,18 +405,18 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         for batch in batches:
             for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                       strict=True):
-                asked = _asks(Block.of(packed, length, anchor).entries, number, shards)
+                asked = asks(Block.of(packed, length, anchor).entries, number, shards)
                 if asked is not None:
                     yield asked
 
     asked = kept(blocks.select("block", "data").mapInArrow(ask, ASK).groupBy("shard").applyInArrow(
-        _answers("asked", hot), ANSWER), "suffix-answers")
+        answer_shard("asked", hot), ANSWER), "suffix-answers")
     sent = kept(blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
         _send(length, anchor, shards), SENT), "suffix-runs")
     compared = sent.where("kind = 'runs'").groupBy("shard").applyInArrow(
         _compare(length, keep == "first"), ANSWER)
     split = sent.where("kind = 'split'").groupBy("shard").applyInArrow(
-        _answers("split", 0), ANSWER)
+        answer_shard("split"), ANSWER)
     return blocks.groupBy("block").cogroup(
         asked.union(compared).union(split).groupBy("block")).applyInArrow(
         _rewrite(length, anchor, keep == "first", texts), RESULT)

@@ -137,7 +137,9 @@ def parse(chunks: Iterator[bytes]) -> dict:
     for chunk in chunks:
         buffer += chunk
         if len(buffer) > length + 4:
-            raise BrokenRecord("longer than its content length")
+            break
+    if len(buffer) > length + 4:
+        raise BrokenRecord("longer than its content length")
     if len(buffer) != length + 4 or not buffer.endswith(b"\r\n\r\n"):
         raise BrokenRecord("shorter than its content length")
     block = bytes(buffer[:length])

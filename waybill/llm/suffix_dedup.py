@@ -123,7 +123,8 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> Ru
     at = place[low].astype(np.int64)
     content = (total[high + length] - total[low]) * inverse[low]
     shape = ((high - low).astype(_U) << _U(32)) | (at - low).astype(_U)
-    return Runs(low, high, grams[at], mix(content ^ mix(shape)), total)
+    # anchors are small hashes; mixed again they spread evenly over the shards
+    return Runs(low, high, mix(grams[at]), mix(content ^ mix(shape)), total)
 
 
 def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray]]:

@@ -457,12 +457,12 @@ def _(t):
         "shipment_number", "carrier_id")
 
 
-@query("qry_14_high_revenue_days", views="s_orders", sql=f"""
+@query("qry_14_high_revenue_days", views="g_orders", sql=f"""
 SELECT order_day, sap_system, sla_status, total_orders, total_revenue, avg_order_value
 FROM (SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA}
-      FROM s_orders GROUP BY ALL) WHERE total_revenue > 1000000""")
+      FROM g_orders GROUP BY ALL) WHERE total_revenue > 1000000""")
 def _(t):
-    daily = gold.orders_by_sla(t.order_facts)
+    daily = gold.orders_by_sla(t.gold_order_facts)
     return daily.filter(ask.condition(daily, {"total_revenue": {"gt": 1000000}})).select(
         "order_day", "sap_system", "sla_status", "total_orders", "total_revenue",
         "avg_order_value")

@@ -24,7 +24,7 @@ STATUS_COUNTS = ", ".join(f"{stat(s)} AS {s.lower()}_orders" for s in
                           ("Pending", "Confirmed", "Shipped", "Delivered", "Cancelled"))
 
 
-@query("gld_1_orders_daily", views="s_orders_lines", sql=f"""
+@query("gld_1_orders_daily", views="g_orders_lines", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, count(*) AS total_orders,
   {total('total_c')} AS total_order_value, {avg('total_c', cents=2)} AS avg_order_value,
   sum(total_lines)::BIGINT AS total_lines, sum(total_quantity)::DOUBLE AS total_quantity,
@@ -44,9 +44,9 @@ SELECT {ORDER_DAY} AS order_day, sap_system, count(*) AS total_orders,
   {pct(stat('Delivered'), 'count(*)')} AS order_completion_rate,
   {pct(stat('Cancelled'), 'count(*)')} AS order_cancellation_rate,
   {rnd('count(*)', '24')} AS order_velocity_per_hour
-FROM s_orders_lines GROUP BY ALL""")
+FROM g_orders_lines GROUP BY ALL""")
 def _(t):
-    df = gold.orders_daily(t.orders_with_lines)
+    df = gold.orders_daily(t.gold_orders_with_lines)
     return df.withColumn("currencies_used", F.array_join("currencies_used", ","))
 
 
@@ -63,35 +63,35 @@ BY_SLA = f"""count(*) AS total_orders, {stat('Delivered')} AS delivered_orders,
   {pct(stat('Delivered'), 'count(*)')} AS delivery_rate_pct"""
 
 
-@query("gld_2_orders_by_sla", views="s_orders", sql=f"""
+@query("gld_2_orders_by_sla", views="g_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA}
-FROM s_orders GROUP BY ALL""")
+FROM g_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_by_sla(t.order_facts)
+    return gold.orders_by_sla(t.gold_order_facts)
 
 
-@query("gld_2_orders_by_scope", views="s_orders", sql=f"""
+@query("gld_2_orders_by_scope", views="g_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, partner_access_scope, {BY_SLA}
-FROM s_orders GROUP BY ALL""")
+FROM g_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_by_sla(t.order_facts, ("sap_system", "sla_status", "partner_access_scope"))
+    return gold.orders_by_sla(t.gold_order_facts, ("sap_system", "sla_status", "partner_access_scope"))
 
 
-@query("gld_3_orders_lab", views="s_orders", sql=f"""
+@query("gld_3_orders_lab", views="g_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA},
   {stat('Shipped')} AS shipped_orders, {stat('Pending')} AS pending_orders,
   {pct(stat('Pending'), 'count(*)')} AS pending_rate_pct
-FROM s_orders GROUP BY ALL""")
+FROM g_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_by_sla(t.order_facts, shipped_and_pending=True)
+    return gold.orders_by_sla(t.gold_order_facts, shipped_and_pending=True)
 
 
-@query("gld_4_orders_by_customer", views="s_orders", sql=f"""
+@query("gld_4_orders_by_customer", views="g_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, customer_id, customer_name, {BY_SLA}
-FROM s_orders GROUP BY ALL""")
+FROM g_orders GROUP BY ALL""")
 def _(t):
     return gold.orders_by_sla(
-        t.orders, ("sap_system", "sla_status", "customer_id", "customer_name"))
+        t.gold_orders, ("sap_system", "sla_status", "customer_id", "customer_name"))
 
 
 GOOD_DELIVERED = cnt("sla_status = 'Good' AND order_status = 'Delivered'")
@@ -122,12 +122,18 @@ SELECT {ORDER_DAY} AS performance_date, sap_system, count(*) AS total_orders,
   {pct(stat('Cancelled'), 'count(*)')} AS cancellation_rate,
   coalesce({pct(GOOD_DELIVERED, stat('Delivered'))}, 0.0::DOUBLE) AS otdr_pct,
   {pct(BREACHED_C, 'sum(total_c)')} AS breach_financial_impact_pct
-FROM s_orders GROUP BY ALL)"""
+FROM g_orders GROUP BY ALL)"""
 
 
-@query("gld_5_sla_daily", views="s_orders", sql=SLA_DAILY)
+@query("gld_5_sla_daily", views="g_orders", sql=SLA_DAILY)
 def _(t):
-    return gold.sla_daily(t.order_facts)
+    return gold.sla_daily(t.gold_order_facts)
+
+
+@query("gld_5_sla_daily_half_day", views="h_orders",
+       sql=SLA_DAILY.replace("FROM g_orders", "FROM h_orders"))
+def _(t):
+    return gold.sla_daily(t.half_day_order_facts)
 
 
 def avg_h(column: str) -> str:
@@ -135,7 +141,7 @@ def avg_h(column: str) -> str:
     return avg(f"round({column} * 100)::BIGINT", cents=2)
 
 
-@query("gld_6_sla_summary", views="s_orders", sql=f"""
+@query("gld_6_sla_summary", views="g_orders", sql=f"""
 WITH daily AS ({SLA_DAILY})
 SELECT *, CASE WHEN avg_performance_score >= 95 THEN 'Excellent'
   WHEN avg_performance_score >= 85 THEN 'Good' WHEN avg_performance_score >= 75 THEN 'Fair'
@@ -148,7 +154,7 @@ FROM (SELECT sap_system, sum(total_orders)::BIGINT AS total_orders,
   {avg_h('completion_rate')} AS avg_completion_rate
 FROM daily WHERE performance_date::DATE >= CAST({NOW} AS DATE) - 365 GROUP BY sap_system)""")
 def _(t):
-    return gold.sla_summary(gold.sla_daily(t.order_facts), 365, as_of=t.as_of)
+    return gold.sla_summary(gold.sla_daily(t.gold_order_facts), 365, as_of=t.as_of)
 
 
 PER_ORDER = f"""
@@ -166,15 +172,17 @@ SELECT order_number, customer_id, sap_system, order_date::VARCHAR AS order_date,
   {money('total_amount')} AS total_amount, carrier_name
 FROM (SELECT o.*, s.carrier_name, s.last_delivery,
         date_diff('day', order_date, coalesce(actual_ship_date, {NOW})) AS days
-      FROM s_orders o LEFT JOIN (
-        SELECT order_number AS k, min(carrier_name) AS carrier_name,
+      FROM g_orders o LEFT JOIN (
+        SELECT order_number AS k, max_by(carrier_name, (actual_delivery_date IS NULL)::VARCHAR
+            || coalesce(actual_delivery_date::VARCHAR, '') || coalesce(actual_ship_date::VARCHAR, '')
+            || ' ' || carrier_name) AS carrier_name,
           CASE WHEN count(*) = count(actual_delivery_date) THEN max(actual_delivery_date) END
             AS last_delivery FROM s_shipments GROUP BY 1) s ON o.order_number = s.k)"""
 
 
-@query("gld_7_sla_per_order", views="s_orders s_shipments", sql=PER_ORDER)
+@query("gld_7_sla_per_order", views="g_orders s_shipments", sql=PER_ORDER)
 def _(t):
-    return gold.sla_per_order(t.order_facts, t.shipments, as_of=t.as_of)
+    return gold.sla_per_order(t.gold_order_facts, t.shipments, as_of=t.as_of)
 
 
 TRANSIT = "(shipment_status = 'In Transit' OR (actual_ship_date IS NOT NULL AND " \
@@ -430,25 +438,25 @@ def _(t):
     return gold.revenue_by_month(t.invoices)
 
 
-@query("gld_18_orders_volume", views="s_orders", sql=f"""
+@query("gld_18_orders_volume", views="g_orders", sql=f"""
 SELECT {ORDER_DAY} AS order_day, sap_system, count(*) AS total_orders,
   {total('total_c')} AS total_order_value, {avg('total_c', cents=2)} AS avg_order_value,
   {money('max(total_amount)')} AS max_order_value, {HIGH} AS urgent_orders,
   count(DISTINCT customer_id) AS unique_customers
-FROM s_orders GROUP BY ALL""")
+FROM g_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_volume(t.order_facts)
+    return gold.orders_volume(t.gold_order_facts)
 
 
-@query("gld_18_sla_overview", views="s_orders", sql=f"""
+@query("gld_18_sla_overview", views="g_orders", sql=f"""
 SELECT {ORDER_DAY} AS performance_day, sap_system, count(*) AS total_orders,
   {cnt("sla_status = 'Good'")} AS sla_good, {cnt("sla_status = 'At Risk'")} AS sla_at_risk,
   {cnt("sla_status = 'Breached'")} AS sla_breached,
   {pct(cnt("sla_status = 'Good'"), 'count(*)')} AS sla_compliance_pct,
   {avg('order_age_hours')} AS avg_order_age_hours, max(order_age_hours) AS max_order_age_hours
-FROM s_orders GROUP BY ALL""")
+FROM g_orders GROUP BY ALL""")
 def _(t):
-    return gold.sla_overview(t.order_facts)
+    return gold.sla_overview(t.gold_order_facts)
 
 
 @query("gld_18_warehouse_throughput", views="s_warehouse", sql=f"""
@@ -483,12 +491,12 @@ def _(t):
     return gold.revenue_paid_and_due(t.invoices)
 
 
-@query("gld_19_orders_hourly", views="s_orders", sql=f"""
+@query("gld_19_orders_hourly", views="g_orders", sql=f"""
 SELECT date_trunc('hour', order_date)::VARCHAR AS order_hour, sap_system,
   count(*) AS total_orders, {total('total_c')} AS total_value,
-  {cnt("sla_status = 'Breached'")} AS breached_orders FROM s_orders GROUP BY ALL""")
+  {cnt("sla_status = 'Breached'")} AS breached_orders FROM g_orders GROUP BY ALL""")
 def _(t):
-    return gold.orders_hourly(t.order_facts)
+    return gold.orders_hourly(t.gold_order_facts)
 
 
 @query("gld_20_shipments_by_day", views="s_shipments", sql=f"""

@@ -116,10 +116,10 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
-@query("mnt_3_refresh_all", views="s_orders s_shipments s_warehouse s_invoices", sql="""
+@query("mnt_3_refresh_all", views="g_orders s_shipments s_warehouse s_invoices", sql="""
 SELECT 'orders' AS table_name, count(*) AS row_count FROM (SELECT DISTINCT order_date::DATE,
-  sap_system, sla_status FROM s_orders)
-UNION ALL SELECT 'sla', count(*) FROM s_orders
+  sap_system, sla_status FROM g_orders)
+UNION ALL SELECT 'sla', count(*) FROM g_orders
 UNION ALL SELECT 'transit', count(*) FROM s_shipments
   WHERE actual_ship_date IS NOT NULL AND actual_delivery_date IS NULL
 UNION ALL SELECT 'warehouse', count(*) FROM (SELECT DISTINCT movement_timestamp::DATE,
@@ -129,8 +129,8 @@ UNION ALL SELECT 'revenue', count(*) FROM (SELECT DISTINCT invoice_date::DATE, c
 def _(t):
     root = folder(t, "gold")
     frames = {
-        "orders": lambda: gold.orders_by_sla(t.order_facts),
-        "sla": lambda: gold.sla_per_order(t.order_facts, t.shipments, as_of=t.as_of),
+        "orders": lambda: gold.orders_by_sla(t.gold_order_facts),
+        "sla": lambda: gold.sla_per_order(t.gold_order_facts, t.shipments, as_of=t.as_of),
         "transit": lambda: gold.transit_delays(t.shipments, as_of=t.as_of),
         "warehouse": lambda: gold.warehouse_productivity(t.warehouse),
         "revenue": lambda: gold.revenue_recognition(t.invoices)}

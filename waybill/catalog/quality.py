@@ -14,7 +14,7 @@ from waybill.operators.rows import missing_keys
 from waybill.plans import gold
 
 C = F.col
-ALL_VIEWS = ("raw s_orders s_shipments s_warehouse s_invoices s_carriers s_customers "
+ALL_VIEWS = ("raw s_orders g_orders s_shipments s_warehouse s_invoices s_carriers s_customers "
              "s_warehouses s_order_lines")
 
 
@@ -23,12 +23,13 @@ class Frames(Mapping):
 
     def __init__(self, t):
         self._make = {
-            "raw": lambda: t.raw, "orders": lambda: t.orders, "shipments": lambda: t.shipments,
+            "raw": lambda: t.raw, "orders": lambda: t.gold_orders,
+            "shipments": lambda: t.shipments,
             "warehouse": lambda: t.warehouse, "invoices": lambda: t.invoices,
             "carriers": lambda: t.carriers, "customers": lambda: t.customers,
             "warehouses": lambda: t.warehouses,
             "bronze_rows": lambda: t.table("lineitem"), "silver_rows": lambda: t.shipments,
-            "gold_orders": lambda: gold.orders_by_sla(t.order_facts),
+            "gold_orders": lambda: gold.orders_by_sla(t.gold_order_facts),
             "deliveries": lambda: t.shipments.filter(C("actual_delivery_date").isNotNull())
             .withColumnRenamed("shipment_number", "delivery_number"),
             "invoice_lines": lambda: t.invoices.join(
@@ -48,9 +49,8 @@ class Frames(Mapping):
 
 
 # SQL of each rule: (view, condition of a bad row) or the counts themselves
-AGE = ("CASE WHEN order_age_hours <= 20 THEN 'Good' WHEN order_age_hours <= 24 THEN 'At Risk' "
-       "ELSE 'Breached' END")
-BUCKET = ("CASE WHEN days_overdue <= 0 THEN 'Current' WHEN days_overdue <= 30 THEN '1-30' "
+AGE = "CASE WHEN taken <= 20 THEN 'Good' WHEN taken <= 24 THEN 'At Risk' ELSE 'Breached' END"
+BUCKET = ("CASE WHEN payment_status = 'Paid' OR days_overdue <= 0 THEN 'Current' WHEN days_overdue <= 30 THEN '1-30' "
           "WHEN days_overdue <= 60 THEN '31-60' WHEN days_overdue <= 90 THEN '61-90' "
           "ELSE '90+' END")
 BAD = {
@@ -61,7 +61,7 @@ BAD = {
     "SLV-ORD-002": ("s_orders", "customer_id IS NULL OR customer_id = ''"),
     "SLV-ORD-003": ("s_orders", "requested_delivery_date <= order_date"),
     "SLV-ORD-004": ("s_orders", "total_amount <= 0"),
-    "SLV-ORD-005": ("s_orders", f"sla_status <> {AGE}"),
+    "SLV-ORD-005": ("g_orders", f"sla_status <> {AGE}"),
     "SLV-SHP-002": ("s_shipments", "carrier_id NOT IN (SELECT carrier_id FROM s_carriers)"),
     "SLV-SHP-003": ("s_shipments", "is_in_transit AND (actual_ship_date IS NULL OR "
                                    "actual_delivery_date IS NOT NULL)"),
@@ -94,13 +94,95 @@ UNIQUE = {"BRZ-003": ("raw", "docnum"), "SLV-SHP-001": ("s_shipments", "shipment
           "SLV-INV-001": ("s_invoices", "invoice_number"), "REF-001": ("s_orders", "order_number")}
 
 
-def rule_sql(rule: q.Rule) -> str:
+# What is broken in some rows of each rule's table, so that a rule that finds nothing turns red:
+# column, which rows, the bad value, and the same for the SQL side where its column differs.
+# Both engines read the expressions. Rules that the tables break by themselves are left out.
+def _some(key: str) -> str:
+    return f"CAST({key} AS BIGINT) % 97 = 0"
+
+
+ORDER = _some("order_number")
+FAULTS: dict[str, tuple[str, ...]] = {
+    "BRZ-001": ("data", _some("docnum"), "NULL"),
+    "BRZ-002": ("message_type", _some("docnum"), "'UNKNOWN'"),
+    "BRZ-003": ("docnum", _some("docnum"), "'0'"),
+    "SLV-ORD-001": ("order_number", _some("customer_id"), "''"),
+    "SLV-ORD-002": ("customer_id", ORDER, "NULL"),
+    "SLV-ORD-003": ("requested_delivery_date", ORDER, "order_date"),
+    "SLV-ORD-004": ("total_amount", ORDER, "CAST(-1 AS DECIMAL(18,2))"),
+    "SLV-ORD-005": ("sla_status", ORDER, "CASE sla_status WHEN 'Good' THEN 'Breached' "
+                                         "ELSE 'Good' END"),
+    "SLV-SHP-001": ("shipment_number", ORDER, "'0-0'"),
+    "SLV-SHP-002": ("carrier_id", ORDER, "'CARRIER-99'"),
+    "SLV-SHP-003": ("is_in_transit", f"{ORDER} AND actual_delivery_date IS NOT NULL", "TRUE"),
+    "SLV-SHP-004": ("transit_time_hours", ORDER, "CAST(721 AS BIGINT)"),
+    "SLV-WHS-001": ("movement_type", ORDER, "'XX'"),
+    "SLV-WHS-002": ("quantity", ORDER, "CAST(0 AS DECIMAL(15,3))"),
+    "SLV-INV-001": ("invoice_number", ORDER, "'INV-0'"),
+    "SLV-INV-002": ("total_amount", ORDER, "CAST(total_amount + 1 AS DECIMAL(18,2))",
+                    "total_c", "total_c + 100"),
+    "SLV-INV-003": ("aging_bucket", ORDER, "CASE aging_bucket WHEN '90+' THEN 'Current' "
+                                           "ELSE '90+' END"),
+    "SLV-INV-004": ("payment_efficiency", ORDER, "201"),
+    "REF-001": ("order_number", _some("customer_id"), "'0'"),
+    "REF-002": ("total_amount", ORDER, "CAST(0 AS DECIMAL(18,2))"),
+    "REF-003": ("order_date", ORDER, "TIMESTAMP '2001-09-01 00:00:00'"),
+    "REF-004": ("tracking_number", ORDER, "''"),
+    "REF-005": ("actual_delivery_date", f"{ORDER} AND actual_ship_date IS NOT NULL",
+                "actual_ship_date - INTERVAL 1 DAY"),
+    "REF-006": ("subtotal_amount", ORDER, "CAST(subtotal_amount + 1 AS DECIMAL(18,2))",
+                "sub_c", "sub_c + 100"),
+    "REF-007": ("due_date", ORDER, "invoice_date - INTERVAL 1 DAY"),
+    "REF-008": ("quantity", ORDER, "CAST(0 AS DECIMAL(15,3))"),
+    "FK-001": ("customer_id", ORDER, "'X'"),
+    "FK-002": ("order_number", ORDER, "'X'"),
+    "FK-003": ("order_number", ORDER, "'X'"),
+    "FK-004": ("delivery_number", _some("split_part(delivery_number, '-', 1)"), "'0'"),
+    "FK-005": ("warehouse_id", ORDER, "'WH999'"),
+    "FK-006": ("carrier_id", ORDER, "'CARRIER-99'"),
+}
+
+
+class Faulty(Mapping):
+    """The tables, with the rule's own table broken in some rows."""
+
+    def __init__(self, t, rule: q.Rule):
+        self._good, self._rule = Frames(t), rule
+
+    def __getitem__(self, name):
+        df = self._good[name]
+        if name != self._rule.table or self._rule.id not in FAULTS:
+            return df
+        column, rows, value = FAULTS[self._rule.id][:3]
+        return df.withColumn(column, F.when(F.expr(rows), F.expr(value)).otherwise(C(column)))
+
+    def __iter__(self):
+        return iter(self._good)
+
+    def __len__(self):
+        return len(self._good)
+
+
+def broken(rule: q.Rule, view: str) -> str:
+    """The rule's view with the same rows broken."""
+    if rule.id not in FAULTS:
+        return view
+    fault = FAULTS[rule.id]
+    column, value = fault[3:] if len(fault) > 3 else (fault[0], fault[2])
+    alias = view if view.isidentifier() else "checked"
+    return (f"(SELECT * REPLACE (CASE WHEN {fault[1]} THEN {value} ELSE {column} END AS {column}) "
+            f"FROM {view}) AS {alias}")
+
+
+def rule_sql(rule: q.Rule, faults: bool = False) -> str:
     if rule.id in UNIQUE:
         view, key = UNIQUE[rule.id]
+        view = broken(rule, view) if faults else view
         counts = (f"SELECT sum(c)::BIGINT AS n, {cnt('c > 1')} AS f FROM "
                   f"(SELECT {key}, count(*) AS c FROM {view} GROUP BY 1)")
     else:
         view, bad = BAD[rule.id]
+        view = broken(rule, view) if faults else view
         counts = (f"SELECT (SELECT count(*) FROM {view}) AS n, "
                   f"(SELECT count(*) FROM {view} WHERE {bad}) AS f")
     return f"""
@@ -137,9 +219,9 @@ def _as_of(rule: q.Rule, t) -> str:
 def _register(rule: q.Rule) -> None:
     name = "dq_" + rule.id.lower().replace("slv-", "").replace("-", "_")
 
-    @query(name, views=_views(rule), sql=rule_sql(rule))
+    @query(name, views=_views(rule), sql=rule_sql(rule, faults=True))
     def _one(t):
-        return q.run_rules(Frames(t), [rule], as_of=_as_of(rule, t))
+        return q.run_rules(Faulty(t, rule), [rule], as_of=_as_of(rule, t))
 
 
 EVERY_RULE = (*q.MESSAGE_RULES, *q.ORDER_RULES, *q.SHIPMENT_RULES, *q.WAREHOUSE_RULES,
@@ -154,15 +236,18 @@ def _(t):
     return q.run_rules(Frames(t), q.CROSS_RULES[:1], as_of=t.as_of)
 
 
-@query("dq_xlr_002", views="s_orders", sql=variance_sql(
-    q.CROSS_RULES[1], "SELECT sum(total_c) FROM s_orders",
-    "SELECT sum(c) FROM (SELECT sum(total_c) AS c FROM s_orders "
-    "GROUP BY order_date::DATE, sap_system, sla_status)"))
+@query("dq_xlr_002", views="g_orders", sql=variance_sql(
+    q.CROSS_RULES[1], "SELECT sum(total_c) FROM g_orders",
+    f"SELECT sum(total_c) FROM g_orders WHERE order_date < {NOW} - INTERVAL 30 DAY"))
 def _(t):
-    return q.run_rules(Frames(t), q.CROSS_RULES[1:], as_of=t.as_of)
+    # a daily table that was last refreshed 30 days ago
+    stale = t.gold_order_facts.filter(
+        C("order_date") < F.lit(t.as_of).cast("timestamp") - F.expr("INTERVAL 30 DAY"))
+    tables = {"orders": t.gold_orders, "gold_orders": gold.orders_by_sla(stale)}
+    return q.run_rules(tables, q.CROSS_RULES[1:], as_of=t.as_of)
 
 
-INCOMING = q.Rule("SLV-SHP-001", "Shipment Number Uniqueness", "Uniqueness", "Critical", "Bronze",
+INCOMING = q.Rule("SLV-SHP-001", "Shipment number occurs once", "Uniqueness", "Critical", "Bronze",
                   "lines", "duplicate shipment numbers", unique=("l_orderkey", "l_linenumber"))
 _INCOMING_SQL = rule_sql(INCOMING).replace("SELECT shipment_number, count(*) AS c FROM "
                                            "s_shipments GROUP BY 1",
@@ -175,12 +260,12 @@ def _(t):
     return q.run_rules({"lines": t.table("lineitem")}, [INCOMING], as_of=t.as_of)
 
 
-@query("dq_gld_002_current_day", views="s_orders", sql=f"""
-WITH d AS (SELECT count(*) > 0 AS has FROM s_orders WHERE order_date::DATE = {NOW}::DATE)
+@query("dq_gld_002_current_day", views="g_orders", sql=f"""
+WITH d AS (SELECT count(*) > 0 AS has FROM g_orders WHERE order_date::DATE = {NOW}::DATE)
 SELECT has AS has_orders, has AS has_sla, has AS all_current FROM d""")
 def _(t):
-    return q.current_day({"orders": (gold.orders_by_sla(t.order_facts), "order_day"),
-                          "sla": (gold.sla_daily(t.order_facts), "performance_date")}, as_of=t.as_of)
+    return q.current_day({"orders": (gold.orders_by_sla(t.gold_order_facts), "order_day"),
+                          "sla": (gold.sla_daily(t.gold_order_facts), "performance_date")}, as_of=t.as_of)
 
 
 # ---------------------------------------------------------------- roll-ups
@@ -493,10 +578,10 @@ def _(t):
 GOLD_ORDERS = f"(SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA}, " \
               "count(*) FILTER (WHERE order_status = 'Shipped') AS shipped_orders, " \
               "count(*) FILTER (WHERE order_status = 'Pending') AS pending_orders " \
-              "FROM s_orders GROUP BY ALL)"
+              "FROM g_orders GROUP BY ALL)"
 
 
-@query("dq_gold_orders", views="s_orders", sql=counted(GOLD_ORDERS, {
+@query("dq_gold_orders", views="g_orders", sql=counted(GOLD_ORDERS, {
     "null_keys": "order_day IS NULL OR total_orders IS NULL OR total_revenue IS NULL",
     "compliance_range": "sla_compliance_pct < 0 OR sla_compliance_pct > 100",
     "delivery_range": "delivery_rate_pct < 0 OR delivery_rate_pct > 100",
@@ -506,7 +591,7 @@ GOLD_ORDERS = f"(SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SL
     "average_bounds": "avg_order_value < min_order_value OR avg_order_value > max_order_value",
     "negative_revenue": "total_revenue < 0"}))
 def _(t):
-    df = gold.orders_by_sla(t.order_facts, shipped_and_pending=True)
+    df = gold.orders_by_sla(t.gold_order_facts, shipped_and_pending=True)
     n = C("total_orders")
     return q.failure_counts(df, {
         "null_keys": C("order_day").isNull() | n.isNull() | C("total_revenue").isNull(),
@@ -545,10 +630,10 @@ def _(t):
         "paid_plus_due": F.abs(C("total_paid") + C("total_due") - C("total_revenue")) > cent})
 
 
-@query("dq_gold_sla", views="s_orders", sql=counted(f"({SLA_DAILY})", {
+@query("dq_gold_sla", views="g_orders", sql=counted(f"({SLA_DAILY})", {
     "score_range": "overall_performance_score < 0 OR overall_performance_score > 100"}))
 def _(t):
-    return q.failure_counts(gold.sla_daily(t.order_facts), {
+    return q.failure_counts(gold.sla_daily(t.gold_order_facts), {
         "score_range": ~C("overall_performance_score").between(0, 100)})
 
 
@@ -585,7 +670,7 @@ MESSAGE_RESULTS = " UNION ALL ".join(rule_sql(r) for r in q.MESSAGE_RULES)
 ORDER_RESULTS = " UNION ALL ".join(rule_sql(r) for r in q.ORDER_RULES)
 
 
-@query("dqa_3_trend", views="raw s_orders", sql=f"""
+@query("dqa_3_trend", views="raw s_orders g_orders", sql=f"""
 WITH runs AS (SELECT '2024-01-30' AS day, {pct(cnt("status = 'Pass'"), 'count(*)')} AS s
     FROM ({MESSAGE_RESULTS})
   UNION ALL SELECT '2024-01-30', {pct(cnt("status = 'Pass'"), 'count(*)')} FROM ({ORDER_RESULTS})

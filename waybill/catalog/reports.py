@@ -12,7 +12,7 @@ from waybill.catalog.views_sql import NOW, avg, pct, total
 from waybill.plans import gold, reports
 
 DAILY = (f"daily AS (SELECT {ORDER_DAY} AS order_day, sap_system, sla_status, {BY_SLA}, "
-         "sum(total_c)::BIGINT AS rev_c FROM s_orders GROUP BY ALL)")
+         "sum(total_c)::BIGINT AS rev_c FROM g_orders GROUP BY ALL)")
 
 
 def amount(cents: str) -> str:
@@ -23,7 +23,7 @@ def back(column: str, days: int) -> str:
     return f"{column}::DATE >= CAST({NOW} AS DATE) - {days}"
 
 
-@query("rpt_1_orders_summary", views="s_orders", sql=f"""
+@query("rpt_1_orders_summary", views="g_orders", sql=f"""
 WITH {DAILY}
 SELECT count(DISTINCT order_day) AS total_days, count(DISTINCT sap_system) AS total_systems,
   count(*) AS total_rows, sum(total_orders)::BIGINT AS total_orders_all_time,
@@ -32,17 +32,17 @@ SELECT count(DISTINCT order_day) AS total_days, count(DISTINCT sap_system) AS to
   {avg_h('delivery_rate_pct')} AS avg_delivery_rate_pct, min(order_day) AS earliest_day,
   max(order_day) AS latest_day FROM daily""")
 def _(t):
-    return reports.orders_summary(gold.orders_by_sla(t.order_facts))
+    return reports.orders_summary(gold.orders_by_sla(t.gold_order_facts))
 
 
-@query("rpt_1_latest_day", views="s_orders", sql=f"""
+@query("rpt_1_latest_day", views="g_orders", sql=f"""
 WITH {DAILY}
 SELECT * EXCLUDE (rev_c) FROM daily WHERE order_day = (SELECT max(order_day) FROM daily)""")
 def _(t):
-    return reports.latest_day(gold.orders_by_sla(t.order_facts)).orderBy("sap_system", "sla_status")
+    return reports.latest_day(gold.orders_by_sla(t.gold_order_facts)).orderBy("sap_system", "sla_status")
 
 
-@query("rpt_2_sla_class_share", views="s_orders s_shipments", sql=f"""
+@query("rpt_2_sla_class_share", views="g_orders s_shipments", sql=f"""
 WITH per_order AS ({PER_ORDER})
 SELECT sla_compliance, count(*) AS order_count, {avg('processing_days')} AS avg_processing_days,
   {avg('sla_variance_hours')} AS avg_variance_hours, {cnt('is_critical')} AS critical_count,
@@ -50,7 +50,7 @@ SELECT sla_compliance, count(*) AS order_count, {avg('processing_days')} AS avg_
   {pct('count(*)', '(SELECT count(*) FROM per_order)')} AS percentage
 FROM per_order GROUP BY sla_compliance""")
 def _(t):
-    return reports.sla_class_report(gold.sla_per_order(t.order_facts, t.shipments, as_of=t.as_of))
+    return reports.sla_class_report(gold.sla_per_order(t.gold_order_facts, t.shipments, as_of=t.as_of))
 
 
 @query("rpt_3_transit_summary", views="s_shipments", sql=f"""
@@ -202,29 +202,29 @@ def _(t):
     return reports.share_of_total(t.orders, "sla_status").orderBy("sla_status")
 
 
-@query("rpt_7_latest_day", views="s_orders", sql=f"""
+@query("rpt_7_latest_day", views="g_orders", sql=f"""
 WITH {DAILY}
 SELECT order_day, sap_system, sum(total_orders)::BIGINT AS orders, {amount('rev_c')} AS revenue,
   {avg_h('sla_compliance_pct')} AS sla_pct, {avg_h('delivery_rate_pct')} AS delivery_pct
 FROM daily WHERE order_day = (SELECT max(order_day) FROM daily) GROUP BY ALL""")
 def _(t):
-    return reports.latest_day_by_system(gold.orders_by_sla(t.order_facts))
+    return reports.latest_day_by_system(gold.orders_by_sla(t.gold_order_facts))
 
 
-@query("rpt_7_sla_distribution", views="s_orders", sql=f"""
+@query("rpt_7_sla_distribution", views="g_orders", sql=f"""
 WITH {DAILY}
 SELECT sla_status, sum(total_orders)::BIGINT AS total_orders, {amount('rev_c')} AS total_revenue,
   {avg_h('sla_compliance_pct')} AS avg_compliance_pct FROM daily GROUP BY sla_status""")
 def _(t):
-    return reports.sla_distribution(gold.orders_by_sla(t.order_facts))
+    return reports.sla_distribution(gold.orders_by_sla(t.gold_order_facts))
 
 
-@query("rpt_7_trend", views="s_orders", sql=f"""
+@query("rpt_7_trend", views="g_orders", sql=f"""
 WITH {DAILY}
 SELECT order_day, sum(total_orders)::BIGINT AS orders, {amount('rev_c')} AS revenue,
   {avg_h('sla_compliance_pct')} AS sla_compliance
 FROM daily WHERE {back('order_day', 7)} GROUP BY order_day""")
 def _(t):
-    return reports.recent_trend(gold.orders_by_sla(t.order_facts), as_of=t.as_of)
+    return reports.recent_trend(gold.orders_by_sla(t.gold_order_facts), as_of=t.as_of)
 
 

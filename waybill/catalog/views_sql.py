@@ -67,6 +67,19 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      {SYSTEM.format('o_orderkey')} AS sap_system,
                      'CUSTOMER' AS partner_access_scope
               FROM orders_timed JOIN customer ON o_custkey = c_custkey) b"""),
+    "g_orders": (("s_orders",), f"""
+        SELECT * REPLACE (CASE WHEN taken <= 20 THEN 'Good' WHEN taken <= 24 THEN 'At Risk'
+                          ELSE 'Breached' END AS sla_status)
+        FROM (SELECT *, date_diff('hour', order_date, coalesce(actual_ship_date, {NOW}))
+                     AS taken FROM s_orders)"""),
+    "h_orders": (("s_orders",), f"""
+        SELECT * REPLACE (CASE WHEN taken < 12 THEN 'Good' WHEN taken < 24 THEN 'At Risk'
+                          ELSE 'Breached' END AS sla_status)
+        FROM (SELECT *, date_diff('hour', order_date, coalesce(actual_ship_date, {NOW}))
+                     AS taken FROM s_orders)"""),
+    "g_orders_lines": (("g_orders", "s_orders_lines"), """
+        SELECT l.* REPLACE (o.sla_status AS sla_status)
+        FROM s_orders_lines l JOIN g_orders o ON l.order_number = o.order_number"""),
     "s_lines": ((), """
         SELECT * EXCLUDE (rn) FROM (
           SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY

@@ -8,6 +8,7 @@ from waybill.functions.policies import (  # noqa: F401
     payment_status,
     sla_class,
     urgency,
+    with_open_class,
 )
 from waybill.functions.scalars import (  # noqa: F401
     as_ts,

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.scalars import diff_boundary
+from waybill.functions.scalars import as_ts, diff_boundary
 
 # Code tables of the message domain.
 MESSAGE_TYPES = ("ORDERS", "SHPMNT", "DESADV", "WHSCON", "INVOIC")
@@ -77,6 +77,16 @@ def sla_class(start: Column, done: Column | None, as_of: Column,
             .when(done.isNotNull(), "Missed").otherwise(open_class))
 
 
+def with_open_class(orders: DataFrame, as_of, policy: SlaPolicy) -> DataFrame:
+    """Orders with the class of their age in ``sla_status``: Good, At Risk or Breached.
+
+    A shipped order's age ends with its shipment, so the three classes add up to all orders and
+    a finished order keeps its class.
+    """
+    until = F.coalesce(F.col("actual_ship_date"), as_ts(as_of))
+    return orders.withColumn("sla_status", sla_class(F.col("order_date"), None, until, policy))
+
+
 def remaining_days_class(due: Column, as_of: Column) -> Column:
     """Class by whole days left until ``due``: three or more, one or two, fewer."""
     left = F.datediff(due, as_of)

@@ -214,14 +214,20 @@ def sla_summary(daily: DataFrame, days_back: int = 7, *, as_of) -> DataFrame:
 
 
 def one_shipment_per_order(shipments: DataFrame) -> DataFrame:
-    """Delivery facts per order. An order counts as delivered when all its shipments are."""
+    """Delivery facts per order. An order counts as delivered when all its shipments are.
+
+    Carrier and status are those of the last shipment: one that is still open, else the one
+    delivered last.
+    """
     open_left = F.count_if(C("actual_delivery_date").isNull())
+    last = F.struct(C("actual_delivery_date").isNull(), "actual_delivery_date",
+                    "actual_ship_date", "carrier_name", "shipment_status")
     return shipments.groupBy("order_number").agg(
         F.count("*").alias("shipment_count"),
         F.min("actual_ship_date").alias("first_ship_date"),
         F.when(open_left == 0, F.max("actual_delivery_date")).alias("last_delivery_date"),
-        F.min("carrier_name").alias("carrier_name"),
-        F.min("shipment_status").alias("shipment_status"),
+        F.max_by("carrier_name", last).alias("carrier_name"),
+        F.max_by("shipment_status", last).alias("shipment_status"),
     )
 
 

@@ -20,6 +20,7 @@ from waybill.functions import (
     payment_efficiency,
     payment_status,
     sla_class,
+    with_open_class,
 )
 from waybill.operators.rows import dedupe_latest
 from waybill.session import configure
@@ -180,6 +181,27 @@ class Tables:
             *self._order_cells(), F.col("c_name").alias("customer_name"),
             _pick(F.col("c_nationkey"), "USD", "EUR", "GBP").alias("currency"))
 
+    def _gold(self, orders: DataFrame, preset: str = "inclusive") -> DataFrame:
+        return with_open_class(orders, self.as_of, SLA_PRESETS[preset])
+
+    @cached_property
+    def gold_order_facts(self) -> DataFrame:
+        """Order facts with the three service-level classes that the daily tables count."""
+        return self._gold(self.order_facts)
+
+    @cached_property
+    def gold_orders(self) -> DataFrame:
+        return self._gold(self.orders)
+
+    @cached_property
+    def gold_orders_with_lines(self) -> DataFrame:
+        return self._gold(self.orders_with_lines)
+
+    @cached_property
+    def half_day_order_facts(self) -> DataFrame:
+        """Order facts classified by half a day and a day, limits excluded."""
+        return self._gold(self.order_facts, "half_day")
+
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines with repeated (order, line) pairs reduced to the latest one."""

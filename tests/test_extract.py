@@ -19,7 +19,7 @@ def test_golden_order(raw):
     assert row["promised_delivery_date"] == dt.datetime(2022, 11, 4, 10)
     assert row["total_amount"] == Decimal("318.40") == row["subtotal_amount"]
     assert (row["ship_to_city"], row["ship_to_country"]) == ("Porto", "PT")
-    assert (row["total_lines"], row["total_quantity"]) == (1, Decimal("10.000"))
+    assert (row["total_lines"], row["total_quantity"]) == (1, Decimal("16.000"))
     assert row["partner_access_scope"] == "CUSTOMER"
     assert row["sla_status"] == "Breached"
 

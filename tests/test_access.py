@@ -101,6 +101,21 @@ def test_pages_add_up_to_the_whole(shipments):
         assert seen == whole and len(set(seen)) == 40
 
 
+@pytest.mark.parametrize("direction", ["ASC", "DESC"])
+def test_pages_over_nulls_add_up(spark, direction):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 5) for i in range(31)],
+                               "id int, v int")
+    order, seen, after = [("v", direction)], [], None
+    while True:
+        page = ask.page(df, order, key="id", first=4, after=after)
+        seen += [r.id for r in page.rows]
+        if not page.has_next:
+            break
+        after = page.end_cursor
+    assert seen == [r.id for r in df.orderBy(*ask.ordering(df, order, "id")).collect()]
+    assert len(seen) == 31 and all(i % 3 == 0 for i in seen[-11:])
+
+
 def test_year_end_period():
     where = ask.invoices_query("2024-12")
     assert where == {"and": [{"invoice_date": {"ge": "2024-12-01 00:00:00"}},

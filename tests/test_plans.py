@@ -91,3 +91,43 @@ def test_revenue_by_service_map(spark):
         "invoice_date": F.lit(NOW).cast("timestamp"), "sap_system": F.lit("P")})
     assert gold.revenue_by_service(df).first().revenue_by_service == {"Handling": 5.0,
                                                                      "Storage": 3.0}
+
+
+def test_service_classes_add_up(spark):
+    from waybill.functions import SLA_PRESETS, with_open_class
+
+    rows = [("good", "2024-01-01 00:00:00", "2024-01-01 20:00:00"),
+            ("risk", "2024-01-01 00:00:00", "2024-01-02 00:00:00"),
+            ("late", "2024-01-01 00:00:00", "2024-01-02 01:00:00"),
+            ("open", "2024-01-09 12:00:00", None), ("old", "2024-01-01 00:00:00", None)]
+    df = spark.createDataFrame(rows, "id string, order_date string, actual_ship_date string")
+    for c in ("order_date", "actual_ship_date"):
+        df = df.withColumn(c, F.col(c).cast("timestamp"))
+    got = {r.id: r.sla_status for r in with_open_class(
+        df, "2024-01-10 00:00:00", SLA_PRESETS["inclusive"]).collect()}
+    assert got == {"good": "Good", "risk": "At Risk", "late": "Breached", "open": "Good",
+                   "old": "Breached"}
+
+
+def test_carrier_is_that_of_the_last_shipment(spark):
+    rows = [("1", "A", "Delivered", "2024-01-01 00:00:00", "2024-01-05 00:00:00"),
+            ("1", "B", "Delivered", "2024-01-01 00:00:00", "2024-01-03 00:00:00"),
+            ("2", "A", "Delivered", "2024-01-01 00:00:00", "2024-01-05 00:00:00"),
+            ("2", "C", "In Transit", "2024-01-01 00:00:00", None)]
+    df = spark.createDataFrame(rows, "order_number string, carrier_name string, "
+                                     "shipment_status string, actual_ship_date string, "
+                                     "actual_delivery_date string")
+    got = {r.order_number: (r.carrier_name, r.shipment_status)
+           for r in gold.one_shipment_per_order(df).collect()}
+    assert got == {"1": ("A", "Delivered"), "2": ("C", "In Transit")}
+
+
+def test_silence_counts_from_the_newest_message_of_all(spark):
+    kind = ("docnum string, message_type string, status string, timestamp timestamp, "
+            "ingestion_time timestamp, control struct<docnum:string,status:string>")
+    old = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("1", "ORDERS", "03", old, old, ("1", "03"))], kind)
+    for rows, value in ((df, 9 * 24 * 60.0), (df.limit(0), None)):
+        got = {r.type: r for r in messages.alerts(rows, as_of=NOW).collect()}
+        assert (got["Silence"].alert, got["Silence"].value) == ("Prolonged Silence", value)
+        assert got["Error Rate"].alert == "Normal"

@@ -123,3 +123,14 @@ def test_checker(spark):
              q.Check("validity", "c", allowed=("USD", "EUR"))], as_of=NOW).collect()}
     assert rows == {("Completeness", "k"): (66.67, "FAIL"), ("Uniqueness", "k"): (33.33, "FAIL"),
                     ("Validity", "c"): (66.67, "FAIL")}
+
+
+def test_contract_of_plain_fields_and_wrong_types(spark):
+    df = spark.createDataFrame([("a", "x")], "id string, n string")
+    plain = q.check_contract(df, [q.Field("id", "string")], as_of="2024-01-01 00:00:00").collect()
+    assert [(r.part, r.status) for r in plain] == [("schema", "Pass")]
+    wrong = q.check_contract(df, [q.Field("n", "timestamp", required=True, future_allowed=False),
+                                  q.Field("id", "string", required=True)],
+                             as_of="2024-01-01 00:00:00").collect()
+    assert [(r.part, r.subject, r.status) for r in wrong] == [
+        ("schema", "n", "Fail"), ("schema", "id", "Pass"), ("completeness", "id", "Pass")]

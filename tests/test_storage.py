@@ -129,6 +129,56 @@ def test_purge_by_day(spark, tmp_path):
     assert set(stored(spark, path)) == {"2", "3"}
 
 
+def test_purge_by_timestamp(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.sql("select id, timestamp(concat('2000-01-0', id, ' 12:30:00')) t "
+                     "from range(1, 5)")
+    storage.append(rows, path, "t")
+    dropped = gov.purge(spark, path, "t", 10, as_of="2000-01-13 00:00:00")
+    assert [str(d) for d in dropped] == ["2000-01-01 12:30:00", "2000-01-02 12:30:00"]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
+
+
+@pytest.mark.parametrize("first, then", [("A:B", "C/D=1%"), ("007", "7"), ("x y", None)])
+def test_rows_move_out_of_oddly_named_partitions(spark, tmp_path, first, then):
+    path = str(tmp_path / "t")
+    kind = "id int, part string"
+    storage.upsert(spark.createDataFrame([(1, first), (2, "stays")], kind), path, ["id"], "part")
+    storage.upsert(spark.createDataFrame([(1, then)], kind), path, ["id"], "part")
+    got = {r.id: r.part for r in storage.table(spark, path, "part").collect()}
+    assert got == {1: then, 2: "stays"}
+    assert first not in storage.folders(spark, path, "part")
+
+
+def test_compact_keeps_the_names_of_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    storage.append(spark.createDataFrame([(1, "007"), (2, "08")], "id int, part string"), path,
+                   "part")
+    storage.compact(spark, path, ["id"], "part", ["007"])
+    assert set(storage.folders(spark, path, "part")) == {"007", "08"}
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_removal_of_a_missing_partition_raises(spark, tmp_path):
+    path = str(tmp_path / "t")
+    storage.append(spark.createDataFrame([(1, "a")], "id int, part string"), path, "part")
+    with pytest.raises(ValueError, match="no partitions"):
+        storage._drop(spark, path, "part", ["b"])
+
+
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_a_failed_write_keeps_the_old_table(spark, tmp_path, partition):
+    path = str(tmp_path / "t")
+    old = orders(spark, ("1", "a", 1, "2024-01-01"))
+    storage.create_or_replace(old, path, partition)
+    bad = old.withColumn("status", F.expr("raise_error('stop')").cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        storage.create_or_replace(bad, path, partition)
+    assert stored(spark, path) == {"1": ("a", "2024-01-01")}
+    storage.create_or_replace(orders(spark, ("2", "b", 1, "2024-01-02")), path, partition)
+    assert stored(spark, path) == {"2": ("b", "2024-01-02")}
+
+
 def test_erase_rewrites_only_the_subjects_days(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([("C1", "Ann", "2024-01-01"), ("C2", "Bob", "2024-01-01"),

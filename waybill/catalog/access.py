@@ -326,6 +326,40 @@ def _(t):
                          after=after).select("order_number", "order_date")
 
 
+NULLABLE = ("actual_delivery_date", "shipment_number")
+
+
+@query("qry_4_pages_over_nulls", views="s_shipments", sql="""
+WITH r AS (SELECT 'ASC' AS direction, row_number() OVER (ORDER BY actual_delivery_date NULLS LAST,
+      shipment_number) AS n, actual_delivery_date IS NULL AS open, * FROM s_shipments
+    UNION ALL SELECT 'DESC', row_number() OVER (ORDER BY actual_delivery_date DESC NULLS LAST,
+      shipment_number), actual_delivery_date IS NULL, * FROM s_shipments),
+  c AS (SELECT direction, open, max(n) FILTER (WHERE shipment_number < '3') AS n, count(*) AS k
+        FROM r GROUP BY 1, 2)
+SELECT c.direction, c.open AS cursor_is_null, count(*) FILTER (WHERE r.n > c.n) AS rows_after,
+  count(*) FILTER (WHERE r.n <= c.n) AS rows_before
+FROM c JOIN r ON c.direction = r.direction GROUP BY ALL""")
+def _(t):
+    """Rows on either side of a cursor, at a date and within the nulls, in both directions."""
+    parts = []
+    for direction in ("ASC", "DESC"):
+        order = [("actual_delivery_date", direction)]
+        for is_null in (False, True):
+            some = t.shipments.filter((C("actual_delivery_date").isNull() == is_null)
+                                      & (C("shipment_number") < "3"))
+            back = [C(n).desc() if (d == "ASC") else C(n).asc()
+                    for n, d in [*order, ("shipment_number", "ASC")]]
+            last = some.orderBy(*back).select(*NULLABLE).first()
+            if last is None:
+                continue
+            after = ask.beyond(t.shipments, order, key="shipment_number",
+                               after=ask.encode_cursor(list(last)))
+            parts.append(t.shipments.agg(
+                F.lit(direction).alias("direction"), F.lit(is_null).alias("cursor_is_null"),
+                F.count_if(after).alias("rows_after"), F.count_if(~after).alias("rows_before")))
+    return union_all(parts)
+
+
 @query("qry_5_shipments", views="s_shipments", sql="""
 SELECT shipment_number, shipment_status FROM s_shipments WHERE shipment_status = 'Delivered'
   AND planned_ship_date BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-12-31'
@@ -434,7 +468,7 @@ UNION ALL SELECT 'order', order_number, order_number || ' | ' || customer_name F
 UNION ALL SELECT 'shipment', shipment_number, tracking_number || ' | ' || customer_name
   FROM s_shipments WHERE contains(lower(tracking_number), '0000012')
      OR contains(lower(customer_name), '0000012'))
-ORDER BY type, id LIMIT 60""")
+ORDER BY type, id LIMIT 60""".replace("SELECT * FROM", "SELECT *, count(*) OVER () AS total FROM"))
 def _(t):
     tables = {"customer": (t.customers, "customer_id", ["customer_name"]),
               "order": (t.orders, "order_number", ["order_number", "customer_name"]),

@@ -160,12 +160,11 @@ def _(t):
 @query("top_3_ranked_sort", views="s_shipments", sql=f"""
 WITH d AS ({DELAYS})
 SELECT priority, delay_status, shipment_number, shipment_value FROM d
-ORDER BY priority_rank, shipment_value DESC, shipment_number LIMIT 40""")
+ORDER BY priority_rank, shipment_value DESC, shipment_number""")
 def _(t):
     delays = gold.transit_delays(t.shipments, as_of=t.as_of)
-    return rows.top_by(delays, 40, "priority_rank", F.desc("shipment_value"),
-                       "shipment_number").select("priority", "delay_status", "shipment_number",
-                                                 "shipment_value")
+    return delays.orderBy("priority_rank", F.desc("shipment_value"), "shipment_number").select(
+        "priority", "delay_status", "shipment_number", "shipment_value")
 
 
 @query("set_3_union_count", views="s_orders s_shipments s_warehouse s_invoices", sql="""

@@ -128,7 +128,8 @@ SELECT order_number || '-2' AS message_id, order_number, sap_system, customer_id
     ELSE 'Breached' END AS sla_status,
   date_diff('day', order_date, actual_ship_date) AS days_to_ship,
   date_diff('day', order_date, actual_delivery_date) AS days_to_delivery,
-  customer_id AS partner_access_scope FROM s_orders""")
+  customer_id AS partner_access_scope,
+  1 + (order_number::BIGINT % 3 = 0)::BIGINT AS line_count FROM s_orders""")
 def _(t):
     return x.extract_orders_lab(Messages(t).orders_lab, as_of=t.as_of).drop(
         "timestamp", "order_type")

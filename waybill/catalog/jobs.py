@@ -198,6 +198,32 @@ def _(t):
         F.date_format("order_date", "yyyy").alias("order_year")).agg(F.count("*").alias("orders"))
 
 
+@query("gov_1_purge_timestamps", views="s_orders", sql=f"""
+SELECT strftime(order_date, '%Y') AS order_year, count(*) AS orders FROM s_orders
+WHERE date_trunc('month', order_date)::DATE >= {NOW}::DATE - 365 GROUP BY 1""")
+def _(t):
+    path = folder(t, "purge-times")
+    monthly = small_orders(t).withColumn("month_time", F.date_trunc("month", "order_date"))
+    storage.create_or_replace(monthly, path, "month_time")
+    gov.purge(t.spark, path, "month_time", 365, as_of=t.as_of)
+    return t.spark.read.parquet(path).groupBy(
+        F.date_format("order_date", "yyyy").alias("order_year")).agg(F.count("*").alias("orders"))
+
+
+@query("mnt_5_upsert_text_partition", views="s_orders", sql="""
+SELECT order_number, sap_system || ':' || order_status AS state FROM s_orders""")
+def _(t):
+    """Every order moves out of a partition whose name has a colon, which must vanish."""
+    path = folder(t, "states")
+    now = t.order_facts.select("order_number", F.concat_ws(":", "sap_system", "order_status")
+                               .alias("state"))
+    first = t.order_facts.select("order_number", F.concat("sap_system", F.lit(":New"))
+                                 .alias("state"))
+    storage.upsert(first, path, ["order_number"], "state")
+    storage.upsert(now, path, ["order_number"], "state")
+    return t.spark.read.parquet(path).select("order_number", "state")
+
+
 @query("gov_6_lineage", views="s_orders", sql=f"""
 SELECT 'orders' AS source, 'orders_daily' AS target, 'daily summary' AS process,
   (SELECT count(*) FROM (SELECT DISTINCT order_date::DATE, sap_system FROM s_orders))

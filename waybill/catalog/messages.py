@@ -360,13 +360,14 @@ WITH week AS (SELECT {HOUR_BIN} AS b, count(*) AS n FROM raw WHERE {last('7 DAY'
   mean AS (SELECT {rnd('sum(n)', 'count(n)', 4)} AS a FROM week),
   hour AS (SELECT * FROM raw WHERE {last('1 HOUR')}),
   v AS (SELECT (SELECT count(*) FROM hour)::DOUBLE AS n,
-    (SELECT date_diff('minute', max({TS}), {MNOW}) FROM hour)::DOUBLE AS silent,
+    (SELECT date_diff('minute', max({TS}), {MNOW}) FROM raw WHERE {TS} <= {MNOW})::DOUBLE
+      AS silent,
     (SELECT {pct(cnt("status <> '03'"), 'count(*)')} FROM hour) AS rate,
     (SELECT quantile_cont({LAT_S}, 0.95) FROM hour)::DOUBLE AS p95, round(a * 3, 4) AS spike
     FROM mean)
 SELECT 'Volume' AS type, CASE WHEN n > spike THEN 'Volume Spike' ELSE 'Normal' END AS alert,
   n AS value, spike AS threshold FROM v
-UNION ALL SELECT 'Silence', CASE WHEN silent > 10 THEN 'Prolonged Silence' ELSE 'Normal' END,
+UNION ALL SELECT 'Silence', CASE WHEN silent <= 10 THEN 'Normal' ELSE 'Prolonged Silence' END,
   silent, 10 FROM v
 UNION ALL SELECT 'Error Rate', CASE WHEN rate > 5 THEN 'High Error Rate' ELSE 'Normal' END,
   rate, 5 FROM v
@@ -376,6 +377,16 @@ def _(t):
     return m.alerts(t.raw, as_of=t.message_as_of)
 
 
+@raw_query("msg_22_alerts_after_outage", f"""
+WITH one AS (SELECT date_diff('minute', max({TS}), {MNOW} + INTERVAL 3 DAY)::DOUBLE AS silent
+             FROM raw WHERE {TS} <= {MNOW} + INTERVAL 3 DAY)
+SELECT 'Silence' AS type, CASE WHEN silent <= 10 THEN 'Normal' ELSE 'Prolonged Silence' END
+  AS alert, silent AS value, 10::DOUBLE AS threshold FROM one""")
+def _(t):
+    later = F.lit(t.message_as_of).cast("timestamp") + F.expr("INTERVAL 3 DAYS")
+    return m.alerts(t.raw, as_of=later).filter(C("type") == "Silence")
+
+
 def mean_hour(kind: str) -> str:
     s = f"epoch(date_trunc('second', {TS}))::HUGEINT"
     return (f"(sum({s}) FILTER (WHERE message_type = '{kind}') // "
@@ -583,7 +594,7 @@ def _(t):
 @raw_query("snk_5_export", f"""
 SELECT strftime({TS}, '%Y-%m-%d %H:%M:%S') AS date, message_type AS type, sap_system AS system,
   docnum AS document, status FROM raw WHERE {last('7 DAY')}
-ORDER BY date DESC, document LIMIT 10000""")
+ORDER BY date DESC, document""")
 def _(t):
     return m.export_rows(t.raw, as_of=t.message_as_of)
 
@@ -659,9 +670,9 @@ SELECT d::VARCHAR AS day, n AS daily_count, {rnd('s', '7', 4)} AS average,
 FROM (SELECT {TS}::DATE AS d, count(*) AS n FROM raw WHERE {last('7 DAY')} GROUP BY 1),
   (SELECT count(*) AS s FROM raw WHERE {last('7 DAY')})
 WHERE abs({pct('n * 7 - s', 's')}) > 0
-ORDER BY abs({pct('n * 7 - s', 's')}) DESC, 1 LIMIT 3""")
+ORDER BY abs({pct('n * 7 - s', 's')}) DESC, 1""")
 def _(t):
-    return m.daily_outliers(t.raw, 0, as_of=t.message_as_of).limit(3)
+    return m.daily_outliers(t.raw, 0, as_of=t.message_as_of)
 
 
 @raw_query("join_2_aggregate_join", f"""

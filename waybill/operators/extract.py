@@ -226,6 +226,8 @@ def extract_orders_lab(raw: DataFrame, *, as_of) -> DataFrame:
     """Orders from upper-case JSON paths, cleaned, reduced to the latest version, classified.
 
     ``raw`` has message_id, sap_system, timestamp, control (object) and data (array of lines).
+    Every line repeats the order's header, so its fields are taken from the first one;
+    ``line_count`` tells how many lines the message has.
     """
     def line(name: str) -> Column:
         return F.get_json_object("data", f"$[0].{name}")
@@ -242,7 +244,8 @@ def extract_orders_lab(raw: DataFrame, *, as_of) -> DataFrame:
         day("SHIP_DATE").alias("actual_ship_date"),
         day("DELIVERED_DATE").alias("actual_delivery_date"),
         line("TOTAL_AMOUNT").try_cast("decimal(15,2)").alias("total_amount"),
-        line("CURRENCY").alias("currency"), line("STATUS").alias("_status"))
+        line("CURRENCY").alias("currency"), line("STATUS").alias("_status"),
+        F.json_array_length("data").cast("bigint").alias("line_count"))
     latest = dedupe_latest(typed, ["order_number", "sap_system"], ["timestamp", "message_id"])
     now = as_ts(as_of)
     status = (F.when(C("actual_delivery_date").isNotNull(), "Delivered")

@@ -50,7 +50,7 @@ def anonymised(df: DataFrame, subjects: DataFrame, key: str, columns: Sequence[s
 def erase(spark: SparkSession, path: str, partition: str, subjects: DataFrame, key: str,
           columns: Sequence[str]) -> list:
     """Rewrites the partitions that hold rows of the subjects, masked; returns those partitions."""
-    table = spark.read.parquet(path)
+    table = storage.table(spark, path, partition)
     ids = subjects.select(C(key).alias("_id")).distinct()
     held = table.join(ids, table[key] == C("_id"), "left_semi")
     touched = storage.partition_values(held, partition)

@@ -66,13 +66,14 @@ def condition(df: DataFrame, where: Mapping[str, Any]) -> Column:
 
 
 def ordering(df: DataFrame, order_by: Sequence[tuple[str, str]], key: str) -> list[Column]:
-    """Sort columns with the key as tie-break, so the order is total."""
+    """Sort columns with the key as tie-break, so the order is total; nulls come last."""
     out = []
     for name, direction in order_by:
         if name not in df.columns:
             raise ValueError(f"unknown column {name!r}")
-        out.append(C(name).desc() if direction.upper() == "DESC" else C(name).asc())
-    return out if key in [n for n, _ in order_by] else [*out, C(key).asc()]
+        out.append(C(name).desc_nulls_last() if direction.upper() == "DESC"
+                   else C(name).asc_nulls_last())
+    return out if key in [n for n, _ in order_by] else [*out, C(key).asc_nulls_last()]
 
 
 def query(df: DataFrame, where: Mapping[str, Any] | None = None,
@@ -93,34 +94,41 @@ def total_count(df: DataFrame, where: Mapping[str, Any] | None = None) -> DataFr
 
 
 def encode_cursor(values: Sequence[Any]) -> str:
-    return base64.urlsafe_b64encode(json.dumps([str(v) for v in values]).encode()).decode()
+    """A null stays null, so it is never mistaken for a text."""
+    return base64.urlsafe_b64encode(json.dumps(
+        [None if v is None else str(v) for v in values]).encode()).decode()
 
 
-def decode_cursor(cursor: str) -> list[str]:
+def decode_cursor(cursor: str) -> list[str | None]:
     return json.loads(base64.urlsafe_b64decode(cursor.encode()).decode())
 
 
+def beyond(df: DataFrame, order_by: Sequence[tuple[str, str]], *, key: str,
+           after: str) -> Column:
+    """Whether a row comes after the cursor, in the order of ``ordering`` with its nulls last."""
+    steps = [*order_by] if key in [n for n, _ in order_by] else [*order_by, (key, "ASC")]
+    later, same = F.lit(False), F.lit(True)
+    for (name, direction), value in zip(steps, decode_cursor(after), strict=True):
+        if value is None:  # nothing of this column comes after a null
+            same = same & C(name).isNull()
+            continue
+        here = F.lit(value).cast(df.schema[name].dataType)
+        past = C(name) < here if direction.upper() == "DESC" else C(name) > here
+        later = later | (same & (past | C(name).isNull()))
+        same = same & C(name).eqNullSafe(here)
+    return F.coalesce(later, F.lit(False))
+
+
 def page_rows(df: DataFrame, order_by: Sequence[tuple[str, str]], *, key: str,
               first: int = DEFAULT_LIMIT, after: str | None = None) -> DataFrame:
     """Up to ``first + 1`` rows after the cursor; the extra row tells whether more follow.
 
     The position is a filter on the sort columns, so a deep page costs no more than the first.
-    Sort columns must not be null.
+    Sort columns may be null; nulls come last in either direction.
     """
     if not 0 < first <= MAX_LIMIT:
         raise ValueError(f"first must be between 1 and {MAX_LIMIT}")
-    steps = [*order_by] if key in [n for n, _ in order_by] else [*order_by, (key, "ASC")]
-    rows = df
-    if after is not None:
-        at = decode_cursor(after)
-        later = F.lit(False)
-        same = F.lit(True)
-        for (name, direction), value in zip(steps, at):
-            here = F.lit(value).cast(df.schema[name].dataType)
-            beyond = C(name) < here if direction.upper() == "DESC" else C(name) > here
-            later = later | (same & beyond)
-            same = same & (C(name) == here)
-        rows = df.filter(later)
+    rows = df if after is None else df.filter(beyond(df, order_by, key=key, after=after))
     return rows.orderBy(*ordering(df, order_by, key)).limit(first + 1)
 
 
@@ -251,7 +259,8 @@ def search(tables: Mapping[str, tuple[DataFrame, str, Sequence[str]]], text: str
            types: Sequence[str], limit: int = 20) -> DataFrame:
     """Rows of the chosen entities with ``text`` in one of the searched columns.
 
-    ``tables`` maps a type to (frame, key column, searched columns). Case does not matter.
+    ``tables`` maps a type to (frame, key column, searched columns). Case does not matter. A page
+    of ``limit`` rows; ``total`` tells how many there are in all.
     """
     needle = text.lower()
     parts = []
@@ -261,7 +270,9 @@ def search(tables: Mapping[str, tuple[DataFrame, str, Sequence[str]]], text: str
         parts.append(df.filter(F.coalesce(hit, F.lit(False))).select(
             F.lit(kind).alias("type"), C(key).cast("string").alias("id"),
             F.concat_ws(" | ", *columns).alias("label")))
-    return union_all(parts).orderBy("type", "id").limit(limit)
+    hits = union_all(parts)
+    total = hits.agg(F.count("*")).scalar()
+    return hits.orderBy("type", "id").limit(limit).withColumn("total", total)
 
 
 def carrier_sla(shipments: DataFrame) -> DataFrame:

@@ -2,7 +2,11 @@
 
 One writer per table. Rewrites use dynamic partition overwrite: Spark writes the new files aside
 and moves whole partitions into place when the job commits, so a lost executor or a failed job
-leaves the old partitions as they were, and the job may read the table it replaces.
+leaves the old partitions as they were, and the job may read the table it replaces. A whole table
+is written aside, too, and swapped in when it is complete.
+
+Where partitions are removed or rewritten, their column is read with a declared type, never with
+an inferred one: a folder ``007`` must not come back as ``7``.
 """
 
 from __future__ import annotations
@@ -10,9 +14,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.functions import as_ts
 
@@ -46,19 +52,36 @@ def _packed(df: DataFrame, partition: str | None) -> DataFrame:
 
 
 def create_or_replace(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Writes the whole table anew."""
-    writer = _packed(df, partition).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    """Replaces the whole table; ``df`` may read the table itself.
+
+    The new table is written aside. Only when it is complete the old folder is renamed, the new
+    one takes its place, and the old one goes; a write that fails leaves the old table.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    new, old = _staging(path), _staging(path)
+    writer = _packed(df, partition).write
+    try:
+        (writer.partitionBy(partition) if partition else writer).parquet(new)
+    except Exception:
+        remove(spark, new)
+        raise
+    fs, target = _fs(spark, path)
+    had = fs.exists(target)
+    if had and not fs.rename(target, _fs(spark, old)[1]):
+        raise OSError(f"{path} could not be moved aside")
+    if not had:
+        fs.mkdirs(target.getParent())
+    if not fs.rename(_fs(spark, new)[1], target):
+        if had:
+            fs.rename(_fs(spark, old)[1], target)
+        raise OSError(f"the new table could not be moved to {path}")
+    remove(spark, old)
 
 
 def snapshot(df: DataFrame, path: str) -> None:
-    """Replaces the whole table; ``df`` may read the table itself."""
-    spark = df.sparkSession
-    staging = _staging(path)
-    df.write.parquet(staging)
-    create_or_replace(spark.read.parquet(staging), path)
-    remove(spark, staging)
+    """Replaces a table without partitions."""
+    create_or_replace(df, path)
 
 
 def append(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -75,14 +98,38 @@ def partition_values(df: DataFrame, partition: str) -> list:
     return [r[0] for r in df.select(partition).distinct().collect()]
 
 
-def _folder(path: str, partition: str, value) -> str:
-    if value is None:
-        text = "__HIVE_DEFAULT_PARTITION__"
-    elif isinstance(value, (date, datetime)):
-        text = value.isoformat()
-    else:
-        text = str(value)
-    return f"{path.rstrip('/')}/{partition}={text}"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _text(value) -> str:
+    """A partition value as Spark writes it, before it is escaped."""
+    if value is None or value == "":
+        return NO_VALUE
+    if isinstance(value, datetime):
+        whole = value.strftime("%Y-%m-%d %H:%M:%S")
+        return f"{whole}.{value.microsecond:06d}".rstrip("0") if value.microsecond else whole
+    if isinstance(value, bool):
+        return str(value).lower()
+    return value.isoformat() if isinstance(value, date) else str(value)
+
+
+def folders(spark: SparkSession, path: str, partition: str) -> dict[str, str]:
+    """The table's partition folders by the text of their value."""
+    fs, p = _fs(spark, path)
+    names = [f.getPath() for f in fs.listStatus(p) if f.isDirectory()]
+    return {unquote(n.getName().split("=", 1)[1]): n.toString() for n in names
+            if n.getName().startswith(f"{partition}=")}
+
+
+def table(spark: SparkSession, path: str, partition: str,
+          kind: T.DataType | None = None) -> DataFrame:
+    """The table with its partition column of this type; as text by default."""
+    found = spark.read.parquet(path).schema
+    if partition not in found.names:
+        raise ValueError(f"{path} is not partitioned by {partition!r}")
+    return spark.read.schema(T.StructType([
+        T.StructField(f.name, kind or T.StringType()) if f.name == partition else f
+        for f in found.fields])).parquet(path)
 
 
 def _in(partition: str, values: Sequence) -> Column:
@@ -99,8 +146,15 @@ def _overwrite(rows: DataFrame, path: str, partition: str) -> None:
 
 
 def _drop(spark: SparkSession, path: str, partition: str, values: Sequence) -> None:
+    """Removes the partitions of these values; raises when one of them is not there."""
+    if not values:
+        return
+    held = folders(spark, path, partition)
+    lost = [v for v in values if _text(v) not in held]
+    if lost:
+        raise ValueError(f"{path} has no partitions {partition}={lost[:5]}")
     for value in values:
-        remove(spark, _folder(path, partition, value))
+        remove(spark, held[_text(value)])
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -131,7 +185,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
         if not exists(spark, path):
             append(staged, path, partition)
             return
-        target = spark.read.parquet(path)
+        target = table(spark, path, partition, updates.schema[partition].dataType)
         searched = target if moves else target.filter(_in(partition, incoming))
         held = searched.select(*keys, C(partition).alias("_at"),
                                *([C(version).alias("_held")] if version else []))
@@ -163,8 +217,10 @@ def replace_partitions(df: DataFrame, path: str, partition: str,
     spark = df.sparkSession
     _overwrite(_packed(df, partition), path, partition)
     if touched:
-        left = partition_values(df.select(partition), partition)
-        _drop(spark, path, partition, [v for v in touched if v not in left])
+        held = folders(spark, path, partition)
+        left = {_text(v) for v in partition_values(df.select(partition), partition)}
+        _drop(spark, path, partition,
+              [v for v in touched if _text(v) in held and _text(v) not in left])
 
 
 def refresh(compute, source: DataFrame, path: str, day: str, partition: str,
@@ -209,12 +265,13 @@ def compact(spark: SparkSession, path: str, cluster_by: Sequence[str],
     Rows are spread by range, so equal and near values share files and their row groups can be
     skipped. The number of files follows the data: adaptive execution merges small ranges.
     """
-    table = spark.read.parquet(path)
     if partition is None:
-        rows = table.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-        snapshot(rows, path)
+        rows = spark.read.parquet(path)
+        snapshot(rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by), path)
         return
-    some = table if values is None else table.filter(_in(partition, values))
+    some = table(spark, path, partition)
+    if values is not None:
+        some = some.filter(_in(partition, [None if v is None else _text(v) for v in values]))
     order = [partition, *cluster_by]
     _overwrite(some.repartitionByRange(*order).sortWithinPartitions(*order), path, partition)
 
@@ -230,7 +287,7 @@ def run_steps(steps: dict, retries: int = 2) -> list[dict]:
                                "error": None})
                 break
             except Exception as error:  # noqa: BLE001 - one step must not stop the others
-                failure = str(error)[:500]
+                failure = str(error)
         else:
             report.append({"step": name, "status": "Failed", "attempts": retries + 1,
                            "error": failure})

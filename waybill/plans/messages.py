@@ -295,23 +295,24 @@ def alerts(raw: DataFrame, *, as_of, spike_factor: int = 3, silence_minutes: int
            error_percent: int = 5, latency_seconds: int = 120) -> DataFrame:
     """Volume, silence, error-rate and latency checks of the last hour, one row each.
 
-    One pass gives all four numbers; the weekly mean is a scalar subquery. Latencies are counted
-    per value before the percentile.
+    One pass gives the numbers of the hour; the weekly mean and the newest message of all are
+    scalar subqueries. Silence counts from that message, however old it is; a system without any
+    message is silent. Latencies are counted per value before the percentile.
     """
+    newest = raw.filter(C("timestamp") <= as_ts(as_of)).agg(F.max("timestamp")).scalar()
     mean = volume(raw, 3600, "7 days", as_of=as_of).agg(
         ratio(F.sum("total"), F.count("total"), 4)).scalar()
     hour = newer_than(raw, "timestamp", "1 hour", as_of=as_of)
     counts = hour.groupBy(latency().alias("s")).agg(
-        F.count("*").alias("n"), F.max("timestamp").alias("last"),
-        F.count_if(failed_status()).alias("bad"))
-    one = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("last").alias("last"),
+        F.count("*").alias("n"), F.count_if(failed_status()).alias("bad"))
+    one = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                      pct(F.sum("bad"), F.sum("n")).cast("double").alias("rate"),
                      F.percentile("s", 0.95, C("n")).alias("p95"))
-    one = one.withColumns({"silent": diff_boundary("minute", as_ts(as_of), C("last")),
+    one = one.withColumns({"silent": diff_boundary("minute", as_ts(as_of), newest),
                            "spike": (mean * spike_factor).cast("double")})
 
-    def row(kind: str, value: Column, limit: Column, text: str) -> Column:
-        hit = F.coalesce(value > limit, F.lit(False))
+    def row(kind: str, value: Column, limit: Column, text: str, unknown: bool = False) -> Column:
+        hit = F.coalesce(value > limit, F.lit(unknown))
         return F.struct(F.lit(kind).alias("type"),
                         F.when(hit, text).otherwise("Normal").alias("alert"),
                         F.round(value.cast("double"), 4).alias("value"),
@@ -319,7 +320,7 @@ def alerts(raw: DataFrame, *, as_of, spike_factor: int = 3, silence_minutes: int
 
     checks = F.array(
         row("Volume", C("n"), C("spike"), "Volume Spike"),
-        row("Silence", C("silent"), F.lit(silence_minutes), "Prolonged Silence"),
+        row("Silence", C("silent"), F.lit(silence_minutes), "Prolonged Silence", unknown=True),
         row("Error Rate", C("rate"), F.lit(error_percent), "High Error Rate"),
         row("P95 Latency", C("p95"), F.lit(latency_seconds), "High Latency"))
     return one.select(F.inline(checks))
@@ -401,11 +402,13 @@ def routable(raw: DataFrame, statuses: Sequence[str] = VALID_STATUS,
     return raw.filter(C("control.status").isin(*statuses) & (C("sap_system") != test_system))
 
 
-def export_rows(raw: DataFrame, window: str = "7 days", n: int = 10000, *, as_of) -> DataFrame:
-    """Flat rows for a spreadsheet, newest first, at most ``n``."""
+def export_rows(raw: DataFrame, window: str = "7 days", n: int | None = None, *,
+                as_of) -> DataFrame:
+    """Flat rows for a spreadsheet, newest first; all of them unless ``n`` is given."""
     rows = newer_than(raw, "timestamp", window, as_of=as_of).select(
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("date"),
         C("message_type").alias("type"), C("sap_system").alias("system"),
         C("control.docnum").alias("document"), C("control.status").alias("status"))
-    return top_by(rows, n, F.desc("date"), "document")
+    order = (F.desc("date"), "document")
+    return rows.orderBy(*order) if n is None else top_by(rows, n, *order)
 

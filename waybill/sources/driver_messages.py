@@ -102,7 +102,8 @@ class Messages:
 
     @cached_property
     def orders_lab(self) -> DataFrame:
-        """Upper-case payload; every order is sent twice, first without its ship dates."""
+        """Upper-case payload; every order is sent twice, first without its ship dates. Every
+        third order has two lines."""
         df = self.t.orders.withColumn("_version", F.explode(F.array(F.lit(1), F.lit(2))))
         later = C("_version") == 2
         line = F.struct(
@@ -117,7 +118,9 @@ class Messages:
             F.concat_ws("-", "order_number", "_version").alias("message_id"), "sap_system",
             (C("order_date") + F.make_dt_interval(hours=C("_version"))).alias("timestamp"),
             F.to_json(F.struct(C("order_number").alias("DOCNUM"), F.lit("ZOR").alias("DOCTYP")))
-            .alias("control"), F.to_json(F.array(line)).alias("data"))
+            .alias("control"),
+            F.to_json(F.when(C("order_number").cast("bigint") % 3 == 0, F.array(line, line))
+                      .otherwise(F.array(line))).alias("data"))
 
     @cached_property
     def shipments(self) -> DataFrame:

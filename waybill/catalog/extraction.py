@@ -315,6 +315,43 @@ def _(t):
         "order_number", "position", "item_number", "material_id", "quantity", "net_amount")
 
 
+@query("ext_23_invoice_lines", views="s_invoices s_order_lines", sql="""
+SELECT invoice_number, row_number() OVER (PARTITION BY invoice_number ORDER BY item_number)
+    AS position, (item_number * 10)::VARCHAR AS item_number, material_id,
+  quantity::DOUBLE AS quantity, net_amount::DOUBLE AS net_amount
+FROM s_invoices i JOIN s_order_lines l ON i.order_number = l.order_number""")
+def _(t):
+    return x.extract_invoice_items(Messages(t).invoice_lines).select(
+        "invoice_number", "position", "item_number", "material_id", "quantity", "net_amount")
+
+
+@query("ext_24_delivery_lines", views="s_shipments", sql="""
+SELECT 'D' || shipment_number AS delivery_number, p AS position, (p * 10)::VARCHAR AS item_number,
+  'P' || p AS material_id, CASE p WHEN 1 THEN 1.5 ELSE 2 END::DOUBLE AS quantity, order_number,
+  (total_weight_kg / 2.0)::DOUBLE AS weight_kg,
+  CASE p WHEN 1 THEN 'B' || shipment_number END AS batch_number,
+  CASE p WHEN 1 THEN 1.5::DOUBLE END AS batch_quantity
+FROM s_shipments, (VALUES (1), (2)) v(p) WHERE actual_delivery_date IS NOT NULL""")
+def _(t):
+    return x.extract_delivery_items(Messages(t).delivery_lines).select(
+        "delivery_number", "position", "item_number", "material_id", "quantity", "order_number",
+        "weight_kg", "batch_number", "batch_quantity")
+
+
+@query("dq_ref_006_payload", views="s_invoices", sql="""
+SELECT count(*) AS invoices, count(*) FILTER (WHERE order_number::BIGINT % 97 = 0) AS differing
+FROM s_invoices""")
+def _(t):
+    """The subtotal that a message states against the lines it holds."""
+    raw = Messages(t).invoice_lines
+    lines = x.extract_invoice_items(raw).groupBy("invoice_number").agg(
+        F.sum("net_amount").alias("line_total"))
+    stated = x.extract_invoices(raw, as_of=t.as_of).select("invoice_number", "subtotal_amount")
+    return stated.join(lines, "invoice_number", "left").agg(
+        F.count("*").alias("invoices"),
+        F.count_if(~F.col("subtotal_amount").eqNullSafe(F.col("line_total"))).alias("differing"))
+
+
 @query("ext_21_payload_orders", views="s_orders", sql=f"""
 SELECT order_number, customer_id, {ts('order_date', 'order_date')},
   {money('total_amount')} AS total_value, order_status AS status,

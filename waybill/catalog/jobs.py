@@ -305,6 +305,38 @@ def _(t):
         F.sum("total_amount").alias("amount")) for n in ("orders", "invoices")])
 
 
+@query("str_1_logistics_routes", views="s_shipments s_warehouse", sql="""
+SELECT 'shipments' AS table_name, count(*) AS row_count, sum(total_weight_kg)::DOUBLE AS amount
+FROM s_shipments
+UNION ALL SELECT 'deliveries', count(*), sum(total_weight_kg)::DOUBLE FROM s_shipments
+WHERE actual_delivery_date IS NOT NULL
+UNION ALL SELECT 'movements', count(*), sum(weight_kg)::DOUBLE FROM s_warehouse""")
+def _(t):
+    """Shipment, delivery and warehouse messages of one stream into their silver tables."""
+    path = folder(t, "logistics")
+    made = Messages(t)
+    union_all([made.shipments, made.deliveries, made.movements]).write.parquet(f"{path}/bronze")
+    stream = t.spark.readStream.schema(made.shipments.schema).parquet(f"{path}/bronze")
+
+    def route(kind, extractor, name, key, ts):
+        return {(kind,): jobs.Route(
+            lambda r: extractor(r).withColumn("year_start", F.trunc(ts, "year")), f"{path}/{name}",
+            (key, "sap_system"), "message_timestamp", "year_start", moves=False)}
+
+    routes = (route("SHPMNT", extract.extract_shipments, "shipments", "shipment_number",
+                    "planned_ship_date")
+              | route("DESADV", extract.extract_deliveries, "deliveries", "delivery_number",
+                      "delivery_date")
+              | route("WHSCON", extract.extract_warehouse_header, "movements",
+                      "confirmation_number", "movement_timestamp"))
+    finish(jobs.to_silver(stream, routes, f"{path}/checkpoint", as_of=t.as_of))
+    weight = {"shipments": "total_weight_kg", "deliveries": "total_weight_kg",
+              "movements": "weight_kg"}
+    return union_all([t.spark.read.parquet(f"{path}/{n}").agg(
+        F.lit(n).alias("table_name"), F.count("*").alias("row_count"),
+        F.sum(w).cast("double").alias("amount")) for n, w in weight.items()])
+
+
 @query("str_2_deduplicated", views="raw", sql="SELECT docnum, sap_system FROM raw")
 def _(t):
     twice = t.raw_stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))

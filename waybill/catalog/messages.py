@@ -523,6 +523,31 @@ def _(t):
     return series.anomalies(hourly, "count")
 
 
+@raw_query("ts_4_anomalies_by_system", f"""
+WITH b AS (SELECT sap_system, ts FROM (SELECT DISTINCT sap_system FROM raw),
+    (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', {MNOW} - INTERVAL 1 HOUR,
+                                   INTERVAL 1 HOUR)) AS ts)),
+  f AS (SELECT b.sap_system, ts, coalesce(n, 0) AS n FROM b LEFT JOIN (
+    SELECT sap_system AS s, {HOUR_BIN} AS h, count(*) AS n FROM raw
+    WHERE {TS} >= TIMESTAMP '2024-01-01' AND {TS} < {MNOW} GROUP BY 1, 2)
+    ON b.sap_system = s AND ts = h),
+  base AS (SELECT sap_system AS s, hour(ts) AS h, quantile_cont(n, 0.5)::DOUBLE AS baseline
+           FROM f GROUP BY 1, 2),
+  r AS (SELECT sap_system, ts, n, baseline, n - baseline AS residual
+        FROM f JOIN base ON sap_system = s AND hour(ts) = h),
+  q AS (SELECT sap_system AS s, quantile_cont(residual, 0.25) AS q1,
+          quantile_cont(residual, 0.75) AS q3 FROM r GROUP BY 1)
+SELECT sap_system, ts::VARCHAR AS ts, n AS count, baseline, residual,
+  (CASE WHEN residual > q3 + 1.5 * (q3 - q1) THEN 1
+    WHEN residual < q1 - 1.5 * (q3 - q1) THEN -1 ELSE 0 END)::INTEGER AS anomaly,
+  CASE WHEN q3 > q1 THEN round(residual / (q3 - q1), 4) END AS score
+FROM r JOIN q ON sap_system = s""")
+def _(t):
+    hourly = series.gap_fill(t.raw, "timestamp", 3600, "2024-01-01 00:00:00", t.message_as_of,
+                             ["sap_system"])
+    return series.anomalies(hourly, "count", by=["sap_system"])
+
+
 # ---------------------------------------------------------------- filters, projections, sets
 
 @raw_query("flt_1_relative_time", f"""

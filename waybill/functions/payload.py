@@ -27,7 +27,8 @@ SEGMENT_FIELDS = {
     "E1EDK03": "iddat datum uzeit",
     "E1EDK14": "qualf orgid",
     "E1EDKA1": "parvw name1 stras ort01 regio pstlz land1",
-    "E1EDL20": "segnam lfimg vgbel",
+    "E1EDL20": "segnam posex matnr arktx lfimg vrkme ntgew volum vgbel",
+    "E1EDL24": "posnr charg lfimg",
     "E1EDL37": "vhilm",
     "E1EDP01": "segnam posex matnr arktx menge menee vprei netwr werks",
     "E1EDS01": "sumid summe",

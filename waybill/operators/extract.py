@@ -222,6 +222,15 @@ def extract_order_items(raw: DataFrame) -> DataFrame:
                         *columns(take(C("_item"), ITEM)))
 
 
+def extract_invoice_items(raw: DataFrame) -> DataFrame:
+    """One row per invoice line; child segments in the same array are left out."""
+    items = _of(raw, "INVOIC", "E1EDK01", "E1EDP01").select(
+        field(head("E1EDK01"), "belnr").alias("invoice_number"), "sap_system",
+        F.posexplode(only("E1EDP01", "E1EDP01")).alias("position", "_item"))
+    return items.select("invoice_number", "sap_system", (C("position") + 1).alias("position"),
+                        *columns(take(C("_item"), ITEM)))
+
+
 def extract_orders_lab(raw: DataFrame, *, as_of) -> DataFrame:
     """Orders from upper-case JSON paths, cleaned, reduced to the latest version, classified.
 
@@ -398,6 +407,26 @@ def extract_deliveries(raw: DataFrame) -> DataFrame:
         access_scope("E1EDK01").alias("partner_access_scope"), *_meta())
 
 
+DELIVERY_ITEM = {"item_number": ("posex", "text"), "material_id": ("matnr", "text"),
+                 "description": ("arktx", "text"), "quantity": ("lfimg", "quantity"),
+                 "unit": ("vrkme", "text"), "weight_kg": ("ntgew", "quantity"),
+                 "volume_m3": ("volum", "quantity"), "order_number": ("vgbel", "text")}
+BATCH = {"batch_number": ("charg", "text"), "batch_quantity": ("lfimg", "quantity")}
+
+
+def extract_delivery_items(raw: DataFrame) -> DataFrame:
+    """One row per delivery line with its batch; a line without batch segment has null there."""
+    items = _of(raw, "DESADV", "E1EDK01", "E1EDL20", "E1EDL24").select(
+        field(head("E1EDK01"), "belnr").alias("delivery_number"), "sap_system",
+        segments("E1EDL24").alias("_batches"),
+        F.posexplode(segments("E1EDL20")).alias("position", "_item"))
+    own = F.get(F.filter("_batches", lambda s: field(s, "posnr") == field(C("_item"), "posex")),
+                F.lit(0))
+    return items.withColumn("_batch", own).select(
+        "delivery_number", "sap_system", (C("position") + 1).alias("position"),
+        *columns(take(C("_item"), DELIVERY_ITEM)), *columns(take(C("_batch"), BATCH)))
+
+
 # ---------------------------------------------------------------- warehouse
 
 FLAT_MOVEMENT = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +13,25 @@ from waybill.functions import as_ts, bin_floor, pct_change, ratio
 C = F.col
 
 
+STRETCH = 1024  # bins that are made from one row
+
+
 def spine(df: DataFrame, seconds: int, start, end, by: Sequence[str] = ()) -> DataFrame:
-    """Bin starts from ``start`` up to, not including, ``end``, for every value of ``by``."""
-    first = bin_floor(as_ts(start), seconds)
-    step = F.make_dt_interval(secs=F.lit(seconds))
-    bins = F.sequence(first, as_ts(end) - F.expr("INTERVAL 1 SECOND"), step)
+    """Bin starts from ``start`` up to, not including, ``end``, for every value of ``by``.
+
+    Bins are made in two steps, stretches first, so that no row ever holds all of them and the
+    stretches spread over tasks.
+    """
+    first = F.unix_seconds(bin_floor(as_ts(start), seconds))
+    bins = F.ceil((F.unix_seconds(as_ts(end)) - first) / seconds).cast("bigint")
     base = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
-    return base.select(*by, F.explode(bins).alias("ts"))
+    last = F.floor((bins - 1) / STRETCH).cast("bigint")
+    stretches = base.select(*by, F.explode(F.when(bins > 0, F.sequence(
+        F.lit(0).cast("bigint"), last))).alias("_stretch")).repartition(*by, "_stretch")
+    at = C("_stretch") * STRETCH
+    return stretches.select(*by, F.explode(F.sequence(
+        at, F.least(at + STRETCH, bins) - 1)).alias("_bin")).select(
+        *by, F.timestamp_seconds(first + C("_bin") * seconds).alias("ts"))
 
 
 def gap_fill(df: DataFrame, ts: str, seconds: int, start, end, by: Sequence[str] = (),
@@ -49,23 +62,37 @@ def moving_average(series: DataFrame, value: str, n: int, seconds: int,
             .filter(C(value).isNotNull()))
 
 
-def anomalies(series: DataFrame, value: str, k: float = 1.5, scale: int = 4) -> DataFrame:
+def anomalies(series: DataFrame, value: str, k: float = 1.5, scale: int = 4,
+              by: Sequence[str] = ()) -> DataFrame:
     """Bins whose deviation from the usual value of their hour is unusual.
 
-    Baseline: median per hour of the day. A residual below Q1 - k*IQR or above Q3 + k*IQR of all
-    residuals is flagged -1 or +1; ``score`` is the residual in units of the IQR.
+    Baseline: median per hour of the day, for each value of ``by``. A residual below Q1 - k*IQR
+    or above Q3 + k*IQR of its series' residuals is flagged -1 or +1; ``score`` is the residual
+    in units of the IQR. Medians and quartiles run over distinct values with their counts.
     """
+    by = list(by)
+    own = [C(f"s.{c}").eqNullSafe(C(f"o.{c}")) for c in by]
     hour = F.hour("ts")
-    usual = series.groupBy(hour.alias("_hour")).agg(F.percentile(value, 0.5).alias("baseline"))
-    rest = (series.withColumn("_hour", hour).join(usual, "_hour").drop("_hour")
+    usual = series.groupBy(*by, hour.alias("_hour"), C(value).alias("_v")).agg(
+        F.count("*").alias("_n")).groupBy(*by, "_hour").agg(
+        F.percentile("_v", 0.5, C("_n")).alias("baseline"))
+    at = reduce(lambda a, b: a & b, own, C("s._hour") == C("o._hour"))
+    rest = (series.withColumn("_hour", hour).alias("s").join(usual.alias("o"), at)
+            .select(*(C(f"s.{c}") for c in series.columns), "o.baseline")
             .withColumn("residual", C(value) - C("baseline")))
-    q1 = rest.agg(F.percentile("residual", 0.25)).scalar()
-    q3 = rest.agg(F.percentile("residual", 0.75)).scalar()
+    quartiles = rest.groupBy(*by, "residual").agg(F.count("*").alias("_n")).groupBy(*by).agg(
+        F.percentile("residual", [0.25, 0.75], C("_n")).alias("_q"))
+    if by:
+        rest = rest.alias("s").join(quartiles.alias("o"), reduce(lambda a, b: a & b, own)).select(
+            "s.*", "o._q")
+    else:
+        rest = rest.withColumn("_q", quartiles.select("_q").scalar())
+    q1, q3 = C("_q")[0], C("_q")[1]
     spread = q3 - q1
     flag = (F.when(C("residual") > q3 + F.lit(k) * spread, 1)
             .when(C("residual") < q1 - F.lit(k) * spread, -1).otherwise(0))
     return rest.withColumns({
-        "anomaly": flag, "score": F.round(F.try_divide(C("residual"), spread), scale)})
+        "anomaly": flag, "score": F.round(F.try_divide(C("residual"), spread), scale)}).drop("_q")
 
 
 def period_change(df: DataFrame, ts: str, seconds: int, by: Sequence[str] = (), *,

@@ -254,6 +254,47 @@ class Messages:
         return _message(self.t.invoices, "INVOIC", "INVOIC02", C("invoice_number"),
                         "invoice_date", data)
 
+    @cached_property
+    def invoice_lines(self) -> DataFrame:
+        """Invoices with the lines of their orders, children mixed in. In every 97th the stated
+        subtotal differs from the lines."""
+        lines = self.t.order_lines.groupBy("order_number").agg(F.sort_array(F.collect_list(
+            F.struct("item_number", "material_id", "quantity", "net_amount"))).alias("_lines"))
+        none = F.lit(None).cast("string")
+
+        def segs(line: Column) -> Column:
+            number = _text(line["item_number"] * 10)
+            return F.array(
+                _seg("E1EDP01", posex=number, matnr=line["material_id"], idtnr=none,
+                     menge=_text(line["quantity"]), netwr=_text(line["net_amount"])),
+                _seg("E1EDP19", posex=number, matnr=none, idtnr=line["material_id"], menge=none,
+                     netwr=none))
+
+        off = F.when(C("order_number").cast("bigint") % 97 == 0, 1).otherwise(0)
+        stated = (C("subtotal_amount") + off).cast("decimal(18,2)")
+        data = F.struct(
+            F.array(_seg("E1EDK01", belnr=C("invoice_number"))).alias("E1EDK01"),
+            F.flatten(F.transform("_lines", segs)).alias("E1EDP01"),
+            F.array(_seg("E1EDS01", sumid=F.lit("002"), summe=_text(stated))).alias("E1EDS01"))
+        return _message(self.t.invoices.join(lines, "order_number"), "INVOIC", "INVOIC02",
+                        C("invoice_number"), "invoice_date", data)
+
+    @cached_property
+    def delivery_lines(self) -> DataFrame:
+        """Delivery notes with two lines, of which the first has a batch."""
+        rows = self.t.shipments.filter(C("actual_delivery_date").isNotNull())
+        half = _text((C("total_weight_kg") / 2).cast("decimal(15,3)"))
+        data = F.struct(
+            F.array(_seg("E1EDK01", belnr=F.concat(F.lit("D"), C("shipment_number"))))
+            .alias("E1EDK01"),
+            F.array(*(_seg("E1EDL20", posex=F.lit(n), matnr=F.lit(m), lfimg=F.lit(q),
+                           vrkme=F.lit("EA"), ntgew=half, vgbel=C("order_number"))
+                      for n, m, q in (("10", "P1", "1.500"), ("20", "P2", "2.000"))))
+            .alias("E1EDL20"),
+            F.array(_seg("E1EDL24", posnr=F.lit("10"), lfimg=F.lit("1.500"),
+                         charg=F.concat(F.lit("B"), C("shipment_number")))).alias("E1EDL24"))
+        return _message(rows, "DESADV", "DESADV01", C("shipment_number"), "actual_ship_date", data)
+
     @cached_property
     def invoices_flat(self) -> DataFrame:
         data = F.struct(

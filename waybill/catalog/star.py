@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.catalog.base import query
 from waybill.catalog.gold import DAY, cnt
 from waybill.catalog.views_sql import NOW, avg, money, pct, total
-from waybill.operators import rows
+from waybill.operators import rows, storage
 from waybill.plans import gold, linkage, star
+from waybill.session import checkpoint_dir
 
 C = F.col
 NUMBER = "row_number() OVER (ORDER BY left(md5({0}), 2), {0})"
 
 
+def folder(t, name: str) -> str:
+    return f"{checkpoint_dir(t.spark)}/waybill/{name}-{uuid.uuid4().hex}"
+
+
 def dim_sql(view: str, key: str, surrogate: str, columns: str) -> str:
     return (f"SELECT {NUMBER.format(key)} AS {surrogate}, {columns}, "
             f"CAST({NOW} AS DATE)::VARCHAR AS valid_from, NULL::VARCHAR AS valid_to, "
@@ -35,6 +43,24 @@ def carrier_dim(t):
                                "carrier_key", as_of=t.as_of)
 
 
+def loaded(t, name: str, make) -> DataFrame:
+    """A dimension as facts read it: loaded into a table once for these tables."""
+    paths = t.__dict__.setdefault("_loaded", {})
+    if name not in paths:
+        path = folder(t, name)
+        storage.create_or_replace(make(t), path)
+        paths[name] = path
+    return t.spark.read.parquet(paths[name])
+
+
+def customers(t):
+    return loaded(t, "customer-dimension", customer_dim)
+
+
+def carriers(t):
+    return loaded(t, "carrier-dimension", carrier_dim)
+
+
 D_CUSTOMER = dim_sql("s_customers", "customer_id", "customer_key",
                      "customer_id, customer_name, 'EXTERNAL' AS customer_type, region")
 D_CARRIER = dim_sql("s_carriers", "carrier_id", "carrier_key",
@@ -109,7 +135,7 @@ STAR_VIEWS = "s_shipments s_customers s_carriers"
 
 
 def fact(t):
-    return star.fact_shipment(t.shipments, customer_dim(t), carrier_dim(t))
+    return star.fact_shipment(t.shipments, customers(t), carriers(t))
 
 
 @query("fact_1_shipment", views=STAR_VIEWS, sql=f"WITH {DIMS} {FACT}")
@@ -124,7 +150,7 @@ SELECT order_number, customer_key, strftime(order_date, '%Y%m%d')::INTEGER AS or
   order_date::VARCHAR AS order_date
 FROM s_orders LEFT JOIN d_customer USING (customer_id)""")
 def _(t):
-    return star.fact_order(t.orders, customer_dim(t))
+    return star.fact_order(t.orders, customers(t))
 
 
 RATE = pct(cnt("on_time_delivery_flag"), "count(*)")
@@ -140,7 +166,7 @@ SELECT ship_day, customer_id, customer_name, carrier_id, carrier_name,
 FROM fact JOIN d_customer USING (customer_key) JOIN d_carrier USING (carrier_key)
 GROUP BY ALL""")
 def _(t):
-    return star.shipments_daily(fact(t), customer_dim(t), carrier_dim(t))
+    return star.shipments_daily(fact(t), customers(t), carriers(t))
 
 
 @query("mtr_2_customer_metrics", views=STAR_VIEWS, sql=f"""
@@ -150,7 +176,7 @@ SELECT customer_id, customer_name, customer_type,
   {VALUE} AS total_value, {RATE} AS on_time_rate, max(ship_day) AS last_shipment_day
 FROM fact JOIN d_customer USING (customer_key) GROUP BY ALL""")
 def _(t):
-    return star.customer_metrics(fact(t), customer_dim(t))
+    return star.customer_metrics(fact(t), customers(t))
 
 
 @query("mtr_3_carrier_metrics", views=STAR_VIEWS, sql=f"""
@@ -160,7 +186,7 @@ SELECT carrier_id, carrier_name, count(DISTINCT shipment_number) AS total_shipme
   {avg('delivery_delay_days')} AS avg_delay_days, max(ship_day) AS last_shipment_day
 FROM fact JOIN d_carrier USING (carrier_key) GROUP BY ALL""")
 def _(t):
-    return star.carrier_metrics(fact(t), carrier_dim(t))
+    return star.carrier_metrics(fact(t), carriers(t))
 
 
 ON_TIME_7 = cnt("actual_delivery_date <= actual_ship_date + INTERVAL 7 DAY")

@@ -60,8 +60,12 @@ def load_dimension(source: DataFrame, key: str, attributes: Sequence[str], surro
     ``source`` has one row per key (see ``members``). A changed member's current row is closed
     at ``as_of`` and a new current row opened; unchanged rows and history stay as they are.
     """
-    dim = existing if existing is not None else empty_dimension(source, key, attributes, surrogate)
     today = F.to_date(as_ts(as_of))
+    opened = {"valid_from": today, "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)}
+    if existing is None:  # the first load compares with nothing
+        columns = empty_dimension(source, key, attributes, surrogate).columns
+        return number_rows(source, key, surrogate).withColumns(opened).select(*columns)
+    dim = existing
     incoming = source.select(C(key).alias("_k"), F.struct(*attributes).alias("_new"))
     seen = dim.join(incoming, (C(key) == C("_k")) & C("is_current"), "left")
     changed = C("_k").isNotNull() & ~C("_new").eqNullSafe(F.struct(*attributes))
@@ -75,8 +79,7 @@ def load_dimension(source: DataFrame, key: str, attributes: Sequence[str], surro
     fresh = source.join(current, (C(key) == C("_k"))
                         & F.struct(*attributes).eqNullSafe(C("_old")), "left_anti")
     top = F.coalesce(dim.agg(F.max(surrogate)).scalar(), F.lit(0))
-    added = number_rows(fresh, key, surrogate, top).withColumns({
-        "valid_from": today, "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)})
+    added = number_rows(fresh, key, surrogate, top).withColumns(opened)
     return kept.unionByName(added.select(*dim.columns))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.catalog.views_sql import with_views
-from waybill.sources.driver_tables import Tables
+from waybill.session import checkpoint_dir
+from waybill.sources.driver_tables import StoredTables, Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,6 +55,19 @@ def tables_of(spark: SparkSession, folder: str) -> Tables:
     return _TABLES[key]
 
 
+_STORED: dict[tuple[str, int, str], StoredTables] = {}
+
+
+def stored(t: Tables) -> StoredTables:
+    """The same tables with silver stored; written once a session, into the job folder."""
+    key = (t.spark.sparkContext.applicationId, id(t.spark), t.folder)
+    if key not in _STORED:
+        path = f"{checkpoint_dir(t.spark)}/waybill/silver-{uuid.uuid4().hex}"
+        _STORED[key] = StoredTables(t.spark, t.folder, path, as_of=t.as_of,
+                                    message_as_of=t.message_as_of)
+    return _STORED[key]
+
+
 def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(QUERIES[name](tables_of(spark, sf_dir)))

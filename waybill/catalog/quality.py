@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import functions as F
 
-from waybill.catalog.base import query
+from waybill.catalog.base import query, stored
 from waybill.catalog.gold import BY_SLA, ORDER_DAY, WH_DAILY, RECOGNITION, SLA_DAILY, cnt
 from waybill.catalog.views_sql import MNOW, NOW, pct
 from waybill.operators import quality as q
@@ -271,7 +271,8 @@ def _(t):
 # ---------------------------------------------------------------- roll-ups
 
 def scored(t):
-    return q.run_rules(Frames(t), q.SCORED_RULES, as_of=t.as_of)
+    """All scored rules over stored silver, which is derived once for them."""
+    return q.run_rules(Frames(stored(t)), q.SCORED_RULES, as_of=t.as_of)
 
 
 SCORED = "scored AS (" + " UNION ALL ".join(rule_sql(r) for r in q.SCORED_RULES) + ")"
@@ -482,7 +483,7 @@ SELECT rule_id, dimension, failed_count, CASE dimension {SEVERITY} END AS severi
 FROM every WHERE status = 'Fail' AND dimension IN ('Uniqueness', 'Completeness', 'Timeliness',
   'Validity') AND (dimension <> 'Completeness' OR failed_pct > 5)""")
 def _(t):
-    results = q.run_rules(Frames(t), EVERY_RULE, as_of=t.as_of).unionByName(
+    results = q.run_rules(Frames(stored(t)), EVERY_RULE, as_of=t.as_of).unionByName(
         q.run_rules({"lines": t.table("lineitem")}, [INCOMING], as_of=t.as_of))
     return q.severity_actions(results)
 

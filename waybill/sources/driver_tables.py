@@ -427,3 +427,34 @@ class Tables:
             F.when(number >= 3, F.concat(F.lit("PARTNER-"), wid)).otherwise("")
             .alias("partner_id"),
             (number >= 3).alias("is_partner_operated")).distinct()
+
+
+class StoredTables(Tables):
+    """Silver read from tables instead of derived from the raw ones in every query.
+
+    ``path`` is a folder that all executors share; a table is written when it is first read.
+    """
+
+    SILVER = ("orders", "order_facts", "orders_with_lines", "lines", "order_lines", "shipments",
+              "warehouse", "invoices", "customers", "carriers", "warehouses")
+
+    def __init__(self, spark: SparkSession, folder: str, path: str, **times):
+        super().__init__(spark, folder, **times)
+        self.path = path
+
+
+def _stored(name: str) -> cached_property:
+    derive = getattr(Tables, name).func
+
+    def read(self) -> DataFrame:
+        path = f"{self.path}/{name}"
+        derive(self).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    prop = cached_property(read)
+    prop.__set_name__(StoredTables, name)
+    return prop
+
+
+for _name in StoredTables.SILVER:
+    setattr(StoredTables, _name, _stored(_name))

@@ -36,7 +36,7 @@ from waybill.llm.texts import groups, utf8
 
 PROFILE = 400
 TRAIN_ROWS = 20_000
-GROUP = 1 << 20
+GROUP = 1 << 19
 MARK = 0x5F
 UNKNOWN = "und"
 _U = np.uint64

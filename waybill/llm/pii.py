@@ -7,12 +7,12 @@ keyed hash of one half to the other modulo its domain. So the pseudonym has the
 validity, equal values get equal pseudonyms in every document, different values get different
 ones, and whoever has the key can go back (``restore``).
 
-* card: first digit kept, the middle permuted, the check digit set anew
+* card: the issuer's four digits kept, the middle permuted, the check digit set anew
 * iban: country and letters kept, digits permuted, check digits set anew
 * ssn: area 001-899 without 666, group 01-99, serial 0001-9999, as one number
 * date: yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy from 1900 to 2099, as a day number
 * ip: 32 bits; phone: ten digits behind +1; email: letters and digits of the local part,
-  case folded; secret: lower-case hex strings of 32, 40 or 64 digits
+  case folded; secret: hex strings of 32, 40 or 64 digits, access keys, hex passwords
 
 What fails validation is left as it is. Nothing is shuffled, and Python sees no row.
 
@@ -33,17 +33,22 @@ KEY = "waybill"
 DAYS = 73049  # 1900-01-01 to 2099-12-31; 319 * 229
 KINDS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9](?:[A-Za-z0-9\-.]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}"
+              r"|[0-9A-F]{40}|[0-9A-F]{32}|AKIA[0-9A-Z]{16}|[Pp]assword=[0-9a-f]{8,64}"
+              r"|PASSWORD=[0-9A-F]{8,64})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z\-/.])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
             r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z]|[\-/.][0-9])",
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z])\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
              r"(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    "iban": r"(?<![0-9A-Za-z])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[A-Z]{2}[0-9]{2} [A-Z0-9]{4}"
+            r"(?: (?=[A-Z]*[0-9])[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*[0-9])[A-Z0-9]{1,3})?)"
             r"(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z.])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z.])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}"
+            r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])",
 }
+ISSUER = "^(?:4|5[1-5]|2[2-7]|3[47]|35|6011|64[4-9]|65)"  # first digits of card numbers
 PATTERN = "|".join(KINDS.values())
 DIGITS = "0123456789"
 
@@ -132,11 +137,12 @@ def _luhn(digits: Column) -> Column:
 
 def _card(m: Column, key: str, back: bool) -> Column:
     def use(d: Column) -> Column:
-        head = F.concat(F.substring(d, 1, 1),
-                        permute(F.substring(d, F.lit(2), F.length(d) - 2), 10, key, "card", back))
+        head = F.concat(F.substring(d, 1, 4),
+                        permute(F.substring(d, F.lit(5), F.length(d) - 5), 10, key, "card", back))
         whole = _let(head, lambda h: F.concat(
             h, F.pmod(10 - _luhn(F.concat(h, F.lit("0"))) % 10, F.lit(10)).cast("string")))
-        return F.when(_luhn(d) % 10 == 0, _let(whole, lambda w: _refilled(m, w, "0-9")))
+        valid = d.rlike(ISSUER) & (_luhn(d) % 10 == 0)
+        return F.when(valid, _let(whole, lambda w: _refilled(m, w, "0-9")))
 
     return _let(_only(m, "0-9"), use)
 
@@ -231,7 +237,14 @@ def _email(m: Column, key: str, back: bool) -> Column:
 
 
 def _secret(m: Column, key: str, back: bool) -> Column:
-    return permute(m, 16, key, "secret", back)
+    access = F.concat(F.lit("AKIA"), F.upper(permute(
+        F.lower(F.substring(m, F.lit(5), F.length(m))), 36, key, "access", back)))
+    digits = F.regexp_extract(m, "[0-9A-Fa-f]+$", 0)
+    large = digits.rlike("[A-F]") | m.startswith("PASSWORD")
+    new = _let(permute(F.lower(digits), 16, key, "secret", back),
+               lambda d: F.when(large, F.upper(d)).otherwise(d))
+    return F.when(m.startswith("AKIA"), access).otherwise(
+        F.concat(F.regexp_extract(m, "^(?:.*=)?", 0), new))
 
 
 RULES = {"email": _email, "secret": _secret, "ip": _ip, "date": _date, "ssn": _ssn,

@@ -383,14 +383,12 @@ def _(t):
 
 @query("str_6_silences", views="raw", sql="""
 WITH mark AS (SELECT date_trunc('millisecond', max("timestamp")) - INTERVAL 1 MINUTE AS w FROM raw),
-  r AS (SELECT sap_system, date_trunc('millisecond', "timestamp") AS ms FROM raw, mark
-        WHERE time_bucket(INTERVAL 1 MINUTE, "timestamp") + INTERVAL 1 MINUTE <= w),
-  l AS (SELECT sap_system, ms, lead(ms) OVER (PARTITION BY sap_system ORDER BY ms) AS next FROM r)
-SELECT sap_system, ms::VARCHAR AS silent_from FROM l, mark
-WHERE next - ms > INTERVAL 10 MINUTE OR (next IS NULL AND ms + INTERVAL 10 MINUTE <= w)""")
+  l AS (SELECT sap_system, "timestamp" AS t, lead("timestamp") OVER (
+          PARTITION BY sap_system ORDER BY "timestamp") AS next FROM raw)
+SELECT sap_system, t::VARCHAR AS silent_from FROM l, mark
+WHERE (next IS NULL OR next - t >= INTERVAL 10 MINUTE + INTERVAL 1 MILLISECOND)
+  AND t + INTERVAL 10 MINUTE + INTERVAL 1 MILLISECOND <= w""")
 def _(t):
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return drain(t, jobs.silences(t.raw_stream), "silences")
 
 

@@ -8,11 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from waybill.functions import diff_boundary, pct
 from waybill.operators import storage
@@ -129,67 +127,17 @@ def late_report(raw: DataFrame, limits: tuple[int, ...] = (30, 300)) -> DataFram
                                            F.max(lag).alias("max_latency"), *cells)
 
 
-class SilenceProcessor(StatefulProcessor):
-    """Per system: the last message time, and whether the silence after it was reported.
-
-    Sees at most one row per minute of a system, so a busy system stays cheap.
-    """
-
-    def __init__(self, limit_ms: int):
-        self.limit_ms = limit_ms
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("last", T.StructType([
-            T.StructField("ms", T.LongType()), T.StructField("reported", T.BooleanType())]))
-
-    def _rows(self, key, starts: list[int]) -> pd.DataFrame:
-        return pd.DataFrame({"sap_system": [key[0]] * len(starts),
-                             "silent_from": pd.to_datetime(starts, unit="ms")})
-
-    def handleInputRows(self, key, rows, timerValues):
-        last, reported = self.state.get() if self.state.exists() else (None, False)
-        spans = sorted((int(f), int(t)) for frame in rows
-                       for f, t in zip(frame["first_ms"], frame["last_ms"]))
-        starts = []
-        for first, end in spans:
-            if last is not None and first - last > self.limit_ms and not reported:
-                starts.append(last)
-            if last is None or end > last:
-                last, reported = end, False
-        self.state.update((last, reported))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if not reported:
-            self.handle.registerTimer(last + self.limit_ms)
-        yield self._rows(key, starts)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last, reported = self.state.get()
-        if reported or expiredTimerInfo.getExpiryTimeInMs() != last + self.limit_ms:
-            yield self._rows(key, [])
-        else:
-            self.state.update((last, True))
-            yield self._rows(key, [last])
-
-    def close(self) -> None:
-        pass
-
-
 def silences(stream: DataFrame, minutes: int = 10, ts: str = "timestamp",
              delay: str = "1 minute") -> DataFrame:
     """One row per silence: a system sent nothing for more than ``minutes`` of event time.
 
-    Messages are first reduced to the first and last time per system and minute; only those reach
-    the stateful step. Needs the RocksDB state store.
+    A session of messages ends where the silence begins, and is emitted once the watermark has
+    passed the limit after its last message. State is one row per open session.
     """
-    per_minute = stream.withWatermark(ts, delay).groupBy(
-        F.window(ts, "1 minute"), "sap_system").agg(
-        F.unix_millis(F.min(ts)).alias("first_ms"), F.unix_millis(F.max(ts)).alias("last_ms"))
-    return per_minute.groupBy("sap_system").transformWithStateInPandas(
-        SilenceProcessor(minutes * 60000),
-        outputStructType="sap_system string, silent_from timestamp",
-        outputMode="append", timeMode="eventTime")
+    gap = f"{minutes} minutes 1 millisecond"
+    sessions = stream.withWatermark(ts, delay).groupBy(
+        "sap_system", F.session_window(ts, gap)).agg(F.max(ts).alias("silent_from"))
+    return sessions.select("sap_system", "silent_from")
 
 
 def enriched(stream: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

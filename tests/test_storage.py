@@ -237,3 +237,34 @@ def test_weekly_report(spark):
     assert (row.api_calls, row.unique_users, row.access_violations) == (2, 2, 1)
     name = gov.partner_of_text(F.lit("SESSION PartnerID = 'ACME' x"))
     assert spark.range(1).select(name.alias("v")).first().v == "ACME"
+
+
+def test_batches_share_a_day_and_replace_themselves(spark, tmp_path):
+    path, day = str(tmp_path / "t"), dt.date(2024, 1, 1)
+
+    def rows(*ids):
+        return spark.createDataFrame([(i,) for i in ids], "id int")
+
+    storage.replace_batch(rows(1, 2), path, 0, day)
+    storage.replace_batch(rows(3), path, 1, day)
+    storage.replace_batch(rows(4), path, 0, day)
+    storage.replace_batch(rows(5), path, 2, day + dt.timedelta(days=1))
+    got = spark.read.parquet(path).collect()
+    assert sorted((r.id, r.batch_id) for r in got) == [(3, 1), (4, 0), (5, 2)]
+    assert len(storage.folders(spark, path, "batch_day")) == 2
+
+
+def test_refresh_pushes_the_range_of_days(spark, tmp_path):
+    path = str(tmp_path / "s")
+    spark.sql("select timestamp(concat('2024-01-0', id)) ts from range(1, 9)").write.parquet(path)
+    seen = []
+
+    def compute(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+
+    storage.refresh(compute, spark.read.parquet(path), str(tmp_path / "g"), "ts", "day",
+                    [dt.date(2024, 1, 3), dt.date(2024, 1, 5)])
+    assert "GreaterThanOrEqual(ts," in seen[0]
+    assert sorted(str(r.day) for r in spark.read.parquet(str(tmp_path / "g")).collect()) == [
+        "2024-01-03", "2024-01-05"]

@@ -421,7 +421,8 @@ def _(t):
     t.raw.write.parquet(f"{path}/raw")
     finish(jobs.alert_stream(t.raw_stream, f"{path}/raw", f"{path}/alerts", f"{path}/checkpoint"))
     schema = "type string, alert string, value double, threshold double"
-    return t.spark.read.schema(schema).parquet(f"{path}/alerts").drop("batch_id")
+    return t.spark.read.schema(schema).parquet(f"{path}/alerts").select(
+        "type", "alert", "value", "threshold")
 
 
 @query("str_9_latest_state", views="s_shipments", sql="""

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -223,10 +223,29 @@ def replace_partitions(df: DataFrame, path: str, partition: str,
               [v for v in touched if _text(v) in held and _text(v) not in left])
 
 
+def replace_batch(df: DataFrame, path: str, batch_id: int, day: date) -> None:
+    """Adds a batch's rows to their day, in place of what the same batch left there before.
+
+    The table has a partition a day, however many batches there are; ``batch_id`` is a column.
+    """
+    spark = df.sparkSession
+    rows = df.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "batch_day": F.lit(day)})
+    if exists(spark, path):
+        held = table(spark, path, "batch_day", T.DateType())
+        rows = held.filter((C("batch_day") == F.lit(day)) & (C("batch_id") != batch_id)).unionByName(
+            rows, allowMissingColumns=True)
+    _overwrite(_packed(rows, "batch_day"), path, "batch_day")
+
+
 def refresh(compute, source: DataFrame, path: str, day: str, partition: str,
             days: Sequence) -> None:
-    """Recomputes a daily table for the given days only, from the source rows of those days."""
-    rows = compute(source.filter(F.to_date(day).isin(list(days))))
+    """Recomputes a daily table for the given days only, from the source rows of those days.
+
+    The range of days is compared with the column itself, so it reaches the scan.
+    """
+    days = list(days)
+    near = (C(day) >= F.lit(min(days))) & (C(day) < F.lit(max(days) + timedelta(days=1)))
+    rows = compute(source.filter(near & F.to_date(day).isin(days)))
     replace_partitions(rows, path, partition, days)
 
 

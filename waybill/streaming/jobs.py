@@ -57,6 +57,9 @@ def to_silver(bronze: DataFrame, routes: Mapping[tuple[str, ...], Route], checkp
     def batch(rows: DataFrame, batch_id: int) -> None:
         rows = rows.persist()
         try:
+            newest_at = rows.agg(F.max("timestamp")).first()[0]
+            if newest_at is None:
+                return
             for kinds, route in routes.items():
                 found = route.extract(rows.filter(C("message_type").isin(*kinds)))
                 stamp = found.withColumn("silver_day", F.to_date(route.day))
@@ -66,10 +69,9 @@ def to_silver(bronze: DataFrame, routes: Mapping[tuple[str, ...], Route], checkp
                 now = F.current_timestamp() if as_of is None else as_of
                 good, rejected = storage.split(stamp, bad, "key is missing", as_of=now)
                 if quarantine:
-                    # by batch, so a repeated batch replaces its own rejects
-                    storage.replace_partitions(rejected.withColumn("batch_id", F.lit(batch_id)),
-                                               f"{quarantine}/{'_'.join(kinds)}", "batch_id",
-                                               [batch_id])
+                    # a repeated batch replaces its own rejects
+                    storage.replace_batch(rejected, f"{quarantine}/{'_'.join(kinds)}", batch_id,
+                                          newest_at.date())
                 newest = dedupe_latest(good, list(route.keys), [route.version])
                 storage.upsert(newest, route.path, route.keys, "silver_day",
                                version=route.version, moves=route.moves)
@@ -161,9 +163,9 @@ def alert_stream(stream: DataFrame, raw: str, target: str, checkpoint: str, *,
         now = F.lit(newest)
         found = messages.alerts(spark.read.parquet(raw), as_of=now, **limits).filter(
             C("alert") != "Normal")
-        stamped = found.withColumns({"batch_id": F.lit(batch_id), "alerted_at": now})
         # a repeated batch replaces its own alerts
-        storage.replace_partitions(stamped, target, "batch_id", [batch_id])
+        storage.replace_batch(found.withColumn("alerted_at", now), target, batch_id,
+                              newest.date())
 
     return _start(stream, batch, checkpoint, available_now)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import decontamination, jaccard_join, language_id, line_dedup, mixing
-from waybill.llm.storage import kept
+from waybill.llm.storage import kept, small_batches
 
 LEAST_SCORE = 0.2  # texts farther than this from every learned language go
 
@@ -24,6 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Where no row is labelled nothing can be told, and all documents stay.
     """
+    small_batches(spark)
     profiles = kept(language_id.learn(docs.where(~language_id.held_out(F.col("doc_id")))),
                     "profiles")
     if profiles.isEmpty():
@@ -35,22 +36,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that at least three documents hold; n_chars follows the text."""
+    small_batches(spark)
     out = line_dedup.dedup(line_dedup.store_of(docs), docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return jaccard_join.deduplicate(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no ten words in a row with the benchmark."""
+    small_batches(spark)
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, each with its number of copies."""
+    small_batches(spark)
     return mixing.copied(mixing.mix(docs))
 
 

@@ -75,6 +75,7 @@ class LineStore:
     min_chars: int
     min_docs: int
     shards: int
+    is_empty: bool = False
 
 
 def _sharded(df: DataFrame, shards: int) -> DataFrame:
@@ -86,7 +87,7 @@ def empty_store(spark: SparkSession, min_chars: int = 20, min_docs: int = 3,
     return LineStore(
         spark.createDataFrame([], "shard int, k1 long, k2 long, doc_id long"),
         spark.createDataFrame([], "shard int, k1 long, k2 long, n_docs long, last_doc long"),
-        spark.createDataFrame([], "shard int, data binary"), min_chars, min_docs, shards)
+        spark.createDataFrame([], "shard int, data binary"), min_chars, min_docs, shards, True)
 
 
 def _maybe_known(shard_filter: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
@@ -125,8 +126,20 @@ def _filters(store: LineStore, counts: DataFrame, changed: DataFrame) -> DataFra
         .applyInPandas(_with_keys, "shard int, data binary"), "filters")
 
 
+def _first(store: LineStore, docs: DataFrame) -> LineStore:
+    """An empty store takes everything as new: no look-ups, and the filters follow the counts."""
+    postings = kept(_sharded(document_keys(docs, store.min_chars), store.shards)
+                    .select("shard", *KEY, "doc_id").distinct(), "postings")
+    counts = kept(postings.groupBy("shard", *KEY).agg(
+        F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")), "counts")
+    filters = counts.groupBy("shard").applyInPandas(_one_filter, "shard int, data binary")
+    return LineStore(postings, counts, filters, store.min_chars, store.min_docs, store.shards)
+
+
 def insert(store: LineStore, docs: DataFrame) -> LineStore:
     """The store with these documents; what it already holds of them is not counted twice."""
+    if store.is_empty:
+        return _first(store, docs)
     new = kept(_sharded(document_keys(docs, store.min_chars), store.shards)
                .select("shard", *KEY, "doc_id").distinct()
                .join(store.postings, ["shard", *KEY, "doc_id"], "left_anti"), "postings")
@@ -169,7 +182,7 @@ def _one_filter(keys: pd.DataFrame) -> pd.DataFrame:
 
 def dropped_keys(store: LineStore, docs: DataFrame) -> DataFrame:
     """(doc_id, drops): positions of the lines that each document loses."""
-    heavy = kept(store.counts.where(F.col("n_docs") >= store.min_docs), "heavy")
+    heavy = store.counts.where(F.col("n_docs") >= store.min_docs)
     # a heavy key once a line: position and key of every long enough line
     lines = (docs.where("doc_id is not null")
              .select(F.col("doc_id").cast("long").alias("doc_id"),

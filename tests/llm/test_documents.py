@@ -195,6 +195,20 @@ def test_line_dedup_counts_dropped_lines(spark):
         assert n_lines == len(before.split("\n")) and n_dropped == n_lines - after
 
 
+def test_rows_with_one_doc_id_lose_only_their_own_lines(spark):
+    common = "this line is held by three documents"
+    rows = [(1, f"{common}\na clean line of the first text\nx", "", ""),
+            (1, f"a clean line of the other text\n{common}\n{common}", "", ""),
+            (1, "a third text, all of whose lines are clean\nshort", "", ""),
+            (2, common, "", ""), (3, f"{common}\nof the last document", "", "")]
+    docs = documents(spark, rows)
+    got = line_dedup.digest(line_dedup.rewritten(line_dedup.store_of(docs), docs)).collect()
+    assert Counter((r.doc_id, r.n_lines, r.kept_sha256) for r in got) == digest_of(
+        rows, lines_left(rows))
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped) for r in got) == [
+        (1, 2, 0), (1, 3, 1), (1, 3, 2), (2, 1, 1), (3, 2, 0)]
+
+
 def test_line_store_can_be_undone(spark):
     rows = line_rows()
     docs = documents(spark, rows)

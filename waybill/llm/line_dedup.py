@@ -19,7 +19,8 @@ Keys are 128 bits of two hashes with different seeds. A hot line is counted by p
 and each shard gets one row a key.
 
 Defined cases: null or empty text is one empty line. Rows with equal doc_id are one document when
-counting, and each row is rewritten. A row without doc_id counts for nothing and loses nothing.
+counting, but each row loses only lines of its own text; doc_id and two hashes of the text tell
+rows apart. A row without doc_id counts for nothing and loses nothing.
 Further columns pass through ``dedup`` unchanged; only doc_id and text are read.
 """
 
@@ -43,6 +44,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHARDS = 64
 FILTER_BYTES = 64 << 20  # filters of dropped keys up to this size are sent to every task
 KEY = ["k1", "k2"]
+ROW = ["doc_id", "t1", "t2"]  # rows that agree in these lose the same lines
 
 
 def line_key(line: Column) -> Column:
@@ -57,6 +59,10 @@ def _hashes(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(7), key).alias("k2"))
 
 
+def _text_hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
+
+
 def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, k1, k2) of every long enough line; a key once a row."""
     keys = F.filter(F.transform(_lines(F.col("text")), line_key),
@@ -181,16 +187,16 @@ def _one_filter(keys: pd.DataFrame) -> pd.DataFrame:
 
 
 def dropped_keys(store: LineStore, docs: DataFrame) -> DataFrame:
-    """(doc_id, drops): positions of the lines that each document loses."""
+    """(doc_id, t1, t2, drops): positions of the lines that each row loses."""
     heavy = store.counts.where(F.col("n_docs") >= store.min_docs)
     # a heavy key once a line: position and key of every long enough line
     lines = (docs.where("doc_id is not null")
-             .select(F.col("doc_id").cast("long").alias("doc_id"),
+             .select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(F.col("text")),
                      F.posexplode(F.transform(_lines(F.col("text")), line_key))
                      .alias("pos", "key"))
              .where(F.char_length("key") >= store.min_chars)
-             .select("doc_id", "pos", _hashes(F.col("key")).alias("k"))
-             .select("doc_id", "pos", "k.k1", "k.k2"))
+             .select(*ROW, "pos", _hashes(F.col("key")).alias("k"))
+             .select(*ROW, "pos", "k.k1", "k.k2"))
     if heavy.count() * 6 <= FILTER_BYTES:
         shards = {r["shard"]: r["data"] for r in heavy.groupBy("shard").applyInPandas(
             _one_filter, "shard int, data binary").collect()}
@@ -200,7 +206,7 @@ def dropped_keys(store: LineStore, docs: DataFrame) -> DataFrame:
         def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             loaded = {k: CuckooFilter.load(v) for k, v in sent.value.items()}
             for batch in batches:
-                k1 = batch.column(2).to_numpy()
+                k1 = batch.column("k1").to_numpy()
                 hit, shard = np.zeros(len(k1), bool), k1 % n
                 for s in np.unique(shard):
                     if s in loaded:
@@ -208,9 +214,10 @@ def dropped_keys(store: LineStore, docs: DataFrame) -> DataFrame:
                         hit[at] = loaded[s].contains(k1[at].view(np.uint64))
                 yield batch.filter(pa.array(hit))
 
-        lines = lines.mapInArrow(maybe, "doc_id long, pos int, k1 long, k2 long")
+        lines = lines.mapInArrow(
+            maybe, "doc_id long, t1 long, t2 long, pos int, k1 long, k2 long")
     return (lines.join(heavy.select(*KEY, "last_doc"), KEY)
-            .where("doc_id <> last_doc").groupBy("doc_id")
+            .where("doc_id <> last_doc").groupBy(*ROW)
             .agg(F.collect_set("pos").alias("drops")))
 
 
@@ -230,7 +237,10 @@ def rewritten(store: LineStore, docs: DataFrame) -> DataFrame:
     drops = dropped_keys(store, docs)
     a, b = docs.alias("a"), drops.alias("b")
     gone = F.col("b.drops")
-    return (a.join(b, F.col("a.doc_id") == F.col("b.doc_id"), "left")
+    t1, t2 = _text_hashes(F.col("a.text"))
+    same = ((F.col("a.doc_id") == F.col("b.doc_id")) & (t1 == F.col("b.t1"))
+            & (t2 == F.col("b.t2")))
+    return (a.join(b, same, "left")
             .select(F.struct(*(F.col(f"a.`{c}`") for c in docs.columns if c != "text"))
                     .alias("row"),
                     F.coalesce(_without(F.when(gone.isNotNull(), F.col("a.text")), gone),

@@ -7,7 +7,11 @@ keyed hash of one half to the other modulo its domain. So the pseudonym has the
 validity, equal values get equal pseudonyms in every document, different values get different
 ones, and whoever has the key can go back (``restore``).
 
-* card: the issuer's four digits kept, the middle permuted, the check digit set anew
+* card: the issuer's four digits kept, the middle permuted, the check digit set anew; 13 to 19
+  digits that begin with 22-27, 30, 34-39, 4, 5 or 6, in one piece or in groups of 4-4-4-4,
+  4-4-4-4 and up to three more, 4-6-4, 4-6-5 or 6-13. Where both the first 16 and all digits of
+  4-4-4-4-n meet the check, the first 16 are the card. Other first digits are no card: every
+  tenth number of any kind meets the check digit alone
 * iban: country and letters kept, digits permuted, check digits set anew
 * ssn: area 001-899 without 666, group 01-99, serial 0001-9999, as one number
 * date: yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy from 1900 to 2099, as a day number
@@ -31,6 +35,9 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KEY = "waybill"
 DAYS = 73049  # 1900-01-01 to 2099-12-31; 319 * 229
+ISSUER = "(?:2[2-7]|3[04-9]|[456])"  # first digits of card numbers
+TAILED = r"^[0-9]{4}(?:[ \-][0-9]{4}){3}[ \-]"  # 4-4-4-4 and more
+WALK = 30
 KINDS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9](?:[A-Za-z0-9\-.]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}"
@@ -45,10 +52,12 @@ KINDS = {
     "iban": r"(?<![0-9A-Za-z])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[A-Z]{2}[0-9]{2} [A-Z0-9]{4}"
             r"(?: (?=[A-Z]*[0-9])[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*[0-9])[A-Z0-9]{1,3})?)"
             r"(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z.])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}"
-            r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9A-Za-z])",
+    # up to three digits behind 4-4-4-4 are not the begin of a date, an address or the like
+    "card": rf"(?<![0-9A-Za-z.])(?={ISSUER})(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ \-][0-9]{{4}}){{3}}"
+            r"(?:[ \-][0-9]{1,3}(?![0-9A-Za-z_%+@/\-]|\.[0-9A-Za-z._%+@\-]))?"
+            r"|3[0689][0-9]{2}[ \-][0-9]{6}[ \-][0-9]{4}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5}"
+            r"|[56][0-9]{5}[ \-][0-9]{13})(?![0-9A-Za-z])",
 }
-ISSUER = "^(?:4|5[1-5]|2[2-7]|3[47]|35|6011|64[4-9]|65)"  # first digits of card numbers
 PATTERN = "|".join(KINDS.values())
 DIGITS = "0123456789"
 
@@ -136,15 +145,27 @@ def _luhn(digits: Column) -> Column:
 
 
 def _card(m: Column, key: str, back: bool) -> Column:
-    def use(d: Column) -> Column:
+    def once(d: Column) -> Column:
         head = F.concat(F.substring(d, 1, 4),
                         permute(F.substring(d, F.lit(5), F.length(d) - 5), 10, key, "card", back))
-        whole = _let(head, lambda h: F.concat(
+        return _let(head, lambda h: F.concat(
             h, F.pmod(10 - _luhn(F.concat(h, F.lit("0"))) % 10, F.lit(10)).cast("string")))
-        valid = d.rlike(ISSUER) & (_luhn(d) % 10 == 0)
-        return F.when(valid, _let(whole, lambda w: _refilled(m, w, "0-9")))
 
-    return _let(_only(m, "0-9"), use)
+    def first_is_card(d: Column) -> Column:
+        return _luhn(F.substring(d, 1, 16)) % 10 == 0
+
+    def use(s: Column) -> Column:
+        card, more, d = s["card"], s["more"], _only(s["card"], "0-9")
+        # 4-4-4-4-n goes on until its first 16 digits are no card, so that the way back sees it so
+        new = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), d, lambda x, i: F.when(
+            (i == 1) | (card.rlike(TAILED) & first_is_card(x)), once(x)).otherwise(x))
+        valid = d.rlike(f"^{ISSUER}") & (_luhn(d) % 10 == 0)
+        return F.when(valid, _let(new, lambda w: F.concat(_refilled(card, w, "0-9"), more)))
+
+    short = m.rlike(TAILED) & first_is_card(_only(m, "0-9"))
+    return _let(F.struct(F.when(short, F.substring(m, 1, 19)).otherwise(m).alias("card"),
+                         F.when(short, F.substring(m, F.lit(20), F.length(m))).otherwise("")
+                         .alias("more")), use)
 
 
 def _mod97(text: Column) -> Column:

@@ -207,6 +207,21 @@ def test_cards_of_all_issuers_and_groupings(spark):
             ] == [0, 0, 0, 1]
 
 
+def test_spaced_ibans_end_at_their_country_s_length(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201",
+             "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874",
+             "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947",
+             "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "GB82 WEST 1234 5698 7654 32"]
+    alone = [x[1] for x in rewritten(spark, ibans)]
+    for more in ("", ".", " 14 days", " 2024", " 2024 1234 5678", " AB12 THEN"):
+        for x, (text, new, n, kinds) in zip(
+                alone, rewritten(spark, [x + more for x in ibans]), strict=True):
+            assert (n, kinds) == (1, "iban") and new == x + more and new != text, text
+    assert [x[2:] for x in rewritten(spark, [
+        "ES91 2100 0418 4502 0005 1333 14", "BE68 5390 0754 7034 4111 1111 1111 1111"])] == [
+        (0, ""), (2, "card,iban")]
+
+
 def test_equal_values_stay_linked_and_others_apart(spark):
     days = [str(date(1999, 1, 1) + timedelta(i)) for i in range(400)]
     rows = [(i, f"x {d} y", "", "") for i, d in enumerate(days + days)]

@@ -12,7 +12,8 @@ ones, and whoever has the key can go back (``restore``).
   4-4-4-4 and up to three more, 4-6-4, 4-6-5 or 6-13. Where both the first 16 and all digits of
   4-4-4-4-n meet the check, the first 16 are the card. Other first digits are no card: every
   tenth number of any kind meets the check digit alone
-* iban: country and letters kept, digits permuted, check digits set anew
+* iban: country and letters kept, digits permuted, check digits set anew; in one piece, or in
+  groups of four that end at the country's length, whatever follows
 * ssn: area 001-899 without 666, group 01-99, serial 0001-9999, as one number
 * date: yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy from 1900 to 2099, as a day number
 * ip: 32 bits; phone: ten digits behind +1; email: letters and digits of the local part,
@@ -35,6 +36,17 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KEY = "waybill"
 DAYS = 73049  # 1900-01-01 to 2099-12-31; 319 * 229
+LENGTHS = {  # of IBANs, by country
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+GROUPED = "|".join(
+    f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}"
+    + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![0-9A-Za-z])"
+    for n, names in LENGTHS.items())
 ISSUER = "(?:2[2-7]|3[04-9]|[456])"  # first digits of card numbers
 TAILED = r"^[0-9]{4}(?:[ \-][0-9]{4}){3}[ \-]"  # 4-4-4-4 and more
 WALK = 30
@@ -49,8 +61,8 @@ KINDS = {
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z])\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
              r"(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[A-Z]{2}[0-9]{2} [A-Z0-9]{4}"
-            r"(?: (?=[A-Z]*[0-9])[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*[0-9])[A-Z0-9]{1,3})?)"
+    "iban": rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{GROUPED}|[A-Z]{{2}}[0-9]{{2}}"
+            r"[A-Z0-9]{11,30}|[A-Z]{2}[0-9]{2} [A-Z0-9]{4}(?: (?=[A-Z]*[0-9])[A-Z0-9]{4}){1,6}(?: (?=[A-Z]*[0-9])[A-Z0-9]{1,3})?)"
             r"(?![0-9A-Za-z])",
     # up to three digits behind 4-4-4-4 are not the begin of a date, an address or the like
     "card": rf"(?<![0-9A-Za-z.])(?={ISSUER})(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ \-][0-9]{{4}}){{3}}"

@@ -222,6 +222,15 @@ def test_spaced_ibans_end_at_their_country_s_length(spark):
         (0, ""), (2, "card,iban")]
 
 
+def test_dates_of_timestamps_stay_linked_to_plain_dates(spark):
+    plain, *others = rewritten(spark, ["1980-02-29", "1980-02-29T10:00:00Z", "1980-02-29T10",
+                                       "at 1980-02-29T23:59:59.5+02:00"])
+    for text, new, n, kinds in others:
+        assert (n, kinds) == (1, "date") and new == text.replace(plain[0], plain[1])
+    assert [x[2] for x in rewritten(spark, ["1980-02-30T10:00:00Z", "1980-02-29Tx",
+                                            "1980-02-29th"])] == [0, 0, 0]
+
+
 def test_equal_values_stay_linked_and_others_apart(spark):
     days = [str(date(1999, 1, 1) + timedelta(i)) for i in range(400)]
     rows = [(i, f"x {d} y", "", "") for i, d in enumerate(days + days)]

@@ -15,7 +15,8 @@ ones, and whoever has the key can go back (``restore``).
 * iban: country and letters kept, digits permuted, check digits set anew; in one piece, or in
   groups of four that end at the country's length, whatever follows
 * ssn: area 001-899 without 666, group 01-99, serial 0001-9999, as one number
-* date: yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy from 1900 to 2099, as a day number
+* date: yyyy-mm-dd, mm/dd/yyyy, dd.mm.yyyy from 1900 to 2099, as a day number; also before the
+  T and hour of a timestamp, whose time stays
 * ip: 32 bits; phone: ten digits behind +1; email: letters and digits of the local part,
   case folded; secret: hex strings of 32, 40 or 64 digits, access keys, hex passwords
 
@@ -57,7 +58,7 @@ KINDS = {
               r"|PASSWORD=[0-9A-F]{8,64})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z\-/.])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
-            r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z]|[\-/.][0-9])",
+            r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?=T[0-9]{2}|(?![0-9A-Za-z]|[\-/.][0-9]))",
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z])\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
              r"(?![0-9A-Za-z])",

@@ -274,6 +274,21 @@ def test_decontamination_removes_documents_or_spans(spark):
     assert cut == {1: "Before. ! After.", 2: "nothing here", 3: None}
 
 
+@pytest.mark.parametrize("size", [decontamination.SLICE, 3])
+def test_passages_without_item_id_are_removed_too(spark, size):
+    rows = [(1, f"Before. {LOREM}! After.", "", ""), (2, "nothing here", "", "")]
+    docs, items = documents(spark, rows), bench(spark, [(None, LOREM), (5, "nothing at all")])
+    out = decontamination.decontaminate(docs, items)
+    assert [r.doc_id for r in out.collect()] == [2]
+    cut = decontamination.decontaminate(docs, items, remove="spans").collect()
+    assert sorted(r.text for r in cut) == ["Before. ! After.", "nothing here"]
+    digest = lambda **more: {r.doc_id: tuple(r)[1:4] for r in decontamination.digest(
+        decontamination.scan(docs, items, size=size, **more)).collect()}
+    n = len(LOREM.split())
+    assert digest(unnamed=True) == {1: (n + 2, n, 0), 2: (2, 0, 0)}
+    assert digest() == {1: (n + 2, 0, 0), 2: (2, 0, 0)}  # as the SQL has it
+
+
 def test_decontamination_with_empty_tables(spark):
     docs = documents(spark, odd_rows())
     none = decontamination.decontaminate(docs, bench(spark, [(None, "x")]))

@@ -12,9 +12,11 @@ is shuffled but the windows of the benchmark.
 ``remove="documents"`` drops documents with hits, ``remove="spans"`` cuts each maximal run of hit
 words out of the text.
 
-Defined cases: null or empty texts have no words and no hits. Benchmark rows without item_id or
-text are left out; rows with the same item_id are one item. Rows of documents stay rows, whatever
-their doc_id; further columns pass through.
+Defined cases: null or empty texts have no words and no hits. Benchmark rows without
+text are left out; rows with the same item_id are one item. Rows without item_id are no item, and
+``scan`` leaves them out as the SQL does, unless ``unnamed`` is set: then their windows are hit but
+add no item. ``decontaminate`` sets it, for a passage without an id is leaked all the same. Rows of
+documents stay rows, whatever their doc_id; further columns pass through.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ HITS = ("n_words long, hit_from array<long>, hit_to array<long>, byte_from array
         "byte_to array<long>, items array<string>")
 
 
-def windows(benchmark: DataFrame, k: int = K) -> DataFrame:
-    """(words, items): every distinct window and the items that hold it."""
+def windows(benchmark: DataFrame, k: int = K, unnamed: bool = False) -> DataFrame:
+    """(words, items): every distinct window and the items that hold it; with ``unnamed`` also
+    windows that only rows without item_id hold, with no items."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,7 +53,8 @@ def windows(benchmark: DataFrame, k: int = K) -> DataFrame:
                  pa.array([i for i, x in zip(batch.column(0).to_pylist(), own, strict=True)
                            for _ in x], pa.string())], ["words", "item"])
 
-    rows = (benchmark.where("item_id is not null and text is not null")
+    rows = (benchmark.where("text is not null")
+            .where(F.lit(unnamed) | F.col("item_id").isNotNull())
             .select(F.col("item_id").cast("string").alias("item"), "text")
             .mapInArrow(cut, "words binary, item string"))
     return rows.groupBy("words").agg(F.collect_set("item").alias("items"))
@@ -97,11 +101,11 @@ def _scan(texts: pa.Array, phrases: Phrases, items: list[list[str]],
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, k: int = K, size: int = SLICE,
-         text: bool = False) -> DataFrame:
+         text: bool = False, unnamed: bool = False) -> DataFrame:
     """(row, hits): the documents' columns (``text`` only if asked for) in a struct, and for each
     row its number of words, the runs of hit words (in words and in bytes) and the items."""
     spark = docs.sparkSession
-    sets = kept(windows(benchmark, k), "windows")
+    sets = kept(windows(benchmark, k, unnamed), "windows")
     slices = max(1, -(-sets.count() // size))
     keep = [c for c in docs.columns if text or slices > 1 or c != "text"]
     row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
@@ -160,7 +164,7 @@ def _cut(texts, begins, ends):  # noqa: ANN001, ANN202 - pandas series
 def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = K,
                   remove: str = "documents") -> DataFrame:
     """The documents, with their columns, without what they share with the benchmark."""
-    found = scan(docs, benchmark, k, text=True)
+    found = scan(docs, benchmark, k, text=True, unnamed=True)
     if remove == "documents":
         return found.where(F.size("hits.hit_from") == 0).select("row.*")
     if remove != "spans":

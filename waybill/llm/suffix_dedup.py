@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by suffix arrays and longest-previous-factor arrays.
+"""Removal of repeated byte strings by hashes of runs and suffix ranks at a fixed depth.
 
 A text is its UTF-8 bytes; matches never cross texts. A byte goes if a string of ``LENGTH`` bytes
 that covers it occurs more than once: with ``keep="first"`` every occurrence but the first (in
@@ -14,8 +14,8 @@ with the same anchor need be compared:
 2. runs whose anchor is alone are done; runs found twice are repeated as a whole;
 3. of an anchor with different runs one holder a run is sent to the anchor's shard, where the
    suffixes of its runs are sorted to depth LENGTH by prefix doubling. In that order equal strings
-   are neighbours; the previous and next smaller positions give the longest previous factor, and
-   a factor of LENGTH bytes is an earlier copy;
+   are neighbours: one to the left with the same rank is an earlier copy (a previous factor of
+   LENGTH bytes), one to the right a later one. No longer factors are computed;
 4. an anchor with more than ``HOT`` different runs (a very common phrase in changing company) is
    split: its strings are sent as hashes, dealt by the whole string;
 5. blocks gather the answers and rewrite their texts.

@@ -24,7 +24,7 @@ def test_same_as_sql(spark, name):
 def test_every_operator_has_its_query():
     names = list(catalog.QUERIES)
     assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(
-        range(1, 11))
+        range(1, 14))
     assert "pipeline" in names
 
 

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from waybill.llm import (
     decontamination,
+    fill_in_middle,
     jaccard_join,
     language_id,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     multi_index,
     pii,
     suffix_dedup,
+    url_filter,
     warc,
 )
 from waybill.llm.storage import small_batches
@@ -95,6 +98,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op11_url_filter", url_filter.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(url_filter.judge(
+        table(spark, sf_dir, "pages").select("page_id", "url")))
+
+
+@query("op12_fill_in_middle", fill_in_middle.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_in_middle.digest(fill_in_middle.transform(docs))
+
+
+@query("op13_merkle_manifest", merkle.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

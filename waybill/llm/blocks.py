@@ -29,8 +29,8 @@ REPEATED, FIRST, COMPARE, SPLIT = 1, 2, 4, 8
 _U = np.uint64
 
 
-def pack(docs: DataFrame, name: str, size: int = BLOCK) -> DataFrame:
-    """(block, bytes, data) with the columns doc_id and text in ``data``."""
+def pack(docs: DataFrame, name: str, size: int = BLOCK, more: tuple[str, ...] = ()) -> DataFrame:
+    """(block, bytes, data) with the columns doc_id, text and ``more`` in ``data``."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -50,13 +50,23 @@ def pack(docs: DataFrame, name: str, size: int = BLOCK) -> DataFrame:
                         ["block", "bytes", "data"])
                     number += 1
 
-    return kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more).mapInArrow(
         fold, "block long, bytes long, data binary"), name, compression="none")
 
 
+def opened(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
+
+
+def row_numbers(block: int, rows: int) -> np.ndarray:
+    """One number for each row of a block, as lasting as the table of blocks: up to 2**25 tasks
+    of 2**24 blocks."""
+    return (((block >> 32) << 38) | ((block & 0xFFFFFFFF) << 14)) + np.arange(rows)
+
+
 def unpack(data: bytes) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """(doc ids, the ids with nulls as the largest number, texts) of a block."""
-    rows = pa.ipc.open_stream(data).read_all().combine_chunks()
+    rows = opened(data)
     ids = rows["doc_id"].combine_chunks()
     return (ids, np.array(ids.fill_null(NO_ID)).astype(np.int64),
             rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string()))

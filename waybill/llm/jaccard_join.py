@@ -22,8 +22,10 @@ So a group of n near copies costs its chunks, not n squared, and what leaves a c
 forest. Shingles are 64-bit hashes; frequencies are of the low 40 bits within a shard.
 
 Defined cases: null or empty texts, and texts without words, have no shingles and link with
-nothing. Rows with equal doc_id are one node: linked if any of their texts link. A row without
-doc_id links with nothing and has no component. Further columns pass through ``deduplicate``.
+nothing. A row without doc_id links with nothing and has no component. In ``jaccard_components``
+rows with equal doc_id are one node: linked if any of their texts link. In ``deduplicate`` every row
+is a node of its own: rows that share an id are compared by their texts, and repeated rows are
+copies of each other; rows without doc_id stay. Further columns pass through.
 """
 
 from __future__ import annotations
@@ -42,7 +44,9 @@ from waybill.llm.blocks import (
     answer_shard,
     by_shard,
     codes_of,
+    opened,
     pack,
+    row_numbers,
     shard_count,
     unpack,
 )
@@ -86,8 +90,13 @@ def linked(common: np.ndarray, n: int, m: np.ndarray, percent: int) -> np.ndarra
 class Block:
     """A block's shingle sets, the distinct ones among them, and its distinct shingles."""
 
-    def __init__(self, packed: bytes, k: int) -> None:
+    def __init__(self, packed: bytes, k: int, number: int | None = None) -> None:
+        """With the block's number, rows are known by their numbers instead of their ids."""
         self.ids, self.order, texts = unpack(packed)
+        if number is not None:
+            known = self.order != NO_ID
+            self.order = np.where(known, row_numbers(number, len(texts)), NO_ID)
+            self.ids = pa.array(self.order, pa.int64(), mask=~known)
         self.sets = shingle_sets(*utf8(texts), k)
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.one = np.array([mix(s).sum(dtype=_U) for s in self.sets], _U)
@@ -112,12 +121,12 @@ _ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("shard", pa.
                      ("data", pa.binary())])
 
 
-def _ask(k: int, shards: int):  # noqa: ANN202
+def _ask(k: int, shards: int, rows_apart: bool):  # noqa: ANN202
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                       strict=True):
-                block = Block(packed, k)
+                block = Block(packed, k, number if rows_apart else None)
                 rows = [{"kind": "sets", "shard": s, "block": number}
                         | {c: x[lo:hi].tobytes() for c, x in zip(
                             _ASK.names[3:], block.entries.part()[:5], strict=True)}
@@ -167,16 +176,22 @@ SETS = "doc long, n long, one long, two long, shingles binary, short array<long>
 _SETS = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("one", pa.int64()),
                    ("two", pa.int64()), ("shingles", pa.binary()),
                    ("short", pa.list_(pa.int64()))])
+# what a row is known by where rows are told apart: its doc_id and two hashes of its text
+ROW = ("id", "h1", "h2")
+_ROW = pa.schema([(c, pa.int64()) for c in ROW])
 
 
-def _select(k: int, percent: int):  # noqa: ANN202
+def _select(k: int, percent: int, rows_apart: bool):  # noqa: ANN202
     """A row a document: its set's size and hash; for the first holder of a set that may have
     partners also the shingles that are not its own, and the short lists it is in."""
 
     def select(blocks: pa.Table, replies: pa.Table) -> pa.Table:
-        parts = []
-        for packed in blocks["data"].to_pylist():
-            block = Block(packed, k)
+        parts, schema = [], _SETS
+        if rows_apart:
+            schema = pa.unify_schemas([_SETS, _ROW])
+        for number, packed in zip(blocks["block"].to_pylist(), blocks["data"].to_pylist(),
+                                  strict=True):
+            block = Block(packed, k, number if rows_apart else None)
             frequent = codes_of(replies, "shingles", len(block.shingles))
             codes = codes_of(replies, "sets", len(block.entries.hash))
             mine: list[bytes | None] = [None] * len(block.sets)
@@ -191,12 +206,13 @@ def _select(k: int, percent: int):  # noqa: ANN202
                 order = np.argsort(kind, kind="stable")[:n - need + 1]
                 mine[i] = own[common].tobytes()
                 short[i] = own[order[common[order]]].view(np.int64)
+            held = opened(packed).rename_columns({"doc_id": "id"}).select(ROW) if rows_apart else []
             parts.append(pa.table(
                 [block.ids.cast(pa.int64()), pa.array(block.sizes),
                  pa.array(block.one.view(np.int64)), pa.array(block.two.view(np.int64)),
-                 pa.array(mine, pa.binary()), pa.array(short, pa.list_(pa.int64()))],
-                schema=_SETS))
-        return pa.concat_tables(parts) if parts else _SETS.empty_table()
+                 pa.array(mine, pa.binary()), pa.array(short, pa.list_(pa.int64())),
+                 *held], schema=schema))
+        return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return select
 
@@ -325,40 +341,66 @@ def link_forest(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return near.union(kept(far, "far"))
 
 
-def shingled(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """A row a document: doc, n, the set's hash, and what the join needs of it."""
-    blocks = pack(docs, "jaccard-blocks")
+def shingled(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
+             rows_apart: bool = False) -> DataFrame:
+    """A row a document: doc, n, the set's hash, and what the join needs of it. With
+    ``rows_apart`` doc is the number of the row, and ``ROW`` (from columns of docs) follows."""
+    blocks = pack(docs, "jaccard-blocks", more=ROW[1:] if rows_apart else ())
     shards = shard_count(blocks)
-    replies = kept(blocks.select("block", "data").mapInArrow(_ask(k, shards), ASK)
+    replies = kept(blocks.select("block", "data").mapInArrow(_ask(k, shards, rows_apart), ASK)
                    .groupBy("shard").applyInArrow(_answer, ANSWER), "jaccard-answers")
+    more = "".join(f", {c} long" for c in ROW) if rows_apart else ""
     return kept(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _select(k, percent), SETS), "jaccard-sets")
+        _select(k, percent, rows_apart), SETS + more), "jaccard-sets")
+
+
+def _components(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of every doc that links with another."""
+    forest = link_forest(sets, percent)
+    # copies hang on the first of their kind; rows of one doc_id are one node
+    held = sets.select("doc", "n", "one", "two").where("n > 0 and doc is not null")
+    first = kept(held.groupBy("one", "two").agg(F.min("doc").alias("first")), "first")
+    copies = held.join(first, ["one", "two"]).where("doc <> first").select(
+        F.col("doc").alias("u"), F.col("first").alias("v"))
+    return components(forest.union(copies))
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A row a document: doc_id, n_shingles, component_id."""
     sets = shingled(docs, k, percent)
-    forest = link_forest(sets, percent)
-    slim = sets.select("doc", "n", "one", "two")
-    # copies hang on the first of their kind; rows of one doc_id are one node
-    first = kept(slim.where("n > 0 and doc is not null").groupBy("one", "two").agg(
-        F.min("doc").alias("first")), "first")
-    known = slim.where("n > 0 and doc is not null").join(first, ["one", "two"])
-    copies = known.where("doc <> first").select(F.col("doc").alias("u"), F.col("first").alias("v"))
-    named = components(forest.union(copies))
+    named, slim = _components(sets, percent), sets.select("doc", "n")
     return slim.join(named, slim["doc"] == named["node"], "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc").alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents, all columns, with one of each component: that with the smallest doc_id.
-
-    Rows without doc_id stay.
-    """
-    gone = jaccard_components(docs, k, percent).where("doc_id <> component_id").select(
-        "doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents, all columns, with one row of each component: that with the smallest doc_id,
+    among rows that share it the one with the smallest hash of its text, and among equal rows the
+    one with the smallest hash of its other columns. Rows without doc_id stay."""
+    key = [F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h1"),
+           F.xxhash64(F.lit(29), "text").alias("h2")]
+    sets = shingled(docs.select("doc_id", "text", *key[1:]), k, percent, rows_apart=True)
+    named = _components(sets, percent)
+    linked_rows = kept(sets.select("doc", *ROW).join(named, F.col("doc") == F.col("node"))
+                       .select("component", *ROW), "jaccard-rows")
+    place = F.struct(*ROW)
+    best = linked_rows.groupBy("component").agg(F.min(place).alias("best"))
+    judged = linked_rows.join(best, "component").groupBy(*ROW).agg(
+        F.count("*").alias("k"), F.max(place == F.col("best")).alias("stays"))
+    judged = kept(judged.where("not stays or k > 1"), "jaccard-gone").select(
+        *(F.col(c).alias(f"g_{c}") for c in ROW), "stays")
+    same = [F.col(c) == F.col(f"g_{c}") for c in ROW]
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, *key).join(judged, same, "left").where("stays is null or stays")
+    if judged.where("stays").isEmpty():
+        return rows.select("row.*")
+    # only repeated rows meet, and no more than one a task
+    ordered = [f"row.`{f.name}`" for f in docs.schema.fields
+               if "map<" not in f.dataType.simpleString()]
+    again = rows.where("stays").groupBy(*ROW).agg(
+        F.min_by("row", F.xxhash64(*ordered)).alias("row"))
+    return rows.where("stays is null").select("row.*").union(again.select("row.*"))
 
 
 SQL = r"""

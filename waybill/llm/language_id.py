@@ -75,7 +75,10 @@ def _codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def gram_counts(data: np.ndarray, offsets: np.ndarray
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, n-gram, count), sorted by text and n-gram; at most 65,536 texts at once."""
+    """(text, n-gram, count), sorted by text and n-gram; at most 65,536 texts at once. A text of
+    more than ``GROUP`` bytes comes alone and is counted in pieces."""
+    if len(data) > GROUP and len(offsets) == 2:
+        return _long_counts(data)
     code, letter, at = _codes(data, offsets)
     n = len(code)
     # every word becomes mark, letters, mark: one mark stands for each run of other characters
@@ -110,6 +113,39 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray
             np.diff(np.append(new, len(key))))
 
 
+def _long_counts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The counts of one long text. An n-gram is known by a letter and its neighbours, so a piece
+    is read with one character more on either side, wherever it is cut."""
+    grams, counts = np.zeros(0, _U), np.zeros(0, np.int64)
+    lo, held = 0, []
+    while lo < len(data):
+        hi = min(lo + GROUP, len(data))
+        while hi < len(data) and data[hi] & 0xC0 == 0x80:
+            hi += 1
+        a, b = max(lo - 1, 0), min(hi + 1, len(data))
+        while a > 0 and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        code, letter, at = _codes(data[a:b], np.array([0, lo - a, hi - a]))
+        line = np.full(len(code) + 2, MARK, np.uint16)
+        line[1:-1][letter] = code[letter]
+        i = np.flatnonzero(letter) + 1
+        i = i[(i > at[1]) & (i <= at[2])]
+        x = line.astype(_U)
+        last = line[i + 1] == MARK
+        held.append(np.concatenate([
+            x[i], (x[i - 1] << _U(16)) | x[i], (x[i[last]] << _U(16)) | _U(MARK),
+            (x[i - 1] << _U(32)) | (x[i] << _U(16)) | x[i + 1]]))
+        lo = hi
+        if len(held) == 4 or lo == len(data):
+            new, n = np.unique(np.concatenate(held), return_counts=True)
+            every, back = np.unique(np.concatenate([grams, new]), return_inverse=True)
+            counts = np.bincount(back, weights=np.concatenate([counts, n])).astype(np.int64)
+            grams, held = every, []
+    return np.zeros(len(grams), np.int64), grams, counts
+
+
 def _batches(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offsets = utf8(column)
     for lo, hi in groups(offsets, GROUP):

@@ -171,6 +171,10 @@ def digest(mixed: DataFrame) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def copied(mixed: DataFrame) -> DataFrame:
-    """The documents the mix takes, each with its number of copies."""
-    return mixed.where("copies > 0").select("row.*", F.col("copies").alias("copies"))
+def copied(mixed: DataFrame, name: str = "copies") -> DataFrame:
+    """The documents the mix takes, each with its number of copies in a last column. Where the
+    documents have a column of that name, it gets an underscore more."""
+    taken = {f.name.lower() for f in mixed.schema["row"].dataType.fields}
+    while name.lower() in taken:
+        name += "_"
+    return mixed.where("copies > 0").select("row.*", F.col("copies").alias(name))

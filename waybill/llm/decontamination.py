@@ -13,10 +13,10 @@ is shuffled but the windows of the benchmark.
 words out of the text.
 
 Defined cases: null or empty texts have no words and no hits. Benchmark rows without
-text are left out; rows with the same item_id are one item. Rows without item_id are no item, and
-``scan`` leaves them out as the SQL does, unless ``unnamed`` is set: then their windows are hit but
-add no item. ``decontaminate`` sets it, for a passage without an id is leaked all the same. Rows of
-documents stay rows, whatever their doc_id; further columns pass through.
+text are left out; rows with the same item_id are one item. Rows without item_id are no
+item: their windows are hit, for a passage without an id is leaked all the same, but add no item
+(``unnamed=False`` leaves them out). Rows of documents stay rows, whatever their doc_id; further
+columns pass through.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ HITS = ("n_words long, hit_from array<long>, hit_to array<long>, byte_from array
         "byte_to array<long>, items array<string>")
 
 
-def windows(benchmark: DataFrame, k: int = K, unnamed: bool = False) -> DataFrame:
+def windows(benchmark: DataFrame, k: int = K, unnamed: bool = True) -> DataFrame:
     """(words, items): every distinct window and the items that hold it; with ``unnamed`` also
     windows that only rows without item_id hold, with no items."""
 
@@ -101,7 +101,7 @@ def _scan(texts: pa.Array, phrases: Phrases, items: list[list[str]],
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, k: int = K, size: int = SLICE,
-         text: bool = False, unnamed: bool = False) -> DataFrame:
+         text: bool = False, unnamed: bool = True) -> DataFrame:
     """(row, hits): the documents' columns (``text`` only if asked for) in a struct, and for each
     row its number of words, the runs of hit words (in words and in bytes) and the items."""
     spark = docs.sparkSession
@@ -164,7 +164,7 @@ def _cut(texts, begins, ends):  # noqa: ANN001, ANN202 - pandas series
 def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = K,
                   remove: str = "documents") -> DataFrame:
     """The documents, with their columns, without what they share with the benchmark."""
-    found = scan(docs, benchmark, k, text=True, unnamed=True)
+    found = scan(docs, benchmark, k, text=True)
     if remove == "documents":
         return found.where(F.size("hits.hit_from") == 0).select("row.*")
     if remove != "spans":
@@ -193,7 +193,7 @@ _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
 SQL = f"""
 with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
 b as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark
-      where item_id is not null and text is not null),
+      where text is not null),  -- a row without item_id hits words and adds no item
 g as (select distinct item, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as g,
              least(len(w), 10) as k
       from (select item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i

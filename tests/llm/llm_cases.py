@@ -143,10 +143,9 @@ def hits(rows: list[tuple], benchmark: list[tuple], k: int = 10) -> list[tuple]:
     windows = defaultdict(set)
     for item, text in benchmark:
         w = plain_words(text)
-        if item is not None and w:
-            size = min(k, len(w))
-            for i in range(len(w) - size + 1):
-                windows[tuple(w[i:i + size])].add(str(item))
+        size = min(k, len(w))
+        for i in range(len(w) - size + 1 if w else 0):
+            windows[tuple(w[i:i + size])] |= set() if item is None else {str(item)}
     out = []
     for r in rows:
         w = plain_words(r[1])
@@ -154,7 +153,7 @@ def hits(rows: list[tuple], benchmark: list[tuple], k: int = 10) -> list[tuple]:
         for size in {len(x) for x in windows}:
             for i in range(len(w) - size + 1):
                 found = windows.get(tuple(w[i:i + size]))
-                if found:
+                if found is not None:
                     places |= set(range(i, i + size))
                     items |= found
         out.append((len(w), places, sorted(items)))

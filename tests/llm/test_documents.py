@@ -2,13 +2,14 @@
 
 import hashlib
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from llm_cases import (
     DOCUMENTS,
     LOREM,
+    Groups,
     documents,
     hits,
     jaccard,
@@ -17,6 +18,7 @@ from llm_cases import (
     odd_rows,
     plain_words,
     removed,
+    shingles,
     space_words,
 )
 
@@ -143,6 +145,40 @@ def test_deduplicate_keeps_columns_and_rows_without_id(spark):
     assert out.where("doc_id is null").count() == 2
 
 
+def test_deduplicate_tells_rows_of_one_id_apart(spark):
+    a, b, c = LOREM, "another text of its own with more than five words", "a third one " * 9
+    rows = [(1, a, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (7, c, "en", "x"),
+            (7, c, "de", "y"), (7, c, "en", "x"), (8, b + " x", "en", "s"), (9, "", "en", "s"),
+            (9, "", "en", "s"), (None, a, "en", "s"), (None, a, "en", "s"), (3, b, "en", "s")]
+    out = jaccard_join.deduplicate(documents(spark, rows)).collect()
+    got = Counter((r.doc_id, r.text) for r in out)
+    assert got == {(1, a): 1, (3, b): 1, (7, c): 1, (9, ""): 2, (None, a): 2}
+    assert jaccard_join.deduplicate(documents(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_deduplicate_is_brute_force(spark, seed):
+    """One row a component, over rows that share ids and texts."""
+    rows = [(r[0] and r[0] % 40, *r[1:]) for r in random_rows(150, seed)]
+    rows += rows[:30]
+    sets, groups = [shingles(r[1]) for r in rows], Groups()
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if s and rows[i][0] is not None and rows[j][0] is not None and (
+                    100 * len(s & sets[j]) >= 75 * len(s | sets[j])):
+                groups.join(i, j)
+    members = defaultdict(list)
+    for i in range(len(rows)):
+        members[groups.find(i)].append(rows[i])
+    out = Counter((r.doc_id, r.text) for r in
+                  jaccard_join.deduplicate(documents(spark, rows)).collect())
+    assert sum(out.values()) == len(members)
+    for own in members.values():
+        least = min((r[0] for r in own if r[0] is not None), default=None)
+        held = [r for r in {(r[0], r[1]) for r in own} if out[r]]
+        assert [r[0] for r in held] == [least]
+
+
 def test_components_of_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(1, 80)]
@@ -285,8 +321,8 @@ def test_passages_without_item_id_are_removed_too(spark, size):
     digest = lambda **more: {r.doc_id: tuple(r)[1:4] for r in decontamination.digest(
         decontamination.scan(docs, items, size=size, **more)).collect()}
     n = len(LOREM.split())
-    assert digest(unnamed=True) == {1: (n + 2, n, 0), 2: (2, 0, 0)}
-    assert digest() == {1: (n + 2, 0, 0), 2: (2, 0, 0)}  # as the SQL has it
+    assert digest() == {1: (n + 2, n, 0), 2: (2, 0, 0)}
+    assert digest(unnamed=False) == {1: (n + 2, 0, 0), 2: (2, 0, 0)}
 
 
 def test_decontamination_with_empty_tables(spark):

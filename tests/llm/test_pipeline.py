@@ -34,7 +34,7 @@ def test_pipeline_is_brute_force(spark):
              .select("item_id", "text").collect()]
     rows = [tuple(r) for r in docs.select(*COLUMNS).collect()]
     lang = {r.row.doc_id: r for r in language_id.language_id(docs).collect()}
-    rows = [r for r in rows if lang[r[0]].lang_pred != "und" and lang[r[0]].score >= 0.2]
+    rows = [r for r in rows if lang[r[0]].lang_pred != "und"]
     rows = [(r[0], t, r[2], r[3], len(t)) for r, t in zip(rows, lines_left(rows), strict=True)]
     keep = {c for _, _, c in jaccard(rows)}
     rows = [r for r in rows if r[0] in keep]
@@ -66,6 +66,14 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
         out.collect()
 
 
+def test_stages_take_a_column_of_the_mix_s_own_name(spark):
+    docs = documents(spark, odd_rows()).selectExpr("*", "0 as copies")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER)
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert out.columns == [*docs.columns, "copies_"] and out.count() > 0
+
+
 def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = corpus_pipeline.identify_language(spark, docs, FOLDER)

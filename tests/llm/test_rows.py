@@ -4,9 +4,13 @@ import base64
 import hashlib
 import random
 import re
+import subprocess
+import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 from datetime import date, timedelta
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -256,6 +260,21 @@ def test_pseudonyms_are_those_of_a_plain_feistel_network(spark):
     assert text[3] == f"{area + (area > 665):03d}-{left % 99 + 1:02d}-{right + 1:04d}"
 
 
+def test_pii_of_long_runs_takes_time_in_proportion(spark):
+    """Ten megabytes without a space, each kind of run that a pattern could try again and again."""
+    runs = ["a1", "a", "7", "a.", "a@", "1.", "A", "12-", "a1@b.", "+", "1234 ", "AB12 "]
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(runs)], "doc_id long, r string")
+    docs = rows.selectExpr("doc_id", "repeat(r, 10485760 div length(r)) as text")
+    start = time.time()
+    got = pii.find(docs).selectExpr("row.doc_id", "length(text) as n").collect()
+    assert time.time() - start < 240 and len(got) == len(runs)
+    local = "x" * 64
+    out = {r.row.doc_id: r.n_found for r in pii.find(documents(spark, [
+        (1, f"to {local}@example.com now", "", ""), (2, f"to x{local}@example.com", "", ""),
+        (3, "(a.b+c%d-e_f@example.com)", "", "")])).collect()}
+    assert out == {1: 1, 2: 0, 3: 1}
+
+
 def test_pii_runs_without_python(spark):
     plan = pii.find(documents(spark, odd_rows()[:3]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -327,6 +346,32 @@ def test_language_id_of_odd_rows(spark):
     assert language_id.language_id(spark.createDataFrame([], DOCUMENTS)).count() == 0
 
 
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    rng = random.Random(3)
+    for n in (1, 2, 7, 90, 600):
+        text = "".join(rng.choice("abcÀéßあ漢字\U0001F600\U00010400 \n._-1") for _ in range(n))
+        data = np.frombuffer(text.encode(), np.uint8)
+        whole = language_id.gram_counts(data, np.array([0, len(data)]))
+        for piece in (1, 2, 3, 50):
+            with monkeypatch.context() as m:
+                m.setattr(language_id, "GROUP", piece)
+                parts = language_id.gram_counts(data, np.array([0, len(data)]))
+            assert all(x.tolist() == y.tolist() for x, y in zip(whole, parts, strict=True))
+
+
+def test_a_very_long_text_takes_little_memory():
+    code = """if True:
+        import resource, pyarrow as pa
+        from waybill.llm.language_id import Profiles
+        text = pa.array(["Ein sehr langer Text, " * (3 << 20)])
+        langs, _ = Profiles([("de", 1, ord("e")), ("en", 1, ord("q"))], 400).nearest(text)
+        print(langs, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=Path(__file__).parents[2])
+    langs, peak = out.stdout.split()
+    assert langs == "['de']" and int(peak) < 1024
+
+
 # ---- mixing
 
 def targets(sizes, weights=(5, 2, 1), most=3):
@@ -402,6 +447,13 @@ def test_copied_documents_and_empty_tables(spark):
     assert mixing.mix(spark.createDataFrame([], DOCUMENTS)).count() == 0
 
 
+def test_copies_get_a_name_of_their_own(spark):
+    docs = documents(spark, odd_rows()).selectExpr("*", "0 as Copies", "'x' as copies_")
+    out = mixing.copied(mixing.mix(docs))
+    assert out.columns == [*docs.columns, "copies__"]
+    assert {r.copies_ for r in out.collect()} == {"x"}
+
+
 # ---- licenses
 
 def places(text, phrase):

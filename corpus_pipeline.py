@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 last return the columns of documents. ``run`` writes every stage's result as a table in the shared
 folder and reads it again as the next one's input, so a lost executor costs tasks, not stages.
 
-Null texts have no language and go in the first stage. Rows without doc_id are carried along, but
-line dedup and the Jaccard join cannot drop anything of them. Extra columns pass through.
+Texts that are null or have no letter have no language and go in the first stage. Rows without
+doc_id are carried along, but line dedup and the Jaccard join cannot drop anything of them. Extra
+columns pass through; where one is called ``copies``, the mix's own is ``copies_``.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 from waybill.llm import decontamination, jaccard_join, language_id, line_dedup, mixing
 from waybill.llm.storage import kept, small_batches
 
-LEAST_SCORE = 0.2  # texts farther than this from every learned language go
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from the labelled rows that are not held out.
@@ -30,8 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if profiles.isEmpty():
         return docs
     found = language_id.identify(docs, profiles)
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return found.where(known).select("row.*")
+    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -268,3 +268,77 @@ def test_refresh_pushes_the_range_of_days(spark, tmp_path):
     assert "GreaterThanOrEqual(ts," in seen[0]
     assert sorted(str(r.day) for r in spark.read.parquet(str(tmp_path / "g")).collect()) == [
         "2024-01-03", "2024-01-05"]
+
+
+@pytest.mark.parametrize("stop", [2, 3])
+def test_a_swap_that_stopped_half_way_is_undone(spark, tmp_path, monkeypatch, stop):
+    """The driver dies before the second rename, or before the old table is removed."""
+    path = str(tmp_path / "t")
+    storage.create_or_replace(orders(spark, ("1", "a", 1, "2024-01-01")), path)
+
+    class Dies(BaseException):
+        pass
+
+    class Files:
+        def __init__(self, fs):
+            self.fs, self.renames = fs, 0
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            self.renames += 1
+            if self.renames == stop:
+                raise Dies
+            return self.fs.rename(a, b)
+
+    real, made = storage._fs, []
+
+    def fs_of(session, where):
+        fs, p = real(session, where)
+        made[:] = made or [Files(fs)]
+        return made[0], p
+
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_fs", fs_of)
+        if stop == 3:
+            m.setattr(storage, "remove", lambda *a: (_ for _ in ()).throw(Dies))
+        with pytest.raises(Dies):
+            storage.create_or_replace(orders(spark, ("2", "b", 1, "2024-01-02")), path)
+    assert (tmp_path / "t").exists() == (stop == 3)
+    assert storage.recover(spark, path) == (stop == 2)
+    assert set(stored(spark, path)) == {"1" if stop == 2 else "2"}
+    assert not storage.recover(spark, path)
+    storage.create_or_replace(orders(spark, ("3", "c", 1, "2024-01-02")), path)
+    assert set(stored(spark, path)) == {"3"}
+
+
+def test_replacing_partitions_computes_the_frame_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    storage.create_or_replace(orders(spark, ("1", "a", 1, "2024-01-01"), ("2", "a", 1, "2024-01-02"),
+                                     ("3", "a", 1, None)), path, "day")
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = orders(spark, ("9", "b", 1, "2024-01-02"))
+    storage.replace_partitions(df.mapInArrow(count, df.schema), path, "day",
+                               [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3), None])
+    assert made.value == 1 and set(stored(spark, path)) == {"9"}
+
+
+def test_batches_are_merged_and_repeated_ones_replaced(spark, tmp_path):
+    path, day = str(tmp_path / "b"), dt.date(2024, 1, 1)
+    df = spark.range(3).withColumn("v", F.lit("x"))
+    for n in range(7):
+        storage.replace_batch(df.withColumn("v", F.lit(str(n))), path, n, day)
+    storage.replace_batch(df.limit(0), path, 6, day)  # the repeated batch has nothing now
+    storage.merge_batches(spark, path, df.schema, before=6, most=3)
+    got = spark.read.parquet(path)
+    assert got.count() == 18 and {r.batch_id for r in got.select("batch_id").distinct().collect()} \
+        == {5}
+    storage.replace_batch(df, path, 6, day)
+    assert spark.read.parquet(path).count() == 21

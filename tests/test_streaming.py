@@ -1,11 +1,14 @@
+import datetime as dt
 import json
+import time
 
 from conftest import AS_OF, ORDER, control, message
 from pyspark.sql import functions as F
 
 from waybill.operators import extract, storage
+from waybill.plans import messages
 from waybill.sources import messages as source
-from waybill.streaming import jobs
+from waybill.streaming import alerts, jobs
 
 
 def write(folder, name, *messages):
@@ -113,6 +116,93 @@ def test_silence_over_batches(spark, tmp_path):
     assert {"2024-01-01 00:05:00", "2024-01-01 00:27:30"} <= set(run())
 
 
+def test_silence_is_raised_without_messages(spark, tmp_path):
+    """B goes on while A stops; then all stop, and only the heartbeat is left."""
+    ins, beats = tmp_path / "in", tmp_path / "beats"
+
+    def run(sent=(), beat=()):
+        n = len(list(ins.glob("*"))) if ins.exists() else 0
+        write(ins, f"{n}.json", *[{"sap_system": s, "timestamp": f"2024-01-01T{t}",
+                                   "ingestion_time": f"2024-01-01T{t}", "control": {"status": "03"}}
+                                  for s, t in sent])
+        write(beats, f"{n}.json", *[{"timestamp": f"2024-01-01T{t}"} for t in beat])
+        sent_in = spark.readStream.schema(
+            "sap_system string, timestamp timestamp, ingestion_time timestamp, "
+            "control struct<status:string>").json(str(ins))
+        clock = spark.readStream.schema("timestamp timestamp").json(str(beats))
+        alerts.alert_stream(sent_in, str(tmp_path / "state"), str(tmp_path / "alerts"),
+                            str(tmp_path / "cp"), beats=clock, each_system=True
+                            ).awaitTermination()
+        found = spark.read.schema("type string, sap_system string, value double, "
+                                  "alerted_at timestamp").parquet(str(tmp_path / "alerts"))
+        return sorted((r.sap_system or "all", r.value, str(r.alerted_at)[11:16])
+                      for r in found.collect() if r.type == "Silence")
+
+    assert run([("A", "00:00:00"), ("B", "00:00:00")], ["00:01:00"]) == []
+    assert run([("B", "00:08:00")], ["00:09:00"]) == []
+    one = [("A", 12.0, "00:12")]
+    assert run([("B", "00:12:00")]) == one
+    assert run(beat=["00:13:00"]) == one  # raised once
+    assert run(beat=["00:22:00"]) == one
+    three = sorted([*one, ("B", 11.0, "00:23"), ("all", 11.0, "00:23")])
+    assert run(beat=["00:23:00"]) == three
+    assert run(beat=["01:40:00"]) == three
+    assert run([("A", "01:41:00")], ["01:42:00"]) == three  # A is back, and stops again
+    assert run(beat=["01:55:00"]) == sorted([*three, ("A", 14.0, "01:55"), ("all", 14.0, "01:55")])
+
+
+def test_alerts_from_kept_ticks_are_those_over_all_messages(spark, tmp_path):
+    """Batch after batch, against the whole raw table as of its newest message."""
+    rows, raw = [], str(tmp_path / "raw")
+    for i in range(1500):  # nine days, some hours empty, a burst and slow messages at the end
+        at = (i * 7919) % 12000 if i < 1200 else 12960 + i % 55
+        rows.append((f"m{i}", f"S{i % 3}", at * 60 + i % 60, 400 if i % 9 == 0 and i > 1200 else i % 50,
+                     "51" if i % 7 == 0 else "03"))
+    df = spark.createDataFrame(rows, "docnum string, sap_system string, t long, late int, st string")
+    base = F.unix_seconds(F.lit("2024-01-01 00:30:30").cast("timestamp"))
+    df = df.select("sap_system", F.timestamp_seconds(base + F.col("t")).alias("timestamp"),
+                   F.timestamp_seconds(base + F.col("t") + F.col("late")).alias("ingestion_time"),
+                   F.struct(F.col("st").alias("status")).alias("control"))
+    cuts = [dt.datetime(2024, 1, d, 3) for d in (4, 7, 10)] + [dt.datetime(2024, 2, 1)]
+    before, shown = dt.datetime(2000, 1, 1), 0
+    for k, cut in enumerate(cuts):
+        part = df.filter((F.col("timestamp") >= F.lit(before)) & (F.col("timestamp") < F.lit(cut)))
+        part.coalesce(1).write.mode("append").parquet(raw)
+        before = cut
+        stream = spark.readStream.schema(df.schema).parquet(raw)
+        alerts.alert_stream(stream, str(tmp_path / "state"), str(tmp_path / "alerts"),
+                            str(tmp_path / "cp")).awaitTermination()
+        held = spark.read.parquet(raw)
+        now = held.agg(F.max("timestamp")).first()[0]
+        want = {tuple(r) for r in messages.alerts(held, as_of=F.lit(now)).filter(
+            "alert <> 'Normal' and type <> 'Silence'").collect()}
+        got = spark.read.schema(
+            "type string, alert string, value double, threshold double, batch_day date, "
+            "batch_id long").parquet(str(tmp_path / "alerts")).filter(f"batch_id = {k}").select(
+            "type", "alert", "value", "threshold")
+        assert {tuple(r) for r in got.collect()} == want
+        shown += len(want)
+    assert shown >= 4
+    # ticks older than eight days are gone, hours' totals of the week are there
+    hours = [p.name[5:] for p in (tmp_path / "state" / "ticks").glob("hour=*")]
+    assert min(hours) >= (now - dt.timedelta(days=8)).strftime("%Y-%m-%d-%H")
+
+
+def test_heartbeat_tells_the_time(spark, tmp_path):
+    query = alerts.heartbeat(spark).writeStream.format("parquet").option(
+        "path", str(tmp_path / "b")).option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        for _ in range(60):
+            time.sleep(0.5)
+            query.processAllAvailable()
+            if list((tmp_path / "b").glob("*.parquet")) and spark.read.schema(
+                    "timestamp timestamp").parquet(str(tmp_path / "b")).count():
+                break
+        assert spark.read.schema("timestamp timestamp").parquet(str(tmp_path / "b")).count() > 0
+    finally:
+        query.stop()
+
+
 def test_latest_state_across_batches(spark, tmp_path):
     def run(name, *rows):
         df = spark.createDataFrame(list(rows), "shipment_number string, status_code string, t string")

@@ -19,7 +19,7 @@ from waybill.plans import gold
 from waybill.session import checkpoint_dir
 from waybill.sources import messages as source
 from waybill.sources.driver_messages import Messages
-from waybill.streaming import jobs
+from waybill.streaming import alerts, jobs
 
 C = F.col
 CUT = "2000-01-01"
@@ -91,6 +91,28 @@ def _(t):
     return t.spark.read.parquet(path).drop("order_month")
 
 
+@query("mnt_1_moved_keys", views="s_orders", sql=f"""
+SELECT order_number, order_status, CASE WHEN order_status = 'Cancelled'
+  THEN strftime(order_date, '%Y-%m') ELSE strftime(order_date + INTERVAL 45 DAY, '%Y-%m') END
+  AS order_month FROM s_orders""")
+def _(t):
+    """Two batches move two thirds of the orders to later months, one late batch comes twice."""
+    month = F.date_format("order_date", "yyyy-MM")
+    later = F.date_format(C("order_date") + F.expr("INTERVAL 45 DAYS"), "yyyy-MM")
+    orders = t.orders.select("order_number", "order_status", "order_date")
+    path = folder(t, "moved")
+    storage.upsert(orders.select("order_number", "order_status", month.alias("order_month")), path,
+                   ["order_number"], "order_month")
+    for status in ("Shipped", "Delivered", "Pending", "Shipped"):
+        some = orders.filter(C("order_status") == status)
+        storage.upsert(some.select("order_number", "order_status", later.alias("order_month")),
+                       path, ["order_number"], "order_month")
+    rest = orders.filter(~C("order_status").isin("Shipped", "Delivered", "Pending", "Cancelled"))
+    storage.upsert(rest.select("order_number", "order_status", later.alias("order_month")), path,
+                   ["order_number"], "order_month")
+    return t.spark.read.parquet(path).withColumn("order_month", C("order_month").cast("string"))
+
+
 @query("snk_3_gold_merge", views="s_orders", sql=f"""
 SELECT strftime(order_date, '%Y-%m') AS order_month, sap_system, count(*) AS total_orders,
   {total('total_c')} AS total_revenue FROM s_orders GROUP BY 1, 2""")
@@ -418,13 +440,37 @@ FROM h HAVING count(*) > (SELECT {avg('c', 4)} * 3 FROM (SELECT count(*) AS c FR
    WHERE "timestamp" > t - INTERVAL 7 DAY GROUP BY date_trunc('hour', "timestamp")))""")
 def _(t):
     path = folder(t, "alerts")
-    t.raw.write.parquet(f"{path}/raw")
-    finish(jobs.alert_stream(t.raw_stream, f"{path}/raw", f"{path}/alerts", f"{path}/checkpoint"))
+    finish(alerts.alert_stream(t.raw_stream, f"{path}/state", f"{path}/alerts",
+                               f"{path}/checkpoint"))
     schema = "type string, alert string, value double, threshold double"
     return t.spark.read.schema(schema).parquet(f"{path}/alerts").select(
         "type", "alert", "value", "threshold")
 
 
+LAST = """SELECT sap_system, max("timestamp") AS t FROM raw GROUP BY 1"""
+MINUTES = "(date_diff('minute', l.t, w.t))::DOUBLE"
+
+
+@query("str_8_silence", views="raw", sql=f"""
+WITH w AS (SELECT max("timestamp") + INTERVAL 11 MINUTE AS t FROM raw), l AS ({LAST})
+SELECT sap_system, {MINUTES} AS value, w.t::VARCHAR AS alerted_at FROM l, w WHERE {MINUTES} > 10
+UNION ALL SELECT NULL, {MINUTES}, w.t::VARCHAR FROM (SELECT max(t) AS t FROM l) l, w
+WHERE {MINUTES} > 10""")
+def _(t):
+    """Eleven minutes after the last message the clock goes on; every silence is raised once."""
+    path = folder(t, "silence")
+    newest = t.raw.agg(F.max("timestamp").alias("t"))
+    for k, minutes in enumerate((11, 12, 40)):  # three heartbeats, in three batches
+        newest.select((C("t") + F.expr(f"INTERVAL {minutes} MINUTES")).alias("timestamp")).write.mode(
+            "append").parquet(f"{path}/beats")
+        beats = t.spark.readStream.schema("timestamp timestamp").parquet(f"{path}/beats")
+        finish(alerts.alert_stream(t.raw_stream, f"{path}/state", f"{path}/alerts",
+                                   f"{path}/checkpoint", beats=beats, each_system=True))
+    schema = "type string, sap_system string, value double, alerted_at timestamp"
+    return t.spark.read.schema(schema).parquet(f"{path}/alerts").filter(
+        "type = 'Silence'").select("sap_system", "value", "alerted_at")
+
+
 @query("str_9_latest_state", views="s_shipments", sql="""
 SELECT shipment_number, CASE WHEN planned_delivery_date >= planned_ship_date THEN
   CASE shipment_status WHEN 'Delivered' THEN 'B' WHEN 'In Transit' THEN 'A' ELSE 'C' END

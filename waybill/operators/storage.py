@@ -12,15 +12,17 @@ an inferred one: a folder ``007`` must not come back as ``7``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.functions import as_ts
+from waybill.operators.key_index import KeyIndex, forget
 
 C = F.col
 
@@ -55,17 +57,20 @@ def create_or_replace(df: DataFrame, path: str, partition: str | None = None) ->
     """Replaces the whole table; ``df`` may read the table itself.
 
     The new table is written aside. Only when it is complete the old folder is renamed, the new
-    one takes its place, and the old one goes; a write that fails leaves the old table.
+    one takes its place, and the old one goes; a write that fails leaves the old table. A driver
+    that dies between the two renames leaves the old one aside, where ``recover`` finds it.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
-    new, old = _staging(path), _staging(path)
+    recover(spark, path)
+    new, old = _staging(path, "new"), _staging(path, "old")
     writer = _packed(df, partition).write
     try:
         (writer.partitionBy(partition) if partition else writer).parquet(new)
     except Exception:
         remove(spark, new)
         raise
+    forget(spark, path)
     fs, target = _fs(spark, path)
     had = fs.exists(target)
     if had and not fs.rename(target, _fs(spark, old)[1]):
@@ -79,18 +84,39 @@ def create_or_replace(df: DataFrame, path: str, partition: str | None = None) ->
     remove(spark, old)
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Undoes a swap that stopped half-way: a table that is only aside takes its place again.
+    Called before a table is replaced or updated; true if there was something to undo."""
+    fs, target = _fs(spark, path.rstrip("/"))
+    aside = _fs(spark, f"{path.rstrip('/')}__staging")[1]
+    if not fs.exists(aside):
+        return False
+    old = [f.getPath() for f in fs.listStatus(aside) if f.getPath().getName().startswith("old-")]
+    back = bool(old) and not fs.exists(target)
+    if back and not fs.rename(old.pop(), target):
+        raise OSError(f"{path} could not be moved back")
+    for p in old:  # the swap was complete but for their removal
+        fs.delete(p, True)
+    return back
+
+
 def snapshot(df: DataFrame, path: str) -> None:
     """Replaces a table without partitions."""
     create_or_replace(df, path)
 
 
 def append(df: DataFrame, path: str, partition: str | None = None) -> None:
+    forget(df.sparkSession, path)
+    _append(df, path, partition)
+
+
+def _append(df: DataFrame, path: str, partition: str | None = None) -> None:
     writer = _packed(df, partition).write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
-def _staging(path: str) -> str:
-    return f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
+def _staging(path: str, kind: str = "rows") -> str:
+    return f"{path.rstrip('/')}__staging/{kind}-{uuid.uuid4().hex}"
 
 
 def partition_values(df: DataFrame, partition: str) -> list:
@@ -132,6 +158,10 @@ def table(spark: SparkSession, path: str, partition: str,
         for f in found.fields])).parquet(path)
 
 
+def schema_of(ddl: str) -> T.StructType:
+    return T._parse_datatype_string(ddl)
+
+
 def _in(partition: str, values: Sequence) -> Column:
     """Partition filter known before the scan, so untouched folders are never opened."""
     known = [v for v in values if v is not None]
@@ -168,46 +198,84 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
     """Inserts new keys and replaces known ones.
 
     The updates are computed once, into a staging folder, and read from there. Only partitions
-    that receive a row or hold an old version of one are rewritten. With ``version`` a stored row
-    with a later version stays. ``moves=False`` promises that a key never changes its partition,
-    so the search for old versions opens only the partitions of the updates.
+    that receive a row or hold an old version of one are read and rewritten. Which those are tells
+    an index from key to partition (``key_index``), which is asked about the keys of the updates;
+    it is built with the table, or once from its keys where it is missing. ``moves=False`` promises
+    that a key never changes its partition, as does a key that holds the partition column: then
+    there is no index. With ``version`` a stored row with a later version stays.
     """
     spark = updates.sparkSession
     keys = list(keys)
+    moves = moves and partition not in keys
+    recover(spark, path)
     staging = _staging(path)
-    _packed(updates, partition).write.partitionBy(partition).parquet(staging)
+    _packed(updates, partition).write.partitionBy(partition).parquet(f"{staging}/rows")
     try:
-        staged = spark.read.schema(updates.schema).parquet(staging)
+        staged = spark.read.schema(updates.schema).parquet(f"{staging}/rows")
         check_unique(staged, keys)
         incoming = partition_values(staged, partition)
         if not incoming:
             return
+        index = KeyIndex(spark, path, updates.schema, keys, partition) if moves else None
         if not exists(spark, path):
-            append(staged, path, partition)
+            if index:
+                index.build(staged)
+            _append(staged, path, partition)
             return
         target = table(spark, path, partition, updates.schema[partition].dataType)
-        searched = target if moves else target.filter(_in(partition, incoming))
-        held = searched.select(*keys, C(partition).alias("_at"),
-                               *([C(version).alias("_held")] if version else []))
+        places = None
+        if index:
+            if index.state() is None:
+                index.build(target)
+            index.locate(staged).write.parquet(f"{staging}/places")
+            places = spark.read.schema(T.StructType(index.schema.fields[:-2])).parquet(
+                f"{staging}/places")
         if version:
-            staged = staged.join(held.drop("_at"), keys, "left").filter(
+            near = _near(spark, path, partition, incoming, places)
+            held = target.filter(_in(partition, near)).select(*keys, C(version).alias("_held"))
+            staged = staged.join(held, keys, "left").filter(
                 C("_held").isNull() | (C("_held") <= C(version))).drop("_held")
-        touched = incoming
-        if moves:
-            found = partition_values(held.join(staged.select(*keys), keys, "left_semi"), "_at")
-            touched = list(dict.fromkeys([*incoming, *found]))
+            incoming = partition_values(staged, partition)
+            if not incoming:
+                return
+            if index:
+                places = places.join(staged.select(*keys), keys, "left_semi")
+        touched = _near(spark, path, partition, incoming, places)
         kept = target.filter(_in(partition, touched)).join(staged.select(*keys), keys, "left_anti")
         merged = kept.unionByName(staged, allowMissingColumns=True)
         emptied = []
         if len(touched) > len(incoming):
             left = partition_values(merged.select(partition), partition)
             emptied = [v for v in touched if v not in left]
+        number = None
+        if index:
+            here = [C(k) == C(f"_{i}") for i, k in enumerate(keys)]
+            known = places.select(*(C(k).alias(f"_{i}") for i, k in enumerate(keys)),
+                                  C("_at").alias("_known"))
+            staged.select(*keys, C(partition).alias("_at")).join(
+                known, [*here, C("_at").eqNullSafe(C("_known"))], "left_anti").write.parquet(
+                f"{staging}/moved")
+            moved = spark.read.schema(T.StructType(index.schema.fields[:-2])).parquet(
+                f"{staging}/moved")
+            number = index.begin(moved)
         _overwrite(_packed(merged, partition), path, partition)
         _drop(spark, path, partition, emptied)
+        if index:
+            index.commit(number, index.buckets_of(moved))
     finally:
         remove(spark, staging)
 
 
+def _near(spark: SparkSession, path: str, partition: str, incoming: Sequence,
+          places: DataFrame | None) -> list:
+    """Partitions that get a row or may hold an old version of one."""
+    if places is None:
+        return list(incoming)
+    held = folders(spark, path, partition)
+    return list(dict.fromkeys([*incoming, *(v for v in partition_values(places, "_at")
+                                            if _text(v) in held)]))
+
+
 def replace_partitions(df: DataFrame, path: str, partition: str,
                        touched: Sequence | None = None) -> None:
     """Makes ``df`` the whole content of its partitions, so groups that vanished disappear.
@@ -215,26 +283,84 @@ def replace_partitions(df: DataFrame, path: str, partition: str,
     ``touched`` names partitions to replace even where ``df`` has no row for them.
     """
     spark = df.sparkSession
-    _overwrite(_packed(df, partition), path, partition)
+    forget(spark, path)
+    # which partitions got a row is noted while they are written: ``df`` is computed once
+    seen = Observation()
+    noted = df.observe(seen, F.collect_set(partition).alias("values"),
+                       F.count_if(C(partition).isNull()).alias("nulls"))
+    _overwrite(_packed(noted, partition), path, partition)
     if touched:
-        held = folders(spark, path, partition)
-        left = {_text(v) for v in partition_values(df.select(partition), partition)}
+        found = seen.get
+        left = {_text(v) for v in found["values"]} | ({NO_VALUE} if found["nulls"] else set())
+        held = folders(spark, path, partition) if exists(spark, path) else {}
         _drop(spark, path, partition,
               [v for v in touched if _text(v) in held and _text(v) not in left])
 
 
-def replace_batch(df: DataFrame, path: str, batch_id: int, day: date) -> None:
-    """Adds a batch's rows to their day, in place of what the same batch left there before.
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """The frame as a table beside ``path`` while it is used: computed once, read as often as
+    needed."""
+    aside = _staging(path)
+    df.write.parquet(aside)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(aside)
+    finally:
+        remove(df.sparkSession, aside)
 
-    The table has a partition a day, however many batches there are; ``batch_id`` is a column.
+
+def _batch_folders(spark: SparkSession, path: str, by: str, batch_id: str = "*"):  # noqa: ANN202
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{by}=*/batch_id={batch_id}")
+    return fs, [f.getPath() for f in fs.globStatus(p) or []]
+
+
+def replace_batch(df: DataFrame, path: str, batch_id: int, day: date | None = None,
+                  by: str = "batch_day") -> None:
+    """Adds a batch's rows under their day and its number, in place of what the same batch left
+    there before. The day is one of the whole batch, or the column ``by`` of its rows.
+
+    Other batches are neither read nor written. ``merge_batches`` joins the folders of batches
+    that can no longer be repeated.
     """
-    spark = df.sparkSession
-    rows = df.withColumns({"batch_id": F.lit(batch_id).cast("bigint"), "batch_day": F.lit(day)})
-    if exists(spark, path):
-        held = table(spark, path, "batch_day", T.DateType())
-        rows = held.filter((C("batch_day") == F.lit(day)) & (C("batch_id") != batch_id)).unionByName(
-            rows, allowMissingColumns=True)
-    _overwrite(_packed(rows, "batch_day"), path, "batch_day")
+    fs, before = _batch_folders(df.sparkSession, path, by, str(batch_id))
+    for p in before:
+        fs.delete(p, True)
+    rows = df.withColumn(by, F.lit(day)) if day else df
+    rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").partitionBy(
+        by, "batch_id").parquet(path)
+
+
+def merge_batches(spark: SparkSession, path: str, schema: T.StructType, before: int,
+                  most: int = 64, by: str = "batch_day") -> None:
+    """Joins the batches of each day that has more than ``most``, all earlier than batch ``before``,
+    under the number of its last. ``schema``: of the rows without day and batch.
+
+    The rows are written aside and moved in under a name of their own before the old folders go.
+    """
+    fs, found = _batch_folders(spark, path, by)
+    days: dict[str, list[tuple[int, object]]] = {}
+    for p in found:
+        number = int(p.getName().split("=")[1])
+        if number < before:
+            days.setdefault(p.getParent().getName().split("=")[1], []).append((number, p))
+    for day, parts in days.items():
+        if len(parts) <= most:
+            continue
+        last = max(n for n, _ in parts)
+        new = _staging(path, "merged")
+        spark.read.schema(schema).parquet(*(p.toString() for _, p in parts)).hint(
+            "rebalance").write.parquet(new)
+        target = _fs(spark, f"{path.rstrip('/')}/{by}={day}/batch_id={last}")[1]
+        old = [f.getPath() for _, p in parts for f in fs.listStatus(p)]
+        for f in fs.listStatus(_fs(spark, new)[1]):
+            if f.getPath().getName().endswith(".parquet"):
+                fs.rename(f.getPath(), _fs(spark, f"{target.toString()}/{f.getPath().getName()}")[1])
+        for p in old:
+            fs.delete(p, False)
+        for number, p in parts:
+            if number != last:
+                fs.delete(p, True)
+        remove(spark, new)
 
 
 def refresh(compute, source: DataFrame, path: str, day: str, partition: str,

@@ -305,25 +305,40 @@ def alerts(raw: DataFrame, *, as_of, spike_factor: int = 3, silence_minutes: int
     hour = newer_than(raw, "timestamp", "1 hour", as_of=as_of)
     counts = hour.groupBy(latency().alias("s")).agg(
         F.count("*").alias("n"), F.count_if(failed_status()).alias("bad"))
+    checks = _thresholds(spike_factor, error_percent, latency_seconds)
+    checks.insert(1, _check("Silence", C("silent"), F.lit(silence_minutes), "Prolonged Silence",
+                            unknown=True))
+    one = _measured(counts, mean, spike_factor).withColumn(
+        "silent", diff_boundary("minute", as_ts(as_of), newest))
+    return one.select(F.inline(F.array(*checks)))
+
+
+def thresholds(counts: DataFrame, mean: Column, *, spike_factor: int = 3, error_percent: int = 5,
+               latency_seconds: int = 120) -> DataFrame:
+    """Volume, error-rate and latency checks from the hour's latencies (s, n, bad) and the mean
+    hourly volume, one row each."""
+    return _measured(counts, mean, spike_factor).select(
+        F.inline(F.array(*_thresholds(spike_factor, error_percent, latency_seconds))))
+
+
+def _measured(counts: DataFrame, mean: Column, spike_factor: int) -> DataFrame:
     one = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                      pct(F.sum("bad"), F.sum("n")).cast("double").alias("rate"),
                      F.percentile("s", 0.95, C("n")).alias("p95"))
-    one = one.withColumns({"silent": diff_boundary("minute", as_ts(as_of), newest),
-                           "spike": (mean * spike_factor).cast("double")})
-
-    def row(kind: str, value: Column, limit: Column, text: str, unknown: bool = False) -> Column:
-        hit = F.coalesce(value > limit, F.lit(unknown))
-        return F.struct(F.lit(kind).alias("type"),
-                        F.when(hit, text).otherwise("Normal").alias("alert"),
-                        F.round(value.cast("double"), 4).alias("value"),
-                        F.round(limit.cast("double"), 4).alias("threshold"))
-
-    checks = F.array(
-        row("Volume", C("n"), C("spike"), "Volume Spike"),
-        row("Silence", C("silent"), F.lit(silence_minutes), "Prolonged Silence", unknown=True),
-        row("Error Rate", C("rate"), F.lit(error_percent), "High Error Rate"),
-        row("P95 Latency", C("p95"), F.lit(latency_seconds), "High Latency"))
-    return one.select(F.inline(checks))
+    return one.withColumn("spike", (mean * spike_factor).cast("double"))
+
+
+def _check(kind: str, value: Column, limit: Column, text: str, unknown: bool = False) -> Column:
+    hit = F.coalesce(value > limit, F.lit(unknown))
+    return F.struct(F.lit(kind).alias("type"), F.when(hit, text).otherwise("Normal").alias("alert"),
+                    F.round(value.cast("double"), 4).alias("value"),
+                    F.round(limit.cast("double"), 4).alias("threshold"))
+
+
+def _thresholds(spike_factor: int, error_percent: int, latency_seconds: int) -> list[Column]:
+    return [_check("Volume", C("n"), C("spike"), "Volume Spike"),
+            _check("Error Rate", C("rate"), F.lit(error_percent), "High Error Rate"),
+            _check("P95 Latency", C("p95"), F.lit(latency_seconds), "High Latency")]
 
 
 def order_to_ship(raw: DataFrame) -> DataFrame:

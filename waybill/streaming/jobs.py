@@ -15,16 +15,18 @@ from pyspark.sql.streaming import StreamingQuery
 from waybill.functions import diff_boundary, pct
 from waybill.operators import storage
 from waybill.operators.rows import dedupe_latest
-from waybill.plans import messages
 
 C = F.col
 
 
-def _start(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str,
-           available_now: bool) -> StreamingQuery:
+def start(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str,
+          available_now: bool, every: str | None = None) -> StreamingQuery:
+    """``every``: how often a batch begins, unless it takes all there is and ends."""
     writer = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     return writer.start()
 
 
@@ -62,23 +64,25 @@ def to_silver(bronze: DataFrame, routes: Mapping[tuple[str, ...], Route], checkp
                 return
             for kinds, route in routes.items():
                 found = route.extract(rows.filter(C("message_type").isin(*kinds)))
-                stamp = found.withColumn("silver_day", F.to_date(route.day))
                 bad = F.lit(False)
                 for k in route.keys:
                     bad = bad | C(k).isNull() | (C(k) == "")
                 now = F.current_timestamp() if as_of is None else as_of
-                good, rejected = storage.split(stamp, bad, "key is missing", as_of=now)
-                if quarantine:
-                    # a repeated batch replaces its own rejects
-                    storage.replace_batch(rejected, f"{quarantine}/{'_'.join(kinds)}", batch_id,
-                                          newest_at.date())
-                newest = dedupe_latest(good, list(route.keys), [route.version])
-                storage.upsert(newest, route.path, route.keys, "silver_day",
-                               version=route.version, moves=route.moves)
+                # extracted once: rejects and good rows are both read from the staged table
+                with storage.staged(found.withColumn("silver_day", F.to_date(route.day)),
+                                    route.path) as stamp:
+                    good, rejected = storage.split(stamp, bad, "key is missing", as_of=now)
+                    if quarantine:
+                        # a repeated batch replaces its own rejects
+                        storage.replace_batch(rejected, f"{quarantine}/{'_'.join(kinds)}",
+                                              batch_id, newest_at.date())
+                    newest = dedupe_latest(good, list(route.keys), [route.version])
+                    storage.upsert(newest, route.path, route.keys, "silver_day",
+                                   version=route.version, moves=route.moves)
         finally:
             rows.unpersist()
 
-    return _start(bronze, batch, checkpoint, available_now)
+    return start(bronze, batch, checkpoint, available_now)
 
 
 def deduplicated(stream: DataFrame, keys: tuple[str, ...] = ("sap_system", "docnum"),
@@ -103,7 +107,7 @@ def refresh_gold(stream: DataFrame, silver: str, compute: Callable[[DataFrame],
         if days:
             storage.refresh(compute, spark.read.parquet(silver), target, day, partition, days)
 
-    return _start(stream, batch, checkpoint, available_now)
+    return start(stream, batch, checkpoint, available_now)
 
 
 # ---------------------------------------------------------------- windows
@@ -150,25 +154,7 @@ def enriched(stream: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return stream.join(dimension, key, "left")
 
 
-# ---------------------------------------------------------------- alerts and state
-
-def alert_stream(stream: DataFrame, raw: str, target: str, checkpoint: str, *,
-                 available_now: bool = True, **limits) -> StreamingQuery:
-    """Runs the threshold checks after each batch over the raw table, as of its newest message."""
-    def batch(rows: DataFrame, batch_id: int) -> None:
-        newest = rows.agg(F.max("timestamp")).first()[0]
-        if newest is None:
-            return
-        spark = rows.sparkSession
-        now = F.lit(newest)
-        found = messages.alerts(spark.read.parquet(raw), as_of=now, **limits).filter(
-            C("alert") != "Normal")
-        # a repeated batch replaces its own alerts
-        storage.replace_batch(found.withColumn("alerted_at", now), target, batch_id,
-                              newest.date())
-
-    return _start(stream, batch, checkpoint, available_now)
-
+# ---------------------------------------------------------------- state
 
 def latest_state(stream: DataFrame, target: str, checkpoint: str,
                  keys: tuple[str, ...] = ("shipment_number",), version: str = "event_time",
@@ -184,6 +170,6 @@ def latest_state(stream: DataFrame, target: str, checkpoint: str,
         storage.upsert(newest.withColumn("bucket", bucket), target, keys, "bucket",
                        version=version, moves=False)
 
-    return _start(stream, batch, checkpoint, available_now)
+    return start(stream, batch, checkpoint, available_now)
 
 

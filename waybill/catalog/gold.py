@@ -193,6 +193,8 @@ URGENCY = """CASE WHEN hours_left < 0 THEN 'Overdue' WHEN hours_left <= 24 THEN
 
 @query("gld_8_transit_progress", views="s_shipments", sql=f"""
 SELECT shipment_number, tracking_number, order_number, carrier_id, carrier_name, service_level,
+  transport_mode, origin_location, destination_location, total_packages,
+  litres::DOUBLE / 1000 AS total_volume_m3,
   origin_country, destination_country, actual_ship_date::VARCHAR AS actual_ship_date,
   planned_delivery_date::VARCHAR AS planned_delivery_date, elapsed AS current_transit_hours,
   hours_left AS hours_to_planned_delivery,
@@ -208,7 +210,7 @@ FROM (SELECT *, date_diff('hour', actual_ship_date, {NOW}) AS elapsed,
         date_diff('hour', planned_ship_date, planned_delivery_date) AS planned
       FROM s_shipments WHERE {TRANSIT})""")
 def _(t):
-    return gold.transit_progress(t.shipments, as_of=t.as_of)
+    return gold.transit_progress(t.measured_shipments, as_of=t.as_of)
 
 
 DELAYS = f"""
@@ -271,6 +273,7 @@ MOVE_DAY = DAY.format("movement_timestamp")
 @query("gld_12_warehouse_mix", views="s_warehouse", sql=f"""
 SELECT {MOVE_DAY} AS movement_day, warehouse_id, sap_system, count(*) AS total_movements,
   sum(quantity)::DOUBLE AS total_quantity_moved, sum(weight_kg)::DOUBLE AS total_weight_kg,
+  sum(litres)::DOUBLE / 1000 AS total_volume_m3,
   {kind('GR')} AS receipts, {kind('PI')} AS pickings, {kind('GI')} AS shippings,
   {kind('TR')} AS transfers, {kind('RT')} AS returns,
   {cnt('inspection_required')} AS movements_requiring_inspection,
@@ -297,7 +300,7 @@ SELECT {MOVE_DAY} AS movement_day, warehouse_id, sap_system, count(*) AS total_m
   date_diff('hour', min(movement_timestamp), max(movement_timestamp)) AS operational_hours
 FROM s_warehouse GROUP BY ALL""")
 def _(t):
-    return gold.warehouse_mix(t.warehouse)
+    return gold.warehouse_mix(t.measured_warehouse)
 
 
 WH_VARIANCE = "((sum(quantity) - 800) * 100.0 / 800)"
@@ -374,6 +377,7 @@ SELECT {INV_DAY} AS invoice_day, fiscal_year, fiscal_period, sap_system,
   count(DISTINCT customer_id) AS unique_customers, {cnt('is_disputed')} AS disputed_invoices,
   coalesce(sum(total_c) FILTER (WHERE is_disputed), 0)::DOUBLE / 100 AS disputed_amount,
   {avg('payment_efficiency')} AS avg_payment_efficiency,
+  {avg('margin')} AS avg_gross_margin_pct,
   {avg("CASE WHEN payment_status = 'Paid' THEN days_overdue END")} AS avg_days_to_payment,
   string_agg(DISTINCT currency, ',' ORDER BY currency) AS currencies_used,
   {pct(age('Current'), 'count(*)')} AS current_pct, {pct(age('1-30'), 'count(*)')} AS aging_1_30_pct,
@@ -390,7 +394,7 @@ SELECT {INV_DAY} AS invoice_day, fiscal_year, fiscal_period, sap_system,
   {rnd('sum(due_c) * 30', 'sum(total_c)')} AS dso_days
 FROM s_invoices GROUP BY ALL""")
 def _(t):
-    df = gold.revenue_daily(t.invoices)
+    df = gold.revenue_daily(t.measured_invoices)
     return df.withColumn("currencies_used", F.array_join("currencies_used", ","))
 
 
@@ -407,12 +411,18 @@ def _(t):
     return df.withColumn("revenue_by_service", F.array_join(text, ";"))
 
 
+def share(amount: str) -> str:
+    return pct(f"round({amount} * 100)", "round(total_due * 100)")
+
+
 PAY_DAYS = "date_diff('day', invoice_date, payment_date)"
 RECOGNITION = f"""
 SELECT *, 30 AS dso_target_days,
   (round(avg_days_to_payment * 100) - 3000) / 100 AS dso_variance_days,
   CASE WHEN overdue_rate_pct > 20 THEN 'High' WHEN overdue_rate_pct > 10 THEN 'Medium'
-    ELSE 'Low' END AS collection_risk, total_due AS total_outstanding
+    ELSE 'Low' END AS collection_risk, total_due AS total_outstanding,
+  CASE WHEN total_due > 0 THEN {share('aging_current')} ELSE 0 END AS aging_current_pct,
+  CASE WHEN total_due > 0 THEN {share('aging_90_plus')} ELSE 0 END AS aging_90_plus_pct
 FROM (SELECT {INV_DAY} AS invoice_day, customer_id, sap_system, count(*) AS total_invoices,
   count(DISTINCT invoice_number) AS unique_invoices, {total('total_c')} AS total_revenue,
   {total('paid_c')} AS total_paid, {total('due_c')} AS total_due,

@@ -124,6 +124,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      l_extendedprice::DECIMAL(18,2) AS shipment_value,
                      round(l_extendedprice * 100)::BIGINT AS value_c,
                      l_quantity::BIGINT AS total_weight_kg,
+                     'LOC-' || (l_suppkey % 25) AS origin_location,
+                     'LOC-' || c_nationkey AS destination_location,
+                     CASE l_suppkey % 4 WHEN 0 THEN 'Road' WHEN 1 THEN 'Rail' WHEN 2 THEN 'Air'
+                          ELSE 'Sea' END AS transport_mode,
+                     1 + l_quantity::BIGINT % 7 AS total_packages,
+                     l_quantity::BIGINT * (l_partkey % 40 + 1) AS litres,
                      {SYSTEM.format('l_orderkey')} AS sap_system,
                      'ORG-' || (l_suppkey % 4) AS organization_id,
                      'DEPT-' || (l_partkey % 3) AS department,
@@ -143,6 +149,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE 'CC' END AS movement_type,
                l_shipdate + to_hours(l_partkey % 24) AS movement_timestamp,
                l_quantity::BIGINT AS quantity, l_quantity::BIGINT AS weight_kg,
+               l_quantity::BIGINT * (l_partkey % 40 + 1) AS litres,
                l_partkey::VARCHAR AS material_id, 'OP-' || (l_partkey % 50) AS operator_id,
                'EQ-' || (l_partkey % 20) AS equipment_id, 'Z' || (l_partkey % 4) AS zone,
                'LOC-' || (l_partkey % 4) || '-' || (l_suppkey % 9) AS location_code,
@@ -191,6 +198,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                                       WHEN 1 THEN 'Transportation' ELSE 'Handling' END
                                       AS service_type,
                                  o_orderkey % 17 = 0 AS is_disputed,
+                                 CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 45 - 5 END
+                                      AS margin,
                                  year(o_orderdate) AS fiscal_year,
                                  month(o_orderdate) AS fiscal_period,
                                  CASE o_custkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR'

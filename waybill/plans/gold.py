@@ -278,7 +278,8 @@ def transit_progress(shipments: DataFrame, *, as_of) -> DataFrame:
     planned = diff_boundary("hour", C("planned_delivery_date"), C("planned_ship_date"))
     return in_transit(shipments).select(
         "shipment_number", "tracking_number", "order_number", "carrier_id", "carrier_name",
-        "service_level", "origin_country", "destination_country", "actual_ship_date",
+        "service_level", "transport_mode", "origin_location", "origin_country",
+        "destination_location", "destination_country", "actual_ship_date",
         "planned_delivery_date",
         elapsed.alias("current_transit_hours"),
         left.alias("hours_to_planned_delivery"),
@@ -287,7 +288,7 @@ def transit_progress(shipments: DataFrame, *, as_of) -> DataFrame:
         "shipment_status",
         urgency(left).alias("urgency_level"),
         rank_of(URGENCY_RANK, urgency(left)).alias("urgency_rank"),
-        "is_on_time", "total_weight_kg",
+        "is_on_time", "total_packages", "total_weight_kg", "total_volume_m3",
         F.to_date("actual_ship_date").alias("ship_day"),
         F.to_date("planned_delivery_date").alias("expected_delivery_day"),
         "sap_system",
@@ -371,6 +372,7 @@ def warehouse_mix(moves: DataFrame, *, approx: bool = False) -> DataFrame:
         F.count("*").alias("total_movements"),
         F.sum("quantity").alias("total_quantity_moved"),
         F.sum("weight_kg").alias("total_weight_kg"),
+        F.sum("volume_m3").alias("total_volume_m3"),
         *[n_if(label == v).alias(k) for k, v in kinds.items()],
         n_if(C("inspection_required")).alias("movements_requiring_inspection"),
         n_if(C("exception_flag")).alias("exception_movements"),
@@ -507,6 +509,7 @@ def revenue_daily(invoices: DataFrame, *, approx: bool = False) -> DataFrame:
         F.coalesce(sum_if(C("total_amount"), C("is_disputed")), F.lit(0))
         .alias("disputed_amount"),
         average(C("payment_efficiency")).alias("avg_payment_efficiency"),
+        average(C("gross_margin_pct")).alias("avg_gross_margin_pct"),
         average(F.when(_is("payment_status", "Paid"), C("days_overdue")))
         .alias("avg_days_to_payment"),
         F.sort_array(F.collect_set("currency")).alias("currencies_used"),
@@ -566,6 +569,8 @@ def revenue_recognition(invoices: DataFrame, *, dso_target: int = 30, high_risk:
         "collection_risk": F.when(rate > high_risk, "High").when(rate > medium_risk, "Medium")
         .otherwise("Low"),
         "total_outstanding": C("total_due"),
+        **{f"{k}_pct": F.when(C("total_due") > 0, pct(C(k), C("total_due"))).otherwise(F.lit(0))
+           for k in ("aging_current", "aging_90_plus")},
     })
 
 

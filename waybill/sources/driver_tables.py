@@ -49,6 +49,12 @@ SCHEMAS = {
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 
+def _volume(part: Column) -> Column:
+    """Cubic metres of a line, in litres of its part."""
+    return (F.col("l_quantity").cast("decimal(15,3)") * (part % 40 + 1) / 1000).cast(
+        "decimal(15,3)")
+
+
 def _pick(key: Column, *labels: str) -> Column:
     """Label by remainder of ``key``."""
     out = F.lit(labels[-1])
@@ -235,6 +241,12 @@ class Tables:
     @cached_property
     def shipments(self) -> DataFrame:
         """Silver shipments: one per distinct order line."""
+        return self.measured_shipments.drop("origin_location", "destination_location",
+                                            "transport_mode", "total_packages", "total_volume_m3")
+
+    @cached_property
+    def measured_shipments(self) -> DataFrame:
+        """Silver shipments with places, mode, packages and volume."""
         now = as_ts(self.as_of)
         okey, line = F.col("l_orderkey"), F.col("l_linenumber")
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
@@ -290,11 +302,22 @@ class Tables:
             F.concat(F.lit("ORG-"), (supp % 4).cast("string")).alias("organization_id"),
             F.concat(F.lit("DEPT-"), (part % 3).cast("string")).alias("department"),
             F.lit("CARRIER_CUSTOMER").alias("partner_access_scope"),
+            F.concat(F.lit("LOC-"), (supp % 25).cast("string")).alias("origin_location"),
+            F.concat(F.lit("LOC-"), F.col("c_nationkey").cast("string"))
+            .alias("destination_location"),
+            _pick(supp, "Road", "Rail", "Air", "Sea").alias("transport_mode"),
+            (1 + F.col("l_quantity").cast("bigint") % 7).alias("total_packages"),
+            _volume(part).alias("total_volume_m3"),
         )
 
     @cached_property
     def warehouse(self) -> DataFrame:
         """Silver warehouse movements, one per distinct order line; needs no join."""
+        return self.measured_warehouse.drop("volume_m3")
+
+    @cached_property
+    def measured_warehouse(self) -> DataFrame:
+        """Silver warehouse movements with their volume."""
         okey, line = F.col("l_orderkey"), F.col("l_linenumber")
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
         number = supp % 5 + 1
@@ -326,11 +349,17 @@ class Tables:
             okey.cast("string").alias("order_number"),
             _pick(okey, "PRD", "QAS", "DEV").alias("sap_system"),
             F.lit("WAREHOUSE_PARTNER").alias("partner_access_scope"),
+            _volume(part).alias("volume_m3"),
         )
 
     @cached_property
     def invoices(self) -> DataFrame:
         """Silver invoices: one per order that has lines."""
+        return self.measured_invoices.drop("gross_margin_pct")
+
+    @cached_property
+    def measured_invoices(self) -> DataFrame:
+        """Silver invoices with their gross margin."""
         now = as_ts(self.as_of)
         price = F.col("l_extendedprice").cast(MONEY)
         off, rate = F.col("l_discount").cast("decimal(4,2)"), F.col("l_tax").cast("decimal(4,2)")
@@ -384,6 +413,8 @@ class Tables:
             _pick(F.col("o_custkey"), "USD", "EUR", "GBP").alias("currency"),
             _pick(key, "PRD", "QAS", "DEV").alias("sap_system"),
             F.lit("CUSTOMER").alias("partner_access_scope"),
+            # every seventh invoice has no cost yet, so no margin
+            F.when(key % 7 != 0, (key % 45 - 5).cast("decimal(5,2)")).alias("gross_margin_pct"),
         )
 
     @cached_property

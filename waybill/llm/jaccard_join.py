@@ -21,6 +21,9 @@ of the first n - T + 1 lists. The order is by document frequency, rare first:
 So a group of n near copies costs its chunks, not n squared, and what leaves a chunk is a spanning
 forest. Shingles are 64-bit hashes; frequencies are of the low 40 bits within a shard.
 
+``deduplicate`` counts the rows that go. Up to ``MOST_SENT`` their keys are sent to all tasks, so that
+no text is shuffled to drop them; more meet the documents in a plain join.
+
 Defined cases: null or empty texts, and texts without words, have no shingles and link with
 nothing. A row without doc_id links with nothing and has no component. In ``jaccard_components``
 rows with equal doc_id are one node: linked if any of their texts link. In ``deduplicate`` every row
@@ -60,6 +63,7 @@ CHUNK = 2048
 CHUNK_SHINGLES = 2 << 20
 LOW = 5  # bytes of a hash that tell shingles of a shard apart
 GROUP = 2 << 20
+MOST_SENT = 500_000  # rows that go, sent to every task (25 bytes each)
 _U = np.uint64
 
 
@@ -390,6 +394,8 @@ def deduplicate(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
         F.count("*").alias("k"), F.max(place == F.col("best")).alias("stays"))
     judged = kept(judged.where("not stays or k > 1"), "jaccard-gone").select(
         *(F.col(c).alias(f"g_{c}") for c in ROW), "stays")
+    if judged.count() <= MOST_SENT:  # else texts are shuffled to meet them
+        judged = F.broadcast(judged)
     same = [F.col(c) == F.col(f"g_{c}") for c in ROW]
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = docs.select(row, *key).join(judged, same, "left").where("stays is null or stays")

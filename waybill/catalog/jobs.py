@@ -10,10 +10,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from waybill.catalog.base import query
+from waybill.catalog.base import query, stored
 from waybill.catalog.gold import DAY, ORDER_DAY, cnt
 from waybill.catalog.views_sql import MNOW, NOW, avg, money, pct, total
-from waybill.operators import extract, governance as gov, quality, storage
+from waybill.operators import extract, governance as gov, quality, refresh, storage
 from waybill.operators.rows import union_all
 from waybill.plans import gold
 from waybill.session import checkpoint_dir
@@ -150,6 +150,7 @@ UNION ALL SELECT 'revenue', count(*) FROM (SELECT DISTINCT invoice_date::DATE, c
   sap_system FROM s_invoices)""")
 def _(t):
     root = folder(t, "gold")
+    t = stored(t)  # silver is derived once, whatever reads it
     frames = {
         "orders": lambda: gold.orders_by_sla(t.gold_order_facts),
         "sla": lambda: gold.sla_per_order(t.gold_order_facts, t.shipments, as_of=t.as_of),
@@ -165,6 +166,85 @@ def _(t):
         F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in frames])
 
 
+def _quarter(day):
+    return day.replace(month=(day.month - 1) // 3 * 3 + 1)
+
+
+def _months_of(quarter):
+    return [quarter.replace(month=quarter.month + k) for k in range(3)]
+
+
+def sales_graph(day: str = "month"):
+    """Months of orders and of invoices, both by month and system, and quarters of these."""
+    def sums(count, amount):
+        return lambda df: df.groupBy("month", "sap_system").agg(
+            F.count("*").alias(count), F.sum("total_amount").alias(amount))
+
+    def sales(orders, bills):
+        return orders.join(bills, ["month", "sap_system"], "full").select(
+            "month", "sap_system", *(F.coalesce(c, F.lit(0)).alias(c) for c in
+                                     ("orders", "ordered", "invoices", "invoiced")))
+
+    def quarters(sales):
+        return sales.groupBy(F.trunc("month", "quarter").alias("quarter"), "sap_system").agg(
+            *(F.sum(c).alias(c) for c in ("orders", "ordered", "invoices", "invoiced")))
+
+    return [refresh.Daily("order_months", ("orders",), sums("orders", "ordered"), day),
+            refresh.Daily("invoice_months", ("invoices",), sums("invoices", "invoiced"), day),
+            refresh.Daily("sales", ("order_months", "invoice_months"), sales, day),
+            refresh.Daily("quarters", ("sales",), quarters, "quarter",
+                          affects=lambda d: [_quarter(d)], needs=_months_of)]
+
+
+SALES = f"""SELECT month, sap_system, sum(orders)::BIGINT AS orders, sum(ordered) AS ordered,
+  sum(invoices)::BIGINT AS invoices, sum(invoiced) AS invoiced FROM (
+  SELECT date_trunc('month', order_date) AS month, sap_system, count(*) AS orders,
+    sum(total_c) AS ordered, 0 AS invoices, 0 AS invoiced FROM s_orders GROUP BY ALL
+  UNION ALL SELECT date_trunc('month', invoice_date), sap_system, 0, 0, count(*), sum(total_c)
+  FROM s_invoices GROUP BY ALL) GROUP BY ALL"""
+SALES_CELLS = """orders, ordered::DOUBLE / 100 AS ordered, invoices,
+  invoiced::DOUBLE / 100 AS invoiced"""
+
+
+@query("mnt_3_change_sets", views="s_orders s_invoices", sql=f"""
+WITH m AS ({SALES}), q AS (SELECT date_trunc('quarter', month) AS month, sap_system,
+  sum(orders)::BIGINT AS orders, sum(ordered) AS ordered, sum(invoices)::BIGINT AS invoices,
+  sum(invoiced) AS invoiced FROM m GROUP BY ALL)
+SELECT 'sales' AS table_name, month::DATE::VARCHAR AS day, sap_system, {SALES_CELLS} FROM m
+UNION ALL SELECT 'quarters', month::DATE::VARCHAR, sap_system, {SALES_CELLS} FROM q""")
+def _(t):
+    """Three versions of silver: old orders, all orders and old invoices, late invoices."""
+    root = folder(t, "sales")
+    log = refresh.Changes(t.spark, root)
+
+    def rows(df, key, ts):
+        return df.select(key, "sap_system", "total_amount", ts,
+                         F.trunc(ts, "month").alias("month"))
+
+    orders = rows(t.order_facts, "order_number", "order_date")
+    bills = rows(t.invoices, "invoice_number", "invoice_date")
+    late = C("invoice_date") >= F.lit("2001-01-01").cast("timestamp")
+    versions = [{"orders": before(t, orders), "invoices": bills.limit(0)},
+                {"orders": orders.filter(~(C("order_date") < F.lit(CUT).cast("timestamp"))),
+                 "invoices": bills.filter(~late)},
+                {"invoices": bills.filter(late)}]
+    for version, changed in enumerate(versions, 1):
+        for name, df in changed.items():
+            path = f"{root}/{name}"
+            log.declare(name, df.schema)
+            key = "order_number" if name == "orders" else "invoice_number"
+            log.record(name, storage.upsert(df, path, [key], "month", moves=False), version)
+        failed = {k: v for k, v in refresh.refresh(
+            t.spark, root, sales_graph(), {"orders": "month", "invoices": "month"},
+            version).items() if isinstance(v, str)}
+        if failed:
+            raise RuntimeError(f"refresh failed: {failed}")
+    return union_all([storage.table(t.spark, f"{root}/{name}", day).select(
+        F.lit(name).alias("table_name"), C(day).alias("day"), "sap_system", "orders",
+        C("ordered").cast("double"), "invoices", C("invoiced").cast("double"))
+        for name, day in (("sales", "month"), ("quarters", "quarter"))])
+
+
 def _daily(df):
     return df.groupBy(F.to_date("order_date").alias("order_day"), "sap_system").agg(
         F.count("*").alias("total_orders"), F.sum("total_amount").alias("total_revenue"))

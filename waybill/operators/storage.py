@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from urllib.parse import unquote
@@ -194,8 +195,8 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *,
-           version: str | None = None, moves: bool = True) -> None:
-    """Inserts new keys and replaces known ones.
+           version: str | None = None, moves: bool = True) -> list:
+    """Inserts new keys and replaces known ones; returns the partitions that were rewritten.
 
     The updates are computed once, into a staging folder, and read from there. Only partitions
     that receive a row or hold an old version of one are read and rewritten. Which those are tells
@@ -215,13 +216,13 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
         check_unique(staged, keys)
         incoming = partition_values(staged, partition)
         if not incoming:
-            return
+            return []
         index = KeyIndex(spark, path, updates.schema, keys, partition) if moves else None
         if not exists(spark, path):
             if index:
                 index.build(staged)
             _append(staged, path, partition)
-            return
+            return incoming
         target = table(spark, path, partition, updates.schema[partition].dataType)
         places = None
         if index:
@@ -237,7 +238,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
                 C("_held").isNull() | (C("_held") <= C(version))).drop("_held")
             incoming = partition_values(staged, partition)
             if not incoming:
-                return
+                return []
             if index:
                 places = places.join(staged.select(*keys), keys, "left_semi")
         touched = _near(spark, path, partition, incoming, places)
@@ -262,6 +263,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
         _drop(spark, path, partition, emptied)
         if index:
             index.commit(number, index.buckets_of(moved))
+        return touched
     finally:
         remove(spark, staging)
 
@@ -421,21 +423,16 @@ def compact(spark: SparkSession, path: str, cluster_by: Sequence[str],
     _overwrite(some.repartitionByRange(*order).sortWithinPartitions(*order), path, partition)
 
 
-def run_steps(steps: dict, retries: int = 2) -> list[dict]:
-    """Runs independent refresh steps, each with retries, and reports how they went."""
-    report = []
-    for name, step in steps.items():
+def run_steps(steps: dict, retries: int = 2, workers: int = 4) -> list[dict]:
+    """Runs independent refresh steps at once, each with retries, and reports how they went."""
+    def run(name: str) -> dict:
         for attempt in range(1, retries + 2):
             try:
-                step()
-                report.append({"step": name, "status": "Succeeded", "attempts": attempt,
-                               "error": None})
-                break
+                steps[name]()
+                return {"step": name, "status": "Succeeded", "attempts": attempt, "error": None}
             except Exception as error:  # noqa: BLE001 - one step must not stop the others
                 failure = str(error)
-        else:
-            report.append({"step": name, "status": "Failed", "attempts": retries + 1,
-                           "error": failure})
-    return report
-
+        return {"step": name, "status": "Failed", "attempts": retries + 1, "error": failure}
 
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(run, steps))

@@ -8,6 +8,7 @@ out: the reference times lie at the end of the data.
 from __future__ import annotations
 
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -472,6 +473,7 @@ class StoredTables(Tables):
     def __init__(self, spark: SparkSession, folder: str, path: str, **times):
         super().__init__(spark, folder, **times)
         self.path = path
+        self._lock = RLock()
 
 
 def _stored(name: str) -> cached_property:
@@ -479,8 +481,11 @@ def _stored(name: str) -> cached_property:
 
     def read(self) -> DataFrame:
         path = f"{self.path}/{name}"
-        derive(self).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        with self._lock:  # jobs that run at once write it once
+            if name not in self.__dict__:
+                derive(self).write.mode("overwrite").parquet(path)
+                self.__dict__[name] = self.spark.read.parquet(path)
+            return self.__dict__[name]
 
     prop = cached_property(read)
     prop.__set_name__(StoredTables, name)

@@ -10,6 +10,7 @@ from waybill.catalog import (  # noqa: F401
     messages,
     quality,
     reports,
+    scanned,
     star,
 )
 from waybill.catalog.base import QUERIES, SQL, runnable  # noqa: F401

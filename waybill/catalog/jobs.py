@@ -138,6 +138,14 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("mnt_2_interleaved", views="s_orders", sql=SMALL)
+def _(t):
+    path = folder(t, "interleaved")
+    storage.append(small_orders(t), path)
+    storage.compact(t.spark, path, ["customer_id", "order_date", "total_amount"], interleave=True)
+    return t.spark.read.parquet(path)
+
+
 @query("mnt_3_refresh_all", views="g_orders s_shipments s_warehouse s_invoices", sql="""
 SELECT 'orders' AS table_name, count(*) AS row_count FROM (SELECT DISTINCT order_date::DATE,
   sap_system, sla_status FROM g_orders)

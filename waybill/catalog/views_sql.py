@@ -251,6 +251,8 @@ def with_views(names: str, body: str) -> str:
     if not ordered:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in ordered)
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

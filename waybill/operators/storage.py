@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.functions import as_ts
+from waybill.operators import clustering
 from waybill.operators.key_index import KeyIndex, forget
+from waybill.session import checkpoint_dir
 
 C = F.col
 
@@ -299,6 +301,13 @@ def replace_partitions(df: DataFrame, path: str, partition: str,
               [v for v in touched if _text(v) in held and _text(v) not in left])
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """A frame as a table in the shared job folder: computed once, and its lineage is cut."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/waybill/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
     """The frame as a table beside ``path`` while it is used: computed once, read as often as
@@ -406,21 +415,29 @@ def append_results(results: DataFrame, path: str, *, as_of) -> None:
 
 
 def compact(spark: SparkSession, path: str, cluster_by: Sequence[str],
-            partition: str | None = None, values: Sequence | None = None) -> None:
+            partition: str | None = None, values: Sequence | None = None, *,
+            interleave: bool = False) -> None:
     """Rewrites a table, or some partitions of it, into few files ordered by ``cluster_by``.
 
     Rows are spread by range, so equal and near values share files and their row groups can be
-    skipped. The number of files follows the data: adaptive execution merges small ranges.
+    skipped. The number of files follows the data: adaptive execution merges small ranges. With
+    ``interleave`` no column leads: rows are ordered along a curve through all of them
+    (``clustering``), so that a filter on any one of them skips most row groups.
     """
     if partition is None:
-        rows = spark.read.parquet(path)
-        snapshot(rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by), path)
+        snapshot(_laid(spark.read.parquet(path), cluster_by, [], interleave), path)
         return
     some = table(spark, path, partition)
     if values is not None:
         some = some.filter(_in(partition, [None if v is None else _text(v) for v in values]))
-    order = [partition, *cluster_by]
-    _overwrite(some.repartitionByRange(*order).sortWithinPartitions(*order), path, partition)
+    _overwrite(_laid(some, cluster_by, [partition], interleave), path, partition)
+
+
+def _laid(rows: DataFrame, columns: Sequence[str], first: list[str], interleave: bool) -> DataFrame:
+    if interleave:
+        return clustering.along_curve(rows, columns, first)
+    order = [*first, *columns]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def run_steps(steps: dict, retries: int = 2, workers: int = 4) -> list[dict]:

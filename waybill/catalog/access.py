@@ -198,6 +198,20 @@ def _(t):
     return sec.audit_members(members)
 
 
+AUDITED = {"orders": 2, "shipments": 2, "invoices": 1, "warehouse": 1, "carriers": 0,
+           "customers": 0}
+
+
+@query("rls_11_audit_tables", views=" ".join(f"s_{n}" for n in AUDITED), sql=" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count, {k} AS filters FROM s_{n}"
+    for n, k in AUDITED.items()))
+def _(t):
+    """Rows of each silver table, and the filters that the policy puts on it."""
+    held = union_all([getattr(t, n).agg(F.lit(n).alias("table_name"), F.count("*")
+                                        .alias("row_count")) for n in AUDITED])
+    return sec.audit_tables(held, sec.policy_table(t.spark, POLICY))
+
+
 @query("rls_12_scopes", views="s_shipments", sql="""
 SELECT carrier_id, count(*) AS row_count FROM s_shipments GROUP BY 1""")
 def _(t):

@@ -394,3 +394,46 @@ def _(t):
     access = t.raw.select(C("timestamp").alias("ts"), C("sender").alias("user"),
                           F.when(C("message_type") != "DESADV", C("sap_system")).alias("partner"))
     return gov.weekly_report(results, access, as_of=t.message_as_of)
+
+
+@query("gov_8_top_consumers", views="raw", sql=f"""
+SELECT sender AS "user", count(*) AS calls FROM raw WHERE "timestamp" > {MNOW} - INTERVAL 7 DAY
+GROUP BY 1 ORDER BY calls DESC, sender LIMIT 10""")
+def _(t):
+    access = t.raw.select(C("timestamp").alias("ts"), C("sender").alias("user"))
+    return gov.top_consumers(access, as_of=t.message_as_of)
+
+
+SECONDS = "(event_id % 7200) * 60"
+
+
+@query("gov_8_compliance", views="s_invoices s_orders", sql=f"""
+WITH r AS (SELECT ts AS asked, {SECONDS} AS s, event_id % 5 <> 0 AS met FROM events
+    WHERE event_type = 'signup' AND ts > {MNOW} - INTERVAL 7 DAY AND ts <= {MNOW}),
+  p AS (SELECT DISTINCT invoice_date::DATE AS day FROM s_invoices)
+SELECT CAST({MNOW} AS DATE)::VARCHAR AS report_date, (SELECT count(*) FROM r) AS subject_requests,
+  (SELECT {cnt('met')} FROM r) AS fulfilled,
+  (SELECT {rnd('sum(CASE WHEN met THEN s END)', 'count(*) FILTER (WHERE met) * 3600')} FROM r)
+    AS avg_hours,
+  (SELECT {pct(cnt(f"day >= CAST({MNOW} AS DATE) - 10000"), 'count(*)')} FROM p)
+    AS retention_compliance,
+  (SELECT {pct(cnt('found'), 'count(*)')} FROM (SELECT column_name, bool_or(share >= 80) AS found
+     FROM (SELECT column_name, pattern, {pct(cnt('regexp_matches(value, pattern)'), 'count(*)')}
+             AS share
+           FROM (SELECT 'order_number' AS column_name, order_number AS value FROM s_orders
+                 UNION ALL SELECT 'customer_name', customer_name FROM s_orders
+                 UNION ALL SELECT 'order_status', order_status FROM s_orders),
+             (VALUES ('{gov.PATTERNS["EMAIL"]}'), ('{gov.PATTERNS["PHONE_NUMBER"]}')) AS p(pattern)
+           GROUP BY ALL) GROUP BY 1)) AS classification_coverage""")
+def _(t):
+    """Sign-ups stand for requests, days of invoices for partitions kept ten thousand days."""
+    events = t.table("events").filter("event_type = 'signup'")
+    hours = F.timestamp_seconds(F.unix_seconds("ts") + (C("event_id") % 7200) * 60)
+    asked = events.select(C("ts").cast("timestamp").alias("requested_at"),
+                          F.when(C("event_id") % 5 != 0, hours).alias("fulfilled_at"))
+    parts = t.invoices.select(F.to_date("invoice_date").alias("day")).distinct().withColumn(
+        "keep_days", F.lit(10000))
+    found = gov.classify(t.orders, ["order_number", "customer_name", "order_status"])
+    columns = found.groupBy("column_name").agg(F.max(F.when(C("classified"), C("classification")))
+                                               .alias("classification"))
+    return gov.weekly_compliance(asked, parts, columns, as_of=t.message_as_of)

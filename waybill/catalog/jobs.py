@@ -6,6 +6,7 @@ its table, so the result shows that the write did what it should.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,8 +16,10 @@ from waybill.catalog.gold import DAY, ORDER_DAY, cnt
 from waybill.catalog.views_sql import MNOW, NOW, avg, money, pct, total
 from waybill.operators import extract, governance as gov, quality, refresh, storage
 from waybill.operators.rows import union_all
+from waybill.operators.subject_index import SubjectIndex
 from waybill.plans import gold
 from waybill.session import checkpoint_dir
+from waybill.sources import ledger
 from waybill.sources import messages as source
 from waybill.sources.driver_messages import Messages
 from waybill.streaming import alerts, jobs
@@ -334,6 +337,130 @@ def _(t):
     return t.spark.read.parquet(path).select("order_number", "state")
 
 
+OFFSETS = """SELECT event_id % 4 AS partition, event_id // 4 AS o FROM events
+  WHERE event_id % 997 > 2 GROUP BY ALL"""
+
+
+@query("src_2_ledger", sql=f"""
+WITH m AS ({OFFSETS}), r AS (SELECT *, o - row_number() OVER (PARTITION BY partition ORDER BY o) AS run
+    FROM m), i AS (SELECT partition, min(o) AS first, max(o) AS last FROM r GROUP BY partition, run)
+SELECT partition::INTEGER AS partition, first, last, last - first + 1 AS messages,
+  coalesce(first - lag(last) OVER (PARTITION BY partition ORDER BY first) - 1, 0) AS gap_before
+FROM i""")
+def _(t):
+    """Three loads: the first half, all but some (again the half), and the same once more."""
+    path = folder(t, "ledger")
+    events = t.table("events")
+    sent = events.filter("event_id % 997 > 2").select(
+        (C("event_id") % 4).cast("int").alias("partition"),
+        F.floor(C("event_id") / 4).cast("bigint").alias("offset"), "event_type")
+    middle = events.agg((F.max("event_id") / 8).alias("m")).scalar()
+    day = dt.date(2024, 1, 31)
+    for batch, rows in enumerate((sent.filter(C("offset") < middle), sent, sent)):
+        added = ledger.load(rows, f"{path}/ledger", f"{path}/bronze", batch, day)
+    if added or ledger.overlaps(ledger.read(t.spark, f"{path}/ledger")).count():
+        raise RuntimeError("messages were loaded twice")
+    return ledger.report(ledger.read(t.spark, f"{path}/ledger"))
+
+
+GONE = "(SELECT customer_id FROM s_orders WHERE total_amount > 490000)"
+
+
+def erased(table: str, key: str) -> str:
+    return f"""SELECT '{table}' AS table_name, {key} AS record, CASE WHEN customer_id IN {GONE}
+  THEN 'ANONYMIZED' ELSE customer_name END AS customer_name, CASE WHEN customer_id IN {GONE}
+  THEN sha256(customer_id) ELSE customer_id END AS customer_id FROM s_{table}"""
+
+
+def subject_tables(t, path):
+    """Orders, shipments and invoices stored by month, each with its index of customers."""
+    frames = {"orders": (t.orders, "order_number", "order_date"),
+              "shipments": (t.shipments, "shipment_number", "planned_ship_date"),
+              "invoices": (t.invoices.withColumn("customer_name", F.lit("-")), "invoice_number",
+                           "invoice_date")}
+    out = {}
+    for name, (df, key, ts) in frames.items():
+        storage.append(df.select(C(key).alias("record"), "customer_id", "customer_name",
+                                 F.date_format(ts, "yyyy-MM").alias("month")),
+                       f"{path}/{name}", "month")
+        out[name] = SubjectIndex(t.spark, f"{path}/{name}", "month", "customer_id")
+        out[name].refresh()
+    return out
+
+
+@query("gov_2_erased_tables", views="s_orders s_shipments s_invoices", sql=f"""
+{erased('orders', 'order_number')} UNION ALL {erased('shipments', 'shipment_number')}
+UNION ALL SELECT 'invoices', invoice_number, '-', customer_id FROM s_invoices
+UNION ALL SELECT 'log', table_name || ' ' || action, NULL, sha256(customer_id)
+FROM (SELECT DISTINCT customer_id FROM s_orders WHERE total_amount > 490000),
+  (VALUES ('orders', 'anonymized'), ('shipments', 'anonymized'), ('invoices', 'kept'))
+  AS v(table_name, action)""")
+def _(t):
+    """Erased in the stored orders and shipments, kept in the invoices, and read back."""
+    path = folder(t, "erased")
+    tables = subject_tables(t, path)
+    gone = t.orders.filter(C("total_amount") > 490000).select("customer_id")
+    masked = {n: tables[n] for n in ("orders", "shipments")}
+    gov.erase_everywhere(t.spark, masked, gone, {n: ["customer_name"] for n in masked},
+                         ["invoices"], f"{path}/log", as_of=t.as_of)
+    log = t.spark.read.parquet(f"{path}/log").select(
+        F.lit("log").alias("table_name"), F.concat_ws(" ", "table_name", "action").alias("record"),
+        F.lit(None).cast("string").alias("customer_name"), C("subject_hash").alias("customer_id"))
+    return union_all([t.spark.read.parquet(f"{path}/{n}").select(
+        F.lit(n).alias("table_name"), "record", "customer_name", "customer_id")
+        for n in tables] + [log])
+
+
+@query("gov_3_exported", views="s_orders s_shipments s_invoices", sql="""
+SELECT 'orders' AS table_name, order_number AS record, customer_id FROM s_orders
+  WHERE customer_id IN ('7', '11')
+UNION ALL SELECT 'shipments', shipment_number, customer_id FROM s_shipments
+  WHERE customer_id IN ('7', '11')
+UNION ALL SELECT 'invoices', invoice_number, customer_id FROM s_invoices
+  WHERE customer_id IN ('7', '11')""")
+def _(t):
+    """Two customers' rows, written as files and read back from them."""
+    path = folder(t, "export")
+    two = t.orders.select("customer_id").distinct().filter("customer_id in ('7', '11')")
+    tables = subject_tables(t, path)
+    gov.export_indexed(tables, two, f"{path}/files")
+    schema = "record string, customer_id string"
+    return union_all([t.spark.read.schema(schema).json(f"{path}/files/{n}").select(
+        F.lit(n).alias("table_name"), "record", "customer_id") for n in tables])
+
+
+@query("gov_2_rectified", views="s_orders", sql="""
+SELECT order_number AS record, customer_id, CASE WHEN customer_id LIKE '%3'
+  THEN 'Name ' || customer_id ELSE customer_name END AS customer_name FROM s_orders""")
+def _(t):
+    path = folder(t, "rectified")
+    storage.append(t.orders.select(C("order_number").alias("record"), "customer_id",
+                                   "customer_name", F.date_format("order_date", "yyyy-MM")
+                                   .alias("month")), f"{path}/orders", "month")
+    index = SubjectIndex(t.spark, f"{path}/orders", "month", "customer_id")
+    index.refresh()
+    new = t.orders.select("customer_id").distinct().filter("customer_id like '%3'").withColumn(
+        "customer_name", F.concat_ws(" ", F.lit("Name"), "customer_id"))
+    gov.rectify(t.spark, f"{path}/orders", "month", new, "customer_id", ["customer_name"], index)
+    return t.spark.read.parquet(f"{path}/orders").select("record", "customer_id", "customer_name")
+
+
+@query("snk_4_quarantined", views="raw", sql="""
+SELECT docnum, message_type, 'unknown status' AS error_reason,
+  '2024-01-31 00:00:00' AS quarantined_at FROM raw WHERE status <> '03' OR status IS NULL""")
+def _(t):
+    """Rows with a bad status go to the quarantine table, and are read back from it."""
+    path = folder(t, "quarantine")
+    rows = t.raw.select("docnum", "message_type", "status")
+    good = storage.quarantine(rows, C("status") != "03", "unknown status", f"{path}/bad",
+                              as_of=t.message_as_of)
+    storage.append(good, f"{path}/good")
+    if t.spark.read.parquet(f"{path}/good").filter("status is null or status <> '03'").count():
+        raise RuntimeError("bad rows were let through")
+    return t.spark.read.parquet(f"{path}/bad").select("docnum", "message_type", "error_reason",
+                                                      "quarantined_at")
+
+
 @query("gov_6_lineage", views="s_orders", sql=f"""
 SELECT 'orders' AS source, 'orders_daily' AS target, 'daily summary' AS process,
   (SELECT count(*) FROM (SELECT DISTINCT order_date::DATE, sap_system FROM s_orders))

@@ -255,6 +255,27 @@ def _(t):
     return m.spikes(t.raw, 1.25, as_of=t.message_as_of)
 
 
+BURST = f"""burst AS (SELECT * FROM raw UNION ALL SELECT raw.* FROM raw, range(5)
+  WHERE {HOUR} = 5 AND {last('24 HOUR')})"""
+
+
+def burst(t):
+    """The messages with one hour of the last day sent six times."""
+    hit = (F.hour("timestamp") == 5) & (C("timestamp") > F.lit(t.message_as_of).cast("timestamp")
+                                        - F.expr("INTERVAL 24 HOURS"))
+    return t.raw.withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(hit, 6).otherwise(1)))).drop(
+        "_n")
+
+
+def over_burst(sql: str) -> str:
+    return sql.replace("FROM raw", "FROM burst").replace("WITH ", f"WITH {BURST}, ", 1)
+
+
+@raw_query("msg_14_spikes_in_a_burst", over_burst(spike_sql("2")))
+def _(t):
+    return m.spikes(burst(t), as_of=t.message_as_of)
+
+
 def filled(seconds: int, hours: int) -> str:
     return f"""
   SELECT b AS ts, coalesce(n, 0) AS n FROM (SELECT unnest(generate_series(
@@ -324,6 +345,20 @@ def _(t):
     return m.daily_outliers(t.raw, as_of=t.message_as_of)
 
 
+DOUBLED = f"""burst AS (SELECT * FROM raw UNION ALL SELECT * FROM raw
+  WHERE {TS}::DATE = ({MNOW} - INTERVAL 2 DAY)::DATE)"""
+
+
+@raw_query("msg_18_outliers_in_a_burst", outliers(50).replace("FROM raw", "FROM burst").replace(
+    "WITH ", f"WITH {DOUBLED}, ", 1))
+def _(t):
+    """One of the seven days twice."""
+    day = F.to_date(F.lit(t.message_as_of).cast("timestamp") - F.expr("INTERVAL 2 DAYS"))
+    twice = F.when(F.to_date("timestamp") == day, 2).otherwise(1)
+    rows = t.raw.withColumn("_n", F.explode(F.sequence(F.lit(1), twice))).drop("_n")
+    return m.daily_outliers(rows, as_of=t.message_as_of)
+
+
 @raw_query("msg_18_daily_deviation", outliers(2))
 def _(t):
     return m.daily_outliers(t.raw, 2, as_of=t.message_as_of)

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.functions import as_ts, average, bin_floor, pct
+from waybill.functions import as_ts, average, bin_floor, pct, ratio
 from waybill.operators import storage
 from waybill.operators.ordered import in_order
 from waybill.operators.rows import top_by, union_all
+from waybill.operators.subject_index import SubjectIndex, rows_of
 
 C = F.col
 
@@ -48,18 +49,59 @@ def anonymised(df: DataFrame, subjects: DataFrame, key: str, columns: Sequence[s
 
 
 def erase(spark: SparkSession, path: str, partition: str, subjects: DataFrame, key: str,
-          columns: Sequence[str]) -> list:
-    """Rewrites the partitions that hold rows of the subjects, masked; returns those partitions."""
+          columns: Sequence[str], index: SubjectIndex | None = None) -> list:
+    """Rewrites the partitions that hold rows of the subjects, masked; returns those partitions.
+
+    With an ``index`` only partitions that may hold some are opened.
+    """
+    return _rewritten(spark, path, partition, subjects, key, index,
+                      lambda rows: anonymised(rows, subjects, key, columns))
+
+
+def _rewritten(spark: SparkSession, path: str, partition: str, subjects: DataFrame, key: str,
+               index: SubjectIndex | None, change) -> list:  # noqa: ANN001
     table = storage.table(spark, path, partition)
+    if index:
+        table = table.filter(storage._in(partition, [
+            None if v == storage.NO_VALUE else v for v in index.may_hold(subjects)]))
     ids = subjects.select(C(key).alias("_id")).distinct()
     held = table.join(ids, table[key] == C("_id"), "left_semi")
     touched = storage.partition_values(held, partition)
     if touched:
-        some = table.filter(storage._in(partition, touched))
-        storage._overwrite(anonymised(some, subjects, key, columns), path, partition)
+        storage._overwrite(change(table.filter(storage._in(partition, touched))), path, partition)
+        if index:
+            index.refresh()
     return touched
 
 
+def rectify(spark: SparkSession, path: str, partition: str, corrections: DataFrame, key: str,
+            columns: Sequence[str], index: SubjectIndex | None = None) -> list:
+    """Writes corrected values (key, columns; null: as it was) into all rows of their subjects;
+    returns the partitions rewritten. Two corrections of one subject are refused."""
+    storage.check_unique(corrections, [key])
+
+    def change(rows: DataFrame) -> DataFrame:
+        new = corrections.select(C(key).alias("_id"), *(C(c).alias(f"_{c}") for c in columns))
+        cells = {c: F.coalesce(C(f"_{c}"), C(c)) for c in columns}
+        return rows.join(new, C(key) == C("_id"), "left").withColumns(cells).select(*rows.columns)
+
+    return _rewritten(spark, path, partition, corrections, key, index, change)
+
+
+def erase_everywhere(spark: SparkSession, tables: Mapping[str, SubjectIndex], subjects: DataFrame,
+                     columns: Mapping[str, Sequence[str]], kept: Sequence[str], log: str, *,
+                     as_of) -> dict[str, list]:
+    """Erases subjects from all tables and enters it in the log; ``kept`` names tables that must
+    keep them. The log is written last: a run that stops is repeated as a whole, and masked rows
+    are not found again. Returns the partitions rewritten."""
+    key = next(iter(tables.values())).key
+    with storage.staged(subjects.select(key).distinct(), log) as ids:
+        done = {name: erase(spark, index.path, index.partition, ids, key, columns[name], index)
+                for name, index in tables.items()}
+        storage.append(erasure_log(ids, key, list(tables), kept, as_of=as_of), log)
+    return done
+
+
 def erasure_log(subjects: DataFrame, key: str, tables: Sequence[str], kept: Sequence[str], *,
                 as_of) -> DataFrame:
     """Audit rows, one per subject and table, naming subjects only by hash."""
@@ -78,6 +120,18 @@ def subject_rows(tables: Mapping[str, DataFrame], subject: str, key: str = "cust
         for name, df in tables.items()])
 
 
+def export_indexed(tables: Mapping[str, SubjectIndex], subjects: DataFrame, path: str,
+                   fmt: str = "json") -> None:
+    """Writes the subjects' rows, one folder per table, opening only partitions that may hold
+    some."""
+    for name, index in tables.items():
+        writer = rows_of(index, subjects).write.mode("overwrite")
+        if fmt not in ("json", "csv"):
+            raise ValueError(f"unknown format {fmt!r}")
+        (writer.option("header", True).csv if fmt == "csv" else writer.json)(
+            f"{path.rstrip('/')}/{name}")
+
+
 def export_subject(tables: Mapping[str, DataFrame], subject: str, path: str,
                    key: str = "customer_id", fmt: str = "json") -> None:
     """Writes a subject's rows, one folder per table, as JSON or CSV."""
@@ -203,6 +257,35 @@ def weekly_report(results: DataFrame, access: DataFrame, *, as_of) -> DataFrame:
             ("violations", "access_violations"))])
 
 
+def top_consumers(access: DataFrame, n: int = 10, *, as_of) -> DataFrame:
+    """Who called most in the last seven days."""
+    calls = access.filter(C("ts") > as_ts(as_of) - F.expr("INTERVAL 7 DAYS")).groupBy("user").agg(
+        F.count("*").alias("calls"))
+    return top_by(calls, n, F.desc("calls"), "user")
+
+
+def weekly_compliance(requests: DataFrame, partitions: DataFrame, columns: DataFrame, *, as_of
+                      ) -> DataFrame:
+    """One row for the last seven days: requests of subjects and hours until they were met, share
+    of partitions within their retention, share of columns with a classification.
+
+    ``requests``: requested_at, fulfilled_at; ``partitions``: day, keep_days; ``columns``:
+    classification, null where there is none.
+    """
+    end = as_ts(as_of)
+    asked = requests.filter((C("requested_at") > end - F.expr("INTERVAL 7 DAYS"))
+                            & (C("requested_at") <= end))
+    seconds = F.unix_seconds("fulfilled_at") - F.unix_seconds("requested_at")
+    within = C("day") >= F.date_sub(F.to_date(end), C("keep_days"))
+    one = asked.agg(F.count("*").alias("subject_requests"), F.count("fulfilled_at").alias("fulfilled"),
+                    ratio(F.sum(seconds), F.count("fulfilled_at") * 3600).alias("avg_hours"))
+    kept = partitions.agg(pct(F.count_if(within), F.count("*")).alias("v"))
+    known = columns.agg(pct(F.count("classification"), F.count("*")).alias("v"))
+    return one.select(F.to_date(end).alias("report_date"), "*",
+                      kept.scalar().alias("retention_compliance"),
+                      known.scalar().alias("classification_coverage"))
+
+
 # ---------------------------------------------------------------- access log
 
 def requests_per_partner(log: DataFrame, seconds: int = 300) -> DataFrame:

@@ -221,3 +221,47 @@ def test_latest_state_across_batches(spark, tmp_path):
         "S1": "A", "S2": "A"}
     assert run("b", ("S1", "P", "2024-01-01 00:00:00"), ("S2", "B", "2024-01-03 00:00:00")) == {
         "S1": "A", "S2": "B"}
+
+
+def test_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
+    """Tenfold growth: buckets stay between half and twice their size, states as they were."""
+    path, want = str(tmp_path / "t"), {}
+
+    def rows(ids, at):
+        return spark.createDataFrame([(f"S{i}", f"v{at}", at) for i in ids],
+                                     "k string, v string, event_time int")
+
+    def upsert(ids, at):
+        jobs.BucketedState(spark, path, ("k",), 2, 50).upsert(rows(ids, at), "event_time")
+        want.update({f"S{i}": f"v{at}" for i in ids})
+        held = spark.read.parquet(path).collect()
+        assert {r.k: r.v for r in held} == want and len(held) == len(want)
+        return [sum(r.bucket == b for r in held) for b in range(max(r.bucket for r in held) + 1)]
+
+    assert len(upsert(range(80), 1)) == 2
+    upsert(range(40, 250), 2)
+    sizes = upsert(range(100, 800), 3)
+    assert 14 <= len(sizes) <= 18 and 20 <= min(sizes) and max(sizes) <= 110
+    before = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "t").glob("b*")}
+    sizes = upsert([900, 901], 4)
+    after = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "t").glob("b*")}
+    assert sum(after[n] != before.get(n) for n in after) <= 6  # two buckets, and a division
+    # a division that stops half-way is done again
+    stopped = []
+
+    def dies(*a, **k):
+        stopped.append(1)
+        replace(*a, **k)
+        raise OSError("lost")
+
+    replace = storage.replace_partitions
+    with monkeypatch.context() as m:
+        m.setattr(storage, "replace_partitions", dies)
+        for n in range(1000, 1400, 100):
+            try:
+                upsert(range(n, n + 100), 5)
+            except OSError:
+                want.update({f"S{i}": "v5" for i in range(n, n + 100)})
+                break
+    assert stopped
+    upsert(range(0, 1400, 7), 6)

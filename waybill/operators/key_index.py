@@ -18,7 +18,6 @@ The driver sees bucket numbers and partition values, never keys.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.operators import buckets
+from waybill.operators.state_file import StateFile
 
 C = F.col
 BUCKET_KEYS = 1_000_000
@@ -69,38 +69,13 @@ class KeyIndex:
 
     # ---- state
 
-    def _states(self) -> list[str]:
-        fs, p = _fs(self.spark, f"{self.folder}/_state")
-        return sorted(f.getPath().getName() for f in fs.listStatus(p)
-                      if f.getPath().getName().endswith(".json")) if fs.exists(p) else []
-
     def state(self) -> State | None:
         """None where there is no complete index."""
-        names = self._states()
-        if not names:
-            return None
-        fs, p = _fs(self.spark, f"{self.folder}/_state/{names[-1]}")
-        stream = fs.open(p)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        held = json.loads(text)
-        return State(**held | {"open": tuple(held["open"])})
+        held = StateFile(self.spark, self.folder).read()
+        return held and State(**held | {"open": tuple(held["open"])})
 
     def _save(self, state: State) -> State:
-        names = self._states()
-        number = int(names[-1].split(".")[0]) + 1 if names else 0
-        fs, new = _fs(self.spark, f"{self.folder}/_state/{number:012d}.tmp")
-        stream = fs.create(new, True)
-        try:
-            stream.write(bytearray(json.dumps(asdict(state)).encode()))
-        finally:
-            stream.close()
-        if not fs.rename(new, _fs(self.spark, f"{self.folder}/_state/{number:012d}.json")[1]):
-            raise OSError(f"the state of {self.folder} could not be written")
-        for name in names:
-            fs.delete(_fs(self.spark, f"{self.folder}/_state/{name}")[1], False)
+        StateFile(self.spark, self.folder).write(asdict(state))
         return state
 
     # ---- buckets

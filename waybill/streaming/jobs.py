@@ -8,13 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from waybill.functions import diff_boundary, pct
-from waybill.operators import storage
+from waybill.operators import buckets, storage
 from waybill.operators.rows import dedupe_latest
+from waybill.operators.state_file import StateFile
 
 C = F.col
 
@@ -156,20 +158,65 @@ def enriched(stream: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 # ---------------------------------------------------------------- state
 
+class BucketedState:
+    """A table with one row a key, in hash buckets whose number follows the rows.
+
+    A key's bucket is its address by linear hashing, so a larger table divides a few buckets and
+    leaves the others as they are. Rows are counted (from the files' footers) only when those
+    written since the last count could fill the buckets. A division that stopped is done again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...], least: int,
+                 size: int) -> None:
+        self.spark, self.path, self.keys = spark, path, keys
+        self.least, self.size = least, size
+        self.file = StateFile(spark, f"{path.rstrip('/')}__buckets")
+
+    def _bucket(self, n: int) -> Column:
+        return buckets.address(buckets.hash_of(self.keys), n)
+
+    def upsert(self, rows: DataFrame, version: str) -> None:
+        state = self.file.read() or {"buckets": self.least, "rows": 0, "next": None}
+        if state["next"]:
+            state = self._divide(state)
+        # a key never changes its bucket but by a division, so only the batch's buckets are opened
+        storage.upsert(rows.withColumn("bucket", self._bucket(state["buckets"])), self.path,
+                       self.keys, "bucket", version=version, moves=False)
+        state["rows"] += rows.count()
+        if state["rows"] > state["buckets"] * self.size:
+            state["rows"] = storage.table(self.spark, self.path, "bucket").count()
+            state["next"] = buckets.enough(state["rows"], self.size, state["buckets"])
+        self.file.write(state)
+        if state["next"]:
+            self._divide(state)
+
+    def _divide(self, state: dict) -> dict:
+        old, new = state["buckets"], state["next"]
+        if new > old:
+            sources = buckets.divided(old, new)
+            held = storage.table(self.spark, self.path, "bucket", T.IntegerType())
+            # rows that an earlier attempt has moved are among the new buckets
+            some = held.filter(C("bucket").isin([*sources, *range(old, new)]))
+            storage.replace_partitions(some.withColumn("bucket", self._bucket(new)), self.path,
+                                       "bucket", sources)
+        state = state | {"buckets": max(old, new), "next": None}
+        self.file.write(state)
+        return state
+
+
 def latest_state(stream: DataFrame, target: str, checkpoint: str,
                  keys: tuple[str, ...] = ("shipment_number",), version: str = "event_time",
-                 buckets: int = 64, available_now: bool = True) -> StreamingQuery:
+                 buckets: int = 64, size: int = 1_000_000,
+                 available_now: bool = True) -> StreamingQuery:
     """Current state per key: the row with the latest event wins, also across batches.
 
-    The table is split by a hash of the key; a batch rewrites only the buckets it touches.
+    The table begins with ``buckets`` hash buckets and gets more as it grows, about ``size`` rows
+    each; a batch rewrites only the buckets it touches.
     """
     def batch(rows: DataFrame, _id: int) -> None:
+        state = BucketedState(rows.sparkSession, target, tuple(keys), buckets, size)
         newest = dedupe_latest(rows.filter(C(version).isNotNull()), list(keys), [version])
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        # a key never changes its bucket, so only the buckets of the batch are opened
-        storage.upsert(newest.withColumn("bucket", bucket), target, keys, "bucket",
-                       version=version, moves=False)
+        with storage.staged(newest, target) as held:
+            state.upsert(held, version)
 
     return start(stream, batch, checkpoint, available_now)
-
-

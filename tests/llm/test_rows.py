@@ -498,6 +498,52 @@ def test_notices_are_found_with_a_few_words_changed(spark):
     assert (first.first_word, first.last_word) == (1, len(plain_words(mit)))
 
 
+def voted(text, notices, k, gap, least):
+    """Labels and score of the method, by its definition."""
+    w, labels, best = plain_words(text), set(), 0.0
+    for label, notice in notices:
+        t = plain_words(notice)
+        n, votes = min(k, len(t)), defaultdict(set)
+        for i in range(len(w) - n + 1):
+            for j in range(len(t) - n + 1):
+                if w[i:i + n] == t[j:j + n]:
+                    votes[i - j].add(j)
+        band, before = set(), None
+        for d in [*sorted(votes), None]:
+            if band and (d is None or d - before > gap):
+                cover = len({p for j in band for p in range(j, j + n)}) / len(t)
+                if cover >= least:
+                    labels.add(label)
+                    best = max(best, cover)
+                band = set()
+            if d is not None:
+                band |= votes[d]
+                before = d
+    base = {x for phrase, x in licenses.BASE.items() if places(text, phrase)}
+    return ",".join(sorted(labels | base)), 1.0 if base else best
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_labels_and_scores_are_brute_force(spark, seed):
+    """Notices with words dropped, added and replaced, and pieces of several in one text."""
+    rng, rows = random.Random(seed), list(odd_rows())
+    for i in range(60):
+        text = []
+        for _ in range(rng.randrange(1, 4)):
+            words = rng.choice(licenses.NOTICES)[1].split()
+            a = rng.randrange(len(words)) if rng.random() < 0.3 else 0
+            for x in words[a:]:
+                r = rng.random()
+                text += [] if r < 0.04 else [x, "extra"] if r < 0.08 else ["other"] if r < 0.1 else [x]
+            text += ["filler"] * rng.randrange(6)
+        rows.append((100 + i, " ".join(text), "", ""))
+    got = licenses.digest(licenses.license_scan(documents(spark, rows))[0]).collect()
+    want = Counter((i, *voted(t, licenses.NOTICES, licenses.K, licenses.GAP, licenses.MIN_COVER))
+                   for i, t, *_ in rows)
+    assert Counter((r.doc_id, r.labels, r.score) for r in got) == want
+    assert len({r.labels for r in got}) > 6 and any(0 < r.score < 1 for r in got)
+
+
 def test_license_scan_of_nothing(spark):
     assert licenses.license_scan(spark.createDataFrame([], DOCUMENTS))[0].count() == 0
 

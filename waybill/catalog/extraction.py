@@ -8,7 +8,7 @@ from waybill.catalog.base import query
 from waybill.catalog.gold import cnt
 from waybill.catalog.views_sql import NOW, money, pct
 from waybill.operators import extract as x
-from waybill.operators.rows import union_all
+from waybill.operators.rows import top_by, union_all
 from waybill.plans import messages as m
 from waybill.sources.driver_messages import Messages
 
@@ -380,3 +380,32 @@ def _(t):
             F.lit(shape).alias("shape"), F.count("*").alias("messages"),
             F.count_if(C("customer_id") != "").alias("with_customer")))
     return union_all(parts)
+
+
+@query("msg_24_order_extract", views="s_orders", sql=f"""
+SELECT {ts('order_date', 'timestamp')}, order_number, {ts('order_date::DATE', 'order_date')},
+  customer_id, 'MAT-A' AS first_material, sap_system FROM s_orders""")
+def _(t):
+    return m.order_extract(Messages(t).orders)
+
+
+@query("msg_24_top_customers", views="s_orders", sql="""
+SELECT customer_id, count(*) AS orders FROM s_orders GROUP BY 1
+ORDER BY orders DESC, customer_id LIMIT 10""")
+def _(t):
+    return top_by(m.count_by(m.order_extract(Messages(t).orders), "customer_id", name="orders"), 10,
+                  F.desc("orders"), "customer_id")
+
+
+@query("msg_24_warehouse_operations", views="s_warehouse", sql="""
+SELECT warehouse_id, movement_type AS operation, count(*) AS operations,
+  sum(quantity)::DOUBLE AS quantity FROM s_warehouse GROUP BY ALL""")
+def _(t):
+    return m.warehouse_operations(Messages(t).movements)
+
+
+@query("msg_24_top_payload_invoices", views="s_invoices", sql=f"""
+SELECT invoice_number, customer_id, {money('total_amount')} AS amount FROM s_invoices
+ORDER BY total_c DESC, invoice_number LIMIT 10""")
+def _(t):
+    return m.top_payload_invoices(Messages(t).invoices)

@@ -21,6 +21,7 @@ from waybill.functions import (
     pct_change,
     ratio,
 )
+from waybill.functions.payload import field, head, moment, number, only, parsed
 from waybill.functions.policies import DAY_NAMES, category, lookup
 from waybill.operators.rows import business_hours, newer_than, top_by
 from waybill.operators.series import gap_fill, period_change
@@ -427,3 +428,36 @@ def export_rows(raw: DataFrame, window: str = "7 days", n: int | None = None, *,
     order = (F.desc("date"), "document")
     return rows.orderBy(*order) if n is None else top_by(rows, n, *order)
 
+
+# ---------------------------------------------------------------- extracts from the payload
+
+def order_extract(raw: DataFrame) -> DataFrame:
+    """Order messages with number, date, customer and value, read from control and payload."""
+    rows = parsed(raw.filter(C("message_type").startswith("ORDERS")), "E1EDK01", "E1EDP01")
+    item = F.get(only("E1EDP01", "E1EDP01"), F.lit(0))
+    return rows.select("timestamp", C("_c.docnum").alias("order_number"),
+                       moment(C("_c.credat")).cast("date").alias("order_date"),
+                       field(head("E1EDK01"), "customer_id").alias("customer_id"),
+                       field(item, "matnr").alias("first_material"), "sap_system")
+
+
+def warehouse_operations(raw: DataFrame) -> DataFrame:
+    """Confirmations per warehouse and operation, with the quantity of their items."""
+    rows = parsed(raw.filter(C("message_type").startswith("WHSCON")), "E1WHC00", "E1WHC10")
+    items = F.transform(only("E1WHC10", "E1WHC10"), lambda i: number(
+        i.getField("confqty"), "decimal(15,3)"))
+    quantity = F.aggregate(items, F.lit(0).cast("decimal(25,3)"), lambda a, x: (
+        a + F.coalesce(x, F.lit(0))).cast("decimal(25,3)"))
+    return rows.select(field(head("E1WHC00"), "lgnum").alias("warehouse_id"),
+                       field(head("E1WHC00"), "whstype").alias("operation"),
+                       quantity.alias("q")).groupBy("warehouse_id", "operation").agg(
+        F.count("*").alias("operations"), F.sum("q").alias("quantity"))
+
+
+def top_payload_invoices(raw: DataFrame, n: int = 10) -> DataFrame:
+    """The largest invoices by the amount in their payload."""
+    rows = parsed(raw.filter(C("message_type").startswith("INVOIC")), "E1EDK01")
+    bills = rows.select(field(head("E1EDK01"), "belnr").alias("invoice_number"),
+                        field(head("E1EDK01"), "customer_id").alias("customer_id"),
+                        number(field(head("E1EDK01"), "total_amount")).alias("amount"))
+    return top_by(bills, n, F.desc("amount"), "invoice_number")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waybill.catalog.base import query
-from waybill.operators import decompose, scans
-from waybill.plans import shipment_rules
+from waybill.operators import decompose, scans, storage
+from waybill.plans import messages, shipment_rules, summaries
 
 C = F.col
 
@@ -133,3 +133,31 @@ def _(t):
         ((F.unix_seconds("hour") - F.unix_seconds(span.select("first").scalar())) / 3600)
         .cast("int").alias("i"))
     return decompose.decompose(series, ["sap_system"], "i", "total", LAGS).drop("i")
+
+
+PEOPLE = ("operator_id", "equipment_id", "zone")
+
+
+@query("gld_12_people_by_week", views="s_warehouse", sql="""
+SELECT date_trunc('week', movement_timestamp)::DATE::VARCHAR AS week, warehouse_id,
+  count(*) AS rows, count(DISTINCT operator_id) AS unique_operator_id,
+  count(DISTINCT equipment_id) AS unique_equipment_id, count(DISTINCT zone) AS unique_zone
+FROM s_warehouse GROUP BY ALL""")
+def _(t):
+    """Weeks from the stored sketches of days; so few values are counted exactly."""
+    days = storage.kept(summaries.distinct_by_day(t.warehouse, "movement_timestamp",
+                                                  ["warehouse_id"], PEOPLE), "sketches")
+    week = F.to_date(F.date_trunc("week", "day")).alias("week")
+    return summaries.distinct_over(days, week, ["warehouse_id"], PEOPLE)
+
+
+@query("msg_10_from_summaries", views="raw", sql="""
+SELECT message_type, count(*) AS messages, round(quantile_cont(s, 0.5), 4) AS p50,
+  round(quantile_cont(s, 0.95), 4) AS p95, round(quantile_cont(s, 0.99), 4) AS p99
+FROM (SELECT message_type, date_diff('second', "timestamp", ingestion_time) AS s FROM raw)
+GROUP BY 1""")
+def _(t):
+    """The month's percentiles from stored counts of five minutes each."""
+    bins = storage.kept(summaries.counted(t.raw, "timestamp", ["message_type"], messages.latency()),
+                        "latencies")
+    return summaries.percentiles(bins, ["message_type"])

@@ -23,7 +23,7 @@ output once, and ``restored`` finds the text again from output and form.
 Defined cases: null and empty texts have no units and stay plain, with empty output. A null doc_id
 draws as the empty id. Rows with one doc_id draw alike, each over its own text. Other columns pass
 through in ``row``, whatever their names. A whole text is one row: ``regexp_count`` holds the units
-of one text in memory, about 60 bytes each.
+of one text in memory (an estimated 60 bytes each).
 """
 
 from __future__ import annotations

@@ -265,3 +265,25 @@ def test_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
                 break
     assert stopped
     upsert(range(0, 1400, 7), 6)
+
+
+def test_silver_caches_no_messages(spark, tmp_path):
+    """Whole messages of a large batch do not fit an executor's memory."""
+    cached = []
+
+    def extracted(rows):
+        cached.append(spark._jsparkSession.sharedState().cacheManager().isEmpty())
+        return extract.extract_orders(rows, as_of=AS_OF)
+
+    routes = {(kind,): jobs.Route(extracted, str(tmp_path / name), ("order_number", "sap_system"),
+                                  "message_timestamp", "order_date")
+              for kind, name in (("ORDERS", "orders"), ("OTHER", "others"))}
+    write(tmp_path / "in", "a.json", order("O1", "1", "10.00"), order("", "2", "20.00"))
+    spark.catalog.clearCache()
+    jobs.to_silver(source.to_bronze(source.stream_files(spark, str(tmp_path / "in"))), routes,
+                   str(tmp_path / "cp"), quarantine=str(tmp_path / "bad"),
+                   as_of=AS_OF).awaitTermination()
+    assert cached == [True, True]
+    assert spark.read.parquet(str(tmp_path / "orders")).count() == 1
+    bad = spark.read.parquet(str(tmp_path / "bad" / "ORDERS")).first()
+    assert str(bad.batch_day) == "2022-11-03"

@@ -134,3 +134,15 @@ def test_contract_of_plain_fields_and_wrong_types(spark):
                              as_of="2024-01-01 00:00:00").collect()
     assert [(r.part, r.subject, r.status) for r in wrong] == [
         ("schema", "n", "Fail"), ("schema", "id", "Pass"), ("completeness", "id", "Pass")]
+
+
+def test_the_score_stores_only_what_its_rules_read(spark):
+    from waybill.catalog import base, quality
+    t = base.tables_of(spark, "/root/testdata/sf0.001")
+    held = quality.scored_tables(t)
+    assert quality.scored(t).count() == len(q.SCORED_RULES)
+    for name, columns in quality.SCORED_COLUMNS.items():
+        assert spark.read.parquet(f"{held.path}/{name}").columns == list(columns)
+    plan = base.QUERIES["dqa_7_quality_kpis"](t)._jdf.queryExecution().optimizedPlan().toString()
+    # no table is derived again to count its rows
+    assert "l_orderkey" not in plan

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 from conftest import AS_OF, ORDER, control, message
+from waybill.functions.payload import parsed
 from waybill.operators import extract as x
 from waybill.plans import messages as m
 
@@ -207,3 +208,35 @@ def test_payload_shipments(spark):
     rows = x.extract_payload_shipments(df).collect()
     assert len(rows) == 1 and rows[0].customer_id == "C" and rows[0].total_weight == 2.5
     assert rows[0].ship_date == dt.datetime(2022, 11, 1)
+
+
+def _filters(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if line.strip(" :+-").startswith("Filter")]
+
+
+def test_exploded_segments_are_not_parsed_again_in_a_filter(raw):
+    """Spark infers a filter by the array's size from an inner explosion."""
+    events = {"E1SHP00": [{"tknum": "S1"}],
+              "E1SHP10": [{"tstyp": "A"}, {"tstyp": "B", "tsrfo": "7"}]}
+    sent = raw(message("SHPMNT", "SHPMNT05", events),
+               message("SHPMNT", "SHPMNT05", {"E1SHP00": [{"tknum": "S2"}], "E1SHP10": []}, "2"),
+               message("SHPMNT", "SHPMNT05", {"E1SHP00": [{"tknum": "S3"}]}, "3"),
+               message("ORDERS", "ORDERS05", ORDER, "4"))
+    found = x.extract_tracking_events(sent)
+    assert sorted((r.shipment_number, r.sequence, r.event_type) for r in found.collect()) == [
+        ("S1", 1, "A"), ("S1", 7, "B")]
+    for df in (found, x.extract_order_items(sent), x.extract_invoice_items(sent),
+               x.extract_delivery_items(sent), x.extract_warehouse_items(sent)):
+        assert not [f for f in _filters(df) if "variant_get" in f or "size(" in f]
+
+
+def test_only_fields_that_are_read_are_converted(raw):
+    sent = raw(message("ORDERS", "ORDERS05", ORDER))
+    some = parsed(sent, "E1EDK03", E1EDK01="belnr")
+    assert some.select("_s_E1EDK01", "_s_E1EDK03").schema.simpleString() == (
+        "struct<_s_E1EDK01:array<struct<belnr:string>>,"
+        "_s_E1EDK03:array<struct<iddat:string,datum:string,uzeit:string>>>")
+    assert some.select("_h_E1EDK01.belnr").first()[0] == "B-770145"
+    plan = x.partner_summary(sent)._jdf.queryExecution().optimizedPlan().toString()
+    assert "customer_id" in plan and "StructField(bsart" not in plan and "tknum" not in plan

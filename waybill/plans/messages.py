@@ -433,7 +433,8 @@ def export_rows(raw: DataFrame, window: str = "7 days", n: int | None = None, *,
 
 def order_extract(raw: DataFrame) -> DataFrame:
     """Order messages with number, date, customer and value, read from control and payload."""
-    rows = parsed(raw.filter(C("message_type").startswith("ORDERS")), "E1EDK01", "E1EDP01")
+    rows = parsed(raw.filter(C("message_type").startswith("ORDERS")),
+                  E1EDK01="customer_id", E1EDP01="segnam matnr")
     item = F.get(only("E1EDP01", "E1EDP01"), F.lit(0))
     return rows.select("timestamp", C("_c.docnum").alias("order_number"),
                        moment(C("_c.credat")).cast("date").alias("order_date"),
@@ -443,7 +444,8 @@ def order_extract(raw: DataFrame) -> DataFrame:
 
 def warehouse_operations(raw: DataFrame) -> DataFrame:
     """Confirmations per warehouse and operation, with the quantity of their items."""
-    rows = parsed(raw.filter(C("message_type").startswith("WHSCON")), "E1WHC00", "E1WHC10")
+    rows = parsed(raw.filter(C("message_type").startswith("WHSCON")),
+                  E1WHC00="lgnum whstype", E1WHC10="segnam confqty")
     items = F.transform(only("E1WHC10", "E1WHC10"), lambda i: number(
         i.getField("confqty"), "decimal(15,3)"))
     quantity = F.aggregate(items, F.lit(0).cast("decimal(25,3)"), lambda a, x: (
@@ -456,7 +458,8 @@ def warehouse_operations(raw: DataFrame) -> DataFrame:
 
 def top_payload_invoices(raw: DataFrame, n: int = 10) -> DataFrame:
     """The largest invoices by the amount in their payload."""
-    rows = parsed(raw.filter(C("message_type").startswith("INVOIC")), "E1EDK01")
+    rows = parsed(raw.filter(C("message_type").startswith("INVOIC")),
+                  E1EDK01="belnr customer_id total_amount")
     bills = rows.select(field(head("E1EDK01"), "belnr").alias("invoice_number"),
                         field(head("E1EDK01"), "customer_id").alias("customer_id"),
                         number(field(head("E1EDK01"), "total_amount")).alias("amount"))

@@ -53,6 +53,25 @@ def test_a_machine_runs_as_one_row_after_another(spark, size):
     assert got == want
 
 
+def test_small_keys_are_not_numbered(spark, monkeypatch):
+    """Nulls in the order come first, and columns without an order pass through."""
+    numbered, seen = scans.numbered, []
+    monkeypatch.setattr(scans, "numbered", lambda df, *a: seen.append(
+        df.select("_row.k").distinct().collect()) or numbered(df, *a))
+    rows = [("few", 2, "y"), ("few", None, "x"), ("few", 1, "?"), (None, 1, "x"), (None, 2, "x"),
+            *(("many", i, "x") for i in range(9))]
+    events = spark.createDataFrame(rows, "k string, t int, e string").withColumn(
+        "m", F.create_map(F.lit("t"), "t"))
+    few = scans.run(events.filter("k is null or k = 'few'"), ["k"], ["t"], "e", MACHINE, 4)
+    assert sorted((str(r.k), r.t or 0, r.m["t"], r.state_before, r.allowed)
+                  for r in few.collect()) == [
+        ("None", 1, 1, "none", True), ("None", 2, 2, "a", True), ("few", 0, None, "none", True),
+        ("few", 1, 1, "a", False), ("few", 2, 2, "a", True)]
+    assert not seen
+    assert scans.run(events, ["k"], ["t"], "e", MACHINE, 4).filter("allowed").count() == 13
+    assert [r.k for r in seen[0]] == ["many"]
+
+
 def test_a_hot_key_is_many_tasks(spark):
     rows = spark.range(40_000).select(
         F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 900))

@@ -9,7 +9,8 @@ A state machine's steps compose: what a slice does is a map from the state befor
 behind it, one number a state, and the map of many slices is the composition of theirs. So the maps
 of slices are composed in groups of ``SLICE`` again, level by level, until a key is one map; then
 the states come down: each group passes every member the state it begins in. Two levels carry
-a key of a million rows at 1,024 a slice, three a thousand million.
+a key of a million rows at 1,024 a slice, three a thousand million. Keys of one slice need none of
+this: ``run`` counts the rows of each key first, and only larger keys are numbered and sliced.
 """
 
 from __future__ import annotations
@@ -104,10 +105,58 @@ class Machine:
 
 def run(df: DataFrame, keys: Sequence[str], order: Sequence[str], event: str, machine: Machine,
         size: int = SLICE, before: str = "state_before", allowed: str = "allowed") -> DataFrame:
-    """Adds the state each row meets and whether the machine allows its event there."""
-    keys, width = list(keys), len(machine.events) + 1
+    """Adds the state each row meets and whether the machine allows its event there.
+
+    Rows travel once: a key of at most ``size`` rows is one array. Larger keys go by slices.
+    """
+    keys, order = list(keys), list(order)
+    rows = storage.kept(df, "events")
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    large = storage.kept(counts.filter(C("_n") > size).select(
+        *(C(k).alias(f"_l{i}") for i, k in enumerate(keys))), "large-keys")
+    if large.isEmpty():
+        return _whole(rows, keys, order, event, machine, before, allowed)
+    same = [C(k).eqNullSafe(C(f"_l{i}")) for i, k in enumerate(keys)]
+    return _whole(rows.join(large, same, "left_anti"), keys, order, event, machine, before,
+                  allowed).unionByName(
+        _sliced(rows.join(large, same, "left_semi"), keys, order, event, machine, size, before,
+                allowed))
+
+
+def _steps(machine: Machine):  # noqa: ANN202
+    """(the state behind a state and an event, whether the event is allowed there)."""
+    width = len(machine.events) + 1
     table = F.array(*map(F.lit, machine.table()))
     permits = F.array(*map(F.lit, machine.allows()))
+    return (lambda state, number: F.element_at(table, state * width + number + 1),
+            lambda state, number: F.element_at(permits, state * width + number + 1))
+
+
+def _whole(rows: DataFrame, keys: list[str], order: list[str], event: str, machine: Machine,
+           before: str, allowed: str) -> DataFrame:
+    """Keys of few rows each: the rows of a key are sorted in one array."""
+    then, permits = _steps(machine)
+    rest = [c for c in rows.columns if c not in keys]
+    # exchanged as plain rows: collecting on the map side, too, would sort all rows there
+    groups = rows.repartition(*keys).groupBy(*keys).agg(F.collect_list(F.struct(
+        F.struct(*order).alias("by"), machine.event(C(event)).alias("event"),
+        F.struct(*rest).alias("row"))).alias("_items"))
+    # sorted by place in the array, since a row may hold what has no order
+    places = F.sort_array(F.transform("_items", lambda x, i: F.struct(x["by"], i.alias("i"))))
+    groups = groups.select(*keys, F.transform(places, lambda p: F.get(C("_items"), p["i"]))
+                           .alias("_members"))
+    out = groups.select(*keys, F.explode(_states(
+        C("_members"), F.lit(machine.states.index(machine.start)),
+        lambda s, x: then(s, x["event"]))).alias("_m"))
+    return out.select(*(C(c) if c in keys else C(f"_m.item.row.`{c}`") for c in rows.columns),
+                      machine.name(C("_m.state")).alias(before),
+                      permits(C("_m.state"), C("_m.item.event")).alias(allowed))
+
+
+def _sliced(df: DataFrame, keys: list[str], order: list[str], event: str, machine: Machine,
+            size: int, before: str, allowed: str) -> DataFrame:
+    """Keys of any size, slice by slice."""
+    then, permits = _steps(machine)
     names = [f"_g{i}" for i in range(len(keys))]
     rows = numbered(df.select(F.struct(*df.columns).alias("_row"),
                               *(C(k).alias(n) for k, n in zip(keys, names, strict=True)),
@@ -116,9 +165,6 @@ def run(df: DataFrame, keys: Sequence[str], order: Sequence[str], event: str, ma
                     names, [f"_o{i}" for i in range(len(order))], "_pos").select(
         *names, "_pos", "_event", "_row").withColumn("_slice", _slice(size, "_pos"))
 
-    def then(state: Column, number: Column) -> Column:
-        return F.element_at(table, state * width + number + 1)
-
     def members(*columns: str) -> Column:
         return F.array_sort(F.collect_list(F.struct("_pos", *columns)),
                             lambda a, b: (a["_pos"] - b["_pos"]).cast("int"))
@@ -150,7 +196,7 @@ def run(df: DataFrame, keys: Sequence[str], order: Sequence[str], event: str, ma
         C("_members"), C("_state"), lambda s, x: then(s, x["_event"]))).alias("_m"))
     state, at = C("_m.state"), C("_m.item._event")
     return out.select("_m.item._row.*", machine.name(state).alias(before),
-                      F.element_at(permits, state * width + at + 1).alias(allowed))
+                      permits(state, at).alias(allowed))
 
 
 def _joined(groups: DataFrame, begin: DataFrame, names: list[str]) -> DataFrame:

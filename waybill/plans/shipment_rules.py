@@ -35,20 +35,26 @@ def lacks_evidence(code: Column) -> Column:
                       | (code.isin("B", "D", "C") & C("tracking_number").isNull()), F.lit(False))
 
 
+def _judged(events: DataFrame, size: int) -> DataFrame:
+    out = scans.run(events, ["shipment_number"], ["event_time", "event_number"], "status_code",
+                    progression(), size)
+    return out.withColumn("state_after", F.when(C("allowed"), C("status_code"))
+                          .otherwise(C("state_before")))
+
+
 def judged_events(events: DataFrame, size: int = scans.SLICE) -> DataFrame:
     """Tracking events with the state each one met, whether it may follow, and whether its
     evidence is missing. ``events``: shipment_number, event_time, event_number, status_code,
     reason_code, tracking_number, actual_delivery_date."""
-    out = scans.run(events, ["shipment_number"], ["event_time", "event_number"], "status_code",
-                    progression(), size)
-    return out.withColumns({
-        "state_after": F.when(C("allowed"), C("status_code")).otherwise(C("state_before")),
-        "no_evidence": lacks_evidence(C("status_code"))})
+    return _judged(events, size).withColumn("no_evidence", lacks_evidence(C("status_code")))
 
 
-def broken_rules(events: DataFrame) -> DataFrame:
+def broken_rules(events: DataFrame, size: int = scans.SLICE) -> DataFrame:
     """A row a shipment: its events, those that go back, those without evidence, and its state."""
-    return judged_events(events).groupBy("shipment_number").agg(
+    # evidence is judged before the scan, which then moves its answer only
+    judged = _judged(events.select("shipment_number", "event_time", "event_number", "status_code",
+                                   lacks_evidence(C("status_code")).alias("no_evidence")), size)
+    return judged.groupBy("shipment_number").agg(
         F.count("*").alias("events"), F.count_if(~C("allowed")).alias("steps_back"),
         F.count_if("no_evidence").alias("without_evidence"),
         F.max_by("state_after", F.struct("event_time", "event_number")).alias("state"))

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import (
     DOCUMENTS,
@@ -96,6 +97,25 @@ def test_suffix_dedup_cuts_long_texts_into_pieces(spark, monkeypatch):
         assert got[keep] == removed(rows, 40, keep)
 
 
+def test_a_blocks_runs_are_made_once(monkeypatch):
+    made = []
+    runs = suffix_dedup._runs
+    monkeypatch.setattr(suffix_dedup, "_runs", lambda *a: made.append(1) or runs(*a))
+    rng = np.random.default_rng(5)
+    part = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40), pa.int64()), "text": [
+        "".join(rng.choice(list("abcd "), 300)) for _ in range(40)]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema) as out:
+        out.write_batch(part)
+    packed = sink.getvalue().to_pybytes()
+    block = suffix_dedup.Block.of(packed, 30, 8, again=True)
+    held = list(block.runs())
+    assert held and len(made) == len(list(suffix_dedup._pieces(block.offsets, 30)))
+    monkeypatch.setattr(suffix_dedup, "HELD", 0)
+    again = list(suffix_dedup.Block.of(packed, 30, 8, again=True).runs())
+    assert [x[0].low.tolist() for x in held] == [x[0].low.tolist() for x in again]
+
+
 def test_suffix_ranks_order_suffixes():
     text = b"banana bandana banana"
     data = np.frombuffer(text, np.uint8)

@@ -58,11 +58,13 @@ from waybill.llm.blocks import (
     unpack,
 )
 from waybill.llm.storage import kept
-from waybill.llm.texts import BYTE_VALUE, PIECE, groups, mix, powers, utf8
+from waybill.llm.texts import BYTE_VALUE, groups, mix, powers, utf8
 
 LENGTH = 200
 ANCHOR = 48
 HOT = 1024
+HELD = 2 << 20
+PIECE = 1 << 16  # sums and minima of a piece fit a processor's cache
 SORT_BYTES = 2 << 20
 _U = np.uint64
 _POS = _U((1 << 20) - 1)
@@ -115,10 +117,11 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> Ru
     np.add.at(mark, offsets[:-1][long], 1)
     np.add.at(mark, offsets[1:][long] - length + 1, -1)
     valid = np.cumsum(mark[:m]) > 0
+    same = place[1:] == place[:-1]
     new = valid.copy()
-    new[1:] &= ~(valid[:-1] & (place[1:] == place[:-1]))
+    new[1:] &= ~(valid[:-1] & same)
     last = valid.copy()
-    last[:-1] &= ~(valid[1:] & (place[1:] == place[:-1]))
+    last[:-1] &= ~(valid[1:] & same)
     low, high = np.flatnonzero(new), np.flatnonzero(last)
     at = place[low].astype(np.int64)
     content = (total[high + length] - total[low]) * inverse[low]
@@ -153,7 +156,8 @@ def _all_runs(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int
 
 @dataclass
 class Block:
-    """A block's texts and their runs."""
+    """A block's texts and their runs, which stay in memory up to ``HELD`` bytes of text (some
+    ten times that in sums); those of a larger block are made again."""
 
     ids: pa.Array
     order: np.ndarray
@@ -162,19 +166,24 @@ class Block:
     length: int
     anchor: int
     entries: Entries
+    held: list[tuple[Runs, np.ndarray]] | None
 
     @classmethod
-    def of(cls, packed: bytes, length: int, anchor: int) -> Block:
+    def of(cls, packed: bytes, length: int, anchor: int, again: bool = False) -> Block:
+        """``again``: whether the runs are read once more."""
         ids, order, texts = unpack(packed)
         data, offsets = utf8(texts)
+        found = _all_runs(data, offsets, length, anchor)
+        held = list(found) if again and len(data) <= HELD else None
         parts = [Entries([(runs.anchor, runs.content, np.ones(len(text)), order[text],
                            runs.low - offsets[text], runs.high - offsets[text], text)]).part()
-                 for runs, text in _all_runs(data, offsets, length, anchor)]
-        return cls(ids, order, data, offsets, length, anchor, Entries(parts))
+                 for runs, text in held or found]
+        return cls(ids, order, data, offsets, length, anchor, Entries(parts), held)
 
     def runs(self) -> Iterator[tuple[Runs, np.ndarray, np.ndarray, np.ndarray]]:
         """Runs, their texts, their entries, and which are their entry's first holder."""
-        for runs, text in _all_runs(self.data, self.offsets, self.length, self.anchor):
+        for runs, text in self.held or _all_runs(self.data, self.offsets, self.length,
+                                                 self.anchor):
             at = self.entries.find(runs.anchor, runs.content)
             yield runs, text, at, ((self.entries.text[at] == text)
                                    & (self.entries.start[at] == runs.low - self.offsets[text]))
@@ -375,7 +384,7 @@ def _rewrite(length: int, anchor: int, keep_first: bool, texts: bool):  # noqa:
     def rewrite(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         for packed in blocks["data"].to_pylist():
-            block = Block.of(packed, length, anchor)
+            block = Block.of(packed, length, anchor, again=True)
             gone = removed(block, replies)
             for i, doc_id in enumerate(block.ids.to_pylist()):
                 a, b = int(block.offsets[i]), int(block.offsets[i + 1])

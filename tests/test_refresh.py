@@ -113,3 +113,12 @@ def test_cycles_and_unknown_sources_are_refused(spark, tmp_path):
         refresh.refresh(spark, str(tmp_path), [a, b], {}, 1)
     with pytest.raises(ValueError, match="unknown"):
         refresh.refresh(spark, str(tmp_path), [a], {}, 1)
+
+
+def test_the_refresh_stores_only_what_its_tables_read(spark):
+    from waybill.catalog import base, jobs
+    t = base.tables_of(spark, "/root/testdata/sf0.001")
+    assert base.QUERIES["mnt_3_refresh_all"](t).count() == 5
+    held = base.stored(t, jobs.REFRESHED_COLUMNS)
+    for name, columns in jobs.REFRESHED_COLUMNS.items():
+        assert spark.read.parquet(f"{held.path}/{name}").columns == list(columns)

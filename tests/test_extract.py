@@ -240,3 +240,15 @@ def test_only_fields_that_are_read_are_converted(raw):
     assert some.select("_h_E1EDK01.belnr").first()[0] == "B-770145"
     plan = x.partner_summary(sent)._jdf.queryExecution().optimizedPlan().toString()
     assert "customer_id" in plan and "StructField(bsart" not in plan and "tknum" not in plan
+
+
+def test_flat_messages_convert_only_the_control_fields_that_are_read(raw):
+    for kind, make in (("SHPMNT", x.extract_shipments_flat), ("WHSCON", x.extract_warehouse_flat),
+                       ("ORDERS", lambda df: x.extract_orders_flat(df, as_of=AS_OF)),
+                       ("INVOIC", lambda df: x.extract_invoices_flat(df, as_of=AS_OF))):
+        made = make(raw(message(kind, f"{kind}05", {})))
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "StructField(docnum" in plan and "StructField(sndprn" not in plan
+        dates = kind in ("WHSCON", "ORDERS")
+        assert ("StructField(credat" in plan) == ("StructField(status" in plan) == dates
+        assert made.count() == 1

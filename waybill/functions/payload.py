@@ -65,18 +65,19 @@ def _entries(name: str, fields: str) -> Column:
     return F.coalesce(many, F.when(one.isNotNull(), F.array(one)), none)
 
 
-def parsed(raw: DataFrame, *names: str, **fields: str) -> DataFrame:
+def parsed(raw: DataFrame, *names: str, control: str = CONTROL_FIELDS,
+           **fields: str) -> DataFrame:
     """Adds the control record (``_c``), the payload as VARIANT (``_d``) and the named segments.
 
     A segment is converted to an array of structs in one step, and its first entry becomes a
     column of its own, so reading a field costs no further search in the payload. Bad JSON gives
     null. Every field that is converted costs time in every message: ``fields`` names the segments
-    of which only some are read, and these.
+    of which only some are read, and these; ``control`` the fields of the control record.
     """
     wanted = {n: SEGMENT_FIELDS[n] for n in names} | fields
     out = raw.withColumns({"_cv": F.try_parse_json("control"), "_d": F.try_parse_json("data")})
     out = out.withColumns({
-        "_c": F.try_variant_get("_cv", "$", _struct(CONTROL_FIELDS)),
+        "_c": F.try_variant_get("_cv", "$", _struct(control)),
         **{f"_s_{n}": _entries(n, of) for n, of in wanted.items()}})
     return out.withColumns({f"_h_{n}": F.get(f"_s_{n}", F.lit(0)) for n in wanted})
 

@@ -65,9 +65,11 @@ def _paths(spec: Mapping[str, tuple[str, str]]) -> str:
 
 
 def _flat(raw: DataFrame, kinds: str | tuple[str, ...], spec: Mapping[str, tuple[str, str]],
-          *more: str) -> DataFrame:
-    """Messages of the given kinds with the top-level fields of ``spec`` and ``more``."""
-    return with_flat(_of(raw, kinds), [*(path for path, _ in spec.values()), *more])
+          *more: str, control: str = "docnum") -> DataFrame:
+    """Messages of the given kinds with the top-level fields of ``spec`` and ``more``, and those
+    of the control record that are read."""
+    return with_flat(_of(raw, kinds, control=control),
+                     [*(path for path, _ in spec.values()), *more])
 
 
 def _meta() -> list[Column]:
@@ -140,7 +142,8 @@ def extract_orders_flat(raw: DataFrame, *, as_of,
     now = as_ts(as_of)
     created = moment(_control("credat"), _control("cretim"))
     age = diff_boundary("hour", now, C("order_date"))
-    base = _flat(raw, "ORDERS", FLAT_ORDER).withColumn("order_date", created)
+    base = _flat(raw, "ORDERS", FLAT_ORDER, control="docnum status credat cretim").withColumn(
+        "order_date", created)
     return base.select(
         _control("docnum").alias("order_number"), F.lit(1).alias("order_version"), "order_date",
         *columns(take(C("_f"), FLAT_ORDER)), _control("status").alias("order_status"),
@@ -473,7 +476,8 @@ def extract_warehouse_flat(raw: DataFrame) -> DataFrame:
     done = moment(field(C("_f"), "completed_time"))
     flagged = (F.coalesce(field(C("_f"), "exception_flag") == "X", F.lit(False))
                | F.coalesce(_control("status") != "03", F.lit(True)))
-    return _flat(raw, "WHSCON", FLAT_MOVEMENT, "completed_time", "exception_flag").select(
+    return _flat(raw, "WHSCON", FLAT_MOVEMENT, "completed_time", "exception_flag",
+                 control="docnum status credat cretim").select(
         _control("docnum").alias("movement_id"), started.alias("movement_timestamp"),
         _control("status").alias("movement_status"), *columns(take(C("_f"), FLAT_MOVEMENT)),
         diff_boundary("minute", done, started).alias("processing_time_minutes"),

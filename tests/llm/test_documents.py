@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -210,6 +211,69 @@ def test_components_of_paths_and_stars(spark):
     assert graph.components(edges.where("u = v")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_components_are_brute_force(spark, seed):
+    rng, groups = random.Random(seed), Groups()
+    pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(rng.choice((60, 100, 300)))]
+    pairs += pairs[:20] + [(b, a) for a, b in pairs[20:40]]
+    for a, b in pairs:
+        groups.join(a, b)
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    got = Counter((r.node, r.component) for r in graph.components(edges).collect())
+    assert got == Counter((i, groups.find(i)) for i in {x for a, b in pairs if a != b
+                                                        for x in (a, b)})
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    written, kept = [], graph.kept
+    monkeypatch.setattr(graph, "kept", lambda df, name: written.append(name) or kept(df, name))
+    star = spark.createDataFrame([(i % 3, 10 + i) for i in range(30)] * 2, "u long, v long")
+    got = {r.node: r.component for r in graph.components(star).collect()}
+    assert got == {i: i for i in range(3)} | {10 + i: i % 3 for i in range(30)}
+    assert len(written) == 1
+
+
+def test_a_chunk_of_near_copies_is_counted_not_probed(monkeypatch):
+    probed, probe, isin = [], jaccard_join.Chunk._probe, np.isin
+    monkeypatch.setattr(jaccard_join.Chunk, "_probe",
+                        staticmethod(lambda a, b: probed.append(1) or probe(a, b)))
+    monkeypatch.setattr(np, "isin", lambda *a, **b: probed.append(1) or isin(*a, **b))
+    rng, docs = np.random.default_rng(0), 300
+    base = np.arange(1, 101, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 90, replace=False),
+                                      np.arange(5, dtype=np.uint64) + np.uint64(1000 + 5 * i)]))
+            for i in range(docs)]
+    rows = pa.table({"doc": range(docs), "n": [len(s) for s in sets],
+                     "shingles": [s.tobytes() for s in sets], "asks": [True] * docs,
+                     "label": range(docs)})
+    groups = Groups()
+    for i in range(docs):
+        for j in range(i):
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j])):
+                groups.join(i, j)
+    probed.clear()
+    got = jaccard_join._join(75)(rows).to_pylist()
+    assert len(probed) < docs  # 37,675 where each candidate is probed
+    # a label is at most once a start, and hangs on the smallest one
+    assert {r["u"]: r["v"] for r in got} == {i: groups.find(i) for i in range(docs)
+                                             if groups.find(i) != i}
+    assert len(got) == len({r["u"] for r in got}) > docs / 2
+
+
+def test_groups_of_several_chunks_are_connected_once(spark, monkeypatch):
+    calls, components = [], jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "CHUNK", 8)
+    monkeypatch.setattr(jaccard_join, "components",
+                        lambda edges: calls.append(1) or components(edges))
+    parts = [" ".join(f"p{i}w{j}" for j in range(30)) for i in range(12)]
+    rng, chosen = random.Random(0), list(combinations(parts, 6))
+    rows = [(i, " ".join(x), "", "") for i, x in enumerate(rng.sample(chosen, 60))]
+    got = jaccard_join.jaccard_components(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i) for i in range(60)}
+    assert Counter(tuple(r) for r in got) == jaccard(rows)
+    assert len(calls) == 1  # no link was found between chunks
+
+
 # ---- line dedup
 
 def digest_of(rows, left):

@@ -14,12 +14,13 @@ of the first n - T + 1 lists. The order is by document frequency, rare first:
    its pivot. A group is dealt into chunks of bounded size. In a chunk DivideSkip runs for every
    set: the longest lists (at most T - 1) are set aside, the short ones are merged, sets that
    occur often enough are candidates, and the long lists are probed by binary search in the
-   candidates' sorted sets. Sets that are known to be connected are not compared again;
+   candidates' sorted sets, or counted like the short ones where candidates are many. Sets that are
+   known to be connected are not compared again;
 4. in a group of several chunks, those outside the group's largest component are compared with all
    chunks, skipping pairs of one component: every pair is either connected already or compared.
 
-So a group of n near copies costs its chunks, not n squared, and what leaves a chunk is a spanning
-forest. Shingles are 64-bit hashes; frequencies are of the low 40 bits within a shard.
+So a group of n near copies costs its chunks, not n squared, and what leaves a chunk is one edge a
+document, to the smallest it is connected with. Shingles are 64-bit hashes; frequencies are of the low 40 bits within a shard.
 
 ``deduplicate`` counts the rows that go. Up to ``MOST_SENT`` their keys are sent to all tasks, so that
 no text is shuffled to drop them; more meet the documents in a plain join.
@@ -63,6 +64,7 @@ CHUNK = 2048
 CHUNK_SHINGLES = 2 << 20
 LOW = 5  # bytes of a hash that tell shingles of a shard apart
 GROUP = 2 << 20
+PROBE = 4096  # entries of lists that are counted in the time that one candidate is probed
 MOST_SENT = 500_000  # rows that go, sent to every task (25 bytes each)
 _U = np.uint64
 
@@ -253,7 +255,7 @@ class Chunk:
         found = np.flatnonzero(fits)
         if not len(found):
             return found
-        if len(found) * len(long) < length[long].sum():
+        if len(found) * (len(long) + PROBE) < length[long].sum():
             common = count[found] + np.array(
                 [np.isin(own[long], self.sets[i], assume_unique=True).sum()
                  if len(long) * 8 > len(self.sets[i]) else self._probe(own[long], self.sets[i])
@@ -276,27 +278,28 @@ class Chunk:
 
 
 def _join(percent: int):  # noqa: ANN202
-    """Links of a chunk as a forest: every set that ``asks`` against all others of the chunk,
-    skipping sets that are known to be connected."""
+    """Links of a chunk, as edges from a label to the smallest label it is connected with: every set
+    that ``asks`` against all others of the chunk, skipping sets that are known to be connected."""
 
     def join(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("asks", "ascending"), ("doc", "ascending")])
-        doc, n = rows["doc"].to_numpy(), rows["n"].to_numpy()
+        n = rows["n"].to_numpy()
         asks = rows["asks"].combine_chunks().to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, _U) for x in rows["shingles"].to_pylist()]
-        label = np.unique(rows["label"].to_numpy(), return_inverse=True)[1]
+        names, label = np.unique(rows["label"].to_numpy(), return_inverse=True)
+        own = label.copy()
         chunk = Chunk(sets, n)
-        edges: list[tuple[int, int]] = []
         at = np.arange(len(sets))
         for i in np.flatnonzero(asks).tolist():
             # of two sets that both ask, the later one is compared with the earlier one
             allowed = (label != label[i]) & (~asks | (at < i))
-            for j in chunk.search(sets[i], int(n[i]), allowed, percent).tolist():
-                if label[j] != label[i]:
-                    label[label == label[j]] = label[i]
-                    edges.append((int(doc[i]), int(doc[j])))
-        return pa.table({"u": pa.array([e[0] for e in edges], pa.int64()),
-                         "v": pa.array([e[1] for e in edges], pa.int64())})
+            for other in np.unique(label[chunk.search(sets[i], int(n[i]), allowed, percent)]):
+                label[label == other] = label[i]
+        low = np.full(len(names), len(names))
+        np.minimum.at(low, label, own)
+        edges = np.unique(np.stack([own, low[label]])[:, own != low[label]], axis=1)
+        return pa.table({"u": names[edges[0]], "v": names[edges[1]]},
+                        schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
     return join
 
@@ -305,8 +308,9 @@ def _chunks(docs: Column, shingles: Column) -> Column:
     return F.greatest(F.ceil(docs / CHUNK), F.ceil(shingles / CHUNK_SHINGLES)).cast("int")
 
 
-def link_forest(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (u, v) that connect exactly what the links connect."""
+def link_components(sets: DataFrame, copies: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of every doc that links with another; ``copies``: edges (u, v) of docs
+    with equal sets."""
     posts = sets.where("short is not null").select("doc", "n", F.explode("short").alias("s"))
     pivots = posts.groupBy("s").agg(F.min("doc").alias("pivot"), F.count("*").alias("k")).where(
         "k > 1").select("s", "pivot")
@@ -321,10 +325,11 @@ def link_forest(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select("pivot", "chunk", "doc", "n", "shingles", F.lit(True).alias("asks"),
                 F.col("doc").alias("label"))
         .groupBy("pivot", "chunk").applyInArrow(_join(percent), "u long, v long"), "near")
-    if placed.where("chunks > 1").isEmpty():
-        return near
+    named = components(near.union(copies))
+    if (placed.agg(F.max("chunks")).first()[0] or 1) == 1:
+        return named
     # groups of several chunks: who is not in the largest component meets every chunk
-    named = components(near)
+    named = kept(named, "named")
     wide = kept(placed.where("chunks > 1").join(
         named.select(F.col("node").alias("doc"), "component"), "doc", "left")
         .select("pivot", "chunk", "chunks", "doc", "n",
@@ -340,9 +345,12 @@ def link_forest(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     asked = wide.join(parts, "pivot").select(
         "pivot", "chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         "doc", "n", "label", F.lit(False).alias("asks"))
-    far = askers.union(asked).join(held, "doc").groupBy("pivot", "chunk", "part").applyInArrow(
-        _join(percent), "u long, v long")
-    return near.union(kept(far, "far"))
+    far = kept(askers.union(asked).join(held, "doc").groupBy("pivot", "chunk", "part").applyInArrow(
+        _join(percent), "u long, v long"), "far")
+    if far.isEmpty():
+        return named
+    return components(named.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                      .where("u <> v").union(far))
 
 
 def shingled(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
@@ -360,13 +368,12 @@ def shingled(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
 
 def _components(sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) of every doc that links with another."""
-    forest = link_forest(sets, percent)
     # copies hang on the first of their kind; rows of one doc_id are one node
     held = sets.select("doc", "n", "one", "two").where("n > 0 and doc is not null")
     first = kept(held.groupBy("one", "two").agg(F.min("doc").alias("first")), "first")
     copies = held.join(first, ["one", "two"]).where("doc <> first").select(
         F.col("doc").alias("u"), F.col("first").alias("v"))
-    return components(forest.union(copies))
+    return link_components(sets, copies, percent)
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

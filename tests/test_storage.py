@@ -56,6 +56,38 @@ def test_upsert_keeps_later_version(spark, tmp_path):
     assert stored(spark, path) == {"1": ("new", "2024-01-01"), "2": ("x", "2024-01-02")}
 
 
+def test_a_new_table_is_written_once(spark, tmp_path, monkeypatch):
+    packed = []
+    monkeypatch.setattr(storage, "_packed", lambda df, by: packed.append(by) or df)
+    for name in ("t", "marked"):
+        path = str(tmp_path / name)
+        if name == "marked":  # a marker file makes no table
+            (tmp_path / name).mkdir()
+            (tmp_path / name / "_SUCCESS").touch()
+        assert storage.upsert(orders(spark, ("1", "a", 1, "2024-01-01"), ("2", "b", 1, None)), path,
+                              ["id"], "day", version="version", moves=False)
+        assert stored(spark, path) == {"1": ("a", "2024-01-01"), "2": ("b", "None")}
+        assert packed == ["day"]
+        packed.clear()
+
+
+@pytest.mark.parametrize("moves", [True, False])
+def test_stale_rows_are_found_by_keys_and_versions(spark, tmp_path, moves):
+    path = str(tmp_path / "t")
+
+    def upsert(*rows):
+        return storage.upsert(orders(spark, *rows), path, ["id"], "day", version="version",
+                              moves=moves)
+
+    upsert(("1", "a", 5, "2024-01-01"), ("2", "a", None, "2024-01-01"), (None, "a", 1, "2024-01-02"))
+    # later, equal, without version, null key; then only stale ones
+    upsert(("1", "b", 5, "2024-01-01"), ("2", "b", 1, "2024-01-01"), (None, "b", 0, "2024-01-02"))
+    upsert(("1", "c", None, "2024-01-01"), ("2", "c", 2, "2024-01-01"))
+    assert upsert(("1", "d", 4, "2024-01-01"), ("2", "d", None, "2024-01-01")) == []
+    assert sorted(spark.read.parquet(path).select("id", "status").collect(), key=str) == [
+        ("1", "b"), ("2", "c"), (None, "a"), (None, "b")]
+
+
 def test_upsert_rejects_repeated_keys_and_takes_empty(spark, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(ValueError, match="share the key"):

@@ -6,6 +6,7 @@ from conftest import AS_OF, ORDER, control, message
 from pyspark.sql import functions as F
 
 from waybill.operators import extract, storage
+from waybill.operators.rows import dedupe_latest, dedupe_repeated, repeated_keys
 from waybill.plans import messages
 from waybill.sources import messages as source
 from waybill.streaming import alerts, jobs
@@ -287,3 +288,38 @@ def test_silver_caches_no_messages(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "orders")).count() == 1
     bad = spark.read.parquet(str(tmp_path / "bad" / "ORDERS")).first()
     assert str(bad.batch_day) == "2022-11-03"
+
+
+def test_silver_leaves_no_shuffle_files(spark, tmp_path):
+    """Files of all routes lay on the disks together until the driver collected its garbage."""
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager() \
+            .getAllFiles().toString()
+        return {f for f in files.replace(")", ",").split(",") if "/shuffle_" in f}
+
+    write(tmp_path / "in", "a.json", order("O1", "1", "10.00"), order("O2", "2", "20.00"),
+          order("O1", "3", "11.00", "2022-11-04T10:00:00.000Z"))
+    routes = {("ORDERS",): jobs.Route(lambda r: extract.extract_orders(r, as_of=AS_OF),
+                                      str(tmp_path / "orders"), ("order_number", "sap_system"),
+                                      "message_timestamp", "order_date")}
+    before = shuffled()
+    for run in ("first", "again"):
+        jobs.to_silver(source.to_bronze(source.stream_files(spark, str(tmp_path / "in"))), routes,
+                       str(tmp_path / f"cp-{run}"), as_of=AS_OF).awaitTermination()
+    assert not shuffled() - before
+    assert {r.order_number: float(r.total_amount) for r in spark.read.parquet(
+        str(tmp_path / "orders")).collect()} == {"O1": 11.0, "O2": 20.0}
+
+
+def test_rows_of_keys_that_came_once_are_not_shuffled_by_key(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("a", 2, "y"), ("c", None, "z")],
+                                 "k string, v int, rest string")
+    twice = repeated_keys(rows, ["k"])
+    assert [r.k for r in twice.collect()] == ["a"]
+    found = dedupe_repeated(rows, twice, ["k"], ["v"])
+    assert found.columns == rows.columns
+    assert sorted(found.collect(), key=str) == sorted(dedupe_latest(rows, ["k"], ["v"]).collect(),
+                                                      key=str)
+    once = rows.filter("v = 1 or v is null")
+    plan = dedupe_repeated(once, repeated_keys(once, ["k"]), ["k"], ["v"])
+    assert "Aggregate" not in plan._jdf.queryExecution().optimizedPlan().toString()

@@ -525,6 +525,15 @@ def _(t):
         "ingest_day")
 
 
+def bronze_stream(t, frames, path: str):
+    """Messages as a table and the stream that reads it. JSON text is most of the job's data: it
+    is packed well, and the shuffle files of its making go once it is written."""
+    messages = union_all(frames)
+    with storage.freed_shuffles(t.spark):
+        messages.write.option("compression", "zstd").parquet(path)
+    return t.spark.readStream.schema(messages.schema).parquet(path)
+
+
 SILVER_SQL = f"""
 SELECT 'orders' AS table_name, count(*) AS row_count, {total('total_c')} AS amount FROM s_orders
 UNION ALL SELECT 'invoices', count(*), {total('total_c')} FROM s_invoices"""
@@ -534,8 +543,7 @@ UNION ALL SELECT 'invoices', count(*), {total('total_c')} FROM s_invoices"""
 def _(t):
     path = folder(t, "silver")
     made = Messages(t)
-    union_all([made.orders, made.invoices]).write.parquet(f"{path}/bronze")
-    stream = t.spark.readStream.schema(made.orders.schema).parquet(f"{path}/bronze")
+    stream = bronze_stream(t, [made.orders, made.invoices], f"{path}/bronze")
 
     def yearly(extracted, ts):
         return extracted.withColumn("year_start", F.trunc(ts, "year"))
@@ -568,8 +576,7 @@ def _(t):
     """Shipment, delivery and warehouse messages of one stream into their silver tables."""
     path = folder(t, "logistics")
     made = Messages(t)
-    union_all([made.shipments, made.deliveries, made.movements]).write.parquet(f"{path}/bronze")
-    stream = t.spark.readStream.schema(made.shipments.schema).parquet(f"{path}/bronze")
+    stream = bronze_stream(t, [made.shipments, made.deliveries, made.movements], f"{path}/bronze")
 
     def route(kind, extractor, name, key, ts):
         return {(kind,): jobs.Route(

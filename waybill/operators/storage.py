@@ -165,6 +165,21 @@ def schema_of(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl)
 
 
+def _move_in(spark: SparkSession, rows: str, path: str) -> None:
+    """Makes partitions that were written aside a table that has none so far."""
+    fs, target = _fs(spark, path)
+    made = _fs(spark, rows)[1]
+    if not fs.exists(target):
+        fs.mkdirs(target.getParent())
+        moves = [(made, target)]
+    else:  # marker files only
+        moves = [(f.getPath(), _fs(spark, f"{path.rstrip('/')}/{f.getPath().getName()}")[1])
+                 for f in fs.listStatus(made) if f.isDirectory()]
+    for old, new in moves:
+        if not fs.rename(old, new):
+            raise OSError(f"{old.toString()} could not be moved to {new.toString()}")
+
+
 def _in(partition: str, values: Sequence) -> Column:
     """Partition filter known before the scan, so untouched folders are never opened."""
     known = [v for v in values if v is not None]
@@ -200,7 +215,8 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
            version: str | None = None, moves: bool = True) -> list:
     """Inserts new keys and replaces known ones; returns the partitions that were rewritten.
 
-    The updates are computed once, into a staging folder, and read from there. Only partitions
+    The updates are computed once, into a staging folder, and read from there; that folder becomes
+    the table where there is none. Only partitions
     that receive a row or hold an old version of one are read and rewritten. Which those are tells
     an index from key to partition (``key_index``), which is asked about the keys of the updates;
     it is built with the table, or once from its keys where it is missing. ``moves=False`` promises
@@ -223,7 +239,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
         if not exists(spark, path):
             if index:
                 index.build(staged)
-            _append(staged, path, partition)
+            _move_in(spark, f"{staging}/rows", path)  # packed already
             return incoming
         target = table(spark, path, partition, updates.schema[partition].dataType)
         places = None
@@ -236,13 +252,18 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition: str, *
         if version:
             near = _near(spark, path, partition, incoming, places)
             held = target.filter(_in(partition, near)).select(*keys, C(version).alias("_held"))
-            staged = staged.join(held, keys, "left").filter(
-                C("_held").isNull() | (C("_held") <= C(version))).drop("_held")
-            incoming = partition_values(staged, partition)
-            if not incoming:
-                return []
-            if index:
-                places = places.join(staged.select(*keys), keys, "left_semi")
+            # only keys and versions are compared, once; rows are looked at where some are stale
+            staged.select(*keys, C(version).alias("_new")).join(held, keys).filter(
+                C("_held").isNotNull() & ~F.coalesce(C("_held") <= C("_new"), F.lit(False))
+            ).select(*keys).distinct().write.parquet(f"{staging}/stale")
+            stale = spark.read.schema(staged.select(*keys).schema).parquet(f"{staging}/stale")
+            if not stale.isEmpty():
+                staged = staged.join(stale, keys, "left_anti")
+                incoming = partition_values(staged, partition)
+                if not incoming:
+                    return []
+                if index:
+                    places = places.join(staged.select(*keys), keys, "left_semi")
         touched = _near(spark, path, partition, incoming, places)
         kept = target.filter(_in(partition, touched)).join(staged.select(*keys), keys, "left_anti")
         merged = kept.unionByName(staged, allowMissingColumns=True)
@@ -308,6 +329,19 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run here go when their query ends, not when the driver happens
+    to collect its garbage; those of a long job would else lie on the disks together."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
     """The frame as a table beside ``path`` while it is used: computed once, read as often as

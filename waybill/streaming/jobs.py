@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from waybill.functions import diff_boundary, pct
 from waybill.operators import buckets, storage
-from waybill.operators.rows import dedupe_latest
+from waybill.operators.rows import dedupe_latest, dedupe_repeated, repeated_keys
 from waybill.operators.state_file import StateFile
 
 C = F.col
@@ -81,11 +81,18 @@ def to_silver(bronze: DataFrame, routes: Mapping[tuple[str, ...], Route], checkp
                     # a repeated batch replaces its own rejects
                     storage.replace_batch(rejected, f"{quarantine}/{'_'.join(kinds)}",
                                           batch_id, newest_at.date())
-                newest = dedupe_latest(good, list(route.keys), [route.version])
-                storage.upsert(newest, route.path, route.keys, "silver_day",
-                               version=route.version, moves=route.moves)
-
-    return start(bronze, batch, checkpoint, available_now)
+                keys = list(route.keys)
+                # rows of a key that came once are packed at once, not dealt by key before
+                with storage.staged(repeated_keys(good, keys), route.path) as repeated:
+                    newest = dedupe_repeated(good, repeated, keys, [route.version])
+                    storage.upsert(newest, route.path, route.keys, "silver_day",
+                                   version=route.version, moves=route.moves)
+
+    def freeing(rows: DataFrame, batch_id: int) -> None:
+        with storage.freed_shuffles(rows.sparkSession):
+            batch(rows, batch_id)
+
+    return start(bronze, freeing, checkpoint, available_now)
 
 
 def deduplicated(stream: DataFrame, keys: tuple[str, ...] = ("sap_system", "docnum"),

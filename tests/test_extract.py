@@ -2,9 +2,11 @@ import datetime as dt
 from decimal import Decimal
 
 from conftest import AS_OF, ORDER, control, message
+from pyspark.sql import functions as F
 from waybill.functions.payload import parsed
 from waybill.operators import extract as x
 from waybill.plans import messages as m
+from waybill.sources import driver_messages
 
 
 def first(df):
@@ -242,6 +244,38 @@ def test_only_fields_that_are_read_are_converted(raw):
     assert "customer_id" in plan and "StructField(bsart" not in plan and "tknum" not in plan
 
 
+def test_segment_messages_convert_only_the_control_fields_that_are_read(raw):
+    sent = raw(message("SHPMNT", "SHPMNT05", {"E1SHP00": [{"tknum": "S1", "tdlnr": "C1"}]}, "7"))
+    for df in (x.extract_shipments(sent), x.extract_orders(sent, as_of=AS_OF),
+               x.extract_invoices(sent, as_of=AS_OF), x.extract_deliveries(sent),
+               x.extract_warehouse_header(sent), x.partner_summary(sent).drop("header")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "StructField(docnum" in plan and "StructField(sndprn" not in plan
+    row = x.partner_summary(sent).first()
+    assert (row.idoc_number, row.carrier_id, row.header.docnum, row.header.sender) == (
+        "7", "C1", "7", "NORTH")
+    # a record that is no object, and none
+    odd = raw(message("SHPMNT", "SHPMNT05", {}, ctl="[1]"), message("SHPMNT", "SHPMNT05", {}, ctl=""))
+    assert [(r.idoc_number, r.header.docnum) for r in x.partner_summary(odd).collect()] == [
+        (None, None)] * 2
+
+
+def test_times_of_messages_are_formatted_once(spark):
+    made = driver_messages
+    times = spark.createDataFrame([(t,) for t in (
+        "2024-03-05 07:08:09.123456", "0001-01-01 00:00:00", "1582-10-04 23:59:59",
+        "9999-12-31 23:59:59", "+10000-01-02 03:04:05", "0000-05-06 01:02:03", None)],
+        "t string").select(F.col("t").cast("timestamp").alias("t"))
+    pairs = [(made._day("t"), "yyyyMMdd"), (made._time("t"), "HHmmss"),
+             (made._iso("t"), "yyyy-MM-dd'T'HH:mm:ss")]
+    assert times.filter("t is not null").count() == 6
+    for made_text, pattern in pairs:
+        same = times.select(made_text.eqNullSafe(F.date_format("t", pattern)).alias("same"))
+        assert [r.same for r in same.collect()] == [True] * 7
+    plan = times.select(*[c for c, _ in pairs])._jdf.queryExecution().optimizedPlan().toString()
+    assert "yyyyMMdd" not in plan and "HHmmss" not in plan
+
+
 def test_flat_messages_convert_only_the_control_fields_that_are_read(raw):
     for kind, make in (("SHPMNT", x.extract_shipments_flat), ("WHSCON", x.extract_warehouse_flat),
                        ("ORDERS", lambda df: x.extract_orders_flat(df, as_of=AS_OF)),

@@ -65,6 +65,11 @@ def _entries(name: str, fields: str) -> Column:
     return F.coalesce(many, F.when(one.isNotNull(), F.array(one)), none)
 
 
+def control_record(names: str) -> Column:
+    """The named fields of the control record, from its VARIANT (``_cv``)."""
+    return F.try_variant_get("_cv", "$", _struct(names))
+
+
 def parsed(raw: DataFrame, *names: str, control: str = CONTROL_FIELDS,
            **fields: str) -> DataFrame:
     """Adds the control record (``_c``), the payload as VARIANT (``_d``) and the named segments.
@@ -77,7 +82,7 @@ def parsed(raw: DataFrame, *names: str, control: str = CONTROL_FIELDS,
     wanted = {n: SEGMENT_FIELDS[n] for n in names} | fields
     out = raw.withColumns({"_cv": F.try_parse_json("control"), "_d": F.try_parse_json("data")})
     out = out.withColumns({
-        "_c": F.try_variant_get("_cv", "$", _struct(control)),
+        "_c": control_record(control),
         **{f"_s_{n}": _entries(n, of) for n, of in wanted.items()}})
     return out.withColumns({f"_h_{n}": F.get(f"_s_{n}", F.lit(0)) for n in wanted})
 

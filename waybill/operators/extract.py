@@ -25,6 +25,7 @@ from waybill.functions import (
 from waybill.functions.payload import (
     any_field,
     columns,
+    control_record,
     field,
     head,
     moment,
@@ -54,9 +55,10 @@ def _control(name: str) -> Column:
 
 def _of(raw: DataFrame, kinds: str | tuple[str, ...], *names: str, **fields: str) -> DataFrame:
     """Messages of the given kinds, parsed, with the named segments (or some fields of them)
-    located."""
+    located, and the message number of the control record (or what ``control`` names)."""
     wanted = (kinds,) if isinstance(kinds, str) else kinds
-    return parsed(raw.filter(C("message_type").isin(*wanted)), *names, **fields)
+    return parsed(raw.filter(C("message_type").isin(*wanted)), *names,
+                  **{"control": "docnum"} | fields)
 
 
 def _paths(spec: Mapping[str, tuple[str, str]]) -> str:
@@ -108,11 +110,14 @@ def partner_summary(raw: DataFrame) -> DataFrame:
     """Message summary with carrier, customer, warehouse partner and access scope."""
     ship, doc, whs = head("E1SHP00"), head("E1EDK01"), head("E1WHC00")
     partners = "carrier_id carrier_name customer_id customer_name partner_access_scope"
+    # a conversion of its own, which goes where the header is not asked for
+    record = control_record(" ".join(HEADER_FIELDS.values()))
     return parsed(
-        raw, E1SHP00=f"{partners} tdlnr", E1EDK01=partners,
-        E1WHC00="warehouse_partner_id warehouse_partner_name partner_access_scope").select(
+        raw, control="docnum", E1SHP00=f"{partners} tdlnr", E1EDK01=partners,
+        E1WHC00="warehouse_partner_id warehouse_partner_name partner_access_scope").withColumn(
+        "_header", record).select(
         "timestamp", "idoc_type", "message_type", "sap_system",
-        _control("docnum").alias("idoc_number"), header(C("_c")).alias("header"),
+        _control("docnum").alias("idoc_number"), header(C("_header")).alias("header"),
         any_field((ship, "carrier_id"), (ship, "tdlnr"), (doc, "carrier_id")).alias("carrier_id"),
         any_field((ship, "carrier_name"), (doc, "carrier_name")).alias("carrier_name"),
         any_field((ship, "customer_id"), (doc, "customer_id")).alias("customer_id"),

@@ -13,23 +13,26 @@ from pyspark.sql import functions as F
 from waybill.sources.driver_tables import Tables
 
 C = F.col
-COMPACT, CLOCK = "yyyyMMdd", "HHmmss"
 
 
 def _text(c: Column | str) -> Column:
     return (C(c) if isinstance(c, str) else c).cast("string")
 
 
-def _day(c: str) -> Column:
-    return F.date_format(c, COMPACT)
+def _iso(c: str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def _time(c: str) -> Column:
-    return F.date_format(c, CLOCK)
+# a formatter costs more than the rest of a field: a time is formatted once, in the form that all
+# of its fields share
 
 
-def _iso(c: str) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+def _day(c: str) -> Column:
+    return F.replace(F.substring_index(_iso(c), "T", 1), F.lit("-"), F.lit(""))
+
+
+def _time(c: str) -> Column:
+    return F.replace(F.substring_index(_iso(c), "T", -1), F.lit(":"), F.lit(""))
 
 
 def _seg(name: str, **fields: Column) -> Column:
